@@ -19,7 +19,7 @@ WORD = r"[\p{L}\p{N}_]+"
 TREEBANK_RULES = (
     (r'(^|[ (\[{<])"', "$1 `` "),
     (r"([:,])([^0-9]|\z)", " $1 $2"),
-    (r"([^.])\.([\])}>\"']*)(\s|\z)", "$1 . $2 "),
+    (r"([^.])\.([\])}>\"']*)([ \t\r\n]|\z)", "$1 . $2 "),
     (r"(\.\.\.|--|[;@#$%&?!\]\[(){}<>])", " $1 "),
     (r'"', " '' "),
     (r"([^' ])('s|'m|'d|'ll|'re|'ve|n't|')( |\z)", "$1 $2 "),

@@ -25,12 +25,14 @@ def per_datetime(df: DataFrame, ts: str, unit: str = "hour", by: Sequence[str] =
 
 
 def class_totals(
-    df: DataFrame, words: str, positive: Iterable[str], negative: Iterable[str], by: Sequence[str] = ()
-) -> DataFrame:
+    df: DataFrame, words: str, positive: Iterable[str], negative: Iterable[str], by: Sequence[str] = (),
+    records: str | None = None,
+) -> DataFrame:
     """``(by, label, count)``: tokens per class; a word on both lists counts for both.
 
     Each text is reduced to two numbers in place, so nothing is exploded and the shuffle carries one row
-    per task and group. Both labels appear, with 0 where nothing was found.
+    per task and group. Both labels appear, with 0 where nothing was found. ``records`` names an extra
+    column with the number of texts.
     """
     per_text = df.select(
         *by, count_in(words, positive).alias("_pos"), count_in(words, negative).alias("_neg")
@@ -38,8 +40,10 @@ def class_totals(
     totals = per_text.groupBy(*by).agg(
         F.coalesce(F.sum("_pos"), F.lit(0)).alias(POSITIVE),
         F.coalesce(F.sum("_neg"), F.lit(0)).alias(NEGATIVE),
+        *([F.count("*").alias(records)] if records else []),
     )
-    return totals.unpivot(list(by), [POSITIVE, NEGATIVE], "label", "count")
+    kept = [*by, records] if records else list(by)
+    return totals.unpivot(kept, [POSITIVE, NEGATIVE], "label", "count")
 
 
 def class_union(df: DataFrame, word: str, positive: Iterable[str], negative: Iterable[str]) -> DataFrame:

@@ -2,59 +2,72 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import types as T
 
+TEXT, INT, LONG, FLAG, TIME = T.StringType(), T.IntegerType(), T.LongType(), T.BooleanType(), T.TimestampType()
+
+
+def record(fields: Mapping[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+def texts(*names: str) -> dict[str, T.DataType]:
+    return {name: TEXT for name in names}
 
-def _ddl(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
 
+COUNT = record({"count": INT})
 
-# Field names and nesting as the feeds deliver them. The three entity lists of a tweet are
-# declared as text so that their JSON survives whatever the elements are.
-TWEET = _ddl("""
-    raw STRUCT<
-        created_at: STRING, source: STRING, retweet_count: INT, id_str: STRING, favorite_count: INT,
-        id: BIGINT, text: STRING, lang: STRING, quote_count: INT, timestamp_ms: STRING, reply_count: INT,
-        entities: STRUCT<urls: STRING, hashtags: STRING, symbols: STRING>,
-        user: STRUCT<screen_name: STRING, id_str: STRING>>
-""")
-FLAT_TWEET = _ddl("""
-    created_at STRING, id BIGINT, id_str STRING, text STRING, truncated BOOLEAN, source STRING,
-    is_quote_status BOOLEAN, quoted_status_id BIGINT, quoted_status_id_str STRING, retweet_count INT,
-    favorite_count INT, favorited BOOLEAN, retweeted BOOLEAN, lang STRING
-""")
-STATUS = _ddl("id BIGINT, text STRING, user STRUCT<id_str: STRING, name: STRING>")
-COMPACT_POST = _ddl("id STRING, name STRING, text STRING")
-FACEBOOK = _ddl("""
-    created_time STRING, comments STRUCT<count: INT>, group_id STRING,
-    `from` STRUCT<name: STRING, id: STRING>, id STRING, type STRING, likes STRUCT<count: INT>,
-    status_type STRING, name STRING, link STRING, message STRING
-""")
-GPLUS = _ddl("""
-    object STRUCT<content: STRING>, actor STRUCT<id: STRING, displayName: STRING, url: STRING>,
-    kind STRING, verb STRING, etag STRING, id STRING, published STRING, title STRING, updated STRING,
-    url STRING
-""")
-INSTAGRAM = _ddl("""
-    owner STRUCT<full_name: STRING, id: STRING, username: STRING>, hashtags STRING, post_like INT,
-    post_desc STRING, crawling_date STRING, post_id STRING, post_date STRING, post_code STRING,
-    post_comment INT, raw_data STRUCT<
-        edge_media_tp_comment: STRUCT<count: INT>, tracking_token: STRING, shortcode: STRING,
-        edge_media_preview_like: STRUCT<count: INT>, taken_at_timestamp: BIGINT, keyword_id: STRING>,
-    post_picture STRING
-""")
-NEWS = _ddl("""
-    media_category STRING, n_id STRING, file_content STRING, file_name STRING, n_link STRING,
-    tablename STRING, news_date STRING, worker_id STRING, result_content STRING
-""")
-TOPIC_MESSAGE = _ddl("""
-    key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP
-""")
-TWEET_TABLE = _ddl("""
-    created_at TIMESTAMP, id STRING, id_str STRING, text STRING, truncated BOOLEAN, source STRING,
-    is_quote_status BOOLEAN, quoted_status_id STRING, quoted_status_id_str STRING, retweet_count INT,
-    favorite_count INT, favorited BOOLEAN, retweeted BOOLEAN, lang STRING
-""")
+# Field names and nesting as the feeds deliver them. Lists are declared as text so that
+# their JSON survives whatever the elements are.
+TWEET = record({
+    "raw": record({
+        "created_at": TEXT, "source": TEXT, "retweet_count": INT, "id_str": TEXT, "favorite_count": INT,
+        "id": LONG, "text": TEXT, "lang": TEXT, "quote_count": INT, "timestamp_ms": TEXT,
+        "reply_count": INT, "entities": record(texts("urls", "hashtags", "symbols")),
+        "user": record(texts("screen_name", "id_str")),
+    }),
+})
+FLAT_TWEET = record({
+    "created_at": TEXT, "id": LONG, "id_str": TEXT, "text": TEXT, "truncated": FLAG, "source": TEXT,
+    "is_quote_status": FLAG, "quoted_status_id": LONG, "quoted_status_id_str": TEXT,
+    "retweet_count": INT, "favorite_count": INT, "favorited": FLAG, "retweeted": FLAG, "lang": TEXT,
+})
+STATUS = record({"id": LONG, "text": TEXT, "user": record(texts("id_str", "name"))})
+COMPACT_POST = record(texts("id", "name", "text"))
+FACEBOOK = record({
+    "created_time": TEXT, "comments": COUNT, "group_id": TEXT, "from": record(texts("name", "id")),
+    "id": TEXT, "type": TEXT, "likes": COUNT, "status_type": TEXT, "name": TEXT, "link": TEXT,
+    "message": TEXT,
+})
+GPLUS = record({
+    "object": record(texts("content")), "actor": record(texts("id", "displayName", "url")),
+    **texts("kind", "verb", "etag", "id", "published", "title", "updated", "url"),
+})
+INSTAGRAM = record({
+    "owner": record(texts("full_name", "id", "username")), "hashtags": TEXT, "post_like": INT,
+    "post_desc": TEXT, "crawling_date": TEXT, "post_id": TEXT, "post_date": TEXT, "post_code": TEXT,
+    "post_comment": INT,
+    "raw_data": record({
+        "edge_media_tp_comment": COUNT, "tracking_token": TEXT, "shortcode": TEXT,
+        "edge_media_preview_like": COUNT, "taken_at_timestamp": LONG, "keyword_id": TEXT,
+    }),
+    "post_picture": TEXT,
+})
+NEWS = record(texts(
+    "media_category", "n_id", "file_content", "file_name", "n_link", "tablename", "news_date",
+    "worker_id", "result_content",
+))
+TOPIC_MESSAGE = record({
+    "key": T.BinaryType(), "value": T.BinaryType(), "topic": TEXT, "partition": INT, "offset": LONG,
+    "timestamp": TIME,
+})
+# The typed table: as the flat tweet, with a real timestamp and ids as text.
+TWEET_TABLE = record({
+    **{field.name: field.dataType for field in FLAT_TWEET},
+    "created_at": TIME, "id": TEXT, "quoted_status_id": TEXT,
+})
 
 # Topic -> source, and the columns analysis appends to every post.
 TOPICS = {

@@ -24,7 +24,7 @@ def topic_stream(spark: SparkSession, servers: str, topics: Sequence[str], start
 
 
 def landed_stream(
-    spark: SparkSession, path: str, schema: T.StructType = TOPIC_MESSAGE, format: str = "json",
+    spark: SparkSession, path: str, schema: T.StructType | str = TOPIC_MESSAGE, format: str = "json",
     files_per_trigger: int | None = None, glob: str | None = None,
 ) -> DataFrame:
     """The same rows from files landing in a folder."""
@@ -42,7 +42,7 @@ def decoded(messages: DataFrame, ascii_only: bool = False) -> DataFrame:
     return messages.withColumn("value", text.ascii_strip(value) if ascii_only else value)
 
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 

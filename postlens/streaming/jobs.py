@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from postlens.operators import counts
@@ -68,8 +67,8 @@ def history_writer(words: str, positive: Iterable[str], negative: Iterable[str],
     positive, negative = set(positive), set(negative)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        totals = counts.class_totals(batch, words, positive, negative)
-        sinks.write_parquet(totals.withColumn("records", F.lit(batch.count())), out, batch_id)
+        totals = counts.class_totals(batch, words, positive, negative, records="records")
+        sinks.write_parquet(totals, out, batch_id)
 
     return write
 
