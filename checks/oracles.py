@@ -7,7 +7,7 @@ each helper states one rule.
 from __future__ import annotations
 
 from postlens.functions import stemming
-from postlens.functions.text import TREEBANK_RULES, WHITE_SPACE, WORD
+from postlens.functions.text import CONTRACTION_RULE, TREEBANK_RULES, WHITE_SPACE, WORD
 from postlens.plans.samples import (
     ENTITIES, EVENT_STEMS, GAZETTEER, NEGATIVE, POSITIVE, ROOTS, SLANG, VOCABULARY,
 )
@@ -42,7 +42,7 @@ def words(expression: str) -> str:
 
 def tokens(expression: str) -> str:
     padded = f"lower({expression})"
-    for pattern, replacement in TREEBANK_RULES:
+    for pattern, replacement in (*TREEBANK_RULES, CONTRACTION_RULE):
         padded = replaced(padded, pattern, replacement.replace("$", "\\"))
     return words(padded)
 
@@ -70,7 +70,7 @@ def stem(word: str) -> str:
         return f"regexp_replace({expression}, {q(pattern)}, {q(put)})"
 
     bare = [word]
-    for pattern in (stemming.PARTICLE, stemming.POSSESSIVE, stemming.SUFFIX):
+    for pattern in ("(lah|kah|tah|pun)$", "(ku|mu|nya)$", "(kan|an|i)$"):
         bare.append(strip(bare[-1], pattern))
     forms = list(bare)
     for base in (bare[3], bare[2], bare[1], bare[0]):
@@ -497,5 +497,7 @@ ORACLES["stream_running_counts"] = TOTALS
 ORACLES["stream_class_history"] = f"""WITH {BATCHED} SELECT label, CAST(sum(count) AS BIGINT) AS count,
   CAST(sum(records) AS BIGINT) AS records FROM history GROUP BY label"""
 ORACLES["stream_enrich"] = f"""WITH {ENRICHED} SELECT doc_id + 985000000000000000 AS id, sentiment, total_score,
-  person, city, lat_city FROM enriched WHERE {TWEET_OK}"""
+  person, city, lat_city, NULL AS reason, 'good' AS status FROM enriched WHERE {TWEET_OK}
+UNION ALL SELECT CASE WHEN {INTACT} THEN doc_id + 985000000000000000 END, NULL, NULL, NULL, NULL, NULL,
+  CASE WHEN {INTACT} THEN 'missing raw.text' ELSE 'malformed' END, 'quarantined' FROM documents WHERE NOT ({TWEET_OK})"""
 ORACLES["stream_first_seen"] = "SELECT DISTINCT md5(text) AS post FROM documents"

@@ -10,8 +10,9 @@ CORRUPT = "_corrupt"
 
 
 def unwrap(value: Column) -> Column:
-    """Undo one level of JSON string encoding; an object passes through unchanged."""
-    return F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>")[0]
+    """Undo one level of JSON string encoding; anything but a JSON string passes through unchanged."""
+    text = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>")[0]
+    return F.when(F.startswith(F.ltrim(value), F.lit('"')), F.coalesce(text, value)).otherwise(value)
 
 
 def parse(value: Column, schema: T.StructType) -> Column:

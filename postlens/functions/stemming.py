@@ -2,8 +2,8 @@
 
 Follows the confix-stripping outline of Asian, Williams & Tahaghoghi (2005) and Adriani et al. (2007):
 particles, possessives, then the derivational suffix come off first, prefixes (with the nasal sound
-changes) after that, and a form is only accepted when it is a known root. The first accepted form in
-``candidate_forms`` order wins; a word without one is kept.
+changes) after that, and a form is only accepted when it is a known root. The first accepted form wins;
+a word without one is kept.
 """
 
 from __future__ import annotations
@@ -14,45 +14,66 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from postlens.functions.literals import in_set, quoted
-from postlens.functions.text import split_words
+from postlens.functions.text import DIGITS, LOWER, split_cleaned
 
-# The affix patterns, in the order they are removed.
-PARTICLE = "(lah|kah|tah|pun)$"
-POSSESSIVE = "(ku|mu|nya)$"
-SUFFIX = "(kan|an|i)$"
+# The affixes, in the order they are removed.
+PARTICLES = ("lah", "kah", "tah", "pun")
+POSSESSIVES = ("nya", "ku", "mu")
+SUFFIXES = ("kan", "an", "i")
 LONG_PREFIX = "^(meng|meny|mem|men|me|peng|peny|pem|pen|per|pel|pe|ber|bel|be|ter|te|di|ke|se)"
 SHORT_PREFIX = "^(me|pe|be|te|di|ke|se)"
 SOUND_CHANGES = (("^(me|pe)ny", "s"), ("^(me|pe)ng", "k"), ("^(me|pe)m", "p"), ("^(me|pe)n", "t"))
 ANY_AFFIX = f"{SHORT_PREFIX}|(lah|kah|tah|pun|ku|mu|nya|kan|an|i)$"
-NOT_STEMMABLE = "[^a-z0-9 -]+"
+NOT_STEMMABLE = f"[^{LOWER}{DIGITS} -]+"
 
 
 def _strip(word: str, pattern: str, replacement: str = "") -> str:
     return f"regexp_replace({word}, {quoted(pattern)}, {quoted(replacement)})"
 
 
-def candidate_forms(word: str) -> list[str]:
-    """SQL expressions for the forms to try, best first."""
-    bare = [word]
-    for pattern in (PARTICLE, POSSESSIVE, SUFFIX):
-        bare.append(_strip(bare[-1], pattern))
-    forms = list(bare)
-    for base in reversed(bare):
-        once = _strip(base, LONG_PREFIX)
-        forms.append(once)
-        forms += [_strip(base, pattern, sound) for pattern, sound in SOUND_CHANGES]
-        forms += [_strip(base, SHORT_PREFIX), _strip(once, LONG_PREFIX), _strip(once, SHORT_PREFIX)]
-    return forms
+def _without(word: str, endings: Iterable[str]) -> str:
+    """``word`` without the first of ``endings`` it ends with. Slicing is much cheaper than a pattern."""
+    cases = " ".join(
+        f"WHEN endswith({word}, {quoted(end)}) THEN left({word}, length({word}) - {len(end)})" for end in endings
+    )
+    return f"CASE {cases} ELSE {word} END"
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """Name an intermediate value inside an expression, so that it is computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def _unprefixed(base: str) -> str:
+    """Array of the forms of ``base`` with a prefix removed, best first."""
+    sounds = ", ".join(_strip(base, pattern, sound) for pattern, sound in SOUND_CHANGES)
+    return _let(
+        "once",
+        _strip(base, LONG_PREFIX),
+        f"concat(array(once), CASE WHEN {base} RLIKE '^(me|pe)[mn]' THEN array({sounds}) ELSE array() END, "
+        f"array({_strip(base, SHORT_PREFIX)}, {_strip('once', LONG_PREFIX)}, {_strip('once', SHORT_PREFIX)}))",
+    )
 
 
 def stem_sql(word: str, roots: Iterable[str]) -> str:
     """SQL expression stemming one lower-case word.
 
-    Words that carry no affix skip the candidate list, so most tokens cost one pattern test.
+    Forms are tried in order: the word, then without particle, possessive and suffix; then the same four
+    from the shortest up with prefixes removed. Words that carry no affix cost one pattern test.
     """
-    roots = list(roots)
-    accepted = f"get(filter(array({', '.join(candidate_forms(word))}), f -> {in_set('f', roots)}), 0)"
-    return f"CASE WHEN {word} RLIKE {quoted(ANY_AFFIX)} THEN coalesce({accepted}, {word}) ELSE {word} END"
+    accepted = in_set("f", roots)
+    unsuffixed = f"get(filter(array({word}, s1, s2, s3), f -> {accepted}), 0)"
+    unprefixed = (
+        f"CASE WHEN {word} RLIKE {quoted(SHORT_PREFIX)} THEN get(filter(flatten(transform("
+        f"array_distinct(array(s3, s2, s1, {word})), b -> {_unprefixed('b')})), f -> {accepted}), 0) END"
+    )
+    found = f"coalesce({unsuffixed}, {unprefixed}, {word})"
+    stripped = _let(
+        "s1",
+        _without(word, PARTICLES),
+        _let("s2", _without("s1", POSSESSIVES), _let("s3", _without("s2", SUFFIXES), found)),
+    )
+    return f"CASE WHEN {word} RLIKE {quoted(ANY_AFFIX)} THEN {stripped} ELSE {word} END"
 
 
 def stem_word(word: str, roots: Iterable[str]) -> Column:
@@ -71,4 +92,4 @@ def stem_words(words: str, roots: Iterable[str]) -> Column:
 
 def stem_tokens_of(text: Column) -> Column:
     """The tokens that text stemming looks at."""
-    return split_words(stemmable(text))
+    return split_cleaned(stemmable(text))

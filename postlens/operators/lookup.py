@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions.literals import in_set, map_value
+from postlens.operators.explode import items
 from postlens.sources.dictionaries import LITERAL_LIMIT, bounded_rows
 
 BROADCAST_BYTES = 64 << 20
@@ -69,7 +70,7 @@ def matched_tokens(
 ) -> DataFrame:
     """``(id_cols, _matched map<token,value>)`` for the rows with at least one match."""
     tokens = f"transform({words}, w -> lower(w))" if lower else words
-    pairs = df.select(*id_cols, F.explode(F.expr(f"array_distinct({tokens})")).alias("_token"))
+    pairs = items(df, F.expr(f"array_distinct({tokens})"), "_token", id_cols)
     entries = dictionary.select(F.col(key).alias("_token"), F.col(value).cast("string").alias("_value"))
     if small_enough_to_broadcast(entries, ["_token", "_value"]):
         hits = pairs.join(F.broadcast(entries), "_token")

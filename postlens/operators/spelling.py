@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postlens.operators.explode import items
 from postlens.operators.lookup import attach
 from postlens.session import written
 from postlens.sources.dictionaries import LITERAL_LIMIT
@@ -60,9 +61,10 @@ def _known_keys(known: DataFrame, edits: int) -> DataFrame:
         f"'key', {_segment('word', 'length(word)', 's', '0')}))"
     )
     keys = F.expr(f"CASE WHEN length(word) <= {DELETION_LENGTH} THEN {short} ELSE {long} END")
-    return known.select(
-        F.col("word").alias("candidate"), F.col("count").alias("candidate_count"), F.explode(keys).alias("k")
-    ).select("candidate", "candidate_count", "k.*")
+    named = known.select(F.col("word"), F.col("word").alias("candidate"), F.col("count").alias("candidate_count"))
+    return items(named, keys, "k", ["candidate", "candidate_count"]).select(
+        "candidate", "candidate_count", "k.*"
+    )
 
 
 def _unknown_keys(unknown: DataFrame, edits: int) -> DataFrame:
@@ -78,11 +80,8 @@ def _unknown_keys(unknown: DataFrame, edits: int) -> DataFrame:
     long_keys = F.expr(f"CASE WHEN length(word) > {DELETION_LENGTH - edits} THEN {long} END")
     none = F.expr("CAST(array() AS array<struct<kind: int, size: int, key: string>>)")
     keys = F.concat(F.coalesce(short_keys, none), F.coalesce(long_keys, none))
-    return (
-        unknown.select("word", F.explode(F.array_distinct(keys)).alias("k"))
-        .select("word", "k.*")
-        .where("key IS NOT NULL")
-    )
+    exploded = items(unknown, F.array_distinct(keys), "k", ["word"])
+    return exploded.select("word", "k.*").where("key IS NOT NULL")
 
 
 def _swaps(word: str) -> str:
@@ -148,14 +147,18 @@ def _best_within(unknown: DataFrame, known: DataFrame, edits: int) -> DataFrame:
 
 
 def correct_words(words: DataFrame, frequencies: DataFrame) -> DataFrame:
-    """``(word, correction)`` for the distinct lower-cased ``words(word)``, given ``(word, count)``."""
-    distinct = words.where("word <> ''").distinct()
-    unknown = distinct.join(frequencies, "word", "left_anti")
-    once = _best_within(unknown, frequencies, 1)
-    rest = unknown.join(once, "word", "left_anti")
-    twice = _best_within(rest, frequencies, 2)
-    fixes = once.unionByName(twice)
-    return distinct.join(fixes, "word", "left").select(
+    """``(word, correction)`` for the distinct lower-cased ``words(word)``, given ``(word, count)``.
+
+    The vocabulary, the distinct words and the one-edit corrections are each needed several times, so they
+    are written to the shared folder once: counting the corpus again for every use would dominate.
+    """
+    known = written(frequencies.select("word", "count"), "known-words")
+    marked = words.where("word <> ''").distinct().join(known, "word", "left")
+    asked = written(marked.select("word", F.col("count").isNotNull().alias("known")), "asked-words")
+    unknown = asked.where("NOT known").select("word")
+    once = written(_best_within(unknown, known, 1), "one-edit")
+    twice = _best_within(unknown.join(once, "word", "left_anti"), known, 2)
+    return asked.join(once.unionByName(twice), "word", "left").select(
         "word", F.coalesce("correction", "word").alias("correction")
     )
 
@@ -165,7 +168,7 @@ def correct_text(
     limit: int = LITERAL_LIMIT,
 ) -> DataFrame:
     """Text ``out``: the tokens of ``words``, corrected and joined by one space."""
-    distinct = df.select(F.explode(F.array_distinct(words)).alias("word")).select(F.lower("word").alias("word"))
+    distinct = items(df, F.array_distinct(words), "word").select(F.lower("word").alias("word"))
     fixes = written(correct_words(distinct, frequencies).where("word <> correction"), "corrections")
     lookup = attach(df, id_cols, words, fixes, "word", "correction", limit, lower=True)
     fixed = (

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions.stemming import stem_word
+from postlens.operators.explode import items
 from postlens.operators.lookup import SALTS, attach, small_enough_to_broadcast
 from postlens.sources.dictionaries import LITERAL_LIMIT
 
@@ -19,7 +20,7 @@ SEQUENCE_LENGTH = 70
 
 def word_counts(df: DataFrame, words: str) -> DataFrame:
     """``(word, count)``; combined before the shuffle, so frequent words are cheap."""
-    return df.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("count"))
+    return items(df, words, "word").groupBy("word").agg(F.count("*").alias("count"))
 
 
 def word_frequency(df: DataFrame, words: str) -> DataFrame:
@@ -62,17 +63,16 @@ def pooled_embedding(
     An id is looked up once per text with its multiplicity. A large matrix is joined with salt, because
     common words are in nearly every text.
     """
-    items = df.select(*id_cols, F.explode(F.array_distinct(ids)).alias("_id"), F.col(ids).alias("_ids")).select(
-        *id_cols, "_id", F.size(F.expr("filter(_ids, x -> x = _id)")).alias("_n")
-    ).where("_id <> 0")
+    times = F.size(F.expr(f"filter({ids}, x -> x = _id)")).alias("_n")
+    used = items(df, F.array_distinct(ids), "_id", [*id_cols, ids]).where("_id <> 0").select(*id_cols, "_id", times)
     matrix = embeddings.select(
         F.col(vec_id).cast("int").alias("_id"), F.col(vector).cast("array<double>").alias("_vector")
     )
     if small_enough_to_broadcast(matrix, ["_vector"]):
-        looked_up = items.join(F.broadcast(matrix), "_id")
+        looked_up = used.join(F.broadcast(matrix), "_id")
     else:
         salt = F.pmod(F.xxhash64(*id_cols), F.lit(SALTS)).cast("int")
         copies = matrix.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        looked_up = items.withColumn("_salt", salt).join(copies, ["_id", "_salt"])
+        looked_up = used.withColumn("_salt", salt).join(copies, ["_id", "_salt"])
     mean = Summarizer.mean(array_to_vector("_vector"), F.col("_n").cast("double"))
     return looked_up.groupBy(*id_cols).agg(vector_to_array(mean).alias("mean"))

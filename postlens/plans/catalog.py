@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from postlens.functions import entities, jsons, sentiment, stemming, text
 from postlens.operators import classify, counts, filters, spelling, vocabulary
+from postlens.operators.explode import items, positioned_items
 from postlens.plans import landed, tables
 from postlens.plans.enrich import enrich, slang_tokens, with_normalized, with_sentiment
-from postlens.plans.landed import table
 from postlens.plans.samples import (
     DICTIONARIES, ENTITIES, EVENT_STEMS, GAZETTEER, NEGATIVE, POSITIVE, ROOTS, VOCABULARY,
 )
 from postlens.session import shared_dir
 from postlens.sources import dictionaries, posts, schemas, streams
+from postlens.sources.scans import spread, table
 from postlens.streaming import jobs, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,11 +34,11 @@ def query(name: str) -> Callable[[Query], Query]:
 
 
 def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", *(columns or ("text",)))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", *(columns or ("text",))), "doc_id")
 
 
 def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    return spread(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), "conv_id", "turn")
 
 
 def _document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +54,7 @@ def _joined(values: Column, name: str, separator: str = "|") -> Column:
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document lines in one total order, as a dictionary file would be read."""
-    split = _documents(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("n", "line"))
+    split = positioned_items(_documents(spark, sf_dir), F.split("text", "\n"), "n", "line", ["doc_id"])
     return split.select(F.struct("doc_id", "n").alias("line_no"), "line")
 
 
@@ -258,7 +259,7 @@ def normalize_text(spark, sf_dir):
 
 
 def _cleaned_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _documents(spark, sf_dir).withColumn("words", text.split_words(text.clean_text(F.col("text"))))
+    return _documents(spark, sf_dir).withColumn("words", text.split_cleaned(text.clean_text(F.col("text"))))
 
 
 @query("sentiment_label")
@@ -342,19 +343,19 @@ def _frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("spell_correct")
 def spell_correct(spark, sf_dir):
-    words = _turns(spark, sf_dir).select(F.explode(text.split_words(text.clean_text(F.col("text")))).alias("word"))
+    words = items(_turns(spark, sf_dir), text.split_cleaned(text.clean_text(F.col("text"))), "word")
     return spelling.correct_words(words, _frequencies(spark, sf_dir))
 
 
 @query("corrected_sentiment")
 def corrected_sentiment(spark, sf_dir):
-    turns = _turns(spark, sf_dir).withColumn("words", text.split_words(text.clean_text(F.col("text"))))
+    turns = _turns(spark, sf_dir).withColumn("words", text.split_cleaned(text.clean_text(F.col("text"))))
     corrected = spelling.correct_text(
         turns, ["conv_id", "turn"], "words", _frequencies(spark, sf_dir), "corrected"
     )
     normalized = with_normalized(corrected, "corrected", DICTIONARIES)
     scored = with_sentiment(
-        normalized.withColumn("tokens", text.split_words(F.col("normalized"))), "tokens", DICTIONARIES
+        normalized.withColumn("tokens", text.split_cleaned(F.col("normalized"))), "tokens", DICTIONARIES
     )
     return scored.select("conv_id", "turn", "corrected", "sentiment", "total_score")
 
@@ -374,7 +375,7 @@ def encode_sequence(spark, sf_dir):
 
 def _dimensions(df: DataFrame, keys: list[str]) -> DataFrame:
     """One row per vector element, rounded for comparison; ``+ 0`` turns a negative zero positive."""
-    rows = df.select(*keys, F.posexplode("mean").alias("dim", "value"))
+    rows = positioned_items(df, "mean", "dim", "value", keys)
     return rows.select(*keys, "dim", (F.round("value", 6) + F.lit(0.0)).alias("mean"))
 
 
@@ -454,7 +455,7 @@ def running_counts(spark, sf_dir):
 
 @query("class_union")
 def class_union(spark, sf_dir):
-    tokens = _documents(spark, sf_dir).select(F.explode(text.split_on_space(F.col("text"))).alias("word"))
+    tokens = items(_documents(spark, sf_dir), text.split_on_space(F.col("text")), "word")
     pairs = counts.class_union(tokens, "word", POSITIVE, NEGATIVE)
     return pairs.groupBy("label", "hit").agg(F.count("*").alias("pairs"))
 
@@ -500,7 +501,7 @@ def preview(spark, sf_dir):
 def _table_rows(source: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         flat = tables.flatten_for_table(_usable(spark, sf_dir, source), source, ["doc_id"])
-        words = flat.withColumn("_w", text.split_words(text.clean_text(F.col(tables.text_column(source)))))
+        words = flat.withColumn("_w", text.split_cleaned(text.clean_text(F.col(tables.text_column(source)))))
         pos, neg = sentiment.hit_counts("_w", POSITIVE, NEGATIVE)
         scored = words.withColumns({"_positive": pos, "_negative": neg})
         return tables.table_rows(scored, source, DICTIONARIES, "_positive", "_negative", ["doc_id"])
@@ -585,14 +586,15 @@ def stream_running_counts(spark, sf_dir):
 
 @query("stream_enrich")
 def stream_enrich(spark, sf_dir):
-    """Tweets through the enrichment job: routed, enriched, written as JSON per batch, read back."""
+    """Tweets through the enrichment job: judged, enriched, written as JSON per batch, read back."""
     base = shared_dir(spark, "enrich")
     feed = landed.tweets(_document_stream(spark, sf_dir)).select("value")
-    write = jobs.enrichment_writer("tweet", DICTIONARIES, f"{base}/out", f"{base}/errors")
+    write = jobs.enrichment_writer("tweet", DICTIONARIES, f"{base}/out")
     jobs.start(feed, write, f"{base}/checkpoint").awaitTermination()
-    schema = "id BIGINT, sentiment STRING, total_score DOUBLE, person STRING, city STRING, lat_city STRING"
+    schema = """id BIGINT, sentiment STRING, total_score DOUBLE, person STRING, city STRING, lat_city STRING,
+        reason STRING, status STRING"""
     back = streams.read_json(spark, f"{base}/out", schema)
-    return back.select("id", "sentiment", "total_score", "person", "city", "lat_city")
+    return back.select("id", "sentiment", "total_score", "person", "city", "lat_city", "reason", "status")
 
 
 @query("stream_raw_archive")

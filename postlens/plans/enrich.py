@@ -121,7 +121,7 @@ def enrich(df: DataFrame, dicts: Dictionaries, source: str = "text") -> DataFram
     """Appends the nine analysis columns. Row-local: no shuffle, no Python."""
     normalized = with_normalized(df, source, dicts, "_normalized")
     scored = with_sentiment(
-        normalized.withColumn("_words", text.split_words(F.col("_normalized"))), "_words", dicts
+        normalized.withColumn("_words", text.split_cleaned(F.col("_normalized"))), "_words", dicts
     )
     tokens = scored.withColumn("_tokens", text.word_tokens(F.col(source)))
     tagged = with_entities(tokens, "_tokens", dicts)

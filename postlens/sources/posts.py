@@ -18,14 +18,16 @@ REASON_MISSING = "missing"
 def parsed(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Adds the struct column ``post``; an unusable record has a null ``post``.
 
-    Both decoding levels are undone, so records encoded once and twice mix freely.
+    Both decoding levels are undone, so records encoded once and twice mix freely. The parsed record goes
+    through ``explode`` of a one-element array: filters on its fields would otherwise be pushed below the
+    parse by repeating it.
     """
-    decoded = df.withColumn("_json", F.coalesce(jsons.unwrap(F.col(value)), F.col(value)))
-    attempt = decoded.withColumn("_post", jsons.parse(F.col("_json"), schema))
+    decoded = df.select("*", F.explode(F.array(jsons.unwrap(F.col(value)))).alias("_json"))
+    attempt = decoded.select("*", F.explode(F.array(jsons.parse(F.col("_json"), schema))).alias("_post"))
     usable = jsons.is_usable(F.col("_json"), F.col("_post"))
-    return attempt.withColumn("post", F.when(usable, F.col("_post").dropFields(jsons.CORRUPT))).drop(
-        "_json", "_post"
-    )
+    judged = attempt.select("*", F.explode(F.array(usable)).alias("_usable"))
+    post = F.when(F.col("_usable"), F.col("_post").dropFields(jsons.CORRUPT))
+    return judged.withColumn("post", post).drop("_json", "_post", "_usable")
 
 
 def drop_malformed(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
@@ -47,13 +49,17 @@ def failure_reason(paths: Sequence[str]) -> Column:
     return reason
 
 
+def judged(df: DataFrame, schema: T.StructType, paths: Sequence[str] = (), value: str = "value") -> DataFrame:
+    """Every row with ``post`` and, if it cannot be used, a ``reason``."""
+    return parsed(df, schema, value).withColumn("reason", failure_reason(paths))
+
+
 def route(
     df: DataFrame, schema: T.StructType, paths: Sequence[str] = (), value: str = "value"
 ) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantined rows with a ``reason``)."""
-    judged = parsed(df, schema, value).withColumn("reason", failure_reason(paths))
-    good = judged.where("reason IS NULL").drop("reason")
-    return good, judged.where("reason IS NOT NULL").drop("post")
+    rows = judged(df, schema, paths, value)
+    return rows.where("reason IS NULL").drop("reason"), rows.where("reason IS NOT NULL").drop("post")
 
 
 def _columns(prefix: str, names: Mapping[str, str]) -> list[Column]:

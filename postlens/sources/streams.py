@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlens.functions import jsons, text
+from postlens.operators.explode import positioned_items
 from postlens.sources.schemas import TOPIC_MESSAGE
 
 
@@ -62,5 +63,4 @@ def archive_statuses(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
 
 def split_archives(df: DataFrame, value: str, keep: Sequence[str] = ()) -> DataFrame:
     """The same for archives that already arrive as text rows."""
-    parts = df.select(*keep, F.posexplode(jsons.split_concatenated(F.col(value))).alias("pos", "value"))
-    return parts
+    return positioned_items(df, jsons.split_concatenated(F.col(value)), "pos", "value", keep)

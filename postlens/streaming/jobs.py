@@ -5,16 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from postlens.operators import counts
 from postlens.plans.enrich import Dictionaries, enrich
 from postlens.sources import posts
+from postlens.sources.scans import spread
+from postlens.sources.schemas import ANALYSIS_COLUMNS
 from postlens.streaming import sinks
 
 # Micro-batch intervals of the jobs.
 INTERVALS = {"source_jobs": "2 seconds", "table_job": "5 seconds", "deployed": "10 seconds", "strings_table": "60 seconds"}
 
+# Folder names of the two outcomes.
+GOOD = "good"
+QUARANTINED = "quarantined"
+
 BatchFunction = Callable[[DataFrame, int], None]
 
 
@@ -43,14 +50,30 @@ def enriched_posts(messages: DataFrame, source: str, dicts: Dictionaries) -> Dat
     return enrich(flat, dicts, posts.TEXT_COLUMN[source])
 
 
-def enrichment_writer(source: str, dicts: Dictionaries, out: str, errors: str) -> BatchFunction:
-    """Per batch: good rows enriched to JSON by source, the others to quarantine with their reason."""
+def enrichment_writer(source: str, dicts: Dictionaries, out: str) -> BatchFunction:
+    """Per batch: enriched rows as JSON by source, unusable ones beside them with their reason.
+
+    One pass over the batch writes both: rows are marked instead of split, and the mark is a folder level
+    (``status=good`` / ``status=quarantined``) of the output.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, bad = posts.route(batch, posts.SCHEMAS[source], posts.REQUIRED[source])
-        flat = posts.FLATTEN[source](good)
-        sinks.write_json(enrich(flat, dicts, posts.TEXT_COLUMN[source]), out, batch_id, source)
-        sinks.write_json(bad.select("value", "reason"), errors, batch_id, source)
+        judged = posts.judged(
+            spread(batch.select("value")), posts.SCHEMAS[source], posts.REQUIRED[source]
+        )
+        marked = judged.withColumns(
+            {
+                "status": F.when(F.col("reason").isNull(), GOOD).otherwise(QUARANTINED),
+                "rejected": F.when(F.col("reason").isNotNull(), F.col("value")),
+            }
+        )
+        flat = posts.FLATTEN[source](marked, ["status", "reason", "rejected"])
+        enriched = enrich(flat, dicts, posts.TEXT_COLUMN[source])
+        usable = F.col("status") == GOOD
+        analysed = enriched.withColumns(
+            {name: F.when(usable, F.col(name)) for name in ANALYSIS_COLUMNS}
+        )
+        sinks.write_json(analysed, out, batch_id, source, extra=["status"])
 
     return write
 

@@ -16,9 +16,12 @@ def _stamped(df: DataFrame, batch_id: int, source: str | None) -> DataFrame:
     return stamped.withColumn("source_name", F.lit(source)) if source else stamped
 
 
-def replace_batch(df: DataFrame, path: str, format: str, batch_id: int, source: str | None = None, **options) -> None:
-    """Write one batch as its own partition of a folder partitioned by source and batch."""
-    parts = (["source_name"] if source else []) + ["batch_id"]
+def replace_batch(
+    df: DataFrame, path: str, format: str, batch_id: int, source: str | None = None,
+    extra: Sequence[str] = (), **options,
+) -> None:
+    """Write one batch as its own partition of a folder partitioned by source, batch and ``extra``."""
+    parts = [*(["source_name"] if source else []), "batch_id", *extra]
     (
         _stamped(df, batch_id, source)
         .write.format(format)
@@ -30,8 +33,8 @@ def replace_batch(df: DataFrame, path: str, format: str, batch_id: int, source:
     )
 
 
-def write_json(df: DataFrame, path: str, batch_id: int, source: str) -> None:
-    replace_batch(df, path, "json", batch_id, source)
+def write_json(df: DataFrame, path: str, batch_id: int, source: str, extra: Sequence[str] = ()) -> None:
+    replace_batch(df, path, "json", batch_id, source, extra)
 
 
 def write_pipe(df: DataFrame, path: str, batch_id: int) -> None:
