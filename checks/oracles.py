@@ -384,11 +384,17 @@ FROM documents JOIN enriched USING (doc_id) WHERE {INTACT}"""
 ORACLES["word_frequency"] = f"""WITH counted AS (SELECT w AS word, count(*) AS count FROM (
   SELECT unnest({REGEX_WORDS}) AS w FROM documents) GROUP BY w)
 SELECT word, count, count / (SELECT sum(count) FROM counted) AS probability FROM counted"""
-FIXES = f"""{DOC_WORDS}, known AS (SELECT w, count(*) AS n FROM (SELECT unnest(ws) AS w FROM dw) GROUP BY w),
+# Brute force over all pairs. Bits mark which letters a word has once and twice; an edit adds at most one
+# bit and takes at most one away, so most pairs need no distance.
+LETTER_BITS = """list_sum(list_transform(range(52), lambda i: CASE WHEN
+  length(w) - length(replace(w, chr(97 + (i % 26)::INT), '')) > i // 26 THEN 1::BIGINT << i::INT ELSE 0 END))::BIGINT"""
+FIXES = f"""{DOC_WORDS}, known AS MATERIALIZED (SELECT w, n, {LETTER_BITS} AS m, length(w)::INT AS l FROM (
+  SELECT w, count(*) AS n FROM (SELECT unnest(ws) AS w FROM dw) GROUP BY w)),
 probe AS (SELECT DISTINCT unnest({words(clean('text'))}) AS w FROM conversations),
-unknown AS (SELECT w FROM probe WHERE w NOT IN (SELECT w FROM known)),
-pairs AS (SELECT u.w, k.w AS c, k.n, damerau_levenshtein(u.w, k.w) AS d FROM unknown u JOIN known k
-  ON length(k.w) BETWEEN length(u.w) - 2 AND length(u.w) + 2),
+unknown AS MATERIALIZED (SELECT w, {LETTER_BITS} AS m, length(w)::INT AS l FROM probe WHERE w NOT IN (SELECT w FROM known)),
+possible AS MATERIALIZED (SELECT u.w, k.w AS c, k.n FROM unknown u JOIN known k ON k.l BETWEEN u.l - 2 AND u.l + 2
+  AND bit_count(xor(u.m & k.m, u.m)) <= 2 AND bit_count(xor(u.m & k.m, k.m)) <= 2),
+pairs AS (SELECT w, c, n, damerau_levenshtein(w, c) AS d FROM possible),
 best AS (SELECT w, c, row_number() OVER (PARTITION BY w ORDER BY d, n DESC, c) AS r FROM pairs WHERE d <= 2),
 fixes AS (SELECT probe.w AS word, coalesce(c, probe.w) AS correction FROM probe LEFT JOIN best
   ON best.w = probe.w AND r = 1)"""
