@@ -392,9 +392,9 @@ FIXES = f"""{DOC_WORDS}, known AS MATERIALIZED (SELECT w, n, {LETTER_BITS} AS m,
   SELECT w, count(*) AS n FROM (SELECT unnest(ws) AS w FROM dw) GROUP BY w)),
 probe AS (SELECT DISTINCT unnest({words(clean('text'))}) AS w FROM conversations),
 unknown AS MATERIALIZED (SELECT w, {LETTER_BITS} AS m, length(w)::INT AS l FROM probe WHERE w NOT IN (SELECT w FROM known)),
-possible AS MATERIALIZED (SELECT u.w, k.w AS c, k.n FROM unknown u JOIN known k ON k.l BETWEEN u.l - 2 AND u.l + 2
-  AND bit_count(xor(u.m & k.m, u.m)) <= 2 AND bit_count(xor(u.m & k.m, k.m)) <= 2),
-pairs AS (SELECT w, c, n, damerau_levenshtein(w, c) AS d FROM possible),
+pairs AS (SELECT u.w, k.w AS c, k.n, CASE WHEN bit_count(xor(u.m & k.m, u.m)) <= 2
+  AND bit_count(xor(u.m & k.m, k.m)) <= 2 THEN damerau_levenshtein(u.w, k.w) END AS d
+  FROM unknown u JOIN known k ON k.l BETWEEN u.l - 2 AND u.l + 2),
 best AS (SELECT w, c, row_number() OVER (PARTITION BY w ORDER BY d, n DESC, c) AS r FROM pairs WHERE d <= 2),
 fixes AS (SELECT probe.w AS word, coalesce(c, probe.w) AS correction FROM probe LEFT JOIN best
   ON best.w = probe.w AND r = 1)"""

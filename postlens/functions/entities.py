@@ -24,17 +24,17 @@ NEGATIVE_EVENT_STEMS = (
 
 def begin_inside(words: str, begin: Iterable[str], inside: Iterable[str]) -> Column:
     """Entities of one type in the token array ``words``."""
-    following = f"get({words}, i + 1)"
+    following = f"get({words}, __i + 1)"
     found = (
-        f"transform({words}, (w, i) -> CASE WHEN {in_set('w', begin)} THEN "
-        f"CASE WHEN {in_set(following, inside)} THEN concat(w, ' ', {following}) ELSE w END END)"
+        f"transform({words}, (__w, __i) -> CASE WHEN {in_set('__w', begin)} THEN "
+        f"CASE WHEN {in_set(following, inside)} THEN concat(__w, ' ', {following}) ELSE __w END END)"
     )
-    return F.expr(f"array_distinct(filter({found}, e -> e IS NOT NULL))")
+    return F.expr(f"array_distinct(filter({found}, __e -> __e IS NOT NULL))")
 
 
 def single_tokens(words: str, names: Iterable[str]) -> Column:
     """Entities that are one listed token."""
-    return F.expr(f"array_distinct(filter({words}, w -> {in_set('w', names)}))")
+    return F.expr(f"array_distinct(filter({words}, __w -> {in_set('__w', names)}))")
 
 
 def by_stem(words: str, stems: Iterable[str], roots: Iterable[str]) -> Column:
@@ -45,19 +45,19 @@ def by_stem(words: str, stems: Iterable[str], roots: Iterable[str]) -> Column:
     """
     stems = sorted(set(stems))
     tails = "|".join(sorted({re.escape(s[1:] if len(s) > 1 else s) for s in stems}))
-    stem = stem_sql("w", set(roots) | set(stems))
+    stem = stem_sql("__w", set(roots) | set(stems))
     return F.expr(
-        f"filter(array_distinct({words}), w -> w RLIKE {quoted(tails)} AND {in_set(stem, stems)})"
+        f"filter(array_distinct({words}), __w -> __w RLIKE {quoted(tails)} AND {in_set(stem, stems)})"
     )
 
 
 def located(places: str, gazetteer: Mapping[str, tuple[str, str]]) -> Column:
     """``array<struct<place,lat,long>>`` for the places found in the gazetteer; others are dropped."""
-    lat = map_value("p", {k: v[0] for k, v in gazetteer.items()})
-    long = map_value("p", {k: v[1] for k, v in gazetteer.items()})
+    lat = map_value("__p", {k: v[0] for k, v in gazetteer.items()})
+    long = map_value("__p", {k: v[1] for k, v in gazetteer.items()})
     return F.expr(
-        f"transform(filter({places}, p -> {in_set('p', gazetteer)}), "
-        f"p -> named_struct('place', p, 'lat', {lat}, 'long', {long}))"
+        f"transform(filter({places}, __p -> {in_set('__p', gazetteer)}), "
+        f"__p -> named_struct('place', __p, 'lat', {lat}, 'long', {long}))"
     )
 
 

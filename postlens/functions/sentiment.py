@@ -18,7 +18,7 @@ LABEL_NEUTRAL = "netral"
 def count_in(words: str, members: Iterable[str], unless: Iterable[str] = ()) -> Column:
     """How many tokens of ``words`` are in ``members`` and not in ``unless``."""
     kept = set(members) - set(unless)
-    return F.expr(f"size(filter({words}, w -> {in_set('w', kept)}))")
+    return F.expr(f"size(filter({words}, __w -> {in_set('__w', kept)}))")
 
 
 def hit_counts(words: str, positive: Iterable[str], negative: Iterable[str]) -> tuple[Column, Column]:

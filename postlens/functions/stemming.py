@@ -48,10 +48,10 @@ def _unprefixed(base: str) -> str:
     """Array of the forms of ``base`` with a prefix removed, best first."""
     sounds = ", ".join(_strip(base, pattern, sound) for pattern, sound in SOUND_CHANGES)
     return _let(
-        "once",
+        "__once",
         _strip(base, LONG_PREFIX),
-        f"concat(array(once), CASE WHEN {base} RLIKE '^(me|pe)[mn]' THEN array({sounds}) ELSE array() END, "
-        f"array({_strip(base, SHORT_PREFIX)}, {_strip('once', LONG_PREFIX)}, {_strip('once', SHORT_PREFIX)}))",
+        f"concat(array(__once), CASE WHEN {base} RLIKE '^(me|pe)[mn]' THEN array({sounds}) ELSE array() END, "
+        f"array({_strip(base, SHORT_PREFIX)}, {_strip('__once', LONG_PREFIX)}, {_strip('__once', SHORT_PREFIX)}))",
     )
 
 
@@ -61,17 +61,17 @@ def stem_sql(word: str, roots: Iterable[str]) -> str:
     Forms are tried in order: the word, then without particle, possessive and suffix; then the same four
     from the shortest up with prefixes removed. Words that carry no affix cost one pattern test.
     """
-    accepted = in_set("f", roots)
-    unsuffixed = f"get(filter(array({word}, s1, s2, s3), f -> {accepted}), 0)"
+    accepted = in_set("__f", roots)
+    unsuffixed = f"get(filter(array({word}, __s1, __s2, __s3), __f -> {accepted}), 0)"
     unprefixed = (
         f"CASE WHEN {word} RLIKE {quoted(SHORT_PREFIX)} THEN get(filter(flatten(transform("
-        f"array_distinct(array(s3, s2, s1, {word})), b -> {_unprefixed('b')})), f -> {accepted}), 0) END"
+        f"array_distinct(array(__s3, __s2, __s1, {word})), __b -> {_unprefixed('__b')})), __f -> {accepted}), 0) END"
     )
     found = f"coalesce({unsuffixed}, {unprefixed}, {word})"
     stripped = _let(
-        "s1",
+        "__s1",
         _without(word, PARTICLES),
-        _let("s2", _without("s1", POSSESSIVES), _let("s3", _without("s2", SUFFIXES), found)),
+        _let("__s2", _without("__s1", POSSESSIVES), _let("__s3", _without("__s2", SUFFIXES), found)),
     )
     return f"CASE WHEN {word} RLIKE {quoted(ANY_AFFIX)} THEN {stripped} ELSE {word} END"
 
@@ -87,7 +87,7 @@ def stemmable(text: Column) -> Column:
 
 def stem_words(words: str, roots: Iterable[str]) -> Column:
     """Stem every token of the array ``words`` (a column name or SQL expression)."""
-    return F.expr(f"transform({words}, w -> {stem_sql('w', roots)})")
+    return F.expr(f"transform({words}, __w -> {stem_sql('__w', roots)})")
 
 
 def stem_tokens_of(text: Column) -> Column:

@@ -69,7 +69,7 @@ def matched_tokens(
     lower: bool = False,
 ) -> DataFrame:
     """``(id_cols, _matched map<token,value>)`` for the rows with at least one match."""
-    tokens = f"transform({words}, w -> lower(w))" if lower else words
+    tokens = f"transform({words}, __w -> lower(__w))" if lower else words
     pairs = items(df, F.expr(f"array_distinct({tokens})"), "_token", id_cols)
     entries = dictionary.select(F.col(key).alias("_token"), F.col(value).cast("string").alias("_value"))
     if small_enough_to_broadcast(entries, ["_token", "_value"]):
@@ -91,7 +91,7 @@ def replace_tokens(
     tokens stay as they are."""
     lookup = attach(df, id_cols, words, dictionary, key, value, limit, lower=True)
     replaced = (
-        f"transform({words}, w -> CASE WHEN {lookup.contains('lower(w)')} "
-        f"THEN {lookup.value('lower(w)')} ELSE w END)"
+        f"transform({words}, __w -> CASE WHEN {lookup.contains('lower(__w)')} "
+        f"THEN {lookup.value('lower(__w)')} ELSE __w END)"
     )
     return Lookup(lookup.df.withColumn(out, F.expr(replaced)), None, None).done()

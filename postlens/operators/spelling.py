@@ -172,7 +172,7 @@ def correct_text(
     fixes = written(correct_words(distinct, frequencies).where("word <> correction"), "corrections")
     lookup = attach(df, id_cols, words, fixes, "word", "correction", limit, lower=True)
     fixed = (
-        f"transform({words}, w -> CASE WHEN {lookup.contains('lower(w)')} "
-        f"THEN {lookup.value('lower(w)')} ELSE lower(w) END)"
+        f"transform({words}, __w -> CASE WHEN {lookup.contains('lower(__w)')} "
+        f"THEN {lookup.value('lower(__w)')} ELSE lower(__w) END)"
     )
     return lookup.df.withColumn(out, F.array_join(F.expr(fixed), " ")).drop("_matched")

@@ -43,8 +43,8 @@ def encode_sequence(
     beyond ``length`` are not encoded (the model's fixed input size)."""
     head = df.withColumn("_head", F.slice(words, 1, length))
     lookup = attach(head, id_cols, "_head", vocabulary, "word", "id", limit)
-    known = f"coalesce(cast({lookup.value('w')} AS int), 0)"
-    encoded = f"slice(concat(transform(_head, w -> {known}), array_repeat(0, {length})), 1, {length})"
+    known = f"coalesce(cast({lookup.value('__w')} AS int), 0)"
+    encoded = f"slice(concat(transform(_head, __w -> {known}), array_repeat(0, {length})), 1, {length})"
     return lookup.df.withColumn(out, F.expr(encoded)).drop("_head", "_matched")
 
 
@@ -63,7 +63,7 @@ def pooled_embedding(
     An id is looked up once per text with its multiplicity. A large matrix is joined with salt, because
     common words are in nearly every text.
     """
-    times = F.size(F.expr(f"filter({ids}, x -> x = _id)")).alias("_n")
+    times = F.size(F.expr(f"filter({ids}, __x -> __x = _id)")).alias("_n")
     used = items(df, F.array_distinct(ids), "_id", [*id_cols, ids]).where("_id <> 0").select(*id_cols, "_id", times)
     matrix = embeddings.select(
         F.col(vec_id).cast("int").alias("_id"), F.col(vector).cast("array<double>").alias("_vector")

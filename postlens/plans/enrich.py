@@ -57,9 +57,9 @@ def load_dictionaries(
 
 def slang_tokens(words: str, slang: Mapping[str, str]) -> Column:
     """Tokens with slang replaced; a token is looked up in lower case and otherwise kept as written."""
-    value = map_value("lower(w)", slang)
+    value = map_value("lower(__w)", slang)
     return F.expr(
-        f"transform({words}, w -> CASE WHEN {in_set('lower(w)', slang)} THEN {value} ELSE w END)"
+        f"transform({words}, __w -> CASE WHEN {in_set('lower(__w)', slang)} THEN {value} ELSE __w END)"
     )
 
 
