@@ -506,4 +506,5 @@ ORACLES["stream_enrich"] = f"""WITH {ENRICHED} SELECT doc_id + 98500000000000000
   person, city, lat_city, NULL AS reason, 'good' AS status FROM enriched WHERE {TWEET_OK}
 UNION ALL SELECT CASE WHEN {INTACT} THEN doc_id + 985000000000000000 END, NULL, NULL, NULL, NULL, NULL,
   CASE WHEN {INTACT} THEN 'missing raw.text' ELSE 'malformed' END, 'quarantined' FROM documents WHERE NOT ({TWEET_OK})"""
+ORACLES["stream_raw_archive"] = "SELECT md5(text) AS value_hash FROM documents"
 ORACLES["stream_first_seen"] = "SELECT DISTINCT md5(text) AS post FROM documents"

@@ -599,8 +599,9 @@ def stream_enrich(spark, sf_dir):
 
 @query("stream_raw_archive")
 def stream_raw_archive(spark, sf_dir):
+    """Texts as messages, archived unparsed."""
     base = shared_dir(spark, "raw")
-    feed = landed.tweets(_document_stream(spark, sf_dir)).select("value")
+    feed = _document_stream(spark, sf_dir).select(F.col("text").alias("value"))
     jobs.raw_archive(feed, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     archived = streams.read_json(spark, f"{base}/out", "value STRING")
     return archived.select(F.md5("value").alias("value_hash"))

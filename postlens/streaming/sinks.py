@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 # Header of the comma-separated posts file.
 POST_CSV_HEADER = ("Post ID", "Screen Name", "ID", "sentence", "Sentiment")
+# Delimited text keeps every character of a field: quoted where needed, white space at its ends included.
+WHOLE_FIELDS = {
+    "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
 
 
 def _stamped(df: DataFrame, batch_id: int, source: str | None) -> DataFrame:
@@ -39,13 +43,13 @@ def write_json(df: DataFrame, path: str, batch_id: int, source: str, extra: Sequ
 
 def write_pipe(df: DataFrame, path: str, batch_id: int) -> None:
     """Pipe-delimited with quoting: breaks, pipes and quotes in a text survive the round trip."""
-    replace_batch(df, path, "csv", batch_id, sep="|", quote='"', escape='"', header=False)
+    replace_batch(df, path, "csv", batch_id, sep="|", header=False, **WHOLE_FIELDS)
 
 
 def write_post_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     """Append comma-separated posts under the fixed five-column header."""
     named = df.select(*[F.col(c).alias(h) for c, h in zip(columns, POST_CSV_HEADER, strict=True)])
-    named.write.mode("append").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    named.write.mode("append").option("header", True).options(**WHOLE_FIELDS).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, batch_id: int) -> None:
