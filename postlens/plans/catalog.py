@@ -547,8 +547,7 @@ def pipe_sink(spark, sf_dir):
     out = shared_dir(spark, "pipe-sink")
     for _ in range(2):
         sinks.write_pipe(_documents(spark, sf_dir, "text", "lang"), out, 3)
-    reader = spark.read.schema("doc_id BIGINT, text STRING, lang STRING, batch_id INT")
-    return reader.option("sep", "|").option("quote", '"').option("escape", '"').option("multiLine", True).csv(out)
+    return streams.read_delimited(spark, out, "doc_id BIGINT, text STRING, lang STRING, batch_id INT", sep="|")
 
 
 @query("post_csv_sink")
@@ -558,8 +557,8 @@ def post_csv_sink(spark, sf_dir):
     rows = scored.select("doc_id", F.lit("user").alias("u"), F.lit("1").alias("i"),
                          text.ascii_replace(F.col("text")).alias("t"), "sentiment")
     sinks.write_post_csv(rows, out, rows.columns)
-    back = spark.read.schema("doc_id BIGINT, screen_name STRING, user_id STRING, sentence STRING, sentiment STRING")
-    return back.option("header", True).option("escape", '"').option("multiLine", True).csv(out)
+    schema = "doc_id BIGINT, screen_name STRING, user_id STRING, sentence STRING, sentiment STRING"
+    return streams.read_delimited(spark, out, schema, header=True)
 
 
 # Streams -----------------------------------------------------------------------------------------

@@ -47,6 +47,13 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> Dat
     return spark.read.schema(schema).json(path)
 
 
+def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ",", header: bool = False) -> DataFrame:
+    """Delimited text whose quoted fields may hold breaks. Naming the line separator keeps a carriage
+    return inside a field; each file is read by one task, so writers should not make huge files."""
+    reader = spark.read.schema(schema).option("sep", sep).option("header", header)
+    return reader.options(quote='"', escape='"', multiLine=True, lineSep="\n").csv(path)
+
+
 def archive_statuses(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """One row per JSON object from archives of objects written back to back.
 
