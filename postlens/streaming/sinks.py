@@ -59,14 +59,15 @@ def write_parquet(df: DataFrame, path: str, batch_id: int) -> None:
 def append_table(df: DataFrame, table: str, batch_id: int, format: str = "parquet", path: str | None = None) -> None:
     """Add one batch to a catalog table; running the batch again replaces what it wrote."""
     spark = df.sparkSession
-    stamped = _stamped(df, batch_id, None)
     if spark.catalog.tableExists(table):
-        columns = spark.table(table).columns
-        stamped.select(*columns).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).insertInto(table)
+        columns = ", ".join(f"`{c}`" for c in spark.table(table).columns if c != "batch_id")
+        # A static partition clause: an overwriting insertInto would replace the whole table.
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = {int(batch_id)}) SELECT {columns} FROM {{batch}}",
+            batch=df,
+        )
         return
-    writer = stamped.write.format(format).partitionBy("batch_id")
+    writer = _stamped(df, batch_id, None).write.format(format).partitionBy("batch_id")
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 

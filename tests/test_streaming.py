@@ -51,12 +51,14 @@ def test_enrichment_job_writes_good_and_bad_once(spark, tmp_path):
     stream = streams.landed_stream(spark, str(tmp_path / "in"), "value STRING")
     write = jobs.enrichment_writer("tweet", DICTIONARIES, str(tmp_path / "out"))
     jobs.start(stream, write, str(tmp_path / "cp")).awaitTermination()
-    out = spark.read.schema("id BIGINT, sentiment STRING, reason STRING, rejected STRING, status STRING").json(str(tmp_path / "out"))
-    rows = sorted(map(tuple, out.collect()), key=str)
-    expected = (1, "negatif", None, None, "good")
+    schema = "id BIGINT, sentiment STRING, reason STRING, rejected STRING, status STRING"
+    out = streams.read_json(spark, str(tmp_path / "out"), schema)
+    rows = sorted(map(tuple, out.select("id", "sentiment", "reason", "rejected", "status").collect()), key=str)
+    # "the" is slang for two neutral words here, so one word on each side remains.
+    expected = (1, "netral", None, None, "good")
     assert rows == sorted([expected, expected, (None, None, "malformed", "{broken", "quarantined")], key=str)
     write(spark.createDataFrame([(json.dumps(good),), ("{broken",)], "value STRING"), 0)
-    assert out.count() == 2
+    assert streams.read_json(spark, str(tmp_path / "out"), schema).count() == 2
 
 
 def test_row_local_enrichment_runs_on_the_stream_itself(spark, tmp_path):
