@@ -305,6 +305,11 @@ TYPED = {
 }
 ORACLES["typed_row"] = f"SELECT doc_id, {selected(TYPED)} FROM documents WHERE {INTACT}"
 
+ORACLES["post_times"] = f"""SELECT doc_id, '2018-04-16 03:' || lpad(CAST(doc_id % 60 AS VARCHAR), 2, '0') || ':07' AS created,
+  strftime(make_timestamp((doc_id * 1000 + 1523849790000) * 1000), '%Y-%m-%d %H:%M:%S') AS sent,
+  strftime(make_timestamp((doc_id + 1523500000) * 1000000), '%Y-%m-%d %H:%M:%S') AS taken
+FROM documents WHERE {TWEET_OK}"""
+
 # Text --------------------------------------------------------------------------------------------
 
 ORACLES["clean_text"] = f"SELECT doc_id, {clean('text')} AS cleaned FROM documents"

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.functions.sentiment import count_in
+from postlens.session import written
 
 # The two labels of the running counts.
 POSITIVE = "Positive"
@@ -63,7 +64,9 @@ def running_totals(
     Batches are summed per span first; only span totals are accumulated per label, and each span is then
     accumulated on its own. No window partition holds more than ``span`` batches or one row per span.
     """
-    spans = history.withColumn("_span", F.floor(F.col(batch) / span))
+    # The history is used twice but must not be computed twice: it is one row per batch and label, made
+    # from all the texts. Writing it keeps the texts to one pass.
+    spans = written(history.withColumn("_span", F.floor(F.col(batch) / span)), "batch-history")
     whole = Window.partitionBy(label).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
     before = (
         spans.groupBy(label, "_span")

@@ -35,53 +35,47 @@ def _deletions(word: str) -> str:
 
 
 def _deletion_keys(word: str, edits: int) -> str:
-    keys = f"concat(array({word}), {_deletions(word)})"
+    keys = [f"array({word})", _deletions(word)]
     if edits == 2:
-        twice = _deletions("d")
-        keys = (
-            f"concat({keys}, flatten(transform({_deletions(word)}, "
-            f"d -> CASE WHEN d = '' THEN array() ELSE {twice} END)))"
+        pairs = (
+            f"flatten(transform(sequence(1, length({word}) - 1), i -> transform(sequence(i + 1, length({word})), "
+            f"j -> concat(left({word}, i - 1), substr({word}, i + 1, j - i - 1), substr({word}, j + 1)))))"
         )
-    return f"array_distinct({keys})"
+        keys.append(f"CASE WHEN length({word}) > 1 THEN {pairs} ELSE array() END")
+    return f"array_distinct(concat({', '.join(keys)}))"
 
 
 def _segment(word: str, length: str, index: str, shift: str) -> str:
+    """Key of one segment: its number, the candidate's length and the text. Null outside the word."""
     start = f"cast(floor(({length}) * {index} / {SEGMENTS}) AS int)"
     end = f"cast(floor(({length}) * ({index} + 1) / {SEGMENTS}) AS int)"
-    # Shifted segments that would start before the word are empty and match nothing.
-    return (
-        f"CASE WHEN {start} + {shift} >= 0 THEN substr({word}, {start} + {shift} + 1, {end} - {start}) END"
-    )
+    segment = f"substr({word}, {start} + {shift} + 1, {end} - {start})"
+    return f"CASE WHEN {start} + {shift} >= 0 THEN concat({index}, ' ', {length}, ' ', {segment}) END"
 
 
 def _known_keys(known: DataFrame, edits: int) -> DataFrame:
-    short = f"transform({_deletion_keys('word', edits)}, k -> named_struct('kind', -1, 'size', 0, 'key', k))"
-    long = (
-        f"transform(sequence(0, {SEGMENTS - 1}), s -> named_struct('kind', s, 'size', length(word), "
-        f"'key', {_segment('word', 'length(word)', 's', '0')}))"
-    )
-    keys = F.expr(f"CASE WHEN length(word) <= {DELETION_LENGTH} THEN {short} ELSE {long} END")
-    named = known.select(F.col("word"), F.col("word").alias("candidate"), F.col("count").alias("candidate_count"))
-    return items(named, keys, "k", ["candidate", "candidate_count"]).select(
-        "candidate", "candidate_count", "k.*"
+    segments = f"transform(sequence(0, {SEGMENTS - 1}), s -> {_segment('word', 'length(word)', 's', '0')})"
+    keys = F.expr(
+        f"CASE WHEN length(word) <= {DELETION_LENGTH} THEN {_deletion_keys('word', edits)} ELSE {segments} END"
     )
+    named = known.select("word", F.col("word").alias("candidate"), F.col("count").alias("candidate_count"))
+    return items(named, keys, "key", ["candidate", "candidate_count"])
 
 
 def _unknown_keys(unknown: DataFrame, edits: int) -> DataFrame:
-    reach = DELETION_LENGTH + edits
-    short = f"transform({_deletion_keys('word', edits)}, k -> named_struct('kind', -1, 'size', 0, 'key', k))"
     sizes = f"filter(sequence(length(word) - {edits}, length(word) + {edits}), n -> n > {DELETION_LENGTH})"
-    long = (
+    segments = (
         f"flatten(flatten(transform({sizes}, n -> transform(sequence(0, {SEGMENTS - 1}), s -> "
-        f"transform(sequence(-{edits}, {edits}), h -> "
-        f"named_struct('kind', s, 'size', n, 'key', {_segment('word', 'n', 's', 'h')}))))))"
+        f"transform(sequence(-{edits}, {edits}), h -> {_segment('word', 'n', 's', 'h')})))))"
+    )
+    # A word near the border may match candidates on both sides of it, so it gets both kinds of keys.
+    keys = F.expr(
+        f"CASE WHEN length(word) <= {DELETION_LENGTH - edits} THEN {_deletion_keys('word', edits)} "
+        f"WHEN length(word) <= {DELETION_LENGTH + edits} THEN "
+        f"concat({_deletion_keys('word', edits)}, array_distinct({segments})) "
+        f"ELSE array_distinct({segments}) END"
     )
-    short_keys = F.expr(f"CASE WHEN length(word) <= {reach} THEN {short} END")
-    long_keys = F.expr(f"CASE WHEN length(word) > {DELETION_LENGTH - edits} THEN {long} END")
-    none = F.expr("CAST(array() AS array<struct<kind: int, size: int, key: string>>)")
-    keys = F.concat(F.coalesce(short_keys, none), F.coalesce(long_keys, none))
-    exploded = items(unknown, F.array_distinct(keys), "k", ["word"])
-    return exploded.select("word", "k.*").where("key IS NOT NULL")
+    return items(unknown, keys, "key", ["word"])
 
 
 def _swaps(word: str) -> str:
@@ -139,7 +133,7 @@ def _best_within(unknown: DataFrame, known: DataFrame, edits: int) -> DataFrame:
     """``(word, correction)`` for the words with a candidate. The best is kept by an aggregate that
     combines before its shuffle; a pair proposed by several keys does no harm to it."""
     check = _one_edit("word", "candidate") if edits == 1 else _two_edits("word", "candidate")
-    pairs = _unknown_keys(unknown, edits).join(_known_keys(known, edits), ["kind", "size", "key"])
+    pairs = _unknown_keys(unknown, edits).join(_known_keys(known, edits), "key")
     near = pairs.where(F.abs(F.length("word") - F.length("candidate")) <= edits).where(F.expr(check))
     # Most frequent first, then the alphabetically first word.
     rank = F.struct(-F.col("candidate_count"), "candidate")

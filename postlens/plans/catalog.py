@@ -202,6 +202,21 @@ def typed_row(spark, sf_dir):
     return typed.withColumn("created_at", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss"))
 
 
+@query("post_times")
+def post_times(spark, sf_dir):
+    """The three ways posts carry a time, read as timestamps."""
+    tweets = posts.flatten_tweet(_usable(spark, sf_dir, "tweet"), ["doc_id"])
+    taken = F.col("doc_id") + 1523500000
+    stamps = {
+        "created": posts.created_timestamp(F.col("created_at")),
+        "sent": posts.epoch_millis(F.col("timestamp_ms")),
+        "taken": posts.epoch_seconds(taken),
+    }
+    return tweets.select(
+        "doc_id", *[F.date_format(stamp, "yyyy-MM-dd HH:mm:ss").alias(name) for name, stamp in stamps.items()]
+    )
+
+
 @query("typed_enriched_row")
 def typed_enriched_row(spark, sf_dir):
     flat = posts.flatten_flat_tweet(_usable(spark, sf_dir, "flat_tweet"), ["doc_id"])

@@ -199,6 +199,15 @@ def created_timestamp(created_at: Column) -> Column:
     return F.try_to_timestamp(F.substring(created_at, 5, 26), F.lit("MMM dd HH:mm:ss Z yyyy"))
 
 
+def epoch_millis(value: Column) -> Column:
+    """A millisecond count kept as text, as a timestamp; null when it is no number."""
+    return F.timestamp_millis(value.try_cast("bigint"))
+
+
+def epoch_seconds(value: Column) -> Column:
+    return F.timestamp_seconds(value.try_cast("bigint"))
+
+
 def typed_tweets(flat: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Flat tweets cast to the typed table layout; a value that does not fit becomes null."""
     columns = []

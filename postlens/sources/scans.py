@@ -9,14 +9,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# At the default split size this is a few gigabytes.
+SMALL_INPUT_SPLITS = 64
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give every core a part of a small input.
 
-    An input with fewer splits than the cluster has cores is repartitioned once, by key so that a lost
-    task reruns to the same rows. A large input already has more splits than cores and is left alone: it
-    is never shuffled for this.
+    An input of a few splits, fewer than the cluster has cores, is repartitioned once, by key so that a
+    lost task reruns to the same rows. Anything larger is left alone: it is never shuffled for this.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    splits = df.rdd.getNumPartitions()
+    if splits >= cores or splits > SMALL_INPUT_SPLITS:
         return df
     return df.repartition(cores, *keys)

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from postlens.operators import counts
 from postlens.plans.enrich import Dictionaries, enrich
-from postlens.sources import posts
+from postlens.sources import posts, streams
 from postlens.sources.scans import spread
-from postlens.sources.schemas import ANALYSIS_COLUMNS
+from postlens.sources.schemas import ANALYSIS_COLUMNS, TOPICS
 from postlens.streaming import sinks
 
 # Micro-batch intervals of the jobs.
@@ -78,6 +78,21 @@ def enrichment_writer(source: str, dicts: Dictionaries, out: str) -> BatchFuncti
     return write
 
 
+def topic_job(
+    spark: SparkSession, servers: str, topic: str, dicts: Dictionaries, out: str, checkpoint: str,
+    interval: str = INTERVALS["source_jobs"], ascii_only: bool = False,
+) -> StreamingQuery:
+    """The whole job of one feed: topic -> enriched JSON by source and batch."""
+    messages = streams.decoded(streams.topic_stream(spark, servers, [topic]), ascii_only)
+    return start(messages, enrichment_writer(TOPICS[topic], dicts, out), checkpoint, interval)
+
+
+def to_console(df: DataFrame, checkpoint: str, rows: int = 20, mode: str = "update") -> StreamingQuery:
+    """Print each batch, as the counting jobs do."""
+    writer = df.writeStream.format("console").option("numRows", rows).outputMode(mode)
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def running_class_counts(
     posts_stream: DataFrame, words: str, positive: Iterable[str], negative: Iterable[str]
 ) -> DataFrame:

@@ -102,6 +102,19 @@ def test_first_seen_and_latest(spark, tmp_path):
     assert [r.text for r in spark.read.parquet(str(tmp_path / "latest")).collect()] == ["b"]
 
 
+def test_console(spark, feed):
+    words = streams.landed_stream(spark, str(feed / "in"), POST).select(text.split_on_space(F.col("text")).alias("w"))
+    query = jobs.to_console(jobs.running_class_counts(words, "w", {"the"}, {"of"}), str(feed / "cp"))
+    query.awaitTermination()
+    assert query.exception() is None
+    assert sum(p.numInputRows for p in query.recentProgress) == 2
+
+
+def test_topic_job_asks_for_the_connector(spark, tmp_path):
+    with pytest.raises(Exception, match="(?i)kafka"):
+        jobs.topic_job(spark, "none:1", "weblogs", DICTIONARIES, str(tmp_path / "o"), str(tmp_path / "c"))
+
+
 def test_bounded_run_stops(spark, feed):
     stream = streams.landed_stream(spark, str(feed / "in"), POST)
     query = jobs.start(stream, lambda batch, batch_id: None, str(feed / "cp"), interval="1 second")
