@@ -6,7 +6,6 @@ each helper states one rule.
 
 from __future__ import annotations
 
-from postlens.functions import stemming
 from postlens.functions.text import CONTRACTION_RULE, TREEBANK_RULES, WHITE_SPACE, WORD
 from postlens.plans.samples import (
     ENTITIES, EVENT_STEMS, GAZETTEER, NEGATIVE, POSITIVE, ROOTS, SLANG, VOCABULARY,
@@ -65,6 +64,10 @@ LABEL = "CASE WHEN neg > pos THEN 'negatif' WHEN pos > neg THEN 'positif' ELSE '
 SCORE = "CASE WHEN pos + neg > 0 THEN (pos - neg) / (pos + neg) ELSE 0.0 END"
 
 
+LONG_PREFIX = "^(meng|meny|mem|men|me|peng|peny|pem|pen|per|pel|pe|ber|bel|be|ter|te|di|ke|se)"
+SHORT_PREFIX = "^(me|pe|be|te|di|ke|se)"
+
+
 def stem(word: str) -> str:
     def strip(expression: str, pattern: str, put: str = "") -> str:
         return f"regexp_replace({expression}, {q(pattern)}, {q(put)})"
@@ -74,13 +77,13 @@ def stem(word: str) -> str:
         bare.append(strip(bare[-1], pattern))
     forms = list(bare)
     for base in (bare[3], bare[2], bare[1], bare[0]):
-        once = strip(base, stemming.LONG_PREFIX)
+        once = strip(base, LONG_PREFIX)
         forms.append(once)
-        for pattern, sound in stemming.SOUND_CHANGES:
+        for pattern, sound in (("^(me|pe)ny", "s"), ("^(me|pe)ng", "k"), ("^(me|pe)m", "p"), ("^(me|pe)n", "t")):
             forms.append(strip(base, pattern, sound))
-        forms.append(strip(base, stemming.SHORT_PREFIX))
-        forms.append(strip(once, stemming.LONG_PREFIX))
-        forms.append(strip(once, stemming.SHORT_PREFIX))
+        forms.append(strip(base, SHORT_PREFIX))
+        forms.append(strip(once, LONG_PREFIX))
+        forms.append(strip(once, SHORT_PREFIX))
     found = f"list_filter([{', '.join(forms)}], lambda f: {among('f', set(ROOTS) | set(EVENT_STEMS) if word == 'ev' else ROOTS)})[1]"
     return f"coalesce({found}, {word})"
 
@@ -114,7 +117,7 @@ DOC_TOKENS = f"tok AS (SELECT doc_id, {tokens('text')} AS tk FROM documents)"
 DOC_WORDS = f"dw AS (SELECT doc_id, {words(clean('text'))} AS ws FROM documents)"
 EVENT_WORDS = f"""
 ev_vocab AS (SELECT DISTINCT unnest(tk) AS ev FROM tok),
-ev_hit AS (SELECT ev FROM (SELECT ev, CASE WHEN regexp_matches(ev, {q(stemming.ANY_AFFIX)}) THEN {stem('ev')} ELSE ev END AS st FROM ev_vocab)
+ev_hit AS (SELECT ev FROM (SELECT ev, {stem('ev')} AS st FROM ev_vocab)
   WHERE {among('st', EVENT_STEMS)}),
 ev_doc AS (SELECT doc_id, string_agg(ev, '{{sep}}' ORDER BY p) AS events FROM (
   SELECT doc_id, ev, min(p) AS p FROM (SELECT doc_id, unnest(tk) AS ev, unnest(range(len(tk))) AS p FROM tok)

@@ -16,29 +16,55 @@ from pyspark.sql import functions as F
 from postlens.functions.literals import in_set, quoted
 from postlens.functions.text import DIGITS, LOWER, split_cleaned
 
-# The affixes, in the order they are removed.
+# The affixes, in the order they are tried.
 PARTICLES = ("lah", "kah", "tah", "pun")
 POSSESSIVES = ("nya", "ku", "mu")
 SUFFIXES = ("kan", "an", "i")
-LONG_PREFIX = "^(meng|meny|mem|men|me|peng|peny|pem|pen|per|pel|pe|ber|bel|be|ter|te|di|ke|se)"
-SHORT_PREFIX = "^(me|pe|be|te|di|ke|se)"
-SOUND_CHANGES = (("^(me|pe)ny", "s"), ("^(me|pe)ng", "k"), ("^(me|pe)m", "p"), ("^(me|pe)n", "t"))
-ANY_AFFIX = f"{SHORT_PREFIX}|(lah|kah|tah|pun|ku|mu|nya|kan|an|i)$"
+PREFIXES = (
+    "meng", "meny", "mem", "men", "me", "peng", "peny", "pem", "pen", "per", "pel", "pe", "ber", "bel",
+    "be", "ter", "te", "di", "ke", "se",
+)
+BARE_PREFIXES = ("me", "pe", "be", "te", "di", "ke", "se")
+# After "me" or "pe": the nasal that replaced a root's first letter, and that letter.
+SOUND_CHANGES = (("ny", "s"), ("ng", "k"), ("m", "p"), ("n", "t"))
 NOT_STEMMABLE = f"[^{LOWER}{DIGITS} -]+"
 
 
-def _strip(word: str, pattern: str, replacement: str = "") -> str:
-    return f"regexp_replace({word}, {quoted(pattern)}, {quoted(replacement)})"
+# Affixes are cut by comparing and slicing; a regular expression per form and token costs several times more.
+def _without_end(word: str, endings: Iterable[str]) -> str:
+    cases = " ".join(
+        f"WHEN endswith({word}, {quoted(end)}) THEN left({word}, length({word}) - {len(end)})" for end in endings
+    )
+    return f"CASE {cases} ELSE {word} END"
 
 
-def _without(word: str, endings: Iterable[str]) -> str:
-    """``word`` without the first of ``endings`` it ends with. Slicing is much cheaper than a pattern."""
+def _without_start(word: str, starts: Iterable[str]) -> str:
     cases = " ".join(
-        f"WHEN endswith({word}, {quoted(end)}) THEN left({word}, length({word}) - {len(end)})" for end in endings
+        f"WHEN startswith({word}, {quoted(start)}) THEN substr({word}, {len(start) + 1})" for start in starts
     )
     return f"CASE {cases} ELSE {word} END"
 
 
+def _sounded(word: str, nasal: str, letter: str) -> str:
+    """``word`` with "me"/"pe" and the nasal turned back into the root's first letter."""
+    return (
+        f"CASE WHEN {in_set(f'left({word}, {len(nasal) + 2})', ('me' + nasal, 'pe' + nasal))} "
+        f"THEN concat({quoted(letter)}, substr({word}, {len(nasal) + 3})) ELSE {word} END"
+    )
+
+
+def _has_prefix(word: str) -> str:
+    return in_set(f"left({word}, 2)", BARE_PREFIXES)
+
+
+def _has_affix(word: str) -> str:
+    # "kan" ends in "an".
+    return (
+        f"({_has_prefix(word)} OR {in_set(f'right({word}, 3)', (*PARTICLES, 'nya'))} "
+        f"OR {in_set(f'right({word}, 2)', ('an', 'ku', 'mu'))} OR endswith({word}, 'i'))"
+    )
+
+
 def _let(name: str, value: str, body: str) -> str:
     """Name an intermediate value inside an expression, so that it is computed once."""
     return f"get(transform(array({value}), {name} -> {body}), 0)"
@@ -46,12 +72,12 @@ def _let(name: str, value: str, body: str) -> str:
 
 def _unprefixed(base: str) -> str:
     """Array of the forms of ``base`` with a prefix removed, best first."""
-    sounds = ", ".join(_strip(base, pattern, sound) for pattern, sound in SOUND_CHANGES)
+    sounds = ", ".join(_sounded(base, nasal, letter) for nasal, letter in SOUND_CHANGES)
     return _let(
         "__once",
-        _strip(base, LONG_PREFIX),
-        f"concat(array(__once), CASE WHEN {base} RLIKE '^(me|pe)[mn]' THEN array({sounds}) ELSE array() END, "
-        f"array({_strip(base, SHORT_PREFIX)}, {_strip('__once', LONG_PREFIX)}, {_strip('__once', SHORT_PREFIX)}))",
+        _without_start(base, PREFIXES),
+        f"array(__once, {sounds}, {_without_start(base, BARE_PREFIXES)}, "
+        f"{_without_start('__once', PREFIXES)}, {_without_start('__once', BARE_PREFIXES)})",
     )
 
 
@@ -59,21 +85,21 @@ def stem_sql(word: str, roots: Iterable[str]) -> str:
     """SQL expression stemming one lower-case word.
 
     Forms are tried in order: the word, then without particle, possessive and suffix; then the same four
-    from the shortest up with prefixes removed. Words that carry no affix cost one pattern test.
+    from the shortest up with prefixes removed. Words that carry no affix cost a few comparisons.
     """
     accepted = in_set("__f", roots)
     unsuffixed = f"get(filter(array({word}, __s1, __s2, __s3), __f -> {accepted}), 0)"
     unprefixed = (
-        f"CASE WHEN {word} RLIKE {quoted(SHORT_PREFIX)} THEN get(filter(flatten(transform("
+        f"CASE WHEN {_has_prefix(word)} THEN get(filter(flatten(transform("
         f"array_distinct(array(__s3, __s2, __s1, {word})), __b -> {_unprefixed('__b')})), __f -> {accepted}), 0) END"
     )
     found = f"coalesce({unsuffixed}, {unprefixed}, {word})"
     stripped = _let(
         "__s1",
-        _without(word, PARTICLES),
-        _let("__s2", _without("__s1", POSSESSIVES), _let("__s3", _without("__s2", SUFFIXES), found)),
+        _without_end(word, PARTICLES),
+        _let("__s2", _without_end("__s1", POSSESSIVES), _let("__s3", _without_end("__s2", SUFFIXES), found)),
     )
-    return f"CASE WHEN {word} RLIKE {quoted(ANY_AFFIX)} THEN {stripped} ELSE {word} END"
+    return f"CASE WHEN {_has_affix(word)} THEN {stripped} ELSE {word} END"
 
 
 def stem_word(word: str, roots: Iterable[str]) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Classes are spelled out character by character: Java tests such a class with one bit set, but a class of
@@ -70,14 +70,23 @@ def split_words(text: Column, original: Column | None = None) -> Column:
     return F.array_remove(parts, "")
 
 
-def word_tokens(text: Column) -> Column:
-    """Lower-cased tokens with punctuation standing alone (Treebank style)."""
-    padded = F.lower(text)
+def with_word_tokens(df: DataFrame, source: str, out: str) -> DataFrame:
+    """Adds ``out``: lower-cased tokens of column ``source``, punctuation standing alone (Treebank style).
+
+    The steps are separate columns so that each is computed, and its code generated, once: nested inside
+    the conditions they would be repeated until the generated method is too long for the JIT compiler.
+    """
+    padded = F.lower(F.col(source))
     for pattern, replacement in TREEBANK_RULES:
         padded = F.regexp_replace(padded, pattern, replacement)
-    apostrophes = F.contains(text, F.lit("'"))
-    padded = F.when(apostrophes, F.regexp_replace(padded, *CONTRACTION_RULE)).otherwise(padded)
-    return split_words(padded, original=text)
+    apart = F.regexp_replace("_padded", *CONTRACTION_RULE)
+    apostrophes = F.contains(F.col(source), F.lit("'"))
+    return (
+        df.withColumn("_padded", padded)
+        .withColumn("_apart", F.when(apostrophes, apart).otherwise(F.col("_padded")))
+        .withColumn(out, split_words(F.col("_apart"), original=F.col(source)))
+        .drop("_padded", "_apart")
+    )
 
 
 def regex_words(text: Column) -> Column:

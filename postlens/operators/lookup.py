@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions.literals import in_set, map_value
@@ -34,10 +34,9 @@ class Lookup:
         return self.df.drop(MATCHED)
 
 
-def small_enough_to_broadcast(table: DataFrame, columns: Sequence[str]) -> bool:
-    """Measured, not assumed: total text bytes of the dictionary plus a per-row allowance."""
-    width = sum((F.octet_length(F.col(c).cast("string")) for c in columns), F.lit(64))
-    size = table.agg(F.sum(width).alias("bytes")).first().bytes
+def small_enough_to_broadcast(table: DataFrame, row_bytes: Column) -> bool:
+    """Measured, not assumed: the bytes of all rows plus an allowance for each."""
+    size = table.agg(F.sum(row_bytes + F.lit(64)).alias("bytes")).first().bytes
     return (size or 0) <= BROADCAST_BYTES
 
 
@@ -72,7 +71,7 @@ def matched_tokens(
     tokens = f"transform({words}, __w -> lower(__w))" if lower else words
     pairs = items(df, F.expr(f"array_distinct({tokens})"), "_token", id_cols)
     entries = dictionary.select(F.col(key).alias("_token"), F.col(value).cast("string").alias("_value"))
-    if small_enough_to_broadcast(entries, ["_token", "_value"]):
+    if small_enough_to_broadcast(entries, F.octet_length("_token") + F.octet_length("_value")):
         hits = pairs.join(F.broadcast(entries), "_token")
     else:
         salted = pairs.withColumn("_salt", F.pmod(F.xxhash64(*id_cols), F.lit(SALTS)).cast("int"))

@@ -68,7 +68,7 @@ def pooled_embedding(
     matrix = embeddings.select(
         F.col(vec_id).cast("int").alias("_id"), F.col(vector).cast("array<double>").alias("_vector")
     )
-    if small_enough_to_broadcast(matrix, ["_vector"]):
+    if small_enough_to_broadcast(matrix, F.size("_vector") * 8):
         looked_up = used.join(F.broadcast(matrix), "_id")
     else:
         salt = F.pmod(F.xxhash64(*id_cols), F.lit(SALTS)).cast("int")

@@ -42,13 +42,18 @@ def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _documents(spark, sf_dir).select("doc_id", text.word_tokens(F.col("text")).alias("tokens"))
+    return text.with_word_tokens(_documents(spark, sf_dir), "text", "tokens").select("doc_id", "tokens")
 
 
 def _joined(values: Column, name: str, separator: str = "|") -> Column:
     return F.array_join(values, separator).alias(name)
 
 
+def _stamp(moment: Column) -> Column:
+    """A moment as text in UTC, whatever the session's zone."""
+    return F.date_format(F.to_utc_timestamp(moment, F.current_timezone()), "yyyy-MM-dd HH:mm:ss")
+
+
 # Sources and dictionaries ------------------------------------------------------------------------
 
 
@@ -199,7 +204,7 @@ def compact_post(spark, sf_dir):
 def typed_row(spark, sf_dir):
     flat = posts.flatten_flat_tweet(_usable(spark, sf_dir, "flat_tweet"), ["doc_id"])
     typed = posts.typed_tweets(flat, ["doc_id"])
-    return typed.withColumn("created_at", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss"))
+    return typed.withColumn("created_at", _stamp(F.col("created_at")))
 
 
 @query("post_times")
@@ -212,16 +217,14 @@ def post_times(spark, sf_dir):
         "sent": posts.epoch_millis(F.col("timestamp_ms")),
         "taken": posts.epoch_seconds(taken),
     }
-    return tweets.select(
-        "doc_id", *[F.date_format(stamp, "yyyy-MM-dd HH:mm:ss").alias(name) for name, stamp in stamps.items()]
-    )
+    return tweets.select("doc_id", *[_stamp(moment).alias(name) for name, moment in stamps.items()])
 
 
 @query("typed_enriched_row")
 def typed_enriched_row(spark, sf_dir):
     flat = posts.flatten_flat_tweet(_usable(spark, sf_dir, "flat_tweet"), ["doc_id"])
     typed = posts.typed_enriched(enrich(flat, DICTIONARIES), ["doc_id"])
-    return typed.withColumn("created_at", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss"))
+    return typed.withColumn("created_at", _stamp(F.col("created_at")))
 
 
 # Text --------------------------------------------------------------------------------------------

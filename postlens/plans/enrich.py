@@ -123,6 +123,6 @@ def enrich(df: DataFrame, dicts: Dictionaries, source: str = "text") -> DataFram
     scored = with_sentiment(
         normalized.withColumn("_words", text.split_cleaned(F.col("_normalized"))), "_words", dicts
     )
-    tokens = scored.withColumn("_tokens", text.word_tokens(F.col(source)))
+    tokens = text.with_word_tokens(scored, source, "_tokens")
     tagged = with_entities(tokens, "_tokens", dicts)
     return tagged.drop("_normalized", "_words", "_tokens")

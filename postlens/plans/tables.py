@@ -73,7 +73,7 @@ def table_rows(
     flat: DataFrame, source: str, dicts: Dictionaries, positive: str, negative: str, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Columns of the source's table. ``positive`` and ``negative`` name the score columns of ``flat``."""
-    words = flat.withColumn("_tokens", text.word_tokens(F.col(text_column(source))))
+    words = text.with_word_tokens(flat, text_column(source), "_tokens")
 
     def found(kind: str) -> Column:
         begin, inside = dicts.entities.get(kind, ((), ()))

@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.ui.enabled": "false",
+    # The JVM never compiles longer methods; running stages unfused is faster than interpreting them.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -62,8 +62,9 @@ def test_split_words_knows_every_white_space(value):
         (None, None),
     ],
 )
-def test_word_tokens(value, given, wanted):
-    assert value(text.word_tokens, given) == wanted
+def test_word_tokens(spark, given, wanted):
+    df = spark.createDataFrame([(given,)], "t STRING")
+    assert text.with_word_tokens(df, "t", "tokens").first().tokens == wanted
 
 
 def test_regex_words(value):
