@@ -50,30 +50,32 @@ def enriched_posts(messages: DataFrame, source: str, dicts: Dictionaries) -> Dat
     return enrich(flat, dicts, posts.TEXT_COLUMN[source])
 
 
-def enrichment_writer(source: str, dicts: Dictionaries, out: str) -> BatchFunction:
-    """Per batch: enriched rows as JSON by source, unusable ones beside them with their reason.
+def enrichment_writer(source: str, dicts: Dictionaries, out: str, arrival: str = "timestamp") -> BatchFunction:
+    """Per batch: enriched rows as JSON by source and date, unusable ones beside them with their reason.
 
     One pass over the batch writes both: rows are marked instead of split, and the mark is a folder level
-    (``status=good`` / ``status=quarantined``) of the output.
+    (``status=good`` / ``status=quarantined``) of the output. The date is the message's own ``arrival``, where
+    the messages have one: the clock of a replay could be another day's.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        judged = posts.judged(
-            spread(batch.select("value")), posts.SCHEMAS[source], posts.REQUIRED[source]
-        )
+        dated = [F.to_date(arrival).alias("ingest_date")] if arrival in batch.columns else []
+        messages = spread(batch.select("value", *dated))
+        judged = posts.judged(messages, posts.SCHEMAS[source], posts.REQUIRED[source])
         marked = judged.withColumns(
             {
                 "status": F.when(F.col("reason").isNull(), GOOD).otherwise(QUARANTINED),
                 "rejected": F.when(F.col("reason").isNotNull(), F.col("value")),
             }
         )
-        flat = posts.FLATTEN[source](marked, ["status", "reason", "rejected"])
+        dates = ["ingest_date"] if dated else []
+        flat = posts.FLATTEN[source](marked, ["status", "reason", "rejected", *dates])
         enriched = enrich(flat, dicts, posts.TEXT_COLUMN[source])
         usable = F.col("status") == GOOD
         analysed = enriched.withColumns(
             {name: F.when(usable, F.col(name)) for name in ANALYSIS_COLUMNS}
         )
-        sinks.write_json(analysed, out, batch_id, source, extra=["status"])
+        sinks.write_json(analysed, out, batch_id, source, [*dates, "batch_id", "status"])
 
     return write
 
@@ -141,9 +143,14 @@ def first_seen(stream: DataFrame, key: str, time: str | None = None, delay: str
 
 
 def latest_writer(key: str, order: list[str], out: str) -> BatchFunction:
-    """Latest version of each post within a batch; versions across batches are settled when read."""
+    """Latest version of each post within a batch; ``latest_posts`` settles versions across batches."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         sinks.write_parquet(counts.latest_by_key(batch, key, order), out, batch_id)
 
     return write
+
+
+def latest_posts(spark: SparkSession, path: str, key: str, order: list[str]) -> DataFrame:
+    """The latest version of every post over all batches of ``latest_writer``."""
+    return counts.latest_by_key(spark.read.parquet(path), key, [*order, "batch_id"])

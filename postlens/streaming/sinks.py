@@ -22,10 +22,13 @@ def _stamped(df: DataFrame, batch_id: int, source: str | None) -> DataFrame:
 
 def replace_batch(
     df: DataFrame, path: str, format: str, batch_id: int, source: str | None = None,
-    extra: Sequence[str] = (), **options,
+    levels: Sequence[str] = ("batch_id",), **options,
 ) -> None:
-    """Write one batch as its own partition of a folder partitioned by source, batch and ``extra``."""
-    parts = [*(["source_name"] if source else []), "batch_id", *extra]
+    """Write one batch as its own partitions of a folder partitioned by source, then ``levels``.
+
+    A level besides ``batch_id`` must follow from the row itself, so that a replay meets its own partitions.
+    """
+    parts = [*(["source_name"] if source else []), *levels]
     (
         _stamped(df, batch_id, source)
         .write.format(format)
@@ -37,8 +40,10 @@ def replace_batch(
     )
 
 
-def write_json(df: DataFrame, path: str, batch_id: int, source: str, extra: Sequence[str] = ()) -> None:
-    replace_batch(df, path, "json", batch_id, source, extra)
+def write_json(
+    df: DataFrame, path: str, batch_id: int, source: str, levels: Sequence[str] = ("batch_id",)
+) -> None:
+    replace_batch(df, path, "json", batch_id, source, levels)
 
 
 def write_pipe(df: DataFrame, path: str, batch_id: int) -> None:

@@ -61,6 +61,19 @@ def test_enrichment_job_writes_good_and_bad_once(spark, tmp_path):
     assert streams.read_json(spark, str(tmp_path / "out"), schema).count() == 2
 
 
+def test_output_is_filed_under_the_day_a_message_arrived(spark, tmp_path):
+    value = json.dumps({"id": "1", "name": "n", "text": "x"})
+    rows = [(value, "2018-04-13 23:59:59"), (value, "2018-04-14 00:00:01"), ("{", "2018-04-14 00:00:02")]
+    batch = spark.createDataFrame(rows, "value STRING, at STRING").selectExpr("value", "to_timestamp(at) AS timestamp")
+    write = jobs.enrichment_writer("compact", DICTIONARIES, str(tmp_path))
+    write(batch, 4)
+    write(batch, 4)
+    folders = {str(p.relative_to(tmp_path)) for p in tmp_path.glob("*/*/*/*") if p.is_dir()}
+    day = "source_name=compact/ingest_date=2018-04-{}/batch_id=4/status={}"
+    assert folders == {day.format(13, "good"), day.format(14, "good"), day.format(14, "quarantined")}
+    assert spark.read.json(str(tmp_path)).count() == 3
+
+
 def test_row_local_enrichment_runs_on_the_stream_itself(spark, tmp_path):
     land(tmp_path / "in", "a.json", [{"value": json.dumps({"id": "1", "name": "n", "text": "in the"})}])
     stream = streams.decoded(streams.landed_stream(spark, str(tmp_path / "in"), "value STRING"))
@@ -98,8 +111,12 @@ def test_first_seen_and_latest(spark, tmp_path):
         write = lambda batch, batch_id, name=name: sinks.write_parquet(batch, str(tmp_path / name), batch_id)
         jobs.start(fresh, write, str(tmp_path / f"cp-{name}")).awaitTermination()
         assert spark.read.parquet(str(tmp_path / name)).count() == 1
-    jobs.start(stream, jobs.latest_writer("id", ["at"], str(tmp_path / "latest")), str(tmp_path / "cp-l")).awaitTermination()
-    assert [r.text for r in spark.read.parquet(str(tmp_path / "latest")).collect()] == ["b"]
+    out = str(tmp_path / "latest")
+    jobs.start(stream, jobs.latest_writer("id", ["at"], out), str(tmp_path / "cp-l")).awaitTermination()
+    assert [r.text for r in spark.read.parquet(out).collect()] == ["b"]
+    land(tmp_path / "in", "b.json", [{"id": "1", "text": "c", "at": "2018-04-14T00:00:00Z"}, {"id": "2", "text": "d", "at": "2018-04-14T00:00:00Z"}])
+    jobs.start(stream, jobs.latest_writer("id", ["at"], out), str(tmp_path / "cp-l")).awaitTermination()
+    assert {(r.id, r.text) for r in jobs.latest_posts(spark, out, "id", ["at"]).collect()} == {("1", "c"), ("2", "d")}
 
 
 def test_console(spark, feed):
