@@ -59,7 +59,25 @@ def _known_keys(known: DataFrame, edits: int) -> DataFrame:
         f"CASE WHEN length(word) <= {DELETION_LENGTH} THEN {_deletion_keys('word', edits)} ELSE {segments} END"
     )
     named = known.select("word", F.col("word").alias("candidate"), F.col("count").alias("candidate_count"))
-    return items(named, keys, "key", ["candidate", "candidate_count"])
+    return (
+        items(named, keys, "key", ["candidate", "candidate_count"])
+        .where("key <> ''")
+        .unionByName(_empty_key(known, edits))
+    )
+
+
+def _empty_key(known: DataFrame, edits: int) -> DataFrame:
+    """The one candidate of the empty key, which all words of up to ``edits`` characters share.
+
+    Any of them reaches any letters-only word of that length by replacing everything, so only the best such
+    word can be the answer; a word with other characters would also share one of them as a key. Without
+    this, all pairs of very short words would be made.
+    """
+    short = known.where((F.length("word") <= edits) & ~F.col("word").rlike("[^a-z]"))
+    best = short.agg(F.min_by(F.struct("word", "count"), F.struct(-F.col("count"), "word")).alias("best"))
+    return best.where("best IS NOT NULL").select(
+        F.col("best.word").alias("candidate"), F.col("best.count").alias("candidate_count"), F.lit("").alias("key")
+    )
 
 
 def _unknown_keys(unknown: DataFrame, edits: int) -> DataFrame:

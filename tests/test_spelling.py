@@ -68,6 +68,19 @@ def test_characters_an_edit_cannot_put_in(spark):
     check(spark, counts, words)
 
 
+def test_very_short_words_share_one_candidate(spark):
+    counts = {"ke": 3, "di": 3, "ya": 1, "o": 2, "é1": 50, "甲": 60, "甲乙": 70, "abc": 90}
+    check(spark, counts, {"xx", "x", "zz", "1x", "乙", "乙甲", "丙丁", "é", "qz", "x甲", "k", "oo"})
+
+
+def test_hot_repeats_of_one_unknown_word(spark):
+    known = spark.createDataFrame([("makan", 5), ("minum", 4)], "word STRING, count BIGINT")
+    asked = spark.range(30_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'mkan' ELSE concat('q', id) END AS word")
+    got = spelling.correct_words(asked, known)
+    assert got.where("word = 'mkan'").collect() == [("mkan", "makan")]
+    assert got.count() == 20_001
+
+
 def test_long_words_use_segments(spark):
     base = "perpustakaannasionalindonesia"
     counts = {base: 3, base + "raya": 2, base[:19]: 4, base[:21] + "zz": 1}
