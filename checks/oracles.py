@@ -457,7 +457,9 @@ ORACLES["keyword_filter"] = "SELECT doc_id FROM documents WHERE lang = 'en' AND
 ORACLES["keywords_any"] = """SELECT doc_id FROM documents WHERE contains(lower(text), 'keit')
   OR contains(lower(text), 'eaux') OR contains(lower(text), 'ción')"""
 ORACLES["id_watermark"] = """SELECT event_type, min(event_id) AS low_id, max(event_id) AS high_id
-FROM events WHERE event_id <= 7500 GROUP BY event_type"""
+FROM events GROUP BY event_type"""
+ORACLES["id_backfill"] = """SELECT event_id, event_type FROM events WHERE event_id <= (
+  SELECT min(high_id) FROM (SELECT max(event_id) AS high_id FROM events GROUP BY event_type))"""
 ORACLES["preview"] = "SELECT doc_id, lang, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 20"
 
 # Sinks -------------------------------------------------------------------------------------------

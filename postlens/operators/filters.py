@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -20,9 +20,10 @@ def by_any_keyword(df: DataFrame, keywords: Iterable[str], text: str = "text") -
     return df.where(mentions)
 
 
-def up_to_id(df: DataFrame, max_id: int, id_col: str = "id") -> DataFrame:
-    """Back-fill page: everything not newer than ``max_id``. Reaches the scan as a pushed filter."""
-    return df.where(F.col(id_col) <= F.lit(max_id))
+def up_to_id(df: DataFrame, max_id: int | Column, id_col: str = "id") -> DataFrame:
+    """Back-fill page: everything not newer than ``max_id``, a number or a scalar subquery. Reaches the scan
+    as a pushed filter."""
+    return df.where(F.col(id_col) <= (F.lit(max_id) if isinstance(max_id, int) else max_id))
 
 
 def id_marks(df: DataFrame, by: list[str], id_col: str = "id") -> DataFrame:

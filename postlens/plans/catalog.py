@@ -503,8 +503,15 @@ def keywords_any(spark, sf_dir):
 
 @query("id_watermark")
 def id_watermark(spark, sf_dir):
-    page = filters.up_to_id(table(spark, sf_dir, "events").select("event_id", "event_type"), 7500, "event_id")
-    return filters.id_marks(page, ["event_type"], "event_id")
+    return filters.id_marks(table(spark, sf_dir, "events"), ["event_type"], "event_id")
+
+
+@query("id_backfill")
+def id_backfill(spark, sf_dir):
+    """Everything up to the mark all event types have reached."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    reached = filters.id_marks(events, ["event_type"], "event_id").agg(F.min("high_id"))
+    return filters.up_to_id(events, reached.scalar(), "event_id")
 
 
 @query("preview")
