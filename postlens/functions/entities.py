@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions.literals import in_set, map_value, quoted
@@ -22,14 +22,38 @@ NEGATIVE_EVENT_STEMS = (
 )
 
 
+def heads(words: str, begin: Iterable[str]) -> str:
+    """SQL: ``array<struct<token,following>>`` for the tokens that may begin an entity.
+
+    One pass over the tokens serves all entity types: what is left is short.
+    """
+    head = f"named_struct('token', __w, 'following', get({words}, __i + 1))"
+    marked = f"transform({words}, (__w, __i) -> CASE WHEN {in_set('__w', begin)} THEN {head} END)"
+    return f"filter({marked}, __h -> __h IS NOT NULL)"
+
+
+def from_heads(found: str, begin: Iterable[str], inside: Iterable[str]) -> Column:
+    """Entities of one type among the heads ``found`` (a column name or SQL expression)."""
+    text = (
+        f"CASE WHEN {in_set('__h.following', inside)} THEN concat(__h.token, ' ', __h.following) ELSE __h.token END"
+    )
+    own = f"filter({found}, __h -> {in_set('__h.token', begin)})"
+    return F.expr(f"array_distinct(transform({own}, __h -> {text}))")
+
+
 def begin_inside(words: str, begin: Iterable[str], inside: Iterable[str]) -> Column:
     """Entities of one type in the token array ``words``."""
-    following = f"get({words}, __i + 1)"
-    found = (
-        f"transform({words}, (__w, __i) -> CASE WHEN {in_set('__w', begin)} THEN "
-        f"CASE WHEN {in_set(following, inside)} THEN concat(__w, ' ', {following}) ELSE __w END END)"
-    )
-    return F.expr(f"array_distinct(filter({found}, __e -> __e IS NOT NULL))")
+    return from_heads(heads(words, begin), begin, inside)
+
+
+def with_types(
+    df: DataFrame, words: str, types: Mapping[str, tuple[Iterable[str], Iterable[str]]], prefix: str = ""
+) -> DataFrame:
+    """One array column per entity type, named ``prefix`` + type."""
+    begins = set().union(*(begin for begin, _ in types.values()))
+    marked = df.withColumn("_heads", F.expr(heads(words, begins)))
+    columns = {prefix + kind: from_heads("_heads", begin, inside) for kind, (begin, inside) in types.items()}
+    return marked.withColumns(columns).drop("_heads")
 
 
 def single_tokens(words: str, names: Iterable[str]) -> Column:

@@ -306,8 +306,8 @@ def word_polarity(spark, sf_dir):
 
 def _entities(*kinds: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        found = [_joined(entities.begin_inside("tokens", *ENTITIES[kind]), kind, ",") for kind in kinds]
-        return _document_tokens(spark, sf_dir).select("doc_id", *found)
+        found = entities.with_types(_document_tokens(spark, sf_dir), "tokens", {k: ENTITIES[k] for k in kinds})
+        return found.select("doc_id", *[_joined(F.col(kind), kind, ",") for kind in kinds])
 
     return run
 

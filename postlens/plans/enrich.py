@@ -90,22 +90,19 @@ def with_sentiment(df: DataFrame, words: str, dicts: Dictionaries) -> DataFrame:
 def with_entities(df: DataFrame, words: str, dicts: Dictionaries) -> DataFrame:
     """Entity columns as comma-separated text; the three place columns stay aligned."""
 
-    def found(kind: str) -> Column:
-        begin, inside = dicts.entities.get(kind, ((), ()))
-        return entities.begin_inside(words, begin, inside)
-
+    kinds = {kind: dicts.entities.get(kind, ((), ())) for kind in ("person", "company", "country", "location")}
     events = entities.by_stem(words, dicts.event_stems, dicts.roots)
     return (
-        df.withColumns(
+        entities.with_types(df, words, kinds, "_")
+        .withColumns(
             {
-                "person": entities.joined(found("person")),
-                "company": entities.joined(found("company")),
+                "person": entities.joined(F.col("_person")),
+                "company": entities.joined(F.col("_company")),
                 "eventNegatif": entities.joined(events),
-                "country": entities.joined(found("country")),
-                "_location": found("location"),
+                "country": entities.joined(F.col("_country")),
+                "_places": entities.located("_location", dicts.gazetteer),
             }
         )
-        .withColumn("_places", entities.located("_location", dicts.gazetteer))
         .withColumns(
             {
                 "city": entities.joined(F.col("_places.place")),
@@ -113,7 +110,7 @@ def with_entities(df: DataFrame, words: str, dicts: Dictionaries) -> DataFrame:
                 "long_city": entities.joined(F.col("_places.long")),
             }
         )
-        .drop("_location", "_places")
+        .drop("_person", "_company", "_country", "_location", "_places")
     )
 
 

@@ -75,23 +75,20 @@ def table_rows(
     """Columns of the source's table. ``positive`` and ``negative`` name the score columns of ``flat``."""
     words = text.with_word_tokens(flat, text_column(source), "_tokens")
 
-    def found(kind: str) -> Column:
-        begin, inside = dicts.entities.get(kind, ((), ()))
-        return entities.joined(entities.begin_inside("_tokens", begin, inside), " ")
-
+    kinds = {kind: dicts.entities.get(kind, ((), ())) for kind in ("person", "company", "country")}
     places = entities.joined(entities.single_tokens("_tokens", dicts.gazetteer), " ")
     events = entities.joined(entities.by_stem("_tokens", dicts.event_stems, dicts.roots), " ")
-    return words.select(
+    return entities.with_types(words, "_tokens", kinds, "_").select(
         *keep,
         *[F.col(name).alias(column) for column, name in SOURCE_COLUMNS[source].items()],
         F.col(positive).cast("string").alias("POSITIVE_SCORES"),
         F.col(negative).cast("string").alias("NEGATIVE_SCORES"),
         class_label(F.col(positive), F.col(negative)).alias("SENTIMENT"),
         places.alias("ENTITAS_CITY"),
-        found("person").alias("ENTITAS_PERSON"),
-        found("company").alias("ENTITAS_COMPANY"),
+        entities.joined(F.col("_person"), " ").alias("ENTITAS_PERSON"),
+        entities.joined(F.col("_company"), " ").alias("ENTITAS_COMPANY"),
         events.alias("ENTITAS_EVENT_NEGATIF"),
-        found("country").alias("ENTITAS_COUNTRY"),
+        entities.joined(F.col("_country"), " ").alias("ENTITAS_COUNTRY"),
     )
 
 
