@@ -7,7 +7,7 @@ text is spread over many tasks, and only the matching tokens travel back to thei
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -24,14 +24,12 @@ MATCHED = "_matched"
 
 @dataclass(frozen=True)
 class Lookup:
-    """How to ask for a token: SQL snippets over one token expression."""
+    """A frame, and how to ask the dictionary for a token of it: each function turns the SQL of a token into
+    the SQL of the answer."""
 
     df: DataFrame
-    contains: callable
-    value: callable
-
-    def done(self) -> DataFrame:
-        return self.df.drop(MATCHED)
+    contains: Callable[[str], str]
+    value: Callable[[str], str]
 
 
 def small_enough_to_broadcast(table: DataFrame, row_bytes: Column) -> bool:
@@ -93,4 +91,4 @@ def replace_tokens(
         f"transform({words}, __w -> CASE WHEN {lookup.contains('lower(__w)')} "
         f"THEN {lookup.value('lower(__w)')} ELSE __w END)"
     )
-    return Lookup(lookup.df.withColumn(out, F.expr(replaced)), None, None).done()
+    return lookup.df.withColumn(out, F.expr(replaced)).drop(MATCHED)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlens.operators.explode import items
-from postlens.operators.lookup import attach
+from postlens.operators.lookup import MATCHED, attach
 from postlens.session import written
 from postlens.sources.dictionaries import LITERAL_LIMIT
 
@@ -187,4 +187,4 @@ def correct_text(
         f"transform({words}, __w -> CASE WHEN {lookup.contains('lower(__w)')} "
         f"THEN {lookup.value('lower(__w)')} ELSE lower(__w) END)"
     )
-    return lookup.df.withColumn(out, F.array_join(F.expr(fixed), " ")).drop("_matched")
+    return lookup.df.withColumn(out, F.array_join(F.expr(fixed), " ")).drop(MATCHED)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from postlens.functions.stemming import stem_word
 from postlens.operators.explode import items
-from postlens.operators.lookup import SALTS, attach, small_enough_to_broadcast
+from postlens.operators.lookup import MATCHED, SALTS, attach, small_enough_to_broadcast
 from postlens.sources.dictionaries import LITERAL_LIMIT
 
 # Fixed value: length of an encoded text.
@@ -45,7 +45,7 @@ def encode_sequence(
     lookup = attach(head, id_cols, "_head", vocabulary, "word", "id", limit)
     known = f"coalesce(cast({lookup.value('__w')} AS int), 0)"
     encoded = f"slice(concat(transform(_head, __w -> {known}), array_repeat(0, {length})), 1, {length})"
-    return lookup.df.withColumn(out, F.expr(encoded)).drop("_head", "_matched")
+    return lookup.df.withColumn(out, F.expr(encoded)).drop("_head", MATCHED)
 
 
 def mean_by_group(df: DataFrame, by: Sequence[str], vector: str = "embedding") -> DataFrame:
