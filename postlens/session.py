@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,16 +35,10 @@ def local_session(cpus: int = 8, memory: str = "16g", name: str = "postlens") ->
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder all executors can reach, for written intermediates and stream checkpoints.
 
-    The base is the cluster's ``spark.checkpoint.dir``. Only a local master may fall back to a
-    temporary folder: elsewhere the executors would not see it.
+    The base is the cluster's ``spark.checkpoint.dir``; where that is unset, the session's warehouse folder,
+    which a cluster shares as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="postlens-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
 
 
