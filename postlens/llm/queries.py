@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import chat, decontaminate, mixing, quality, sharding, urls
+from postlens.llm import chat, decontaminate, mixing, quality, sharding, simhash, urls
 from postlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,11 @@ def op5_flow_sharding(spark, sf_dir):
     )
 
 
+@query
+def op6_simhash(spark, sf_dir):
+    return simhash.groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op7_mix_sources(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -62,3 +67,10 @@ def op7_mix_sources(spark, sf_dir):
 @query
 def op9_decontaminate(spark, sf_dir):
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def pipeline(spark, sf_dir):
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)
