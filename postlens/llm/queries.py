@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import chat, decontaminate, mixing, quality, sharding, simhash, urls
+from postlens.llm import chat, debruijn, decontaminate, mixing, quality, sharding, simhash, suffixes, urls
 from postlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,12 @@ def op2_quality_rules(spark, sf_dir):
     return quality.judged(docs, labels).drop("n_lines", "lang")
 
 
+@query
+def op3_suffix_dedup(spark, sf_dir):
+    found = suffixes.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 @query
 def op4_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -64,6 +70,12 @@ def op7_mix_sources(spark, sf_dir):
     )
 
 
+@query
+def op8_debruijn_dedup(spark, sf_dir):
+    found = debruijn.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 @query
 def op9_decontaminate(spark, sf_dir):
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
