@@ -94,23 +94,27 @@ def contrasted(conversations: DataFrame) -> DataFrame:
     """Pairs out of plain conversations: each is chosen; rejected is the same one with its last assistant turn
     replaced by that of its neighbour (the ids 2i and 2i + 1 are neighbours), as a fluent but unfitting answer.
 
-    What follows the last assistant turn is dropped from neither side of the chosen conversation, only from
-    the rejected one. Without neighbour, or with a neighbour that has no assistant turn, the rejected side just
-    ends earlier. Rows without conv_id are left out.
+    What follows the last assistant turn is left out of the rejected side alone. Without neighbour, or with a
+    neighbour that has no assistant turn, the rejected side just ends earlier. Rows without conv_id are left out.
     """
     known = conversations.filter("conv_id IS NOT NULL").select("conv_id", "turn", "role", "text")
-    last = F.max(F.when(F.col("role") == TRAINED_ROLE, F.coalesce(F.col("turn"), F.lit(-1))))
-    marked = known.withColumn("_last", last.over(Window.partitionBy("conv_id")))
-    answer = F.col("role").eqNullSafe(F.lit(TRAINED_ROLE)) & (F.coalesce(F.col("turn"), F.lit(-1)) == F.col("_last"))
+    both = Window.partitionBy("_two")
+    placed = F.coalesce(F.col("turn"), F.lit(-1))
+    marked = (
+        known.withColumn("_two", F.shiftright("conv_id", 1))
+        .withColumn("_paired", F.min("conv_id").over(both) != F.max("conv_id").over(both))
+        .withColumn("_last", F.max(F.when(F.col("role") == TRAINED_ROLE, placed)).over(Window.partitionBy("_two", "conv_id")))
+    )
+    answer = F.col("role").eqNullSafe(F.lit(TRAINED_ROLE)) & (placed == F.col("_last"))
     chosen = [F.col("conv_id").alias("pair_id"), F.lit("chosen").alias("side")]
     kept = [F.col("conv_id").alias("pair_id"), F.lit("rejected").alias("side")]
     lent = [F.col("conv_id").bitwiseXOR(F.lit(1)).alias("pair_id"), F.lit("rejected").alias("side")]
     row = lambda head, turn: F.struct(*head, turn.alias("turn"), "role", "text")
     turn = F.col("turn").cast("long")
-    before = F.col("_last").isNull() | (F.coalesce(F.col("turn"), F.lit(-1)) < F.col("_last"))
+    before = F.col("_last").isNull() | (placed < F.col("_last"))
     copies = F.array(
         row(chosen, turn),
         F.when(before, row(kept, turn)),
-        F.when(answer, row(lent, F.lit(2**62).cast("long"))),
+        F.when(answer & F.col("_paired"), row(lent, F.lit(2**62).cast("long"))),
     )
     return marked.select(F.explode(F.filter(copies, lambda c: c.isNotNull())).alias("r")).select("r.*")

@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import chat, debruijn, decontaminate, mixing, quality, sharding, simhash, suffixes, urls
+from postlens.llm import chat, debruijn, decontaminate, mixing, quality, sharding, simhash, suffixes, tokenfiles, urls
 from postlens.llm.common import table
+from postlens.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SHARDS = 8
+TOKENIZER = "word_bpe_49k.json"
 
 
 def query(function):
@@ -81,6 +83,15 @@ def op9_decontaminate(spark, sf_dir):
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op10_token_files(spark, sf_dir):
+    import public_tokenizers
+
+    path, tokenizer = shared_dir(spark, "token-files"), public_tokenizers.path(TOKENIZER)
+    tokenfiles.write(table(spark, sf_dir, "documents").select("doc_id", "text"), path, tokenizer)
+    return tokenfiles.read(spark, path, tokenizer).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def pipeline(spark, sf_dir):
     from corpus_pipeline import run
