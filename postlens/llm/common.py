@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,3 +45,13 @@ def measured(small: DataFrame, purpose: str, rows: int = BROADCAST_ROWS) -> Data
     """
     kept = written(small, purpose)
     return F.broadcast(kept) if kept.limit(rows + 1).count() <= rows else kept
+
+
+def arrow_map(df: DataFrame, batches: Callable, schema) -> DataFrame:
+    """``mapInArrow`` whose Python workers find this package wherever the driver found it.
+
+    The path goes the way of ``spark.executorEnv.PYTHONPATH``; where that is set it is left alone.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", root)
+    return df.mapInArrow(batches, schema)

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from postlens.llm import repeats
+from postlens.llm.common import arrow_map
 
 LENGTH, SEED = 20, 8
 
@@ -85,4 +86,4 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     fields = [T.StructField("doc_id", docs.schema["doc_id"].dataType)]
     fields += [T.StructField(c, T.LongType()) for c in ("n_words", "n_removed")]
     schema = T.StructType([*fields, T.StructField("kept", T.BinaryType())])
-    return repeats.with_spans(rows, spans).select("doc_id", "raw", "spans").mapInArrow(batches, schema)
+    return arrow_map(repeats.with_spans(rows, spans).select("doc_id", "raw", "spans"), batches, schema)

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postlens.llm.common import arrow_map
+
 WINDOW = 10
 #: Text of the items that one automaton may hold. A larger benchmark is dealt over several automata, which
 #: read the documents one after the other, so that a worker never holds more than one of this size.
@@ -139,7 +141,7 @@ def scanned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bound:
     for k in range(parts):
         rows = items.filter(F.pmod(F.xxhash64("item", "raw"), F.lit(parts)) == k).collect()
         shared = spark.sparkContext.broadcast(patterns_of([(r.item, bytes(r.raw)) for r in rows], window))
-        out = out.mapInArrow(_scanner(shared, shared._jbroadcast.id()), schema)
+        out = arrow_map(out, _scanner(shared, shared._jbroadcast.id()), schema)
     return out.drop("_raw")
 
 
@@ -159,7 +161,7 @@ def spans(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 
     hit = scanned(docs.select("doc_id", "text"), benchmark, **options).filter("size(_hits) > 0")
     raw = hit.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("_text"), "_hits")
-    return raw.mapInArrow(batches, "doc_id long, start long, end long")
+    return arrow_map(raw, batches, "doc_id long, start long, end long")
 
 
 def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postlens.llm.common import arrow_map
 from postlens.session import written
 
 #: Tokens of a text that are hashed at a time; bounds the arrays of a task whatever the length of a text.
@@ -136,7 +137,7 @@ def _seeds(rows: DataFrame, task: Task) -> DataFrame:
             seeds = np.concatenate(found) if found else np.empty(0, np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(seeds.view(np.int64))], names=["seed"])
 
-    return rows.select("raw").mapInArrow(batches, "seed long")
+    return arrow_map(rows.select("raw"), batches, "seed long")
 
 
 def repeated_seeds(rows: DataFrame, task: Task):
@@ -201,7 +202,7 @@ def candidates(rows: DataFrame, task: Task) -> DataFrame:
             )
 
     schema = _instance_schema(rows)
-    return written(rows.mapInArrow(batches, schema), "instances")
+    return written(arrow_map(rows, batches, schema), "instances")
 
 
 def _ends(rows: DataFrame, *keys: str) -> DataFrame:
@@ -248,7 +249,7 @@ def repeated(rows: DataFrame, task: Task) -> DataFrame:
         if len(keys):
             yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.int64()), pa.array(ns, pa.int32())], schema.names)
 
-    compared = task.deal(left.filter(F.col("contexts") <= HOT)).mapInArrow(compare, schema)
+    compared = arrow_map(task.deal(left.filter(F.col("contexts") <= HOT)), compare, schema)
     return settled.unionByName(compared).unionByName(_dealt_singly(left.filter(F.col("contexts") > HOT), task))
 
 
@@ -268,7 +269,7 @@ def _dealt_singly(hot: DataFrame, task: Task) -> DataFrame:
             keys = [part.column(f.name).take(owner) for f in fields]
             yield pa.RecordBatch.from_arrays([*keys, pa.array(starts), pa.array(np.concatenate(codes).view(np.int64))], schema.names)
 
-    single = written(hot.mapInArrow(windows, schema), "single-windows")
+    single = written(arrow_map(hot, windows, schema), "single-windows")
     ends = _ends(single, "seed", "code").filter("first <> last")
     return _later(single.join(ends, ["seed", "code"]), task).select(*COORDINATE, F.lit(1).alias("n"))
 

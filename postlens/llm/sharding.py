@@ -111,11 +111,11 @@ class Plan:
 
 
 def blocked(docs: DataFrame, old_shard: Column, blocks: int = BLOCKS) -> DataFrame:
-    """``docs`` with _size, _old and _block."""
+    """``docs`` with _size, _old and _block. Rows without an old shard count as of shard 0."""
     return docs.withColumns(
         {
             "_size": row_bytes(F.col("text")),
-            "_old": old_shard.cast("int"),
+            "_old": F.coalesce(old_shard.cast("int"), F.lit(0)),
             "_block": F.pmod(F.xxhash64(F.lit("block"), F.col("doc_id")), F.lit(blocks)).cast("int"),
         }
     )

@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlens.llm.common import arrow_map
 from postlens.llm.components import components
 from postlens.session import written
 
@@ -85,7 +86,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, sket
             )
 
     schema = f"doc_id {dict(docs.dtypes)['doc_id']}, fp long" + ", sketch binary" * sketched
-    return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(batches, schema)
+    return arrow_map(docs.select("doc_id", F.col("text").cast("binary")), batches, schema)
 
 
 def sketch(hashes: np.ndarray) -> bytes:
@@ -254,7 +255,7 @@ def links(nodes: DataFrame, distance: int = DISTANCE, chunk: int = CHUNK) -> Dat
             if len(x):
                 yield pa.RecordBatch.from_arrays([pa.array(node[one[x]]), pa.array(node[one[y]])], names=["a", "b"])
 
-    return dealt.repartition("cell").mapInArrow(batches, "a long, b long")
+    return arrow_map(dealt.repartition("cell"), batches, "a long, b long")
 
 
 def clustered(rows: DataFrame, distance: int = DISTANCE) -> DataFrame:

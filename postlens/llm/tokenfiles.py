@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlens.llm import rangecoder
-from postlens.llm.common import measured
+from postlens.llm.common import arrow_map, measured
 
 END_ID, BLOCK_IDS = 2, 1 << 21
 #: Words whose ids a worker keeps; when there are more it starts anew.
@@ -103,7 +103,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, bloc
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("raw")
     ranged = docs.select("doc_id", raw, F.xxhash64("text").alias("rev")).repartitionByRange("doc_id")
     ordered = ranged.sortWithinPartitions("doc_id", "rev").select("doc_id", "raw")
-    ordered.mapInArrow(batches, schema).write.mode("overwrite").parquet(path)
+    arrow_map(ordered, batches, schema).write.mode("overwrite").parquet(path)
 
 
 def _starts(blocks: DataFrame) -> DataFrame:
@@ -136,5 +136,5 @@ def read(spark, path: str, tokenizer: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     placed = blocks.join(measured(_starts(blocks), "block-starts"), ["part", "block"]).select("doc_ids", "lengths", "start", "coded")
-    return placed.mapInArrow(batches, schema)
+    return arrow_map(placed, batches, schema)
 
