@@ -381,6 +381,11 @@ enriched AS (SELECT doc_id, {LABEL} AS sentiment, {SCORE} AS total_score, {_show
   coalesce(events, '') AS "eventNegatif", {PLACE_COLUMNS}
   FROM sc JOIN found USING (doc_id) JOIN places USING (doc_id) LEFT JOIN ev_doc USING (doc_id))"""
 ORACLES["enrich_posts"] = f"WITH {ENRICHED} SELECT * FROM enriched"
+# Larger dictionaries of entries that occur in no text don't change the result.
+ORACLES["enrich_posts_large"] = ORACLES["enrich_posts"]
+ORACLES["geo_lookup_large"] = ORACLES["geo_lookup"]
+ORACLES["normalize_slang_large"] = f"""SELECT doc_id, md5(array_to_string(list_transform({words('text')},
+  lambda w: CASE WHEN length(lower(w)) >= 5 THEN '#' || lower(w) || ' x' ELSE w END), ' ')) AS formal_hash FROM documents"""
 _typed = {**TYPED}
 _typed["id_twitter"] = _typed.pop("id")
 _typed["id_str_twitter"] = _typed.pop("id_str")
@@ -418,16 +423,28 @@ nw AS (SELECT conv_id, turn, {words('normalized')} AS ws FROM normalized),
 sc AS (SELECT conv_id, turn, {count_in('ws', POS_ONLY)} AS pos, {count_in('ws', NEGATIVE)} AS neg FROM nw)
 SELECT conv_id, turn, text AS corrected, {LABEL} AS sentiment, {SCORE} AS total_score
 FROM sc JOIN corrected USING (conv_id, turn)"""
-ENCODED = f"""{DOC_WORDS}, enc AS (SELECT doc_id, list_transform(range(1, 71),
-  lambda i: coalesce({mapped('ws[i]', {k: str(v) for k, v in VOCABULARY.items()})}, '0')) AS ids FROM dw)"""
-ORACLES["encode_sequence"] = f"WITH {ENCODED} SELECT doc_id, {joined('ids', ' ')} AS ids FROM enc"
+ENCODED = f"""{DOC_WORDS}, enc AS (SELECT doc_id, list_transform(ws,
+  lambda w: coalesce({mapped('w', {k: str(v) for k, v in VOCABULARY.items()})}, '0')) AS ids FROM dw)"""
+
+
+def windows(ids: str) -> str:
+    """Ids in windows of 70, the last one padded with 0."""
+    return f"""win AS (SELECT doc_id, unnest(range(greatest((len({ids}) + 69) // 70, 1))) AS n, {ids} AS ids FROM enc),
+cut AS (SELECT doc_id, CAST(n AS INT) AS "window", list_transform(range(1, 71), lambda i: coalesce(ids[n * 70 + i], '0')) AS ids FROM win)"""
+
+
+ORACLES["encode_sequence"] = f"WITH {ENCODED}, {windows('ids')} SELECT doc_id, \"window\", {joined('ids', ' ')} AS ids FROM cut"
+ORACLES["encode_sequence_large"] = f"""WITH {DOC_WORDS}, enc AS (SELECT doc_id, list_transform(ws,
+  lambda w: CAST(CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) AS VARCHAR)) AS ids FROM dw), {windows('ids')}
+SELECT doc_id, \"window\", md5({joined('ids', ' ')}) AS ids_hash FROM cut"""
 ORACLES["embedding_mean"] = """WITH el AS (SELECT label, unnest(embedding) AS x, unnest(range(len(embedding))) AS dim FROM embeddings)
 SELECT label, CAST(dim AS INT) AS dim, round(avg(CAST(x AS DOUBLE)), 6) + 0.0 AS mean FROM el GROUP BY label, dim"""
 ORACLES["embedding_pool"] = f"""WITH {ENCODED}, pos AS (SELECT doc_id, CAST(unnest(ids) AS BIGINT) AS id FROM enc),
 el AS (SELECT vec_id, unnest(embedding) AS x, unnest(range(len(embedding))) AS dim FROM embeddings),
-used AS (SELECT doc_id, id, count(*) AS n FROM pos WHERE id <> 0 GROUP BY ALL)
-SELECT doc_id, CAST(dim AS INT) AS dim, round(sum(n * CAST(x AS DOUBLE)) / sum(n), 6) + 0.0 AS mean
-FROM used JOIN el ON vec_id = id GROUP BY doc_id, dim"""
+used AS (SELECT doc_id, id, count(*) AS n FROM pos WHERE id <> 0 GROUP BY ALL),
+pooled AS (SELECT doc_id, CAST(dim AS INT) AS dim, round(sum(n * CAST(x AS DOUBLE)) / sum(n), 6) + 0.0 AS mean
+  FROM used JOIN el ON vec_id = id GROUP BY doc_id, dim)
+SELECT doc_id, dim, mean FROM documents LEFT JOIN pooled USING (doc_id)"""
 ORACLES["label_accuracy"] = """SELECT avg(CASE WHEN 1 - toxic = quality THEN 1.0 ELSE 0.0 END) AS accuracy,
   count(*) AS scored FROM labels"""
 

@@ -15,13 +15,6 @@ from pyspark.sql import functions as F
 from postlens.functions.literals import in_set, map_value, quoted
 from postlens.functions.stemming import stem_sql
 
-# Stems whose inflected forms mark a negative event.
-NEGATIVE_EVENT_STEMS = (
-    "leceh", "perkosa", "bunuh", "aniaya", "curi", "culi", "culik",
-    "cabul", "baku", "narkoba", "rampok", "jambret", "korupsi", "gelap",
-)
-
-
 def heads(words: str, begin: Iterable[str]) -> str:
     """SQL: ``array<struct<token,following>>`` for the tokens that may begin an entity.
 

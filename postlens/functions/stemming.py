@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions.literals import in_set, quoted
@@ -81,6 +81,16 @@ def _unprefixed(base: str) -> str:
     )
 
 
+def _stripped(word: str, found: str) -> str:
+    """``found`` with __s1, __s2, __s3 standing for ``word`` without particle, possessive and suffix."""
+    inner = _let("__s2", _without_end("__s1", POSSESSIVES), _let("__s3", _without_end("__s2", SUFFIXES), found))
+    return _let("__s1", _without_end(word, PARTICLES), inner)
+
+
+def _from_short(word: str) -> str:
+    return f"flatten(transform(array_distinct(array(__s3, __s2, __s1, {word})), __b -> {_unprefixed('__b')}))"
+
+
 def stem_sql(word: str, roots: Iterable[str]) -> str:
     """SQL expression stemming one lower-case word.
 
@@ -89,17 +99,19 @@ def stem_sql(word: str, roots: Iterable[str]) -> str:
     """
     accepted = in_set("__f", roots)
     unsuffixed = f"get(filter(array({word}, __s1, __s2, __s3), __f -> {accepted}), 0)"
-    unprefixed = (
-        f"CASE WHEN {_has_prefix(word)} THEN get(filter(flatten(transform("
-        f"array_distinct(array(__s3, __s2, __s1, {word})), __b -> {_unprefixed('__b')})), __f -> {accepted}), 0) END"
-    )
+    unprefixed = f"CASE WHEN {_has_prefix(word)} THEN get(filter({_from_short(word)}, __f -> {accepted}), 0) END"
     found = f"coalesce({unsuffixed}, {unprefixed}, {word})"
-    stripped = _let(
-        "__s1",
-        _without_end(word, PARTICLES),
-        _let("__s2", _without_end("__s1", POSSESSIVES), _let("__s3", _without_end("__s2", SUFFIXES), found)),
-    )
-    return f"CASE WHEN {_has_affix(word)} THEN {stripped} ELSE {word} END"
+    return f"CASE WHEN {_has_affix(word)} THEN {_stripped(word, found)} ELSE {word} END"
+
+
+def stem_table(words: DataFrame, roots: DataFrame) -> DataFrame:
+    """``(word, stem)`` for the ``words(word)``, distinct and lower-case, that have another stem, given a root list
+    of any size: the forms of each word are joined with it, and the first one that is a root is kept."""
+    after = f"CASE WHEN {_has_prefix('word')} THEN {_from_short('word')} ELSE array() END"
+    forms = _stripped("word", f"concat(array(word, __s1, __s2, __s3), {after})")
+    tried = words.where(F.expr(_has_affix("word"))).select("word", F.posexplode_outer(F.expr(forms)).alias("at", "form"))
+    known = tried.join(roots.select(F.col("word").alias("form")).distinct(), "form")
+    return known.groupBy("word").agg(F.min_by("form", "at").alias("stem")).where("stem <> word")
 
 
 def stem_word(word: str, roots: Iterable[str]) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.functions.sentiment import count_in
+from postlens.operators.latest import latest_by_key  # noqa: F401
 from postlens.session import written
 
 # The two labels of the running counts.
@@ -82,13 +83,6 @@ def running_totals(
     )
 
 
-def latest_by_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """The newest row of each key. Aggregates before the shuffle, so a hot key costs one row per task."""
-    rest = [c for c in df.columns if c != key]
-    newest = df.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return newest.select(key, *[F.col("_row")[c].alias(c) for c in rest])
-
-
 def preview(df: DataFrame, order: Sequence[str], n: int = 20) -> DataFrame:
     """The first ``n`` rows in a stated order (a top-k, not a full sort)."""
     return df.orderBy(*order).limit(n)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlens.operators.explode import items
-from postlens.operators.lookup import MATCHED, attach
+from postlens.operators.lookup import replace_tokens
 from postlens.session import written
 from postlens.sources.dictionaries import LITERAL_LIMIT
 
@@ -182,9 +182,5 @@ def correct_text(
     """Text ``out``: the tokens of ``words``, corrected and joined by one space."""
     distinct = items(df, F.array_distinct(words), "word").select(F.lower("word").alias("word"))
     fixes = written(correct_words(distinct, frequencies).where("word <> correction"), "corrections")
-    lookup = attach(df, id_cols, words, fixes, "word", "correction", limit, lower=True)
-    fixed = (
-        f"transform({words}, __w -> CASE WHEN {lookup.contains('lower(__w)')} "
-        f"THEN {lookup.value('lower(__w)')} ELSE lower(__w) END)"
-    )
-    return lookup.df.withColumn(out, F.array_join(F.expr(fixed), " ")).drop(MATCHED)
+    fixed = replace_tokens(df, id_cols, words, fixes, "_fixed", "word", "correction", limit, other="lower(__w)")
+    return fixed.withColumn(out, F.array_join("_fixed", " ")).drop("_fixed")

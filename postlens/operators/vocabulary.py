@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions.stemming import stem_word
-from postlens.operators.explode import items
-from postlens.operators.lookup import MATCHED, SALTS, attach, small_enough_to_broadcast
+from postlens.operators.explode import items, positioned_items
+from postlens.operators.lookup import replace_tokens, small_enough_to_broadcast
 from postlens.sources.dictionaries import LITERAL_LIMIT
 
-# Fixed value: length of an encoded text.
+# Fixed value: length of an encoded window.
 SEQUENCE_LENGTH = 70
 
 
@@ -35,17 +35,32 @@ def stem_vocabulary(df: DataFrame, words: str, roots: Iterable[str]) -> DataFram
     return word_counts(df, words).select("word", stem_word("word", roots).alias("stem"), "count")
 
 
+def token_ids(
+    df: DataFrame, id_cols: Sequence[str], words: str, vocabulary: DataFrame, out: str = "ids",
+    limit: int = LITERAL_LIMIT,
+) -> DataFrame:
+    """The vocabulary id of every token, 0 for an unknown one."""
+    found = replace_tokens(df, id_cols, words, vocabulary, out, "word", "id", limit, lower=False, other="'0'")
+    return found.withColumn(out, F.col(out).cast("array<bigint>"))
+
+
 def encode_sequence(
     df: DataFrame, id_cols: Sequence[str], words: str, vocabulary: DataFrame, out: str = "ids",
     length: int = SEQUENCE_LENGTH, limit: int = LITERAL_LIMIT,
 ) -> DataFrame:
-    """``length`` vocabulary ids per text: unknown words are 0, short texts are padded with 0, tokens
-    beyond ``length`` are not encoded (the model's fixed input size)."""
-    head = df.withColumn("_head", F.slice(words, 1, length))
-    lookup = attach(head, id_cols, "_head", vocabulary, "word", "id", limit)
-    known = f"coalesce(cast({lookup.value('__w')} AS int), 0)"
-    encoded = f"slice(concat(transform(_head, __w -> {known}), array_repeat(0, {length})), 1, {length})"
-    return lookup.df.withColumn(out, F.expr(encoded)).drop("_head", MATCHED)
+    """``(id_cols, window, out)``: the ids of a text in windows of ``length``, the model's fixed input size.
+
+    Every token is in one window; the last window is padded with 0, and a text without tokens has one window
+    of padding.
+    """
+    ids = token_ids(df.select(*id_cols, words), id_cols, words, vocabulary, "_ids", limit)
+    count = f"greatest(cast(ceil(coalesce(size(_ids), 0) / {length}) AS int), 1)"
+    padded = f"concat(coalesce(_ids, array()), array_repeat(0L, {length}))"
+    windows = F.expr(
+        f"get(transform(array({padded}), __p -> transform(sequence(0, {count} - 1), "
+        f"__n -> slice(__p, __n * {length} + 1, {length}))), 0)"
+    )
+    return positioned_items(ids, windows, "window", out, id_cols)
 
 
 def mean_by_group(df: DataFrame, by: Sequence[str], vector: str = "embedding") -> DataFrame:
@@ -58,21 +73,18 @@ def pooled_embedding(
     df: DataFrame, id_cols: Sequence[str], ids: str, embeddings: DataFrame,
     vec_id: str = "vec_id", vector: str = "embedding",
 ) -> DataFrame:
-    """Mean embedding of each text's known ids, repeated ids counting each time; 0 is no word.
+    """``(id_cols, mean)``: mean embedding of each text's known ids, repeated ids counting each time; 0 is no
+    word. A text without known ids has a null mean.
 
-    An id is looked up once per text with its multiplicity. A large matrix is joined with salt, because
-    common words are in nearly every text.
+    An id is looked up once per text with its multiplicity. A matrix of measured size is broadcast; a larger
+    one is joined, where adaptive execution splits ids that are in nearly every text.
     """
-    times = F.size(F.expr(f"filter({ids}, __x -> __x = _id)")).alias("_n")
-    used = items(df, F.array_distinct(ids), "_id", [*id_cols, ids]).where("_id <> 0").select(*id_cols, "_id", times)
+    used = items(df, ids, "_id", id_cols).where("_id <> 0").groupBy(*id_cols, "_id").agg(F.count("*").alias("_n"))
     matrix = embeddings.select(
-        F.col(vec_id).cast("int").alias("_id"), F.col(vector).cast("array<double>").alias("_vector")
+        F.col(vec_id).cast("bigint").alias("_id"), F.col(vector).cast("array<double>").alias("_vector")
     )
-    if small_enough_to_broadcast(matrix, F.size("_vector") * 8):
-        looked_up = used.join(F.broadcast(matrix), "_id")
-    else:
-        salt = F.pmod(F.xxhash64(*id_cols), F.lit(SALTS)).cast("int")
-        copies = matrix.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        looked_up = used.withColumn("_salt", salt).join(copies, ["_id", "_salt"])
+    small = small_enough_to_broadcast(matrix, F.size("_vector") * 8)
+    looked_up = used.join(F.broadcast(matrix) if small else matrix, "_id")
     mean = Summarizer.mean(array_to_vector("_vector"), F.col("_n").cast("double"))
-    return looked_up.groupBy(*id_cols).agg(vector_to_array(mean).alias("mean"))
+    pooled = looked_up.groupBy(*id_cols).agg(vector_to_array(mean).alias("mean"))
+    return df.select(*id_cols).join(pooled, list(id_cols), "left")

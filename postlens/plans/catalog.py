@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from postlens.functions import entities, jsons, sentiment, stemming, text
 from postlens.operators import classify, counts, filters, spelling, vocabulary
 from postlens.operators.explode import items, positioned_items
-from postlens.plans import landed, tables
+from postlens.operators.lookup import replace_tokens
+from postlens.plans import joined, landed, tables
 from postlens.plans.enrich import enrich, slang_tokens, with_normalized, with_sentiment
 from postlens.plans.samples import (
-    DICTIONARIES, ENTITIES, EVENT_STEMS, GAZETTEER, NEGATIVE, POSITIVE, ROOTS, VOCABULARY,
+    DICTIONARIES, ENTITIES, EVENT_STEMS, GAZETTEER, NEGATIVE, POSITIVE, ROOTS, VOCABULARY, large_tables,
 )
-from postlens.session import shared_dir
+from postlens.session import shared_dir, written
 from postlens.sources import dictionaries, posts, schemas, streams
 from postlens.sources.scans import spread, table
 from postlens.streaming import jobs, sinks
@@ -346,6 +347,42 @@ def enrich_posts(spark, sf_dir):
     return enrich(_documents(spark, sf_dir), DICTIONARIES).drop("text")
 
 
+def _more_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many further dictionary entries as the corpus has different words."""
+    tokens = items(_documents(spark, sf_dir), text.split_words(F.col("text")), "word").distinct()
+    return written(tokens.select(F.concat(F.lit("zq0"), F.md5("word")).alias("word")), "more-words")
+
+
+@query("enrich_posts_large")
+def enrich_posts_large(spark, sf_dir):
+    """The enrichment with dictionaries too large for literals."""
+    tables_ = large_tables(_more_words(spark, sf_dir))
+    return enrich(_documents(spark, sf_dir), tables_, id_cols=["doc_id"]).drop("text")
+
+
+@query("geo_lookup_large")
+def geo_lookup_large(spark, sf_dir):
+    found = _document_tokens(spark, sf_dir).withColumn("found", entities.begin_inside("tokens", *ENTITIES["location"]))
+    tables_ = large_tables(_more_words(spark, sf_dir))
+    places = joined.with_located(found.drop("tokens"), ["doc_id"], "found", tables_, "places")
+    return places.select(
+        "doc_id",
+        _joined(F.col("places.place"), "city", ","),
+        _joined(F.col("places.lat"), "lat_city", ","),
+        _joined(F.col("places.long"), "long_city", ","),
+    )
+
+
+@query("normalize_slang_large")
+def normalize_slang_large(spark, sf_dir):
+    """A formal spelling for every word of the corpus of five letters or more."""
+    docs = _documents(spark, sf_dir).withColumn("words", text.split_words(F.col("text")))
+    known = items(docs, "words", "word").select(F.lower("word").alias("key")).where(F.length("key") >= 5).distinct()
+    slang = written(known.withColumn("value", F.concat(F.lit("#"), "key", F.lit(" x"))), "large-slang")
+    formal = replace_tokens(docs, ["doc_id"], "words", slang, "formal")
+    return formal.select("doc_id", F.md5(F.array_join("formal", " ")).alias("formal_hash"))
+
+
 # Vocabulary, spelling, model ---------------------------------------------------------------------
 
 
@@ -382,13 +419,20 @@ def _vocabulary(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(VOCABULARY.items()), "word STRING, id INT")
 
 
-def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vocabulary.encode_sequence(_cleaned_words(spark, sf_dir), ["doc_id"], "words", _vocabulary(spark))
-
-
 @query("encode_sequence")
 def encode_sequence(spark, sf_dir):
-    return _encoded(spark, sf_dir).select("doc_id", _joined(F.col("ids").cast("array<string>"), "ids", " "))
+    encoded = vocabulary.encode_sequence(_cleaned_words(spark, sf_dir), ["doc_id"], "words", _vocabulary(spark))
+    return encoded.select("doc_id", "window", _joined(F.col("ids").cast("array<string>"), "ids", " "))
+
+
+@query("encode_sequence_large")
+def encode_sequence_large(spark, sf_dir):
+    """Ids from a vocabulary of every word of the corpus; a word's id is a checksum of it."""
+    words = _cleaned_words(spark, sf_dir)
+    counted = vocabulary.word_counts(words, "words")
+    known = counted.select("word", F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("bigint").alias("id"))
+    encoded = vocabulary.encode_sequence(words, ["doc_id"], "words", known)
+    return encoded.select("doc_id", "window", F.md5(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_hash"))
 
 
 def _dimensions(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -404,10 +448,11 @@ def embedding_mean(spark, sf_dir):
 
 @query("embedding_pool")
 def embedding_pool(spark, sf_dir):
-    pooled = vocabulary.pooled_embedding(
-        _encoded(spark, sf_dir), ["doc_id"], "ids", table(spark, sf_dir, "embeddings")
-    )
-    return _dimensions(pooled, ["doc_id"])
+    """Documents without a known word keep one row, without dimension and mean."""
+    ids = vocabulary.token_ids(_cleaned_words(spark, sf_dir).select("doc_id", "words"), ["doc_id"], "words", _vocabulary(spark))
+    pooled = vocabulary.pooled_embedding(ids, ["doc_id"], "ids", table(spark, sf_dir, "embeddings"))
+    rows = pooled.select("doc_id", F.posexplode_outer("mean").alias("dim", "value"))
+    return rows.select("doc_id", "dim", (F.round("value", 6) + F.lit(0.0)).alias("mean"))
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:

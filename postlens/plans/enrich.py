@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions import entities, sentiment, stemming, text
 from postlens.functions.literals import in_set, map_value
+from postlens.plans import joined
+from postlens.plans.joined import DictionaryTables
 from postlens.sources import dictionaries
 
+KINDS = ("person", "company", "country", "location")
+
 
 @dataclass(frozen=True)
 class Dictionaries:
@@ -23,36 +27,44 @@ class Dictionaries:
     roots: frozenset[str]
     entities: Mapping[str, tuple[Iterable[str], Iterable[str]]]
     gazetteer: Mapping[str, tuple[str, str]]
-    event_stems: Sequence[str] = field(default=entities.NEGATIVE_EVENT_STEMS)
+    event_stems: Sequence[str]
 
 
-def load_dictionaries(
-    spark, positive: str, negative: str, slang: str, roots: str, entity_dir: str, gazetteer: str,
-    event_stems: str | None = None,
-) -> Dictionaries:
-    """Dictionaries from files. Each is refused when it is too large to be a literal."""
+def literals(tables: DictionaryTables, limit: int = dictionaries.LITERAL_LIMIT) -> Dictionaries | None:
+    """The tables as literals, if each has at most ``limit`` rows."""
+    found = {name: dictionaries.bounded_rows(getattr(tables, name), limit) for name in DictionaryTables.__annotations__}
+    if any(rows is None for rows in found.values()):
+        return None
+    words = {name: frozenset(r.word for r in found[name]) for name in ("positive", "negative", "roots", "event_stems")}
+    return Dictionaries(
+        positive=words["positive"],
+        negative=words["negative"],
+        slang={r.key: r.value for r in found["slang"]},
+        roots=words["roots"],
+        entities=dictionaries.entity_sets(found["entities"]),
+        gazetteer={r.place: (r.latitude, r.longitude) for r in found["gazetteer"]},
+        event_stems=tuple(sorted(words["event_stems"])),
+    )
 
-    def words(path: str) -> frozenset[str]:
-        table = dictionaries.word_set(dictionaries.read_lines(spark, path))
-        return frozenset(r.word for r in dictionaries.as_literal_dictionary(table))
 
-    slang_rows = dictionaries.as_literal_dictionary(
-        dictionaries.slang_table(dictionaries.read_lines(spark, slang))
-    )
-    places = dictionaries.as_literal_dictionary(
-        dictionaries.gazetteer(dictionaries.read_lines(spark, gazetteer))
-    )
-    entity_files = [f"{entity_dir}/b_*.txt", f"{entity_dir}/i_*.txt"]
-    entity_table = dictionaries.entity_dictionary(dictionaries.read_lines(spark, entity_files))
-    return Dictionaries(
+def load_dictionaries(
+    spark, positive: str, negative: str, slang: str, roots: str, entity_dir: str, gazetteer: str, event_stems: str,
+    limit: int = dictionaries.LITERAL_LIMIT,
+) -> Dictionaries | DictionaryTables:
+    """Dictionaries from files: literals if all are small, else tables. :func:`enrich` takes either."""
+    words = lambda path: dictionaries.word_set(dictionaries.read_lines(spark, path))
+    tables = DictionaryTables(
         positive=words(positive),
         negative=words(negative),
-        slang={r.key: r.value for r in slang_rows},
+        slang=dictionaries.slang_table(dictionaries.read_lines(spark, slang)),
         roots=words(roots),
-        entities=dictionaries.entity_sets(entity_table),
-        gazetteer={r.place: (r.latitude, r.longitude) for r in places},
-        event_stems=tuple(words(event_stems)) if event_stems else entities.NEGATIVE_EVENT_STEMS,
+        entities=dictionaries.entity_dictionary(
+            dictionaries.read_lines(spark, [f"{entity_dir}/b_*.txt", f"{entity_dir}/i_*.txt"])
+        ),
+        gazetteer=dictionaries.gazetteer(dictionaries.read_lines(spark, gazetteer)),
+        event_stems=words(event_stems),
     )
+    return literals(tables, limit) or tables
 
 
 def slang_tokens(words: str, slang: Mapping[str, str]) -> Column:
@@ -87,35 +99,41 @@ def with_sentiment(df: DataFrame, words: str, dicts: Dictionaries) -> DataFrame:
     )
 
 
-def with_entities(df: DataFrame, words: str, dicts: Dictionaries) -> DataFrame:
-    """Entity columns as comma-separated text; the three place columns stay aligned."""
+def _with_entity_text(df: DataFrame) -> DataFrame:
+    """Entity arrays as comma-separated text; the three place columns stay aligned."""
+    return df.withColumns(
+        {
+            "person": entities.joined(F.col("_person")),
+            "company": entities.joined(F.col("_company")),
+            "eventNegatif": entities.joined(F.col("_event")),
+            "country": entities.joined(F.col("_country")),
+            "city": entities.joined(F.col("_places.place")),
+            "lat_city": entities.joined(F.col("_places.lat")),
+            "long_city": entities.joined(F.col("_places.long")),
+        }
+    ).drop("_person", "_company", "_country", "_location", "_places", "_event")
 
-    kinds = {kind: dicts.entities.get(kind, ((), ())) for kind in ("person", "company", "country", "location")}
+
+def with_entities(df: DataFrame, words: str, dicts: Dictionaries) -> DataFrame:
+    """Entity columns as comma-separated text."""
+    kinds = {kind: dicts.entities.get(kind, ((), ())) for kind in KINDS}
+    typed = entities.with_types(df, words, kinds, "_")
     events = entities.by_stem(words, dicts.event_stems, dicts.roots)
-    return (
-        entities.with_types(df, words, kinds, "_")
-        .withColumns(
-            {
-                "person": entities.joined(F.col("_person")),
-                "company": entities.joined(F.col("_company")),
-                "eventNegatif": entities.joined(events),
-                "country": entities.joined(F.col("_country")),
-                "_places": entities.located("_location", dicts.gazetteer),
-            }
-        )
-        .withColumns(
-            {
-                "city": entities.joined(F.col("_places.place")),
-                "lat_city": entities.joined(F.col("_places.lat")),
-                "long_city": entities.joined(F.col("_places.long")),
-            }
-        )
-        .drop("_person", "_company", "_country", "_location", "_places")
-    )
+    found = typed.withColumns({"_event": events, "_places": entities.located("_location", dicts.gazetteer)})
+    return _with_entity_text(found)
 
 
-def enrich(df: DataFrame, dicts: Dictionaries, source: str = "text") -> DataFrame:
-    """Appends the nine analysis columns. Row-local: no shuffle, no Python."""
+def enrich(
+    df: DataFrame, dicts: Dictionaries | DictionaryTables, source: str = "text", id_cols: Sequence[str] = ()
+) -> DataFrame:
+    """Appends the nine analysis columns.
+
+    With literals it is row-local: no shuffle, no Python. With tables it joins, and ``id_cols`` must identify a row.
+    """
+    if isinstance(dicts, DictionaryTables):
+        if not id_cols:
+            raise ValueError("dictionaries that are tables need the columns that identify a row")
+        return _enrich_joined(df, dicts, source, id_cols)
     normalized = with_normalized(df, source, dicts, "_normalized")
     scored = with_sentiment(
         normalized.withColumn("_words", text.split_cleaned(F.col("_normalized"))), "_words", dicts
@@ -123,3 +141,17 @@ def enrich(df: DataFrame, dicts: Dictionaries, source: str = "text") -> DataFram
     tokens = text.with_word_tokens(scored, source, "_tokens")
     tagged = with_entities(tokens, "_tokens", dicts)
     return tagged.drop("_normalized", "_words", "_tokens")
+
+
+def _enrich_joined(df: DataFrame, dicts: DictionaryTables, source: str, ids: Sequence[str]) -> DataFrame:
+    texts = df.select(*ids, source)
+    normal = joined.with_normalized(texts, ids, source, dicts, "_normalized")
+    words = normal.withColumn("_words", text.split_cleaned(F.col("_normalized"))).select(*ids, "_words")
+    counted = joined.with_hit_counts(words, ids, "_words", dicts, "_pos", "_neg")
+    pos, neg = F.coalesce("_pos", F.lit(0)), F.coalesce("_neg", F.lit(0))
+    scored = counted.select(*ids, sentiment.label(pos, neg).alias("sentiment"), sentiment.score(pos, neg).alias("total_score"))
+    tokens = text.with_word_tokens(texts, source, "_tokens").select(*ids, "_tokens")
+    typed = joined.with_types(tokens, ids, "_tokens", dicts, KINDS)
+    events = joined.with_event_words(typed, ids, "_tokens", dicts, "_event")
+    tagged = _with_entity_text(joined.with_located(events, ids, "_location", dicts, "_places")).drop("_tokens")
+    return df.join(scored, list(ids), "left").join(tagged, list(ids), "left")

@@ -5,7 +5,11 @@ A deployment brings its own dictionary files (``postlens.plans.enrich.load_dicti
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from postlens.plans.enrich import Dictionaries
+from postlens.plans.joined import DictionaryTables
 
 POSITIVE = ("the", "der", "que", "with", "est", "ist", "para", "for", "les", "attion", "orantion")
 NEGATIVE = ("of", "die", "was", "no", "not", "nicht", "the", "des", "thatin", "on", "por")
@@ -70,3 +74,28 @@ DICTIONARIES = Dictionaries(
     gazetteer=GAZETTEER,
     event_stems=EVENT_STEMS,
 )
+
+
+def large_tables(more: DataFrame) -> DictionaryTables:
+    """The same dictionaries as tables, each with the further entries ``more(word)``."""
+    spark = more.sparkSession
+
+    def words(listed) -> DataFrame:
+        return spark.createDataFrame([(w,) for w in listed], "word STRING").unionByName(more)
+
+    slang = spark.createDataFrame(list(SLANG.items()), "key STRING, value STRING")
+    entities = [(kind, role, t) for kind, sides in ENTITIES.items() for role, side in zip("BI", sides, strict=True) for t in side]
+    places = spark.createDataFrame([(p, *at) for p, at in GAZETTEER.items()], "place STRING, latitude STRING, longitude STRING")
+    return DictionaryTables(
+        positive=words(POSITIVE),
+        negative=words(NEGATIVE),
+        slang=slang.unionByName(more.select(F.col("word").alias("key"), F.lit("?").alias("value"))),
+        roots=words(ROOTS),
+        entities=spark.createDataFrame(entities, "entity_type STRING, role STRING, token STRING").unionByName(
+            more.select(F.lit("person").alias("entity_type"), F.lit("B").alias("role"), F.col("word").alias("token"))
+        ),
+        gazetteer=places.unionByName(
+            more.select(F.col("word").alias("place"), F.lit("0").alias("latitude"), F.lit("0").alias("longitude"))
+        ),
+        event_stems=words(EVENT_STEMS),
+    )

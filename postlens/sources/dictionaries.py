@@ -12,16 +12,20 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.functions.text import split_words
+from postlens.operators.latest import latest_by_key
 
 LITERAL_LIMIT = 20_000
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``(path, line_no, line)`` for dictionary files: small files, read whole to number their lines."""
-    files = spark.read.text(paths, wholetext=True).select(
-        F.input_file_name().alias("path"), F.split("value", "\r?\n").alias("lines")
+    """``(path, line_no, line)`` for dictionary files of any size, read in splits.
+
+    ``line_no`` orders the lines of a file: by the split they are in, then by their order within it.
+    """
+    place = F.struct(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("line"))
+    return spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), place.alias("line_no"), F.col("value").alias("line")
     )
-    return files.select("path", F.posexplode("lines").alias("line_no", "line"))
 
 
 def word_set(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -36,9 +40,7 @@ def raw_word_set(lines: DataFrame, line: str = "line") -> DataFrame:
 
 
 def _last_line_wins(entries: DataFrame, key: str, order: str, values: list[str]) -> DataFrame:
-    # max_by combines before the shuffle, so a key repeated in a third of the lines stays cheap.
-    last = entries.groupBy(key).agg(F.max_by(F.struct(*values), order).alias("_last"))
-    return last.select(key, *[F.col("_last")[v].alias(v) for v in values])
+    return latest_by_key(entries, key, [order]).select(key, *values)
 
 
 def slang_table(lines: DataFrame, line: str = "line", order: str = "line_no") -> DataFrame:
@@ -83,18 +85,10 @@ def bounded_rows(table: DataFrame, limit: int = LITERAL_LIMIT) -> list[Row] | No
     return rows if len(rows) <= limit else None
 
 
-def as_literal_dictionary(table: DataFrame, limit: int = LITERAL_LIMIT) -> list[Row]:
-    """Rows for use as plan literals; refuses a table that is too large for that."""
-    rows = bounded_rows(table, limit)
-    if rows is None:
-        raise ValueError(f"more than {limit} entries: use postlens.operators.lookup instead of literals")
-    return rows
-
-
-def entity_sets(table: DataFrame) -> dict[str, tuple[set[str], set[str]]]:
+def entity_sets(rows: Sequence[Row]) -> dict[str, tuple[set[str], set[str]]]:
     """``{entity_type: (begin tokens, inside tokens)}`` for the literal form."""
     sets: dict[str, tuple[set[str], set[str]]] = {}
-    for row in as_literal_dictionary(table):
+    for row in rows:
         begin, inside = sets.setdefault(row.entity_type, (set(), set()))
         (begin if row.role == "B" else inside).add(row.token)
     return sets

@@ -6,15 +6,17 @@ import pytest
 
 from postlens.plans import tables
 from postlens.plans.enrich import enrich, load_dictionaries
+from postlens.plans.joined import DictionaryTables
 from postlens.sources import posts, schemas
 
 
 @pytest.fixture
-def dicts(spark, tmp_path):
+def loaded(spark, tmp_path):
     files = {
         "pos.txt": "bagus\nsenang\nhebat\n",
         "neg.txt": "buruk\nsedih\nbohong\n",
         "slang.txt": "bgs bagus sekali\ngk tidak\nbgs bagus\n",
+        "events.txt": "bunuh\ncuri\n",
         "roots.txt": "senang\nbohong\nmenteri\njadi\nkunjung\n",
         "places.txt": "Bandung\t0654'S\t10737'E\njakarta pusat\t0610'S\t10650'E\n",
         "entities/b_person.txt": "Joko\nAnies\n",
@@ -31,12 +33,21 @@ def dicts(spark, tmp_path):
         path.parent.mkdir(exist_ok=True)
         path.write_text(content)
     at = lambda name: str(tmp_path / name)
-    return load_dictionaries(
-        spark, at("pos.txt"), at("neg.txt"), at("slang.txt"), at("roots.txt"), at("entities"), at("places.txt")
+    return lambda limit=20_000: load_dictionaries(
+        spark, at("pos.txt"), at("neg.txt"), at("slang.txt"), at("roots.txt"), at("entities"), at("places.txt"),
+        at("events.txt"), limit,
     )
 
 
-def test_enrich(spark, dicts):
+@pytest.fixture
+def dicts(loaded):
+    return loaded()
+
+
+@pytest.mark.parametrize("limit", [20_000, 0])
+def test_enrich(spark, loaded, limit):
+    dicts = loaded(limit)
+    assert isinstance(dicts, DictionaryTables) == (limit == 0)
     rows = [
         (1, "Joko Widodo mengunjungi PT Maju di Jakarta Pusat, Sorong dan Bandung. BGS!"),
         (2, "Pembunuhan di Indonesia Raya: kebohongan Anies, menyedihkan & BURUK<br />buruk"),
@@ -45,7 +56,7 @@ def test_enrich(spark, dicts):
         (5, "@@@ !!! 123"),
     ]
     df = spark.createDataFrame(rows, "id INT, text STRING")
-    done = {r.id: r for r in enrich(df, dicts).collect()}
+    done = {r.id: r for r in enrich(df, dicts, id_cols=["id"]).collect()}
     assert done[1].asDict() == {
         "id": 1, "text": rows[0][1], "sentiment": "positif", "total_score": 1.0, "person": "joko widodo",
         "company": "pt maju", "eventNegatif": "", "country": "", "city": "jakarta pusat,bandung",

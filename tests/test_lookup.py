@@ -42,23 +42,43 @@ def test_literal_form_agrees(texts, slang):
 
 @pytest.mark.parametrize("limit", [100, 0])
 def test_encode_sequence(spark, limit):
-    known = spark.createDataFrame([("a", 1), ("b", 2)], "word STRING, id INT")
-    rows = [(n, ["a"] * (n - 1) + ["b"]) for n in (1, 69, 70, 71)] + [(0, []), (2, ["zz", "b"])]
+    known = spark.createDataFrame([("a", 1), ("b", 1 << 40)], "word STRING, id BIGINT")
+    sizes = (1, 69, 70, 71, 141)
+    rows = [(n, ["a"] * (n - 1) + ["b"]) for n in sizes] + [(0, []), (2, ["zz", "b"]), (3, None)]
     texts = spark.createDataFrame(rows, "id INT, words ARRAY<STRING>")
     done = vocabulary.encode_sequence(texts, ["id"], "words", known, "ids", limit=limit)
-    got = {r.id: list(r.ids) for r in done.collect()}
+    got = {(r.id, r.window): list(r.ids) for r in done.collect()}
     assert all(len(ids) == 70 for ids in got.values())
-    assert got[0] == [0] * 70 and got[2] == [0, 2] + [0] * 68 and got[1] == [2] + [0] * 69
-    assert got[69] == [1] * 68 + [2, 0] and got[70] == [1] * 69 + [2] and got[71] == [1] * 70
+    assert got[0, 0] == [0] * 70 == got[3, 0] and got[2, 0] == [0, 1 << 40] + [0] * 68
+    for n in sizes:
+        windows = [got[n, w] for w in range(-(-n // 70))]
+        assert [x for ids in windows for x in ids if x] == [1] * (n - 1) + [1 << 40]
+    assert len(got) == 3 + 3 + 2 + 3
 
 
 @pytest.mark.parametrize("small", [True, False])
 def test_pooled_embedding_counts_repeats(spark, small, monkeypatch):
     monkeypatch.setattr(vocabulary, "small_enough_to_broadcast", lambda *_: small)
-    ids = spark.createDataFrame([(1, [1, 1, 2, 0]), (2, [0, 0]), (3, [2, 9])], "id INT, ids ARRAY<INT>")
-    matrix = spark.createDataFrame([(1, [3.0, 0.0]), (2, [0.0, 6.0])], "vec_id INT, embedding ARRAY<DOUBLE>")
+    ids = spark.createDataFrame([(1, [1, 1, 1 << 40, 0]), (2, [0, 0]), (3, [1 << 40, 9]), (4, None)], "id INT, ids ARRAY<BIGINT>")
+    matrix = spark.createDataFrame([(1, [3.0, 0.0]), (1 << 40, [0.0, 6.0])], "vec_id BIGINT, embedding ARRAY<DOUBLE>")
     pooled = vocabulary.pooled_embedding(ids, ["id"], "ids", matrix)
-    assert {r.id: list(r["mean"]) for r in pooled.collect()} == {1: [2.0, 2.0], 3: [0.0, 6.0]}
+    got = {r.id: r["mean"] and list(r["mean"]) for r in pooled.collect()}
+    assert got == {1: [2.0, 2.0], 2: None, 3: [0.0, 6.0], 4: None}
+
+
+def test_join_grows_with_the_tokens(spark):
+    """A text of many tokens, all of them known: twice the tokens, about twice the time."""
+    import time
+
+    known = spark.range(30_000).selectExpr("concat('w', id) AS key", "concat('v', id) AS value")
+    seconds = []
+    for n in (4000, 4000, 8000):
+        texts = spark.range(16).selectExpr("id", f"transform(sequence(1, {n}), i -> concat('w', i)) AS words")
+        began = time.perf_counter()
+        done = lookup.replace_tokens(texts, ["id"], "words", known, "out")
+        assert done.where(F.get("out", F.lit(n - 1)) != f"v{n}").count() == 0
+        seconds.append(time.perf_counter() - began)
+    assert seconds[2] < 3 * seconds[1] + 2
 
 
 def test_no_shuffle_for_small_dictionaries(texts, slang):

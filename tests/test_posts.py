@@ -92,7 +92,7 @@ def test_dictionary_files(spark, tmp_path):
     (tmp_path / "b_person.txt").write_text("Joko\n joko \n\nAnies\n")
     (tmp_path / "i_person.txt").write_text("Widodo\n")
     sets = dictionaries.entity_sets(
-        dictionaries.entity_dictionary(dictionaries.read_lines(spark, [str(tmp_path / "*_person.txt")]))
+        dictionaries.entity_dictionary(dictionaries.read_lines(spark, [str(tmp_path / "*_person.txt")])).collect()
     )
     assert sets == {"person": ({"joko", "anies"}, {"widodo"})}
     (tmp_path / "places.txt").write_text("Bandung\t0654'S\t10737'E\nbroken\nbandung\t1'S\t2'E\n")
