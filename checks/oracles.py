@@ -522,16 +522,25 @@ ORACLES["to_topic_value"] = "SELECT CAST(doc_id AS VARCHAR) AS msg_key, md5(text
 ORACLES["json_sink"] = "SELECT doc_id, text, lang, 'documents' AS source_name, 7 AS batch_id FROM documents"
 ORACLES["pipe_sink"] = "SELECT doc_id, text, lang, 3 AS batch_id FROM documents"
 ORACLES["post_csv_sink"] = rf"""WITH {SCORED} SELECT doc_id, 'user' AS screen_name, '1' AS user_id,
-  {replaced('text', r'[^\x00-\x7F]', '?')} AS sentence, {LABEL} AS sentiment FROM scored JOIN documents USING (doc_id)"""
+  {replaced('text', r'[^\x00-\x7F]', '?')} AS sentence, {LABEL} AS sentiment, 5 AS batch_id
+FROM scored JOIN documents USING (doc_id)"""
+ORACLES["table_sink"] = "SELECT doc_id, lang, CAST(doc_id % 2 + 1 AS INT) AS batch_id FROM documents"
+ORACLES["external_table_sink"] = "SELECT doc_id, lang FROM documents"
+ORACLES["pipe_record"] = f"""WITH {ENRICHED} SELECT doc_id || '|' || lang || '_' || source || '|' || {QUOTED} || '|' || sentiment || '|' ||
+  total_score || '|' || person || '|' || company || '|' || "eventNegatif" || '|' || country || '|' || city || '|' || lat_city || '|' || long_city AS line
+FROM enriched JOIN documents USING (doc_id)"""
 
 # Streams -----------------------------------------------------------------------------------------
 
 ORACLES["stream_running_counts"] = TOTALS
 ORACLES["stream_class_history"] = f"""WITH {BATCHED} SELECT label, CAST(sum(count) AS BIGINT) AS count,
   CAST(sum(records) AS BIGINT) AS records FROM history GROUP BY label"""
+INGESTED = "strftime(make_timestamp(doc_id * 3600 * 1000000), '%Y-%m-%d')"
 ORACLES["stream_enrich"] = f"""WITH {ENRICHED} SELECT doc_id + 985000000000000000 AS id, sentiment, total_score,
-  person, city, lat_city, NULL AS reason, 'good' AS status FROM enriched WHERE {TWEET_OK}
+  person, city, lat_city, NULL AS reason, 'good' AS status, {INGESTED} AS ingest_date FROM enriched WHERE {TWEET_OK}
 UNION ALL SELECT CASE WHEN {INTACT} THEN doc_id + 985000000000000000 END, NULL, NULL, NULL, NULL, NULL,
-  CASE WHEN {INTACT} THEN 'missing raw.text' ELSE 'malformed' END, 'quarantined' FROM documents WHERE NOT ({TWEET_OK})"""
+  CASE WHEN {INTACT} THEN 'missing raw.text' ELSE 'malformed' END, 'quarantined', {INGESTED} FROM documents WHERE NOT ({TWEET_OK})"""
 ORACLES["stream_raw_archive"] = "SELECT md5(text) AS value_hash FROM documents"
 ORACLES["stream_first_seen"] = "SELECT DISTINCT md5(text) AS post FROM documents"
+ORACLES["stream_bounded_archive"] = ORACLES["stream_raw_archive"]
+ORACLES["stream_latest"] = ORACLES["dedup_by_id"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -626,17 +627,57 @@ def post_csv_sink(spark, sf_dir):
     scored = with_sentiment(_cleaned_words(spark, sf_dir), "words", DICTIONARIES)
     rows = scored.select("doc_id", F.lit("user").alias("u"), F.lit("1").alias("i"),
                          text.ascii_replace(F.col("text")).alias("t"), "sentiment")
-    sinks.write_post_csv(rows, out, rows.columns)
-    schema = "doc_id BIGINT, screen_name STRING, user_id STRING, sentence STRING, sentiment STRING"
+    for _ in range(2):
+        sinks.write_post_csv(rows, out, rows.columns, 5)
+    schema = "doc_id BIGINT, screen_name STRING, user_id STRING, sentence STRING, sentiment STRING, batch_id INT"
     return streams.read_delimited(spark, out, schema, header=True)
 
 
+def _table_name(spark: SparkSession) -> str:
+    return f"postlens_{uuid.uuid4().hex}"
+
+
+@query("table_sink")
+def table_sink(spark, sf_dir):
+    """Two batches into a managed table, each written twice."""
+    name, docs = _table_name(spark), table(spark, sf_dir, "documents").select("doc_id", "lang")
+    for batch in (1, 1, 2, 2):
+        sinks.append_table(docs.where(F.pmod("doc_id", F.lit(2)) + 1 == batch), name, batch)
+    return spark.table(name)
+
+
+@query("external_table_sink")
+def external_table_sink(spark, sf_dir):
+    """A table over a folder, replaced as a whole; read from the folder."""
+    name, out = _table_name(spark), shared_dir(spark, "external-table")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    sinks.overwrite_table(docs.where("doc_id < 10"), name, out)
+    sinks.overwrite_table(docs, name, out)
+    return spark.read.parquet(out)
+
+
+@query("pipe_record")
+def pipe_record(spark, sf_dir):
+    """The compact post with its nine analysis columns as one delimited line."""
+    posts_ = _documents(spark, sf_dir, "text", "lang", "source").select(
+        F.col("doc_id").alias("id"), F.concat_ws("_", "lang", "source").alias("name"), "text"
+    )
+    enriched = enrich(posts_, DICTIONARIES)
+    return tables.pipe_row(enriched, ["id", "name", "text", *schemas.ANALYSIS_COLUMNS])
+
+
 # Streams -----------------------------------------------------------------------------------------
 
 
+def _landed(df: DataFrame, purpose: str, key: str, files: int = 4) -> DataFrame:
+    """A stream of the rows, landed in a few files of which each becomes a micro-batch."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.repartition(files, key).write.parquet(path)
+    return streams.landed_stream(df.sparkSession, path, df.schema, "parquet", files_per_trigger=1)
+
+
 def _document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
-    return streams.landed_stream(spark, sf_dir, schema, "parquet", glob="documents.parquet")
+    return _landed(table(spark, sf_dir, "documents"), "landed-documents", "doc_id")
 
 
 @query("stream_running_counts")
@@ -657,13 +698,13 @@ def stream_running_counts(spark, sf_dir):
 def stream_enrich(spark, sf_dir):
     """Tweets through the enrichment job: judged, enriched, written as JSON per batch, read back."""
     base = shared_dir(spark, "enrich")
-    feed = landed.tweets(_document_stream(spark, sf_dir)).select("value")
+    feed = landed.tweets(_document_stream(spark, sf_dir)).select("value", F.timestamp_seconds(F.col("doc_id") * 3600).alias("timestamp"))
     write = jobs.enrichment_writer("tweet", DICTIONARIES, f"{base}/out")
     jobs.start(feed, write, f"{base}/checkpoint").awaitTermination()
     schema = """id BIGINT, sentiment STRING, total_score DOUBLE, person STRING, city STRING, lat_city STRING,
-        reason STRING, status STRING"""
+        reason STRING, status STRING, ingest_date STRING"""
     back = streams.read_json(spark, f"{base}/out", schema)
-    return back.select("id", "sentiment", "total_score", "person", "city", "lat_city", "reason", "status")
+    return back.select("id", "sentiment", "total_score", "person", "city", "lat_city", "reason", "status", F.col("ingest_date").cast("string").alias("ingest_date"))
 
 
 @query("stream_raw_archive")
@@ -689,12 +730,35 @@ def stream_class_history(spark, sf_dir):
 
 @query("stream_first_seen")
 def stream_first_seen(spark, sf_dir):
+    """Texts seen for the first time; a year of event time covers all repeats here."""
     base = shared_dir(spark, "first")
-    hashed = _document_stream(spark, sf_dir).select(F.md5("text").alias("post"), F.col("lang"))
-    fresh = jobs.first_seen(hashed, "post")
+    at = F.timestamp_seconds(F.col("doc_id") + 1_523_500_000).alias("at")
+    fresh = jobs.first_seen(_document_stream(spark, sf_dir).select(F.md5("text").alias("post"), at), "post", "at", "365 days")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         sinks.write_parquet(batch, f"{base}/out", batch_id)
 
     jobs.start(fresh, write, f"{base}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{base}/out").select("post")
+
+
+@query("stream_bounded_archive")
+def stream_bounded_archive(spark, sf_dir):
+    """The archive as a job at an interval, stopped after a while."""
+    base = shared_dir(spark, "bounded")
+    feed = _document_stream(spark, sf_dir).select(F.col("text").alias("value"))
+    job = jobs.raw_archive(feed, f"{base}/out", f"{base}/checkpoint", "1 second")
+    job.processAllAvailable()
+    jobs.run_bounded(job, 1)
+    return streams.read_json(spark, f"{base}/out", "value STRING").select(F.md5("value").alias("value_hash"))
+
+
+@query("stream_latest")
+def stream_latest(spark, sf_dir):
+    """The latest event of each user over several micro-batches."""
+    base = shared_dir(spark, "latest")
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    write = jobs.latest_writer("user_id", ["ts", "event_id"], f"{base}/out")
+    jobs.start(_landed(events, "landed-events", "event_id"), write, f"{base}/checkpoint").awaitTermination()
+    latest = jobs.latest_posts(spark, f"{base}/out", "user_id", ["ts", "event_id"])
+    return latest.select("user_id", "event_id", "event_type", "value")

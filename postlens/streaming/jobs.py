@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from postlens.operators import counts
 from postlens.plans.enrich import Dictionaries, enrich
@@ -25,13 +25,17 @@ QUARANTINED = "quarantined"
 BatchFunction = Callable[[DataFrame, int], None]
 
 
+def triggered(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
+    """At an interval; without one, work off what is there and stop."""
+    return writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
+
+
 def start(
     df: DataFrame, write: BatchFunction, checkpoint: str, interval: str | None = None, mode: str = "append"
 ) -> StreamingQuery:
     """Run ``write`` per micro-batch; without an interval, work off what is there and stop."""
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
-    trigger = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
-    return trigger.start()
+    return triggered(writer, interval).start()
 
 
 def run_bounded(query: StreamingQuery, seconds: int) -> bool:
@@ -89,10 +93,12 @@ def topic_job(
     return start(messages, enrichment_writer(TOPICS[topic], dicts, out), checkpoint, interval)
 
 
-def to_console(df: DataFrame, checkpoint: str, rows: int = 20, mode: str = "update") -> StreamingQuery:
+def to_console(
+    df: DataFrame, checkpoint: str, rows: int = 20, mode: str = "update", interval: str | None = None
+) -> StreamingQuery:
     """Print each batch, as the counting jobs do."""
     writer = df.writeStream.format("console").option("numRows", rows).outputMode(mode)
-    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return triggered(writer.option("checkpointLocation", checkpoint), interval).start()
 
 
 def running_class_counts(
@@ -122,24 +128,16 @@ def count_writer(report: Callable[[int, int], None]) -> BatchFunction:
     return write
 
 
-def raw_archive(messages: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+def raw_archive(messages: DataFrame, out: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """Store messages unparsed, with where they came from."""
     kept = [c for c in ("topic", "partition", "offset", "timestamp") if c in messages.columns]
-    return (
-        messages.select("value", *kept)
-        .writeStream.format("json")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def first_seen(stream: DataFrame, key: str, time: str | None = None, delay: str = "1 day") -> DataFrame:
-    """Drop repeats of a post. With an event time the state is bounded by ``delay``."""
-    if time:
-        return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
-    return stream.dropDuplicates([key])
+    writer = messages.select("value", *kept).writeStream.format("json").option("path", out)
+    return triggered(writer.option("checkpointLocation", checkpoint), interval).start()
+
+
+def first_seen(stream: DataFrame, key: str, time: str, delay: str = "1 day") -> DataFrame:
+    """Drop repeats of a post that come within ``delay`` of event time, which bounds the state."""
+    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
 def latest_writer(key: str, order: list[str], out: str) -> BatchFunction:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 # Header of the comma-separated posts file.
 POST_CSV_HEADER = ("Post ID", "Screen Name", "ID", "sentence", "Sentiment")
+#: A delimited file with quoted line breaks is read by one task, so files are kept to so many rows.
+DELIMITED_ROWS = 1_000_000
 # Delimited text keeps every character of a field: quoted where needed, white space at its ends included.
 WHOLE_FIELDS = {
     "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
@@ -46,15 +48,17 @@ def write_json(
     replace_batch(df, path, "json", batch_id, source, levels)
 
 
-def write_pipe(df: DataFrame, path: str, batch_id: int) -> None:
+def write_pipe(df: DataFrame, path: str, batch_id: int, rows_per_file: int = DELIMITED_ROWS) -> None:
     """Pipe-delimited with quoting: breaks, pipes and quotes in a text survive the round trip."""
-    replace_batch(df, path, "csv", batch_id, sep="|", header=False, **WHOLE_FIELDS)
+    replace_batch(df, path, "csv", batch_id, sep="|", header=False, maxRecordsPerFile=rows_per_file, **WHOLE_FIELDS)
 
 
-def write_post_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    """Append comma-separated posts under the fixed five-column header."""
+def write_post_csv(
+    df: DataFrame, path: str, columns: Sequence[str], batch_id: int, rows_per_file: int = DELIMITED_ROWS
+) -> None:
+    """Add one batch of comma-separated posts under the fixed five-column header; a replay replaces it."""
     named = df.select(*[F.col(c).alias(h) for c, h in zip(columns, POST_CSV_HEADER, strict=True)])
-    named.write.mode("append").option("header", True).options(**WHOLE_FIELDS).csv(path)
+    replace_batch(named, path, "csv", batch_id, header=True, maxRecordsPerFile=rows_per_file, **WHOLE_FIELDS)
 
 
 def write_parquet(df: DataFrame, path: str, batch_id: int) -> None:
@@ -81,14 +85,27 @@ def overwrite_table(df: DataFrame, table: str, path: str, format: str = "parquet
     df.write.format(format).mode("overwrite").option("path", path).saveAsTable(table)
 
 
-def jdbc_sink(url: str, table: str, properties: dict[str, str]) -> Callable[[DataFrame, int], None]:
+def for_database(df: DataFrame, batch_id: int, connections: int) -> DataFrame:
+    """The rows of a batch as they are inserted: marked with the batch, in as many parts as connections.
+
+    The parts are dealt after everything before has run in its own parallelism; asking the writer for fewer
+    partitions would run the enrichment in as few tasks.
+    """
+    return df.withColumn("batch_id", F.lit(batch_id)).repartition(connections)
+
+
+def jdbc_sink(
+    url: str, table: str, properties: dict[str, str], delete_batch: Callable[[int], None], connections: int = 16
+) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function inserting into a database table; needs the database's driver jar.
 
-    The rows go out in batched inserts from the executors, a few connections at a time.
+    ``delete_batch`` removes the rows of a batch from the table, in the database's own way; it is called before
+    the inserts, so a replayed batch isn't stored twice.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
-        df.write.option("batchsize", 5000).option("numPartitions", 16).jdbc(
+        delete_batch(batch_id)
+        for_database(df, batch_id, connections).write.option("batchsize", 5000).jdbc(
             url, table, mode="append", properties=properties
         )
 

@@ -32,14 +32,25 @@ def test_pipe_text_round_trip(spark, rows, tmp_path):
     assert lines[:3] == ['0|"line\nbreak | pipe, comma ""quote"""', "1|plain", "2|"]
 
 
-def test_post_csv_appends(spark, rows, tmp_path):
+def test_post_csv_replaces_a_replayed_batch(spark, rows, tmp_path):
     posts = rows.selectExpr("id", "'n' AS n", "'u' AS u", "text", "'' AS s")
-    for _ in range(2):
-        sinks.write_post_csv(posts, str(tmp_path), posts.columns)
-    text = next(tmp_path.glob("*.csv")).read_text()
-    assert text.startswith("Post ID,Screen Name,ID,sentence,Sentiment")
-    back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(str(tmp_path))
-    assert back.count() == 2 * len(NASTY)
+    for batch in (1, 1, 2):
+        sinks.write_post_csv(posts, str(tmp_path), posts.columns, batch, rows_per_file=2)
+    files = list(tmp_path.glob("*/*.csv"))
+    assert all(f.read_text().startswith("Post ID,Screen Name,ID,sentence,Sentiment") for f in files)
+    back = streams.read_delimited(spark, str(tmp_path), "id INT, n STRING, u STRING, text STRING, s STRING, batch_id INT", header=True)
+    assert back.count() == 2 * len(NASTY) and len(files) >= 6
+    assert {r.text or "" for r in back.collect()} == set(NASTY)
+
+
+def test_database_rows_are_dealt_after_the_work(spark, rows):
+    ready = sinks.for_database(rows.repartition(7), 4, 3)
+    assert ready.rdd.getNumPartitions() == 3 and {r.batch_id for r in ready.collect()} == {4}
+    deleted = []
+    write = sinks.jdbc_sink("jdbc:none:x", "t", {}, deleted.append)
+    with pytest.raises(Exception, match="(?i)driver"):
+        write(rows, 9)
+    assert deleted == [9]
 
 
 def test_tables(spark, rows, tmp_path):
