@@ -6,13 +6,28 @@ each helper states one rule.
 
 from __future__ import annotations
 
-from postlens.functions.text import CONTRACTION_RULE, TREEBANK_RULES, WHITE_SPACE, WORD
 from postlens.plans.samples import (
     ENTITIES, EVENT_STEMS, GAZETTEER, NEGATIVE, POSITIVE, ROOTS, SLANG, VOCABULARY,
 )
 
 ORACLES: dict[str, str] = {}
 
+# Stated here once more and in other terms than in the package, so that a wrong rule there shows.
+# White space: the controls from tab to carriage return, the four separators, next line, and every separator.
+WHITE_SPACE = r"[\t-\r\x1c-\x1f\x{85}\p{Z}]+"
+# A word: letters and digits of any script, and the underscore.
+WORD = r"[\p{L}\p{N}_]+"
+# Treebank tokenisation: opening quotes; colon and comma unless before a digit; the last full stop of a line or
+# before a space; dots, dashes and single signs; closing quotes; then contractions.
+TREEBANK = (
+    (r'(^|[\x20(\x5B{<])"', r"\1 `` "),
+    (r"([,:])(\D|\z)", r" \1 \2"),
+    (r"([^.])[.]([\x5D)}>\"']*)([\x20\t\r\n]|\z)", r"\1 . \2 "),
+    (r"([.]{3}|-{2}|[][;@#$%&?!(){}<>])", r" \1 "),
+    (r'"', r" '' "),
+    (r"([^'\x20])('(?:s|m|d|ll|re|ve)|n't|')(\x20|\z)", r"\1 \2 "),
+)
+
 
 def q(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
@@ -41,8 +56,8 @@ def words(expression: str) -> str:
 
 def tokens(expression: str) -> str:
     padded = f"lower({expression})"
-    for pattern, replacement in (*TREEBANK_RULES, CONTRACTION_RULE):
-        padded = replaced(padded, pattern, replacement.replace("$", "\\"))
+    for pattern, replacement in TREEBANK:
+        padded = replaced(padded, pattern, replacement)
     return words(padded)
 
 
@@ -445,6 +460,34 @@ used AS (SELECT doc_id, id, count(*) AS n FROM pos WHERE id <> 0 GROUP BY ALL),
 pooled AS (SELECT doc_id, CAST(dim AS INT) AS dim, round(sum(n * CAST(x AS DOUBLE)) / sum(n), 6) + 0.0 AS mean
   FROM used JOIN el ON vec_id = id GROUP BY doc_id, dim)
 SELECT doc_id, dim, mean FROM documents LEFT JOIN pooled USING (doc_id)"""
+
+
+def bayes(train: str, texts: str) -> str:
+    """Relations ``model`` to ``posterior(doc_id, p)``: counts raised by one, words of the training texts only.
+
+    ``train`` selects (doc_id, ws, quality), ``texts`` (doc_id, ws).
+    """
+    return f"""train AS MATERIALIZED ({train}), texts AS MATERIALIZED ({texts}),
+seen AS (SELECT unnest(ws) AS w, quality FROM train),
+per_word AS (SELECT w, sum(quality) AS n1, sum(1 - quality) AS n0 FROM seen GROUP BY w),
+sums AS (SELECT coalesce(sum(n1), 0) + count(*) AS t1, coalesce(sum(n0), 0) + count(*) AS t0 FROM per_word),
+prior AS (SELECT ln((coalesce(sum(quality), 0) + 1) / (coalesce(sum(1 - quality), 0) + 1)) AS odds FROM train),
+evidence AS (SELECT doc_id, sum(ln((n1 + 1) / t1) - ln((n0 + 1) / t0)) AS odds
+  FROM (SELECT doc_id, unnest(ws) AS w FROM texts) JOIN per_word USING (w), sums GROUP BY doc_id),
+posterior AS (SELECT texts.doc_id, 1 / (1 + exp(-(prior.odds + coalesce(evidence.odds, 0)))) AS p
+  FROM texts LEFT JOIN evidence USING (doc_id), prior)"""
+
+
+TRAINING = "SELECT doc_id, ws, quality FROM dw JOIN labels USING (doc_id) WHERE quality IN (0, 1)"
+SHOWN = "printf('%.6f', p) AS positive_scores, printf('%.6f', 1 - p) AS negative_scores"
+CLASS = "CASE WHEN p > 1 - p THEN 'Positive' ELSE 'Negative' END"
+ORACLES["classifier_score"] = f"""WITH {DOC_WORDS}, {bayes(TRAINING, 'SELECT doc_id, ws FROM dw')}
+SELECT doc_id, {SHOWN}, {CLASS} AS sentiment FROM posterior"""
+PART = "CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 4"
+ORACLES["classifier_accuracy"] = f"""WITH {DOC_WORDS},
+{bayes(f'{TRAINING} AND {PART} <> 0', f'SELECT doc_id, ws FROM dw JOIN labels USING (doc_id) WHERE {PART} = 0')}
+SELECT avg(CASE WHEN (p > 1 - p) = (quality = 1) THEN 1.0 ELSE 0.0 END) AS accuracy, count(*) AS scored
+FROM posterior JOIN labels USING (doc_id)"""
 ORACLES["label_accuracy"] = """SELECT avg(CASE WHEN 1 - toxic = quality THEN 1.0 ELSE 0.0 END) AS accuracy,
   count(*) AS scored FROM labels"""
 
@@ -508,12 +551,11 @@ for _name, (_columns, _where, _text, _shown_columns) in TABLE_COLUMNS.items():
     ORACLES[f"db_row_{_name}"] = f"""WITH f AS (SELECT doc_id, {selected(_columns, ' ')} FROM documents WHERE {_where}),
 tok AS (SELECT doc_id, {tokens(_text)} AS tk FROM f), {event_words(' ')}, {_found},
 cities AS (SELECT doc_id, {CITY_LIST} AS city_l FROM tok),
-dbw AS (SELECT doc_id, {words(clean(_text))} AS ws FROM f),
-sc AS (SELECT doc_id, {count_in('ws', POS_ONLY)} AS pos, {count_in('ws', NEGATIVE)} AS neg FROM dbw)
-SELECT f.doc_id, {_upper}, CAST(pos AS VARCHAR) AS POSITIVE_SCORES, CAST(neg AS VARCHAR) AS NEGATIVE_SCORES,
-  CASE WHEN pos > neg THEN 'Positive' ELSE 'Negative' END AS SENTIMENT,
+{DOC_WORDS}, dbw AS (SELECT doc_id, {words(clean(_text))} AS ws FROM f),
+{bayes(TRAINING, 'SELECT doc_id, ws FROM dbw')}
+SELECT f.doc_id, {_upper}, {SHOWN.upper().replace("PRINTF('%.6F'", "printf('%.6f'")}, {CLASS} AS SENTIMENT,
   {joined(first_seen('city_l'), ' ')} AS ENTITAS_CITY, {_entity}, coalesce(events, '') AS ENTITAS_EVENT_NEGATIF
-FROM f JOIN sc USING (doc_id) JOIN found USING (doc_id) JOIN cities USING (doc_id) LEFT JOIN ev_doc USING (doc_id)"""
+FROM f JOIN posterior USING (doc_id) JOIN found USING (doc_id) JOIN cities USING (doc_id) LEFT JOIN ev_doc USING (doc_id)"""
 
 QUOTED = """CASE WHEN regexp_matches(text, '[|"\\r\\n]') THEN '"' || replace(text, '"', '""') || '"' ELSE text END"""
 ORACLES["pipe_row"] = f"""WITH {SCORED} SELECT doc_id || '|' || {QUOTED} || '|' || {LABEL} || '|' || n AS line

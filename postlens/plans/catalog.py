@@ -464,17 +464,18 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("classifier_score")
 def classifier_score(spark, sf_dir):
     model = classify.fit(_labelled(spark, sf_dir), "words", "quality")
-    return classify.score(model, _cleaned_words(spark, sf_dir).select("doc_id", "words")).drop("words")
+    docs = _cleaned_words(spark, sf_dir).select("doc_id", "words")
+    return classify.with_sentiment(classify.score(model, docs, ["doc_id"], "words")).drop("words")
 
 
 @query("classifier_accuracy")
 def classifier_accuracy(spark, sf_dir):
-    labelled = _labelled(spark, sf_dir)
-    model = classify.fit(labelled, "words", "quality")
-    scored = classify.score(model, labelled).withColumn(
-        "predicted", (F.col("sentiment") == tables.LABEL_POSITIVE).cast("int")
-    )
-    return classify.accuracy(scored, "predicted", "quality")
+    """Measured on the quarter of the labelled documents that the model hasn't seen."""
+    part = F.pmod(F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("bigint"), F.lit(4))
+    labelled = _labelled(spark, sf_dir).withColumn("part", part)
+    model = classify.fit(labelled.where("part <> 0"), "words", "quality")
+    held = classify.score(model, labelled.where("part = 0"), ["doc_id"], "words")
+    return classify.accuracy(held.withColumn("predicted", (F.col("positive") > F.col("negative")).cast("int")), "predicted", "quality")
 
 
 @query("label_accuracy")
@@ -573,8 +574,8 @@ def _table_rows(source: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         flat = tables.flatten_for_table(_usable(spark, sf_dir, source), source, ["doc_id"])
         words = flat.withColumn("_w", text.split_cleaned(text.clean_text(F.col(tables.text_column(source)))))
-        pos, neg = sentiment.hit_counts("_w", POSITIVE, NEGATIVE)
-        scored = words.withColumns({"_positive": pos, "_negative": neg})
+        model = classify.fit(_labelled(spark, sf_dir), "words", "quality")
+        scored = classify.score(model, words, ["doc_id"], "_w").withColumnsRenamed({"positive": "_positive", "negative": "_negative"})
         return tables.table_rows(scored, source, DICTIONARIES, "_positive", "_negative", ["doc_id"])
 
     return run

@@ -81,8 +81,8 @@ def table_rows(
     return entities.with_types(words, "_tokens", kinds, "_").select(
         *keep,
         *[F.col(name).alias(column) for column, name in SOURCE_COLUMNS[source].items()],
-        F.col(positive).cast("string").alias("POSITIVE_SCORES"),
-        F.col(negative).cast("string").alias("NEGATIVE_SCORES"),
+        F.format_string("%.6f", positive).alias("POSITIVE_SCORES"),
+        F.format_string("%.6f", negative).alias("NEGATIVE_SCORES"),
         class_label(F.col(positive), F.col(negative)).alias("SENTIMENT"),
         places.alias("ENTITAS_CITY"),
         entities.joined(F.col("_person"), " ").alias("ENTITAS_PERSON"),

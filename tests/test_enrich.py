@@ -82,7 +82,7 @@ def test_table_rows_keep_the_table_layout(spark, dicts):
     row = tables.table_rows(flat, "facebook", dicts, "p", "n").first()
     assert len(row) == 20
     assert (row.ID, row.COMMENTS_COUNT, row.FROM_NAME, row.LIKES_COUNT) == ("9", 2, "n", None)
-    assert (row.POSITIVE_SCORES, row.SENTIMENT, row.ENTITAS_CITY, row.ENTITAS_PERSON) == ("0.75", "Positive", "bandung", "anies")
+    assert (row.POSITIVE_SCORES, row.SENTIMENT, row.ENTITAS_CITY, row.ENTITAS_PERSON) == ("0.750000", "Positive", "bandung", "anies")
 
 
 @pytest.mark.parametrize(

@@ -11,7 +11,6 @@ import __spark_entry__ as contract
 from checks.oracles import ORACLES
 from postlens.plans.catalog import QUERIES
 
-ROWS_ONLY = {"classifier_score", "classifier_accuracy"}
 
 
 @pytest.fixture(scope="module")
@@ -23,8 +22,7 @@ def duck(sf_dir):
 
 
 def test_every_query_states_its_result():
-    assert QUERIES.keys() - ORACLES.keys() == ROWS_ONLY
-    assert not ORACLES.keys() - QUERIES.keys()
+    assert QUERIES.keys() == ORACLES.keys()
     assert QUERIES.keys() <= contract.queries().keys()
     assert ORACLES.keys() <= contract.oracle_sql().keys()
 
@@ -42,14 +40,9 @@ def test_agrees_with_sql(spark, duck, sf_dir, name):
     assert got, "a query without rows checks nothing"
 
 
-@pytest.mark.parametrize("name", sorted(ROWS_ONLY))
-def test_model_queries(spark, sf_dir, name):
-    row = QUERIES[name](spark, sf_dir).first()
-    if name == "classifier_accuracy":
-        assert row.accuracy > 0.6 and row.scored > 0
-    else:
-        assert (row.sentiment == "Positive") == (float(row.positive_scores) > float(row.negative_scores))
-        assert abs(float(row.positive_scores) + float(row.negative_scores) - 1) < 1e-9
+def test_the_model_knows_unseen_documents(spark, sf_dir):
+    row = QUERIES["classifier_accuracy"](spark, sf_dir).first()
+    assert row.accuracy > 0.6 and row.scored > 0
 
 
 def test_entry(spark):
