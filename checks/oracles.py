@@ -180,8 +180,9 @@ ORACLES["project_strings"] = """SELECT doc_id, CAST(doc_id + 985000000000000000
   CAST(n_chars % 97 AS VARCHAR) AS retweet_count, CASE WHEN n_chars > 280 THEN 'true' ELSE 'false' END AS truncated,
   CASE WHEN doc_id % 3 <> 0 THEN CAST(n_chars % 13 AS VARCHAR) END AS favorite_count
 FROM documents WHERE doc_id % 11 <> 10"""
-ORACLES["archive_split"] = """SELECT doc_id, 0 AS pos, md5(text) AS text_hash, NULL AS of_doc FROM documents
-UNION ALL SELECT doc_id, 1, NULL, CAST(doc_id AS VARCHAR) FROM documents"""
+ORACLES["archive_split"] = """SELECT doc_id, 0 AS pos, md5(text) AS text_hash, NULL AS lang, NULL AS of_doc FROM documents
+UNION ALL SELECT doc_id, 1, NULL, lang || '}{', CAST(doc_id AS VARCHAR) FROM documents
+UNION ALL SELECT doc_id, 2, NULL, NULL, NULL FROM documents UNION ALL SELECT doc_id, 3, NULL, NULL, NULL FROM documents"""
 
 # Flatteners --------------------------------------------------------------------------------------
 

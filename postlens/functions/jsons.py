@@ -44,9 +44,16 @@ def list_text(raw: Column, separator: str) -> Column:
     return F.when(only_strings, F.array_join(items, separator))
 
 
+# The end of an object, before the start of another: an opening brace with a key (a whole string and a colon) or with
+# nothing in it. Quantifiers don't give back, so long strings need no deep recursion.
+STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+BOUNDARY = rf"\}}(?=\s*+\{{\s*+(?:{STRING}\s*+:|\}}))"
+
+
 def split_concatenated(value: Column) -> Column:
-    """JSON objects written back to back without separators, as an array of objects.
+    """JSON objects written one after the other, with or without white space between, as an array of objects.
 
-    ``}{"`` cannot occur inside a JSON string, where the quote would be escaped.
+    A text that ends in ``}{`` is no boundary: the quote that closes it opens no key there.
     """
-    return F.split(F.replace(value, F.lit('}{"'), F.lit('}\x1e{"')), "\x1e")
+    pieces = F.split(F.regexp_replace(value, BOUNDARY, "}\x1e"), "\x1e")
+    return F.filter(F.transform(pieces, lambda p: F.btrim(p, F.lit(" \t\r\n"))), lambda p: p != "")

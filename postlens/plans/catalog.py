@@ -155,11 +155,15 @@ def project_strings(spark, sf_dir):
 
 @query("archive_split")
 def archive_split(spark, sf_dir):
-    """Two objects per row written back to back, taken apart again."""
+    """Three objects per row, one of them with a text that ends like a boundary, parted by nothing, a space or a
+    line break, taken apart again."""
     docs = _documents(spark, sf_dir, "text", "lang")
-    pair = F.concat(F.to_json(F.struct("doc_id", "text")), F.to_json(F.struct("lang", F.struct("doc_id").alias("of"))))
-    parts = streams.split_archives(docs.withColumn("value", pair), "value", ["doc_id"])
+    gap = F.element_at(F.array(*map(F.lit, ("", " ", "\n"))), (F.pmod("doc_id", F.lit(3)) + 1).cast("int"))
+    tricky = F.to_json(F.struct(F.concat("lang", F.lit("}{")).alias("lang"), F.struct("doc_id").alias("of")))
+    value = F.concat(F.to_json(F.struct("doc_id", "text")), gap, tricky, gap, F.lit("{}"), F.to_json(F.struct("doc_id")))
+    parts = streams.split_archives(docs.withColumn("value", value), "value", ["doc_id"])
     return parts.select("doc_id", "pos", F.md5(F.get_json_object("value", "$.text")).alias("text_hash"),
+                        F.get_json_object("value", "$.lang").alias("lang"),
                         F.get_json_object("value", "$.of.doc_id").alias("of_doc"))
 
 

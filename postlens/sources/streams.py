@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,17 +55,49 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str, s
 
 
 def archive_statuses(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """One row per JSON object from archives of objects written back to back.
+    """One row per JSON object from archives of objects written one after the other.
 
-    The separator is recognised by the reader itself, so a large archive splits across tasks. Cutting at
-    ``}{"`` takes the closing brace off one object and the opening brace and quote off the next.
+    The reader cuts at ``}{"``, so a large archive splits across tasks; cutting there takes the closing brace off
+    one piece and the opening brace and quote off the next. Objects with white space between them are still in
+    one piece and are parted next. A text that ends in ``}{`` is cut as well: those pieces, few and neighbours
+    in their file, are put together again until they parse.
     """
-    pieces = spark.read.option("lineSep", '}{"').text(paths).select(F.trim("value").alias("piece"))
-    opened = F.when(F.startswith("piece", F.lit("{")), F.col("piece")).otherwise(
-        F.concat(F.lit('{"'), "piece")
+    split = F.col("_metadata.file_block_start")
+    pieces = spark.read.option("lineSep", '}{"').text(paths).select(
+        F.col("_metadata.file_path").alias("file"), split.alias("split"), F.monotonically_increasing_id().alias("at"),
+        F.col("value").alias("piece"),
+    )
+    # A piece without its own opening brace lost it, and the quote, to the cut; only what a file begins with has both.
+    opened = pieces.withColumn("open", F.when(F.startswith(F.ltrim("piece"), F.lit("{")), F.col("piece")).otherwise(F.concat(F.lit('{"'), "piece")))
+    judged = opened.withColumn("objects", _objects(F.col("open")))
+    whole = judged.where("objects IS NOT NULL").select(F.explode("objects").alias("value"))
+    return whole.unionByName(_glued(judged.where("objects IS NULL")))
+
+
+def _objects(text: Column) -> Column:
+    """The objects of ``text``, or of ``text`` and a closing brace; null if neither is objects alone."""
+    read = F.transform(F.array(text, F.concat(text, F.lit("}"))), jsons.split_concatenated)
+    parses = lambda value: F.try_parse_json(value).isNotNull()
+    return F.get(F.filter(read, lambda objects: F.forall(objects, parses)), F.lit(0))
+
+
+def _glued(broken: DataFrame) -> DataFrame:
+    """Objects out of pieces that don't parse on their own, in file order; what never parses stays one row."""
+    in_order = broken.groupBy("file").agg(
+        F.array_sort(F.collect_list(F.struct("split", "at", "piece", "open"))).alias("pieces")
     )
-    closed = F.when(F.try_parse_json(opened).isNotNull(), opened).otherwise(F.concat(opened, F.lit("}")))
-    return pieces.where("piece <> ''").select(closed.alias("value"))
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("held"), F.lit(-2).cast("long").alias("last"))
+
+    def add(acc: Column, p: Column) -> Column:
+        follows = (acc["held"] != "") & ((p["at"] == acc["last"] + 1) | (p["at"].bitwiseAND((1 << 33) - 1) == 0))
+        held = F.when(follows, F.concat(acc["held"], F.lit('}{"'), p["piece"])).otherwise(p["open"])
+        left = F.when(~follows & (acc["held"] != ""), F.array(acc["held"])).otherwise(F.array().cast("array<string>"))
+        ready = _objects(held)
+        done = F.concat(acc["done"], left, F.coalesce(ready, F.array().cast("array<string>")))
+        return F.struct(done.alias("done"), F.when(ready.isNotNull(), "").otherwise(held).alias("held"), p["at"].alias("last"))
+
+    whole = F.aggregate("pieces", start, add, lambda acc: F.concat(acc["done"], F.filter(F.array(acc["held"]), lambda h: h != "")))
+    return in_order.select(F.explode(whole).alias("value"))
 
 
 def split_archives(df: DataFrame, value: str, keep: Sequence[str] = ()) -> DataFrame:

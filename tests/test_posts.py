@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from postlens.sources import dictionaries, posts, schemas, streams
@@ -83,6 +85,25 @@ def test_archive_of_objects_without_separators(spark, tmp_path):
     assert sorted(ids) == list(range(50))
 
 
+@pytest.mark.parametrize("gap", ["", " ", "\n", "\r\n  "])
+@pytest.mark.parametrize("split", [None, 64])
+def test_archives_with_boundaries_in_texts(spark, tmp_path, gap, split):
+    texts = ["x}{", "y", 'q "}{" r', "}{", "a\\", "z}{\"k\": 1}", "", "{}", "line\nbreak }{"]
+    objects = [{"id": i, "text": t, "user": {"id_str": "1", "n": {"m": {}}}, "e": {}} for i, t in enumerate(texts * 3)]
+    archive = gap.join(json.dumps(o) for o in objects)
+    (tmp_path / "archive.txt").write_text(archive)
+    if split:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        scanned = [json.loads(r.value) for r in streams.archive_statuses(spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(scanned, key=lambda o: o["id"]) == objects
+    rows = spark.createDataFrame([(archive,), ("",), (None,)], "value STRING")
+    parts = streams.split_archives(rows, "value").orderBy("pos").collect()
+    assert [json.loads(r.value) for r in parts] == objects
+
+
 def test_dictionary_files(spark, tmp_path):
     (tmp_path / "slang.txt").write_text("gpp tidak apa-apa\negp emang saya\n\ngpp  tidak   masalah\nkosong\n")
     slang = dictionaries.slang_table(dictionaries.read_lines(spark, str(tmp_path / "slang.txt")))
