@@ -21,7 +21,7 @@ HEADLINE = (
     "geo_lookup", "tokenize_words", "normalize_slang", "word_frequency", "stem_tokens", "spell_correct",
     "encode_sequence", "embedding_pool", "flatten_tweet", "flatten_instagram", "db_row_tweet",
     "class_counts_history", "running_counts", "dedup_by_id", "batch_counts", "stream_running_counts",
-    "stream_enrich",
+    "stream_enrich", "enrich_posts_large", "normalize_slang_large", "classifier_score",
 )
 
 
@@ -35,7 +35,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(int(os.environ.get("BENCH_CPUS", "8")), name="bench")
     names = sys.argv[1:] or HEADLINE
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("count(*) AS n", "sum(octet_length(text)) AS bytes").first()
+    documents = texts.n
     seconds = {}
     for name in names:
         run(spark, name, sf_dir)
@@ -52,6 +53,10 @@ def main() -> None:
                 "documents_per_sec": {
                     name: round(documents / seconds[name]) for name in ("enrich_posts", "stream_enrich") if name in seconds
                 },
+                "text_mb_per_sec": {
+                    name: round(texts.bytes / 1e6 / seconds[name], 2)
+                    for name in ("enrich_posts", "enrich_posts_large", "stream_enrich") if name in seconds
+                },
                 "sf": float(scale) if scale.replace(".", "").isdigit() else scale,
             }
         )
