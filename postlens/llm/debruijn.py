@@ -30,6 +30,12 @@ def word_codes(raw: bytes) -> np.ndarray:
     return np.fromiter((digest(w) for w in words), np.uint64, len(words))
 
 
+def edges(raw: bytes, tokens: np.ndarray, starts: list[int], ns: list[int]) -> list[bytes]:
+    """The edges of each piece, eight bytes each; hashed once per text."""
+    codes = repeats.span_hashes(tokens, LENGTH).tobytes()
+    return [codes[8 * a : 8 * (a + n)] for a, n in zip(starts, ns, strict=True)]
+
+
 def compare(table: pa.Table) -> list[np.ndarray]:
     """Which edges of the pieces of a bucket have an equal one at an earlier coordinate."""
     n = table.column("n").to_numpy()
@@ -51,7 +57,7 @@ TASK = repeats.Task(
     seed=SEED,
     keep_first=True,
     tokens=word_codes,
-    payload=lambda raw, tokens, start, n: repeats.span_hashes(tokens[start : start + n - 1 + LENGTH], LENGTH).tobytes(),
+    payloads=edges,
     compare=compare,
     window=lambda payload, n: np.frombuffer(payload, np.uint64),
     deal=lambda left: left.repartition("seed"),
@@ -71,7 +77,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     spans = repeats.spans_by_document(repeats.repeated(rows, TASK))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in repeats.slices(parts):
             n_words, removed, kept = [], [], []
             for raw, found in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
                 words = raw.split()

@@ -25,6 +25,8 @@ from postlens.session import written
 
 #: Tokens of a text that are hashed at a time; bounds the arrays of a task whatever the length of a text.
 BLOCK = 1 << 20
+#: Rows whose instances a task holds at a time.
+SLICE = 512
 #: Anchors with more contexts than this are not compared in one task; their windows are dealt out singly.
 HOT = 4096
 #: Bits of the map of repeated anchors: 64 for each, at most this many (32 MB). Beyond, more anchors that are
@@ -103,12 +105,20 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
 
 
+def slices(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most SLICE, as an instance becomes several objects."""
+    for part in parts:
+        for at in range(0, part.num_rows, SLICE):
+            yield part.slice(at, SLICE)
+
+
 @dataclass(frozen=True)
 class Task:
     """What an operator brings: how a text becomes tokens, what of an instance is kept for comparison, and the
     comparison itself.
 
-    tokens: text -> array of uint64. payload: (text, tokens, start, n) -> bytes that determine the windows.
+    tokens: text -> array of uint64. payloads: (text, tokens, starts, ns) -> per instance bytes that determine its
+    windows.
     compare: columns of one bucket's instances -> per instance the flags of its windows that are repeated (for
     ``keep_first``: that have an earlier equal). window: (payload, n) -> a hash per window.
     """
@@ -117,7 +127,7 @@ class Task:
     seed: int
     keep_first: bool
     tokens: Callable[[bytes], np.ndarray]
-    payload: Callable[[bytes, np.ndarray, int, int], bytes]
+    payloads: Callable[[bytes, np.ndarray, list[int], list[int]], list[bytes]]
     compare: Callable[[pa.Table], list[np.ndarray]]
     window: Callable[[bytes, int], np.ndarray]
     deal: Callable[[DataFrame], DataFrame]
@@ -132,7 +142,7 @@ def identified(docs: DataFrame) -> DataFrame:
 
 def _seeds(rows: DataFrame, task: Task) -> DataFrame:
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             found = [instances(task.tokens(raw), task.width, task.seed).seed for raw in part.column(0).to_pylist()]
             seeds = np.concatenate(found) if found else np.empty(0, np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(seeds.view(np.int64))], names=["seed"])
@@ -173,7 +183,7 @@ def candidates(rows: DataFrame, task: Task) -> DataFrame:
     shared = repeated_seeds(rows, task)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             seeds, contexts, starts, ns, leads, payloads, owner = [], [], [], [], [], [], []
             for row, raw in enumerate(part.column(2).to_pylist()):
                 tokens = task.tokens(raw)
@@ -181,8 +191,7 @@ def candidates(rows: DataFrame, task: Task) -> DataFrame:
                 chosen = np.flatnonzero(_is_in(shared.value, all_.seed))
                 if not len(chosen):
                     continue
-                spans = list(zip(all_.start[chosen].tolist(), all_.n[chosen].tolist(), strict=True))
-                payloads += [task.payload(raw, tokens, a, n) for a, n in spans]
+                payloads += task.payloads(raw, tokens, all_.start[chosen].tolist(), all_.n[chosen].tolist())
                 seeds.append(all_.seed[chosen])
                 starts.append(all_.start[chosen])
                 ns.append(all_.n[chosen])
@@ -259,7 +268,7 @@ def _dealt_singly(hot: DataFrame, task: Task) -> DataFrame:
     schema = T.StructType([*fields, T.StructField("start", T.LongType()), T.StructField("code", T.LongType())])
 
     def windows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             ns = part.column("n").to_numpy()
             codes = [task.window(p, n) for p, n in zip(part.column("payload").to_pylist(), ns.tolist(), strict=True)]
             if not codes:

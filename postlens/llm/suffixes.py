@@ -103,7 +103,7 @@ TASK = repeats.Task(
     seed=SEED,
     keep_first=False,
     tokens=lambda raw: _CODES[np.frombuffer(raw, np.uint8)],
-    payload=lambda raw, tokens, start, n: raw[start : start + n - 1 + LENGTH],
+    payloads=lambda raw, tokens, starts, ns: [raw[a : a + n - 1 + LENGTH] for a, n in zip(starts, ns, strict=True)],
     compare=compare,
     window=lambda payload, n: np.array([xxhash.xxh64_intdigest(payload[i : i + LENGTH]) for i in range(n)], np.uint64),
     deal=lambda left: left.repartitionByRange(F.expr(f"substring(payload, lead + 1, {SEED})")),
@@ -123,7 +123,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     spans = repeats.spans_by_document(repeats.repeated(rows, TASK))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in repeats.slices(parts):
             removed, n_spans, kept = [], [], []
             for raw, found in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
                 gone = repeats.covered(found, len(raw), LENGTH)
