@@ -254,7 +254,7 @@ GPLUS = {
     "etag": "'\"' || source || '/x\"'",
     "id_gplus": "'z' || doc_id",
     "published": "'2018-04-13T02:49:09.000Z'",
-    "title": "substr(text, 1, 40)",
+    "title": "lang || '/' || source",
     "updated": "'2018-04-13T02:50:09.000Z'",
     "url_post": "'http://example.org/a/' || doc_id",
     "content": "text",

@@ -14,11 +14,15 @@ def unless(modulus: int, remainder: int, value: Column) -> Column:
 
 
 def delivered(record: Column) -> Column:
-    """Every second record is encoded twice; every eleventh is cut short."""
-    twice = F.to_json(F.array(record))
-    encoded = F.when(F.col("doc_id") % 2 == 1, F.substring(twice, F.lit(2), F.length(twice) - 2)).otherwise(record)
-    cut = F.substring(record, F.lit(1), F.length(record) - 2)
-    return F.when(F.col("doc_id") % 11 == 10, cut).otherwise(encoded)
+    """Every second record is encoded twice; every eleventh is cut short. The record is made once per row."""
+
+    def sent(made: Column) -> Column:
+        twice = F.to_json(F.array(made))
+        encoded = F.when(F.col("doc_id") % 2 == 1, F.substring(twice, F.lit(2), F.length(twice) - 2)).otherwise(made)
+        cut = F.substring(made, F.lit(1), F.length(made) - 2)
+        return F.when(F.col("doc_id") % 11 == 10, cut).otherwise(encoded)
+
+    return F.get(F.transform(F.array(record), sent), F.lit(0))
 
 
 def _as(name: str, value: Column) -> Column:
@@ -132,7 +136,7 @@ def gplus(docs: DataFrame) -> DataFrame:
             _as("etag", F.concat(F.lit('"'), F.col("source"), F.lit('/x"'))),
             _as("id", F.concat(F.lit("z"), doc_id)),
             _as("published", F.lit("2018-04-13T02:49:09.000Z")),
-            _as("title", unless(7, 3, F.substring("text", 1, 40))),
+            _as("title", unless(7, 3, F.concat_ws("/", "lang", "source"))),
             _as("updated", F.lit("2018-04-13T02:50:09.000Z")),
             _as("url", F.concat(F.lit("http://example.org/a/"), doc_id)),
         )
