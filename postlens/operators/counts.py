@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.functions.sentiment import count_in
-from postlens.operators.latest import latest_by_key  # noqa: F401
 from postlens.session import written
 
 # The two labels of the running counts.

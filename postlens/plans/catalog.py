@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from postlens.functions import entities, jsons, sentiment, stemming, text
 from postlens.operators import classify, counts, filters, spelling, vocabulary
 from postlens.operators.explode import items, positioned_items
+from postlens.operators.latest import latest_by_key
 from postlens.operators.lookup import replace_tokens
 from postlens.plans import joined, landed, tables
 from postlens.plans.enrich import enrich, slang_tokens, with_normalized, with_sentiment
@@ -532,7 +533,7 @@ def class_union(spark, sf_dir):
 @query("dedup_by_id")
 def dedup_by_id(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
-    latest = counts.latest_by_key(events, "user_id", ["ts", "event_id"])
+    latest = latest_by_key(events, "user_id", ["ts", "event_id"])
     return latest.select("user_id", "event_id", "event_type", "value")
 
 
@@ -703,7 +704,8 @@ def stream_running_counts(spark, sf_dir):
 def stream_enrich(spark, sf_dir):
     """Tweets through the enrichment job: judged, enriched, written as JSON per batch, read back."""
     base = shared_dir(spark, "enrich")
-    feed = landed.tweets(_document_stream(spark, sf_dir)).select("value", F.timestamp_seconds(F.col("doc_id") * 3600).alias("timestamp"))
+    arrived = F.timestamp_seconds(F.col("doc_id") * 3600).alias("timestamp")
+    feed = landed.tweets(_document_stream(spark, sf_dir)).select("value", arrived)
     write = jobs.enrichment_writer("tweet", DICTIONARIES, f"{base}/out")
     jobs.start(feed, write, f"{base}/checkpoint").awaitTermination()
     schema = """id BIGINT, sentiment STRING, total_score DOUBLE, person STRING, city STRING, lat_city STRING,

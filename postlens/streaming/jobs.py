@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from postlens.operators import counts
+from postlens.operators.latest import latest_by_key
 from postlens.plans.enrich import Dictionaries, enrich
 from postlens.sources import posts, streams
 from postlens.sources.scans import spread
@@ -144,11 +145,11 @@ def latest_writer(key: str, order: list[str], out: str) -> BatchFunction:
     """Latest version of each post within a batch; ``latest_posts`` settles versions across batches."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        sinks.write_parquet(counts.latest_by_key(batch, key, order), out, batch_id)
+        sinks.write_parquet(latest_by_key(batch, key, order), out, batch_id)
 
     return write
 
 
 def latest_posts(spark: SparkSession, path: str, key: str, order: list[str]) -> DataFrame:
     """The latest version of every post over all batches of ``latest_writer``."""
-    return counts.latest_by_key(spark.read.parquet(path), key, [*order, "batch_id"])
+    return latest_by_key(spark.read.parquet(path), key, [*order, "batch_id"])

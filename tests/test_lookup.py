@@ -94,10 +94,11 @@ def test_word_frequency(spark):
 
 def test_latest_and_running(spark):
     from postlens.operators import counts
+    from postlens.operators.latest import latest_by_key
 
     rows = [(1, 10, "a"), (1, 12, "b"), (2, 5, None), (1, 12, "c")]
     df = spark.createDataFrame([(k, t, i, v) for i, (k, t, v) in enumerate(rows)], "id INT, t INT, n INT, v STRING")
-    assert {(r.id, r.v) for r in counts.latest_by_key(df, "id", ["t", "n"]).collect()} == {(1, "c"), (2, None)}
+    assert {(r.id, r.v) for r in latest_by_key(df, "id", ["t", "n"]).collect()} == {(1, "c"), (2, None)}
     history = spark.createDataFrame([(b, lab, 1) for b in range(5000) for lab in ("P", "N")], "b INT, label STRING, count INT")
     running = counts.running_totals(history, "b", span=64)
     assert running.where(F.col("running_count") != F.col("b") + 1).count() == 0
