@@ -14,9 +14,13 @@ from postlens.session import written
 
 
 def _star(links: DataFrame) -> DataFrame:
-    """``links(u, v)``: each v is linked to the least of u and u's v's instead; u itself likewise."""
+    """``links(u, v)``: each v is linked to the least of u and u's v's instead; u itself likewise.
+
+    The least nodes are written first: a join of two plain tables is one whose hot keys (the hub of a large
+    component has most of its links) adaptive execution splits; of an aggregate's output it can't.
+    """
     least = links.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    return links.join(least, "u")
+    return links.join(written(least, "least-nodes"), "u")
 
 
 def _large(links: DataFrame) -> DataFrame:
