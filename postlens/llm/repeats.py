@@ -214,33 +214,40 @@ def candidates(rows: DataFrame, task: Task) -> DataFrame:
     return written(arrow_map(rows, batches, schema), "instances")
 
 
-def _ends(rows: DataFrame, *keys: str) -> DataFrame:
-    """Per key the first and last coordinate, where these differ or not."""
-    at = F.struct(*COORDINATE)
-    return rows.groupBy(*keys).agg(F.min(at).alias("first"), F.max(at).alias("last"))
+def _coordinate(task: Task) -> Column:
+    """Where a window or an instance starts: in order, where the earliest counts, else as a number of its own."""
+    return F.struct(*COORDINATE) if task.keep_first else F.xxhash64(*COORDINATE)
+
+
+def _ends(rows: DataFrame, task: Task, *keys: str) -> DataFrame:
+    """Per key ``first``, the least coordinate, and whether there is ``another``."""
+    at = _coordinate(task)
+    several = F.count("*") > 1 if task.keep_first else F.min(at) != F.max(at)
+    return rows.groupBy(*keys).agg(F.min(at).alias("first"), several.alias("another"))
 
 
 def _later(rows: DataFrame, task: Task) -> DataFrame:
-    """Of ``rows`` with first and last: those whose windows repeat (``keep_first``: repeat an earlier one)."""
-    repeated = rows.filter("first <> last")
-    return repeated.filter(~F.struct(*COORDINATE).eqNullSafe(F.col("first"))) if task.keep_first else repeated
+    """Of ``rows`` with first and another: those whose windows repeat (``keep_first``: repeat an earlier one)."""
+    repeated = rows.filter("another")
+    return repeated.filter(~_coordinate(task).eqNullSafe(F.col("first"))) if task.keep_first else repeated
 
 
 def repeated(rows: DataFrame, task: Task) -> DataFrame:
     """``(doc_id, rev, start, n)``: runs of ``n`` windows from ``start`` on that repeat, of :func:`identified` rows."""
     found = candidates(rows, task)
     plain = found.drop("payload")
-    contexts = _ends(plain, "seed", "context")
+    contexts = _ends(plain, task, "seed", "context")
     several = contexts.groupBy("seed").agg(F.count("*").alias("contexts"))
-    known = written(contexts.join(several, "seed").filter("contexts > 1 OR first <> last"), "contexts")
-    settled = _later(plain.join(known, ["seed", "context"]), task).select(*COORDINATE, "n")
+    known = written(contexts.join(several, "seed").filter("contexts > 1 OR another"), "contexts")
+    settled = _later(plain.join(known.filter("another"), ["seed", "context"]), task).select(*COORDINATE, "n")
 
     open_ = known.filter("contexts > 1").select("seed", "context", "contexts", F.col("first").alias("at"))
-    is_first = F.struct(*COORDINATE).eqNullSafe(F.col("at"))
+    is_first = _coordinate(task).eqNullSafe(F.col("at"))
     left = written(
         found.join(open_, ["seed", "context"]).filter(is_first).drop("at").dropDuplicates(["seed", "context"]), "open-instances"
     )
-    schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("rev", T.LongType()), T.StructField("start", T.LongType()), T.StructField("n", T.IntegerType())])
+    fields = [T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("rev", T.LongType())]
+    schema = T.StructType([*fields, T.StructField("start", T.LongType()), T.StructField("n", T.IntegerType())])
 
     def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket = [p for p in parts if p.num_rows]
@@ -279,7 +286,7 @@ def _dealt_singly(hot: DataFrame, task: Task) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*keys, pa.array(starts), pa.array(np.concatenate(codes).view(np.int64))], schema.names)
 
     single = written(arrow_map(hot, windows, schema), "single-windows")
-    ends = _ends(single, "seed", "code").filter("first <> last")
+    ends = _ends(single, task, "seed", "code").filter("another")
     return _later(single.join(ends, ["seed", "code"]), task).select(*COORDINATE, F.lit(1).alias("n"))
 
 
