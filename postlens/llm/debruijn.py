@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from postlens.llm import repeats
 from postlens.llm.common import arrow_map
 
-LENGTH, SEED = 20, 8
+LENGTH, SEED = 20, 5
 
 
 def word_codes(raw: bytes) -> np.ndarray:
