@@ -9,14 +9,17 @@ Equal fingerprints count once, however many documents have them. Nothing is lost
 in one group at least, and large groups are dealt in pairs of chunks.
 
 :func:`groups` links what is within 4 bits. :func:`one_of_each` removes near copies from a corpus: it looks
-further, as texts of similarity 0.8 usually differ in more bits, and confirms each link by a sketch.
+further and at several independent fingerprints, as two texts of similarity 0.8 usually differ in more bits, and only
+proposes by them; each link that counts is confirmed on the shingle sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from functools import reduce
+from itertools import combinations, groupby
 from math import comb
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +27,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlens.llm.common import arrow_map
+from postlens.llm.common import arrow_map, measured
 from postlens.llm.components import components
+from postlens.llm.repeats import stirred
 from postlens.session import written
 
 SEED, SHINGLE, DISTANCE, BITS = 42, 4, 4, 64
@@ -34,11 +38,12 @@ CHUNK = 4096
 #: With more fingerprints than this in the usual group, more segments make smaller groups.
 USUAL_GROUP = 8192
 FAN = 16
-#: The near-copy stage: five words, fingerprints up to 10 bits apart, and 0.7 of the filled places of a sketch of
-#: 64 places equal. A sketch of two texts of similarity 0.8 has 0.8 in the mean, with a deviation of 0.05.
-COPY_SHINGLE, COPY_DISTANCE, COPY_AGREED, PLACES = 5, 10, 0.7, 64
-#: Pairs whose sketches are compared at a time.
-SKETCHED = 1 << 15
+#: The near-copy stage: sets of five-word shingles that share 4/5 of their union. Of two such texts 9.7 bits differ in
+#: the mean, so one fingerprint within 10 bits misses four in ten at exactly 0.8; five independent ones miss one in 100.
+COPY_SHINGLE, COPY_DISTANCE, COPY_PRINTS, COPY_SHARE = 5, 10, 5, (4, 5)
+#: Texts and shingles of a proposed group that a task compares; larger groups are dealt in pairs of chunks.
+COPY_CHUNK, COPY_CHUNK_SHINGLES = 512, 1 << 20
+PRINT_COLUMNS = [f"fp{k}" for k in range(COPY_PRINTS)]
 #: Pairs of index nodes that are expanded at a time; bounds the memory of a task.
 PAIRS = 1 << 12
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -68,41 +73,17 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, sketched: bool = False) -> DataFrame:
-    """``(doc_id, fp)``, fp as a signed long, and with ``sketched`` the sketch. Null, empty and wordless texts have
-    fingerprint 0."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
+    """``(doc_id, fp)``, fp as a signed long. Null, empty and wordless texts have fingerprint 0."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            found, marks = [], []
-            for raw in part.column(1).to_pylist():
-                hashes = shingle_hashes(raw or b"", shingle, seed)
-                found.append(majority(hashes))
-                if sketched:
-                    marks.append(sketch(hashes))
-            columns = [part.column(0), pa.array(np.array(found, np.uint64).view(np.int64))]
-            yield pa.RecordBatch.from_arrays(
-                columns + [pa.array(marks, pa.binary())] * sketched, names=["doc_id", "fp", "sketch"][: 2 + sketched]
-            )
-
-    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, fp long" + ", sketch binary" * sketched
-    return arrow_map(docs.select("doc_id", F.col("text").cast("binary")), batches, schema)
-
-
-def sketch(hashes: np.ndarray) -> bytes:
-    """Least hash in each of 64 equal ranges of values, a byte of it; 0 for a range without hashes."""
-    ordered = np.sort(hashes)
-    bounds = np.arange(PLACES + 1, dtype=np.uint64) << np.uint64(58)
-    at = np.searchsorted(ordered, bounds[:-1])
-    ends = np.append(at[1:], len(ordered))
-    least = ordered[np.minimum(at, len(ordered) - 1)] if len(ordered) else np.zeros(PLACES, np.uint64)
-    return np.where(at < ends, 1 + (least & np.uint64(0xFFFFFF)) % np.uint64(255), 0).astype(np.uint8).tobytes()
-
+            found = [majority(shingle_hashes(raw or b"", shingle, seed)) for raw in part.column(1).to_pylist()]
+            prints = pa.array(np.array(found, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([part.column(0), prints], names=["doc_id", "fp"])
 
-def agreed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Estimated similarity of rows of sketches: places that are equal, of those that one side fills at least."""
-    filled = (a != 0) | (b != 0)
-    return ((a == b) & filled).sum(axis=1) / np.maximum(filled.sum(axis=1), 1)
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, fp long"
+    return arrow_map(docs.select("doc_id", F.col("text").cast("binary")), batches, schema)
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -174,25 +155,15 @@ def _join(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             labels[:] = jumped
 
 
-def links_within(
-    first: np.ndarray, second: np.ndarray | None, distance: int, sketches: np.ndarray | None = None
-) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of links that connect what pairs within ``distance`` (and of agreeing ``sketches``) connect:
-    among ``first``, or, if ``second`` is given, between the two, one counted after the other. Fewer links than
-    fingerprints, however many pairs there are."""
+def links_within(first: np.ndarray, second: np.ndarray | None, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of links that connect what pairs within ``distance`` connect: among ``first``, or, if ``second``
+    is given, between the two, one counted after the other. Fewer links than fingerprints, however many pairs
+    there are."""
     labels = np.arange(len(first) + (0 if second is None else len(second)))
     index = GrayIndex(first)
     other, offset = (index, 0) if second is None else (GrayIndex(second), len(first))
     for a, b in index.pairs(other, distance):
-        b = b + offset
-        for k in range(0, len(a), SKETCHED if sketches is not None else max(1, len(a))):
-            x, y = a[k : k + SKETCHED] if sketches is not None else a, b[k : k + SKETCHED] if sketches is not None else b
-            apart = labels[x] != labels[y]
-            x, y = x[apart], y[apart]
-            if sketches is not None:
-                sure = agreed(sketches[x], sketches[y]) >= COPY_AGREED
-                x, y = x[sure], y[sure]
-            _join(labels, x, y)
+        _join(labels, a, b + offset)
     moved = np.flatnonzero(labels != np.arange(len(labels)))
     return moved, labels[moved]
 
@@ -218,21 +189,21 @@ def _signed(value: int) -> int:
 
 
 def links(nodes: DataFrame, distance: int = DISTANCE, chunk: int = CHUNK) -> DataFrame:
-    """``(a, b)`` node ids of links that connect all of ``nodes(node, fp, sketch)`` within ``distance`` bits.
+    """``(a, b)`` node ids of links that connect all of ``nodes(node, fp)`` within ``distance`` bits.
 
-    A null sketch needs no confirmation. Groups are counted first; of those with a single member nothing is
+    Groups are counted first; of those with a single member nothing is
     dealt, and one of more than ``chunk`` is cut into chunks, of which each pair is a cell of its own.
     """
     masks = masks_for(nodes.count(), distance)
     rows = F.array(*(F.struct(F.lit(k).alias("m"), F.col("fp").bitwiseAND(_signed(m)).alias("bits")) for k, m in enumerate(masks)))
-    keyed = nodes.select("*", F.explode(rows).alias("_k")).select("node", "fp", "sketch", "_k.*")
+    keyed = nodes.select("*", F.explode(rows).alias("_k")).select("node", "fp", "_k.*")
     sizes = keyed.groupBy("m", "bits").count().filter("count > 1")
     cells = sizes.select("m", "bits", F.ceil(F.col("count") / chunk).cast("int").alias("c"))
     placed = keyed.join(cells, ["m", "bits"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("c")).cast("int"))
     dealt = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("c") - 1))).select(
         F.xxhash64("m", "bits", F.least("own", "with"), F.greatest("own", "with")).alias("cell"),
         (F.col("own") > F.col("with")).cast("int").alias("second"),
-        (F.col("own") == F.col("with")).cast("int").alias("alone"), "node", "fp", "sketch",
+        (F.col("own") == F.col("with")).cast("int").alias("alone"), "node", "fp",
     )
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,16 +213,12 @@ def links(nodes: DataFrame, distance: int = DISTANCE, chunk: int = CHUNK) -> Dat
         cell, second, alone, node, fp = (table.column(k).to_numpy() for k in range(5))
         order = np.argsort(cell, kind="stable")
         cell, second, alone, node, fp = (x[order] for x in (cell, second, alone, node, fp.view(np.uint64)))
-        known = table.column(5).null_count == 0
-        marks = np.frombuffer(b"".join(table.column(5).to_pylist()), np.uint8).reshape(-1, PLACES)[order] if known else None
         cuts = [*np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))), len(cell)]
         for a, b in zip(cuts, cuts[1:], strict=False):
             one = np.arange(a, b) if alone[a] else np.concatenate((a + np.flatnonzero(second[a:b] == 0), a + np.flatnonzero(second[a:b])))
             left = b - a if alone[a] else b - a - int(second[a:b].sum())
             codes = fp[one]
-            x, y = links_within(
-                codes[:left], None if alone[a] else codes[left:], distance, None if marks is None else marks[one]
-            )
+            x, y = links_within(codes[:left], None if alone[a] else codes[left:], distance)
             if len(x):
                 yield pa.RecordBatch.from_arrays([pa.array(node[one[x]]), pa.array(node[one[y]])], names=["a", "b"])
 
@@ -259,17 +226,13 @@ def links(nodes: DataFrame, distance: int = DISTANCE, chunk: int = CHUNK) -> Dat
 
 
 def clustered(rows: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """``rows(doc_id, fp, sketch)`` with component_id: the smallest doc_id that a chain of links reaches.
+    """``rows(doc_id, fp)`` with component_id: the smallest doc_id that a chain of links reaches.
 
     Rows with the same doc_id are rows of their own; a null doc_id is never the smallest. No rows give no rows.
     """
-    node = F.when(F.col("sketch").isNull(), F.col("fp")).otherwise(F.xxhash64("fp", "sketch"))
-    noded = rows.withColumn("node", node)
-    nodes = written(
-        noded.groupBy("node").agg(F.first("fp").alias("fp"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("first")),
-        "fingerprints",
-    )
-    roots = components(links(nodes.select("node", "fp", "sketch"), distance))
+    noded = rows.withColumn("node", F.col("fp"))
+    nodes = written(noded.groupBy("node").agg(F.first("fp").alias("fp"), F.min("doc_id").alias("first")), "fingerprints")
+    roots = components(links(nodes.select("node", "fp"), distance))
     rooted = nodes.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     of = rooted.join(least, "root").select("node", "component_id")
@@ -282,24 +245,132 @@ def hex_digits(fp: Column) -> Column:
 
 def groups(docs: DataFrame, distance: int = DISTANCE, **options) -> DataFrame:
     """One row per document: doc_id, fingerprint, component_id. Fingerprints are written, as they are needed twice."""
-    prints = written(fingerprints(docs, **options).withColumn("sketch", F.lit(None).cast("binary")), "simhash")
+    prints = written(fingerprints(docs, **options), "simhash")
     found = clustered(prints, distance)
     return found.select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def _copy_prints(rows: DataFrame) -> DataFrame:
+    """Of ``rows(doc_id, rev, raw)`` per row: ``node``, a hash of its set of shingles, their number ``size``, and
+    independent fingerprints of the set."""
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            found = []
+            for raw in part.column(2).to_pylist():
+                hashes = np.unique(shingle_hashes(raw, COPY_SHINGLE))
+                prints = [majority(stirred(hashes + np.uint64(k << 32)) if k else hashes) for k in range(COPY_PRINTS)]
+                found.append((xxhash.xxh64_intdigest(hashes.tobytes()), len(hashes), *prints))
+            values = np.array(found, np.uint64).reshape(-1, 2 + COPY_PRINTS).view(np.int64).T
+            columns = [part.column(0), part.column(1), *(pa.array(np.ascontiguousarray(v)) for v in values)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    names = ["doc_id", "rev", "node", "size", *PRINT_COLUMNS]
+    kept = f"doc_id {dict(rows.dtypes)['doc_id']}, rev long, node long, size long, "
+    return arrow_map(rows, batches, kept + ", ".join(f"{c} long" for c in PRINT_COLUMNS))
+
+
+def confirmed_within(texts: list[bytes], left: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of links that connect what pairs of similarity 0.8 or more connect: among all ``texts``, or
+    between the first ``left`` and the others. Exact on the sets of shingle hashes."""
+    sets = [np.unique(shingle_hashes(raw, COPY_SHINGLE)) for raw in texts]
+    sizes = np.array([len(x) for x in sets], np.int64)
+    ends = np.cumsum(sizes)
+    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    labels, places, (part, whole) = np.arange(len(sets)), np.arange(len(sets)), COPY_SHARE
+    marked = np.zeros(len(codes), bool)
+    for i in range(len(sets) if left is None else left):
+        other = places > i if left is None else places >= left
+        fits = whole * np.minimum(sizes, sizes[i]) >= part * np.maximum(sizes, sizes[i])
+        if not (other & fits & (labels != labels[i])).any():
+            continue
+        own = codes[ends[i] - sizes[i] : ends[i]]
+        marked[own] = True
+        shared = np.concatenate(([0], np.cumsum(marked[codes])))
+        marked[own] = False
+        both = shared[ends] - shared[ends - sizes]
+        near = np.flatnonzero(other & (whole * both >= part * (sizes + sizes[i] - both)))
+        _join(labels, np.full(len(near), i), near)
+    moved = np.flatnonzero(labels != places)
+    return moved, labels[moved]
+
+
+def confirmed(proposed: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(a, b)`` node ids of links that connect what true pairs within the groups ``proposed(node, root)`` connect.
+
+    All pairs of a group count, those too that no fingerprint proposed. A group of more than a chunk is cut into
+    chunks, of which each pair is a cell of its own.
+    """
+    members = written(nodes.select("node", "first.doc_id", "first.rev", "first.copies", "size").join(proposed, "node"), "proposed")
+    total = F.greatest(F.count("*") / COPY_CHUNK, F.sum("size") / COPY_CHUNK_SHINGLES)
+    chunks = F.least(F.count("*"), F.ceil(total)).cast("int")
+    placed = members.join(members.groupBy("root").agg(chunks.alias("c")), "root")
+    placed = placed.withColumn("own", F.pmod(F.xxhash64("node"), F.col("c")).cast("int"))
+    texts = picked(rows, members.select("doc_id", "rev", "copies", "node")).select("node", "raw")
+    dealt = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("c") - 1))).select(
+        F.xxhash64("root", F.least("own", "with"), F.greatest("own", "with")).alias("cell"),
+        F.when(F.col("own") == F.col("with"), 0).when(F.col("own") < F.col("with"), 1).otherwise(2).alias("side"), "node",
+    )
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = (r for part in parts for r in zip(*(c.to_pylist() for c in part.columns), strict=True))
+        for _, cell in groupby(read, key=itemgetter(0)):
+            _, side, node, raw = zip(*cell, strict=True)
+            x, y = confirmed_within(list(raw), None if side[0] == 0 else side.count(1))
+            if len(x):
+                node = np.array(node, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(node[y])], names=["a", "b"])
+
+    cells = dealt.join(texts, "node").select("cell", "side", "node", "raw")
+    return arrow_map(cells.repartition("cell").sortWithinPartitions("cell", "side"), batches, "a long, b long")
+
+
+def picked(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """One of ``rows`` with each key (doc_id, rev) of ``chosen(doc_id, rev, copies, ...)``, with the columns of both.
+
+    Where a key has several rows they are dealt out evenly before they are brought down to one.
+    """
+    chosen = measured(chosen.withColumnsRenamed({"doc_id": "_id", "rev": "_rev"}), "chosen")
+    joined = rows.join(chosen, _same_key())
+    several = joined.filter("copies > 1").repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    one = several.groupBy("_id", "_rev").agg(F.first(F.struct(*joined.columns)).alias("_row")).select("_row.*")
+    return joined.filter("copies = 1").unionByName(one).drop("_id", "_rev", "copies")
+
+
+def _same_key() -> Column:
+    return F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("rev") == F.col("_rev"))
+
+
+def near_copies(rows: DataFrame) -> DataFrame:
+    """Each key of ``rows(doc_id, rev, raw)`` once: (doc_id, rev, copies, chosen). copies is how many rows have it,
+    chosen the key that stays of its group: the least doc_id and rev, a null doc_id last."""
+    prints = [F.first(c).alias(c) for c in PRINT_COLUMNS]
+    keys = _copy_prints(rows).groupBy("node", "doc_id", "rev").agg(F.count("*").alias("copies"), F.first("size").alias("size"), *prints)
+    keys = written(keys, "simhash")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rev", "copies")
+    nodes = written(keys.groupBy("node").agg(F.min(key).alias("first"), F.first("size").alias("size"), *prints), "fingerprints")
+    found = [links(nodes.select("node", F.col(c).alias("fp")), COPY_DISTANCE) for c in PRINT_COLUMNS]
+    proposed = components(reduce(DataFrame.unionByName, found))
+    roots = components(confirmed(proposed, nodes, rows))
+    rooted = nodes.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("chosen"))
+    return keys.select("node", "doc_id", "rev", "copies").join(rooted.join(least, "root").select("node", "chosen"), "node")
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group of near copies, the one of the smallest doc_id; same columns.
 
-    Texts are equal for this if their words are. Wordless texts are one group. Of repeated rows with one doc_id
+    Near copies are texts that a chain of pairs of similarity 0.8 or more connects. Texts are equal for this if their
+    shingles are; wordless texts are one group. Of repeated rows with one doc_id
     one stays; rows without doc_id stay if no row with one is in their group, one of them.
     """
-    prints = written(fingerprints(docs, COPY_SHINGLE, sketched=True), "simhash")
-    found = clustered(prints, COPY_DISTANCE)
-    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
     columns = {f"_in_{i}": name for i, name in enumerate(docs.columns)}
     plain = docs.toDF(*columns)
     key = next(c for c, name in columns.items() if name == "doc_id")
     text = next(c for c, name in columns.items() if name == "text")
+    raw = F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw")
+    found = near_copies(plain.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("rev"), raw))
+    first = found.filter(F.col("doc_id").eqNullSafe(F.col("chosen.doc_id"))).select(F.col("doc_id").alias("_kept")).distinct()
     joined = plain.join(first, F.col(key).eqNullSafe(F.col("_kept")), "left_semi")
     rank = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(text)))
     return joined.withColumn("_rank", rank).filter("_rank = 1").select(*(F.col(c).alias(n) for c, n in columns.items()))

@@ -269,6 +269,55 @@ def test_near_copies_go_and_others_stay(spark):
     assert {r.doc_id for r in simhash.one_of_each(docs).collect()} == set(range(40))
 
 
+def similarity(a, b):
+    a, b = ({tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def test_near_copies_are_those_of_similarity_08(spark):
+    """Two changes far apart in n words take 10 of n - 4 shingles: 0.8 and more from 94 words on, less before."""
+    rows, over = [], set()
+    for i in range(120):
+        n = 88 + i % 12
+        tokens = words(n, 1000 + i).split()
+        other = tokens[:20] + ["x1"] + tokens[21:60] + ["x2"] + tokens[61:]
+        rows += [(2 * i, " ".join(tokens)), (2 * i + 1, " ".join(other))]
+        if 5 * (n - 14) >= 4 * (n + 6):
+            over.add(2 * i + 1)
+    assert min(similarity(rows[i - 1][1], rows[i][1]) for i in over) == 0.8
+    gone = set(range(240)) - {r.doc_id for r in simhash.one_of_each(documents(spark, rows)).collect()}
+    assert gone <= over and len(gone) >= 0.95 * len(over)
+
+
+def test_confirmed_pairs_match_brute_force():
+    make, texts = random.Random(4), []
+    for i in range(8):
+        tokens = words(90 + i, 50 + i).split()
+        for _ in range(6):
+            tokens = list(tokens)
+            tokens[make.randrange(len(tokens))] = f"y{len(texts)}"
+            texts.append(" ".join(tokens))
+    for left in (None, 20):
+        root = list(range(len(texts)))
+        for a in range(len(texts)):
+            for b in range(a + 1, len(texts)):
+                if (left is None or a < left <= b) and similarity(texts[a], texts[b]) >= 0.8:
+                    low, high = sorted((root[a], root[b]))
+                    root = [low if r == high else r for r in root]
+        moved, to = simhash.confirmed_within([t.encode() for t in texts], left)
+        got = dict(zip(moved.tolist(), to.tolist(), strict=True))
+        assert [got.get(i, i) for i in range(len(texts))] == root
+
+
+@pytest.mark.parametrize("chunk", [3, 512])
+def test_near_copies_of_a_large_group(spark, monkeypatch, chunk):
+    monkeypatch.setattr(simhash, "COPY_CHUNK", chunk)
+    tokens = words(400, 77).split()
+    copies = [" ".join(tokens[:k] + [f"z{k}"] + tokens[k + 1 :]) for k in range(10, 50)]
+    docs = documents(spark, list(enumerate([*copies, words(400, 78)])))
+    assert {r.doc_id for r in simhash.one_of_each(docs).collect()} == {0, 40}
+
+
 # Mixing
 
 
