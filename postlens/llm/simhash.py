@@ -24,7 +24,7 @@ from operator import itemgetter
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlens.llm.common import arrow_map, measured
@@ -358,19 +358,21 @@ def near_copies(rows: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group of near copies, the one of the smallest doc_id; same columns.
+    """``docs`` with one row of each group of near copies, the one of the smallest doc_id; same columns.
 
     Near copies are texts that a chain of pairs of similarity 0.8 or more connects. Texts are equal for this if their
-    shingles are; wordless texts are one group. Of repeated rows with one doc_id
-    one stays; rows without doc_id stay if no row with one is in their group, one of them.
+    shingles are; wordless texts are one group. Rows without doc_id, and different texts under one doc_id, are
+    rows of their own: they go only as near copies of what stays. A row without doc_id stays if no row of
+    its group has one.
     """
     columns = {f"_in_{i}": name for i, name in enumerate(docs.columns)}
     plain = docs.toDF(*columns)
-    key = next(c for c, name in columns.items() if name == "doc_id")
-    text = next(c for c, name in columns.items() if name == "text")
-    raw = F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw")
-    found = near_copies(plain.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("rev"), raw))
-    first = found.filter(F.col("doc_id").eqNullSafe(F.col("chosen.doc_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    joined = plain.join(first, F.col(key).eqNullSafe(F.col("_kept")), "left_semi")
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(text)))
-    return joined.withColumn("_rank", rank).filter("_rank = 1").select(*(F.col(c).alias(n) for c, n in columns.items()))
+    of = {name: c for c, name in columns.items()}
+    keyed = plain.select("*", F.col(of["doc_id"]).alias("doc_id"), F.xxhash64(of["text"]).alias("rev"))
+    raw = F.coalesce(F.col(of["text"]), F.lit("")).cast("binary").alias("raw")
+    found = written(near_copies(keyed.select("doc_id", "rev", raw)), "near-copies")
+    stays = F.col("doc_id").eqNullSafe(F.col("chosen.doc_id")) & (F.col("rev") == F.col("chosen.rev"))
+    apart = measured(found.filter(~stays | (F.col("copies") > 1)).select(F.col("doc_id").alias("_id"), F.col("rev").alias("_rev")), "gone")
+    single = keyed.join(apart, _same_key(), "left_anti")
+    several = picked(keyed, found.filter(stays & (F.col("copies") > 1)).select("doc_id", "rev", "copies"))
+    return single.unionByName(several).select(*(F.col(c).alias(n) for c, n in columns.items()))

@@ -289,6 +289,14 @@ def test_near_copies_are_those_of_similarity_08(spark):
     assert gone <= over and len(gone) >= 0.95 * len(over)
 
 
+def test_different_texts_under_one_id_or_none_stay(spark):
+    texts = [words(60, 500 + i) for i in range(8)]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[2]), (2, texts[2]), (None, texts[2]), (3, texts[0])]
+    rows += [(None, t) for t in texts[3:]] + [(None, texts[3])] * 3
+    got = sorted((r.doc_id or 0, texts.index(r.text)) for r in simhash.one_of_each(documents(spark, rows)).collect())
+    assert got == [(0, 3), (0, 4), (0, 5), (0, 6), (0, 7), (1, 0), (1, 1), (2, 2)]
+
+
 def test_confirmed_pairs_match_brute_force():
     make, texts = random.Random(4), []
     for i in range(8):
