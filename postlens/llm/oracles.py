@@ -1,7 +1,8 @@
 """DuckDB SQL for the training-data queries that SQL can express on whole tables.
 
 Not here: op3 (every 200-byte string of every text), op5 (a flow problem), op6 (XXH64 and reachability), op10 (a
-tokenizer), pipeline (contains op6). The tests hold those against plain Python.
+tokenizer), op11 (eigenvectors), op12 (hashed filters), pipeline (contains op6). The tests hold those against plain
+Python, op12 against the languages of held-out documents as well.
 """
 
 from __future__ import annotations
@@ -208,3 +209,24 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM texts LEFT JOIN hits USING (doc_id) LEFT JOIN owners USING (doc_id)
 """
+
+ORACLES["op13_hard_negatives"] = """
+WITH good AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label, list_inner_product(a.x, b.x)::BIGINT AS score
+  FROM (SELECT * FROM good WHERE vec_id % 100 = 0) a CROSS JOIN good b
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = own AND vec_id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM (
+  SELECT p.anchor_id, positive_id, s.vec_id AS negative_id, positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND s.label <> s.own
+    AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+) WHERE rank <= 5
+"""

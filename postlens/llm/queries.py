@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import chat, debruijn, decontaminate, mixing, quality, sharding, simhash, suffixes, tokenfiles, urls
+from postlens.llm import chat, debruijn, decontaminate, langid, mixing, negatives, quality, sharding, simhash, suffixes
+from postlens.llm import tokenfiles, urls, whitening
 from postlens.llm.common import table
 from postlens.session import shared_dir
 
@@ -92,6 +93,21 @@ def op10_token_files(spark, sf_dir):
     return tokenfiles.read(spark, path, tokenizer).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op11_whiten(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_language_id(spark, sf_dir):
+    return langid.identified(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def pipeline(spark, sf_dir):
     from corpus_pipeline import run

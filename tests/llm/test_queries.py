@@ -38,7 +38,8 @@ def test_all_are_registered():
     assert QUERIES.keys() <= contract.queries().keys()
     assert ORACLES.keys() <= contract.oracle_sql().keys()
     assert QUERIES.keys() - ORACLES.keys() == {
-        "op3_suffix_dedup", "op5_flow_sharding", "op6_simhash", "op10_token_files", "pipeline",
+        "op3_suffix_dedup", "op5_flow_sharding", "op6_simhash", "op10_token_files", "op11_whiten", "op12_language_id",
+        "pipeline",
     }
 
 
