@@ -42,7 +42,7 @@ def letters(text: Column) -> Column:
 
 def gram_codes(points: np.ndarray, order: int) -> np.ndarray:
     """A 64-bit hash of each ``order`` consecutive code points."""
-    n = len(points) - order + 1
+    n = max(0, len(points) - order + 1)
     with np.errstate(over="ignore"):
         code = points[:n].astype(np.uint64) + np.uint64(order)
         for k in range(1, order):
@@ -53,7 +53,7 @@ def gram_codes(points: np.ndarray, order: int) -> np.ndarray:
 def pieces(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Texts as code points, about SLICE at a time: the points, which text each piece is of, and where the pieces
     end. A piece of a longer text begins where the last n-gram that starts in the one before ends, so that an n-gram
-    of any order starts in exactly one piece (see :func:`starting`)."""
+    of any order starts in exactly one piece (see :func:`grams`)."""
     held, owner, size = [], [], 0
     for i, text in enumerate(texts):
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
@@ -69,13 +69,16 @@ def pieces(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
         yield np.concatenate(held), np.array(owner), np.cumsum([len(p) for p in held])
 
 
-def starting(ends: np.ndarray, total: int, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which n-grams of a slice count, those within one piece and started in its own part, and their piece."""
+def grams(points: np.ndarray, ends: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of a slice that lie within one piece and start in its own part, and their piece. A space alone is
+    none."""
     begins = np.concatenate(([0], ends[:-1]))
-    place = np.arange(total - order + 1)
+    place = np.arange(max(0, len(points) - order + 1))
     piece = np.searchsorted(ends, place, side="right")
-    last = np.minimum(ends - order, begins + SLICE - 1)
-    return place <= last[piece], piece
+    counts = place <= np.minimum(ends - order, begins + SLICE - 1)[piece]
+    if order == 1:
+        counts &= points != ord(" ")
+    return gram_codes(points, order)[counts], piece[counts]
 
 
 def _counts(rows: DataFrame) -> DataFrame:
@@ -86,10 +89,8 @@ def _counts(rows: DataFrame) -> DataFrame:
             spoken = part.column(0).to_numpy()
             for points, owner, ends in pieces(part.column(1).to_pylist()):
                 for order in ORDERS:
-                    if len(points) < order:
-                        continue
-                    counts, piece = starting(ends, len(points), order)
-                    codes, of = gram_codes(points, order)[counts], spoken[owner[piece[counts]]]
+                    codes, piece = grams(points, ends, order)
+                    of = spoken[owner[piece]]
                     for language in np.unique(of):
                         found, n = np.unique(codes[of == language], return_counts=True)
                         same = [pa.array(np.full(len(found), v, np.int32)) for v in (language, order)]
@@ -126,10 +127,8 @@ class LanguageFilters:
         kind = self.masks.dtype
         for points, owner, ends in pieces(texts):
             for order in ORDERS:
-                if len(points) < order:
-                    continue
-                counts, piece = starting(ends, len(points), order)
-                found, of = self.holding(gram_codes(points, order)[counts]), owner[piece[counts]]
+                codes, piece = grams(points, ends, order)
+                found, of = self.holding(codes), owner[piece]
                 totals += np.bincount(of, minlength=len(texts))
                 if kind == np.uint8:
                     base = of.min() if len(of) else 0
