@@ -17,14 +17,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
-from itertools import combinations, groupby
+from itertools import combinations
 from math import comb
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.llm.common import arrow_map, measured
@@ -41,9 +40,11 @@ FAN = 16
 #: The near-copy stage: sets of five-word shingles that share 4/5 of their union. Of two such texts 9.7 bits differ in
 #: the mean, so one fingerprint within 10 bits misses four in ten at exactly 0.8; five independent ones miss one in 100.
 COPY_SHINGLE, COPY_DISTANCE, COPY_PRINTS, COPY_SHARE = 5, 10, 5, (4, 5)
-#: Texts and shingles of a proposed group that a task compares; larger groups are dealt in pairs of chunks.
-COPY_CHUNK, COPY_CHUNK_SHINGLES = 512, 1 << 20
+#: Texts whose shingle sets a task holds at a time.
+SETS = 256
 PRINT_COLUMNS = [f"fp{k}" for k in range(COPY_PRINTS)]
+#: Links that a task gathers before it drops repeated ones.
+LINKS = 1 << 18
 #: Pairs of index nodes that are expanded at a time; bounds the memory of a task.
 PAIRS = 1 << 12
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -158,7 +159,7 @@ def _join(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 def links_within(first: np.ndarray, second: np.ndarray | None, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions of links that connect what pairs within ``distance`` connect: among ``first``, or, if ``second``
     is given, between the two, one counted after the other. Fewer links than fingerprints, however many pairs
-    there are."""
+    there are: each leads to the set's least position."""
     labels = np.arange(len(first) + (0 if second is None else len(second)))
     index = GrayIndex(first)
     other, offset = (index, 0) if second is None else (GrayIndex(second), len(first))
@@ -168,6 +169,16 @@ def links_within(first: np.ndarray, second: np.ndarray | None, distance: int) ->
     return moved, labels[moved]
 
 
+def starred(node: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Links ``x`` to ``y``, the positions of sets and their labels, as pairs of the other nodes of a set with its least
+    one: whatever the cell, a set has the same hub as long as that is in it, so cells repeat links, not add to them."""
+    labels = np.unique(y)
+    least = node.copy()
+    np.minimum.at(least, y, node[x])
+    member, hub = np.concatenate((node[x], node[labels])), np.concatenate((least[y], least[labels]))
+    return np.stack((member, hub), axis=1)[member != hub]
+
+
 def _masks(distance: int, chosen: int) -> list[int]:
     """Masks that keep ``chosen`` of ``distance + chosen`` segments: of each pair within ``distance`` at least
     one mask sees no difference."""
@@ -214,13 +225,24 @@ def links(nodes: DataFrame, distance: int = DISTANCE, chunk: int = CHUNK) -> Dat
         order = np.argsort(cell, kind="stable")
         cell, second, alone, node, fp = (x[order] for x in (cell, second, alone, node, fp.view(np.uint64)))
         cuts = [*np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))), len(cell)]
+        found, size = [], 0
         for a, b in zip(cuts, cuts[1:], strict=False):
             one = np.arange(a, b) if alone[a] else np.concatenate((a + np.flatnonzero(second[a:b] == 0), a + np.flatnonzero(second[a:b])))
             left = b - a if alone[a] else b - a - int(second[a:b].sum())
             codes = fp[one]
             x, y = links_within(codes[:left], None if alone[a] else codes[left:], distance)
             if len(x):
-                yield pa.RecordBatch.from_arrays([pa.array(node[one[x]]), pa.array(node[one[y]])], names=["a", "b"])
+                found.append(starred(node[one], x, y))
+                size += len(found[-1])
+            if size > LINKS:
+                yield batch(found)
+                found, size = [], 0
+        if found:
+            yield batch(found)
+
+    def batch(found: list[np.ndarray]) -> pa.RecordBatch:
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, k])) for k in (0, 1)], names=["a", "b"])
 
     return arrow_map(dealt.repartition("cell"), batches, "a long, b long")
 
@@ -270,59 +292,96 @@ def _copy_prints(rows: DataFrame) -> DataFrame:
     return arrow_map(rows, batches, kept + ", ".join(f"{c} long" for c in PRINT_COLUMNS))
 
 
-def confirmed_within(texts: list[bytes], left: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of links that connect what pairs of similarity 0.8 or more connect: among all ``texts``, or
-    between the first ``left`` and the others. Exact on the sets of shingle hashes."""
-    sets = [np.unique(shingle_hashes(raw, COPY_SHINGLE)) for raw in texts]
-    sizes = np.array([len(x) for x in sets], np.int64)
-    ends = np.cumsum(sizes)
-    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
-    labels, places, (part, whole) = np.arange(len(sets)), np.arange(len(sets)), COPY_SHARE
-    marked = np.zeros(len(codes), bool)
-    for i in range(len(sets) if left is None else left):
-        other = places > i if left is None else places >= left
-        fits = whole * np.minimum(sizes, sizes[i]) >= part * np.maximum(sizes, sizes[i])
-        if not (other & fits & (labels != labels[i])).any():
-            continue
-        own = codes[ends[i] - sizes[i] : ends[i]]
-        marked[own] = True
-        shared = np.concatenate(([0], np.cumsum(marked[codes])))
-        marked[own] = False
-        both = shared[ends] - shared[ends - sizes]
-        near = np.flatnonzero(other & (whole * both >= part * (sizes + sizes[i] - both)))
-        _join(labels, np.full(len(near), i), near)
-    moved = np.flatnonzero(labels != places)
-    return moved, labels[moved]
+def _sets(nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(node, shingles)``: the distinct shingle hashes of one text of each of ``nodes(node, first)``."""
+    texts = picked(rows, nodes.select("first.doc_id", "first.rev", "first.copies", "node")).select("node", "raw")
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for at in range(0, part.num_rows, SETS):
+                one = part.slice(at, SETS)
+                found = [np.unique(shingle_hashes(raw, COPY_SHINGLE)).view(np.int64) for raw in one.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([one.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
 
+    return arrow_map(texts, batches, "node long, shingles array<long>")
 
-def confirmed(proposed: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
-    """``(a, b)`` node ids of links that connect what true pairs within the groups ``proposed(node, root)`` connect.
 
-    All pairs of a group count, those too that no fingerprint proposed. A group of more than a chunk is cut into
-    chunks, of which each pair is a cell of its own.
+def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of ``pairs(a, b)`` whose sets have similarity 0.8 or more. Exact on the shingle hashes.
+
+    ``a`` is the one that many pairs may share: its set is joined first, to rows that hold no set yet.
     """
-    members = written(nodes.select("node", "first.doc_id", "first.rev", "first.copies", "size").join(proposed, "node"), "proposed")
-    total = F.greatest(F.count("*") / COPY_CHUNK, F.sum("size") / COPY_CHUNK_SHINGLES)
-    chunks = F.least(F.count("*"), F.ceil(total)).cast("int")
-    placed = members.join(members.groupBy("root").agg(chunks.alias("c")), "root")
-    placed = placed.withColumn("own", F.pmod(F.xxhash64("node"), F.col("c")).cast("int"))
-    texts = picked(rows, members.select("doc_id", "rev", "copies", "node")).select("node", "raw")
-    dealt = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("c") - 1))).select(
-        F.xxhash64("root", F.least("own", "with"), F.greatest("own", "with")).alias("cell"),
-        F.when(F.col("own") == F.col("with"), 0).when(F.col("own") < F.col("with"), 1).otherwise(2).alias("side"), "node",
-    )
+    part, whole = COPY_SHARE
+    held = written(pairs, "pairs").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("_a")), "a")
+    both = held.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("_b")), "b")
+    shared = F.size(F.array_intersect("_a", "_b"))
+    return both.filter(whole * shared >= part * (F.size("_a") + F.size("_b") - shared)).select("a", "b")
 
-    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = (r for part in parts for r in zip(*(c.to_pylist() for c in part.columns), strict=True))
-        for _, cell in groupby(read, key=itemgetter(0)):
-            _, side, node, raw = zip(*cell, strict=True)
-            x, y = confirmed_within(list(raw), None if side[0] == 0 else side.count(1))
-            if len(x):
-                node = np.array(node, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(node[y])], names=["a", "b"])
 
-    cells = dealt.join(texts, "node").select("cell", "side", "node", "raw")
-    return arrow_map(cells.repartition("cell").sortWithinPartitions("cell", "side"), batches, "a long, b long")
+def _settled(links: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``nodes(node)`` with the root of the confirmed component of each."""
+    return written(nodes.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node")), "confirmed-groups")
+
+
+def _prefixes(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(group, shingle, node, size)``: the shingles that decide who can be alike within a group of ``members(node, group)``.
+
+    With the group's rarest shingles first, two sets that share 4/5 of their union share one of the first fifth (and
+    one more) of either. Shingles that only one member has fill that fifth and are dropped then.
+    """
+    part, whole = COPY_SHARE
+    each = members.join(sets, "node").select("group", "node", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+    each = written(each, "shingles")
+    common = written(each.groupBy("group", "shingle").agg(F.count("*").alias("n")).filter("n > 1"), "common-shingles")
+    counted = each.join(common, ["group", "shingle"], "left").select("group", "node", "size", F.struct(F.coalesce("n", F.lit(1)).alias("n"), "shingle").alias("s"))
+    first = F.col("size") - F.ceil(part * F.col("size") / whole) + 1
+    rare = counted.groupBy("group", "node", "size").agg(F.array_sort(F.collect_list("s")).alias("s"))
+    kept = rare.select("group", "node", "size", F.explode(F.slice("s", F.lit(1), first.cast("int"))).alias("s"))
+    return kept.filter("s.n > 1").select("group", "s.shingle", "node", "size")
+
+
+def confirmed(proposed: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(a, b)`` links that connect what pairs of similarity 0.8 or more connect within the groups that the links
+    ``proposed(a, b)`` make.
+
+    Each node is compared with the least node proposed to it, which settles a group of copies with one link for each. Where
+    proposals still lead from one settled group to another, all pairs between them count, those too that
+    no fingerprint proposed: their rare shingles say which can be alike. Those are compared with the least node
+    of each list of a rare shingle, and as long as a list holds several settled groups, with the next ones, twice as
+    many each time.
+    """
+    part, whole = COPY_SHARE
+    among = proposed.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    members = written(nodes.select("node", "first").join(among, "node"), "proposed")
+    sets = written(_sets(members, rows), "shingle-sets")
+    # Of a proposal the lesser node is the hub.
+    hubs = proposed.groupBy(F.greatest("a", "b").alias("b")).agg(F.min(F.least("a", "b")).alias("a"))
+    found = written(alike(hubs.select("a", "b"), sets), "alike")
+    settled = _settled(found, members.select("node"))
+    root = lambda name: settled.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
+    open_ = proposed.join(root("a"), "a").join(root("b"), "b").filter("a_root <> b_root")
+    groups_ = components(written(open_.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct(), "open"))
+    apart = settled.join(groups_.select(F.col("node").alias("root"), F.col("root").alias("group")), "root").select("node", "group")
+    lists = written(_prefixes(apart, sets), "rare-shingles")
+    place = F.row_number().over(Window.partitionBy("group", "shingle").orderBy("node"))
+    lists = written(lists.withColumn("place", place), "rare-shingles")
+    longest, start, step = lists.agg(F.max("place")).first()[0] or 0, 1, 1
+    while start < longest:
+        rooted = lists.join(settled.select("node", "root"), "node")
+        mixed = rooted.groupBy("group", "shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+        live = written(rooted.join(mixed.select("group", "shingle"), ["group", "shingle"]), "live")
+        hub = live.filter(F.col("place").between(start, start + step - 1)).select(
+            "group", "shingle", F.col("node").alias("a"), F.col("size").alias("a_size"), F.col("root").alias("a_root"), F.col("place").alias("a_place"))
+        pairs = hub.join(live, ["group", "shingle"]).filter(
+            (F.col("place") > F.col("a_place")) & (F.col("root") != F.col("a_root"))
+            & (whole * F.least("size", "a_size") >= part * F.greatest("size", "a_size"))
+        )
+        more = written(alike(pairs.select("a", F.col("node").alias("b")).distinct(), sets), "alike")
+        if more.limit(1).count():
+            found = written(found.unionByName(more), "alike")
+            settled = _settled(found, members.select("node"))
+        start, step = start + step, 2 * step
+    return found
 
 
 def picked(rows: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -350,7 +409,7 @@ def near_copies(rows: DataFrame) -> DataFrame:
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rev", "copies")
     nodes = written(keys.groupBy("node").agg(F.min(key).alias("first"), F.first("size").alias("size"), *prints), "fingerprints")
     found = [links(nodes.select("node", F.col(c).alias("fp")), COPY_DISTANCE) for c in PRINT_COLUMNS]
-    proposed = components(reduce(DataFrame.unionByName, found))
+    proposed = written(reduce(DataFrame.unionByName, found).distinct(), "proposals")
     roots = components(confirmed(proposed, nodes, rows))
     rooted = nodes.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("first").alias("chosen"))

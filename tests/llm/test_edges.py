@@ -13,6 +13,7 @@ from postlens.llm import chat, debruijn, decontaminate, mixing, quality, rangeco
 from postlens.llm import suffixes, tokenfiles, urls
 from postlens.llm.common import n_words
 from postlens.llm.components import components
+from postlens.session import written
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, kept string, shard string, size string"
 
@@ -297,29 +298,49 @@ def test_different_texts_under_one_id_or_none_stay(spark):
     assert got == [(0, 3), (0, 4), (0, 5), (0, 6), (0, 7), (1, 0), (1, 1), (2, 2)]
 
 
-def test_confirmed_pairs_match_brute_force():
+def test_confirmed_pairs_match_brute_force(spark):
+    """All texts proposed as one group, by links to its first: what is alike among them is found whoever is the hub."""
     make, texts = random.Random(4), []
-    for i in range(8):
+    for i in range(10):
         tokens = words(90 + i, 50 + i).split()
-        for _ in range(6):
+        if i % 2:
+            tokens = texts[0].split()[:60] + tokens[:30]
+        for _ in range(7):
             tokens = list(tokens)
             tokens[make.randrange(len(tokens))] = f"y{len(texts)}"
             texts.append(" ".join(tokens))
-    for left in (None, 20):
-        root = list(range(len(texts)))
-        for a in range(len(texts)):
-            for b in range(a + 1, len(texts)):
-                if (left is None or a < left <= b) and similarity(texts[a], texts[b]) >= 0.8:
-                    low, high = sorted((root[a], root[b]))
-                    root = [low if r == high else r for r in root]
-        moved, to = simhash.confirmed_within([t.encode() for t in texts], left)
-        got = dict(zip(moved.tolist(), to.tolist(), strict=True))
-        assert [got.get(i, i) for i in range(len(texts))] == root
-
-
-@pytest.mark.parametrize("chunk", [3, 512])
-def test_near_copies_of_a_large_group(spark, monkeypatch, chunk):
-    monkeypatch.setattr(simhash, "COPY_CHUNK", chunk)
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a + 1, len(texts)):
+            if similarity(texts[a], texts[b]) >= 0.8:
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    assert 5 < len(set(root)) < len(texts)
+    rows = spark.createDataFrame([(i, i, t.encode()) for i, t in enumerate(texts)], "doc_id long, rev long, raw binary")
+    first = F.struct(F.lit(False).alias("none"), F.col("doc_id"), F.col("rev"), F.lit(1).alias("copies"))
+    nodes = rows.select(F.col("doc_id").alias("node"), first.alias("first"))
+    proposed = rows.filter("doc_id > 0").select(F.col("doc_id").alias("a"), F.lit(0).cast("long").alias("b"))
+    found = dict(tuple(r) for r in components(simhash.confirmed(proposed, nodes, rows)).collect())
+    assert [found.get(i, i) for i in range(len(texts))] == root
+
+
+def test_links_of_a_large_group_grow_with_it(spark):
+    """A group of n near copies has a few n proposals and no more than n confirmed links."""
+    tokens, shares = words(300, 77).split(), []
+    for n in (150, 600):
+        copies = [" ".join(tokens[: k % 300] + [f"z{k}"] + tokens[k % 300 + 1 :]) for k in range(n)]
+        docs = documents(spark, list(enumerate(copies))).select("doc_id", F.xxhash64("text").alias("rev"), F.col("text").cast("binary").alias("raw"))
+        nodes = simhash._copy_prints(docs).withColumn("first", F.struct(F.lit(False).alias("none"), "doc_id", "rev", F.lit(1).alias("copies")))
+        nodes = written(nodes, "nodes")
+        proposed = written(simhash.links(nodes.select("node", F.col("fp0").alias("fp")), simhash.COPY_DISTANCE).distinct(), "proposed")
+        found = simhash.confirmed(proposed, nodes.select("node", "first"), docs)
+        shares.append(proposed.count() / n)
+        assert found.count() <= n and len({r.root for r in components(found).collect()}) == 1
+        assert proposed.select(F.explode(F.array("a", "b"))).distinct().count() == n
+    assert shares[1] <= 1.5 * shares[0] + 1 and shares[1] <= 20
+
+
+def test_near_copies_of_a_group(spark):
     tokens = words(400, 77).split()
     copies = [" ".join(tokens[:k] + [f"z{k}"] + tokens[k + 1 :]) for k in range(10, 50)]
     docs = documents(spark, list(enumerate([*copies, words(400, 78)])))
