@@ -184,6 +184,60 @@ ORACLES["archive_split"] = """SELECT doc_id, 0 AS pos, md5(text) AS text_hash, N
 UNION ALL SELECT doc_id, 1, NULL, lang || '}{', CAST(doc_id AS VARCHAR) FROM documents
 UNION ALL SELECT doc_id, 2, NULL, NULL, NULL FROM documents UNION ALL SELECT doc_id, 3, NULL, NULL, NULL FROM documents"""
 
+# Inferred schemas --------------------------------------------------------------------------------
+
+
+def profiled(fields: list[tuple[str, str, str]], table: str, usable: str) -> str:
+    """Per path, type and condition: how many usable rows of ``table`` meet it."""
+    counts = ", ".join(f"count(*) FILTER (({usable}) AND ({there})) AS n{i}" for i, (_, _, there) in enumerate(fields))
+    rows = " UNION ALL ".join(
+        f"SELECT '{path}' AS path, '{kind}' AS type, n{i} AS present, 1 - n{i} / {'total' if path == '$' else 'n0'} AS null_share FROM c"
+        for i, (path, kind, _) in enumerate(fields)
+    )
+    return f"WITH c AS (SELECT count(*)::DOUBLE AS total, {counts} FROM {table}) {rows}"
+
+
+ARRIVED = "event_id % 13 <> 12 AND event_id % 7 <> 6"
+ORACLES["inferred_profile"] = profiled(
+    [
+        ("$", "struct", "true"), ("k", "string", "event_id % 4 <> 3"), ("of", "struct", "event_id % 4 >= 2"),
+        ("of.event_type", "string", "event_id % 4 = 2"), ("of.v", "double", "event_id % 4 >= 2"),
+        ("tags", "array<string>", "event_id % 4 = 3"), ("user", "bigint", "event_id % 4 = 1"),
+    ],
+    "events", ARRIVED,
+)
+ORACLES["inferred_rows"] = f"""SELECT event_id, {ARRIVED} AS usable,
+  CASE WHEN {ARRIVED} AND event_id % 4 <> 3 THEN CASE WHEN event_id % 4 = 1 THEN 'x' ELSE '' END || CAST(json_extract_string(props, '$.k') AS VARCHAR) END AS k,
+  CASE WHEN {ARRIVED} AND event_id % 4 = 1 THEN user_id END AS user,
+  CASE WHEN {ARRIVED} AND event_id % 4 = 2 THEN event_type END AS event_type,
+  CASE WHEN {ARRIVED} AND event_id % 4 = 2 THEN floor(value) WHEN {ARRIVED} AND event_id % 4 = 3 THEN 10.0 END::DOUBLE AS v,
+  CASE WHEN {ARRIVED} AND event_id % 4 = 3 THEN 'a|' || json_extract_string(props, '$.k') END AS tags
+FROM events"""
+
+INTACT_DOCUMENT = "doc_id % 11 <> 10"
+ORACLES["inferred_profile_tweet"] = profiled(
+    [
+        ("$", "struct", "true"), ("raw", "struct", "true"), ("raw.created_at", "string", "true"), ("raw.entities", "struct", "true"),
+        ("raw.entities.hashtags", "array<string>", "true"), ("raw.entities.symbols", "array<string>", "true"),
+        ("raw.entities.urls", "array<string>", "true"), ("raw.favorite_count", "bigint", "doc_id % 3 <> 0"), ("raw.id", "bigint", "true"),
+        ("raw.id_str", "string", "true"), ("raw.lang", "string", "lang IS NOT NULL"), ("raw.quote_count", "bigint", "true"),
+        ("raw.reply_count", "bigint", "true"), ("raw.retweet_count", "bigint", "true"), ("raw.source", "string", "source IS NOT NULL"),
+        ("raw.text", "string", "doc_id % 7 <> 3 AND text IS NOT NULL"), ("raw.timestamp_ms", "string", "true"), ("raw.user", "struct", "true"),
+        ("raw.user.id_str", "string", "doc_id % 4 <> 2"), ("raw.user.screen_name", "string", "lang IS NOT NULL"),
+    ],
+    "documents", INTACT_DOCUMENT,
+)
+ORACLES["inferred_profile_facebook"] = profiled(
+    [
+        ("$", "struct", "true"), ("comments", "struct", "doc_id % 8 <> 5"), ("comments.count", "bigint", "doc_id % 8 <> 5"),
+        ("created_time", "string", "true"), ("from", "struct", "true"), ("from.id", "string", "true"), ("from.name", "string", "source IS NOT NULL"),
+        ("group_id", "string", "doc_id % 6 <> 1"), ("id", "string", "true"), ("likes", "struct", "doc_id % 5 <> 4"),
+        ("likes.count", "bigint", "doc_id % 5 <> 4"), ("link", "string", "true"), ("message", "string", "doc_id % 7 <> 3 AND text IS NOT NULL"),
+        ("name", "string", "doc_id % 4 <> 1 AND lang IS NOT NULL"), ("status_type", "string", "true"), ("type", "string", "true"),
+    ],
+    "documents", INTACT_DOCUMENT,
+)
+
 # Flatteners --------------------------------------------------------------------------------------
 
 

@@ -19,7 +19,7 @@ from postlens.plans.samples import (
     DICTIONARIES, ENTITIES, EVENT_STEMS, GAZETTEER, NEGATIVE, POSITIVE, ROOTS, VOCABULARY, large_tables,
 )
 from postlens.session import shared_dir, written
-from postlens.sources import dictionaries, posts, schemas, streams
+from postlens.sources import dictionaries, inference, posts, schemas, streams
 from postlens.sources.scans import spread, table
 from postlens.streaming import jobs, sinks
 
@@ -107,17 +107,58 @@ def ascii_replace(spark, sf_dir):
     return _documents(spark, sf_dir).select("doc_id", text.ascii_replace(F.col("text")).alias("text_ascii"))
 
 
-def _props(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events.props``: every second one encoded twice, every seventh cut, every thirteenth missing."""
-    props, event = F.col("props"), F.col("event_id")
-    twice = F.to_json(F.array(props))
-    value = (
+def _sent(record: Column) -> Column:
+    """A record as it arrives: every second one encoded twice, every seventh cut, every thirteenth missing."""
+    event, twice = F.col("event_id"), F.to_json(F.array(record))
+    return (
         F.when(event % 13 == 12, None)
-        .when(event % 7 == 6, F.substring(props, F.lit(1), F.length(props) - 1))
+        .when(event % 7 == 6, F.substring(record, F.lit(1), F.length(record) - 1))
         .when(event % 2 == 1, F.substring(twice, F.lit(2), F.length(twice) - 2))
-        .otherwise(props)
+        .otherwise(record)
     )
-    return table(spark, sf_dir, "events").select("event_id", "event_type", value.alias("value"))
+
+
+def _props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events.props`` as they arrive."""
+    return table(spark, sf_dir, "events").select("event_id", "event_type", _sent(F.col("props")).alias("value"))
+
+
+def _undeclared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose records disagree: k is a number, or a text beside a user; some hold an object with a number that
+    is whole or not, some a null."""
+    k = F.get_json_object("props", "$.k")
+    named = F.to_json(F.struct(F.concat(F.lit("x"), k).alias("k"), F.col("user_id").alias("user")))
+    nested = F.to_json(F.struct(k.cast("long").alias("k"), F.struct("event_type", F.floor("value").alias("v")).alias("of")))
+    bare = F.concat(F.lit('{"k": null, "of": {"v": 1e1}, "tags": ["a", '), k, F.lit("]}"))
+    record = F.element_at(F.array("props", named, nested, bare), (F.pmod("event_id", F.lit(4)) + 1).cast("int"))
+    events = table(spark, sf_dir, "events").select("event_id", F.explode(F.array(record)).alias("record"))
+    return events.select("event_id", _sent(F.col("record")).alias("value"))
+
+
+@query("inferred_profile")
+def inferred_profile(spark, sf_dir):
+    """Paths of a feed without a declared schema, with the type all records fit."""
+    return inference.profile(_undeclared(spark, sf_dir))
+
+
+@query("inferred_profile_tweet")
+def inferred_profile_tweet(spark, sf_dir):
+    return inference.profile(landed.tweets(_all_documents(spark, sf_dir)))
+
+
+@query("inferred_profile_facebook")
+def inferred_profile_facebook(spark, sf_dir):
+    return inference.profile(landed.facebook(_all_documents(spark, sf_dir)))
+
+
+@query("inferred_rows")
+def inferred_rows(spark, sf_dir):
+    """The same feed as typed rows of the inferred schema."""
+    rows = inference.read_inferred(_undeclared(spark, sf_dir), keep=["event_id"])
+    return rows.select(
+        "event_id", "post.k", "post.user", F.col("post.of.event_type").alias("event_type"), F.col("post.of.v").alias("v"),
+        F.array_join("post.tags", "|").alias("tags"), F.col("post").isNotNull().alias("usable"),
+    )
 
 
 PROPS = schemas.record({"k": schemas.LONG})
