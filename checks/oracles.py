@@ -184,6 +184,9 @@ ORACLES["archive_split"] = """SELECT doc_id, 0 AS pos, md5(text) AS text_hash, N
 UNION ALL SELECT doc_id, 1, NULL, lang || '}{', CAST(doc_id AS VARCHAR) FROM documents
 UNION ALL SELECT doc_id, 2, NULL, NULL, NULL FROM documents UNION ALL SELECT doc_id, 3, NULL, NULL, NULL FROM documents"""
 
+ORACLES["archive_files"] = """SELECT doc_id, lang || '}{' AS lang, md5(text || CASE WHEN doc_id % 3 = 0 THEN '}{' ELSE '' END) AS text_hash, '}{' AS tag
+FROM documents"""
+
 # Inferred schemas --------------------------------------------------------------------------------
 
 

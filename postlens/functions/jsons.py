@@ -57,3 +57,13 @@ def split_concatenated(value: Column) -> Column:
     """
     pieces = F.split(F.regexp_replace(value, BOUNDARY, "}\x1e"), "\x1e")
     return F.filter(F.transform(pieces, lambda p: F.btrim(p, F.lit(" \t\r\n"))), lambda p: p != "")
+
+
+# Everything up to the next end of an object that another follows, with texts taken as a whole.
+OUTSIDE = rf'\G((?:[^"}}]++|{STRING}|\}}(?!\s*+\{{))*+)\}}(?=\s*+\{{)'
+
+
+def split_well_formed(value: Column) -> Column:
+    """The same for objects whose texts all close, whatever is in their texts: nothing in a text is a boundary."""
+    pieces = F.split(F.regexp_replace(value, OUTSIDE, "$1}\x1e"), "\x1e")
+    return F.filter(F.transform(pieces, lambda p: F.btrim(p, F.lit(" \t\r\n"))), lambda p: p != "")

@@ -19,7 +19,7 @@ from postlens.plans.samples import (
     DICTIONARIES, ENTITIES, EVENT_STEMS, GAZETTEER, NEGATIVE, POSITIVE, ROOTS, VOCABULARY, large_tables,
 )
 from postlens.session import shared_dir, written
-from postlens.sources import dictionaries, inference, posts, schemas, streams
+from postlens.sources import archives, dictionaries, inference, posts, schemas, streams
 from postlens.sources.scans import spread, table
 from postlens.streaming import jobs, sinks
 
@@ -203,12 +203,27 @@ def archive_split(spark, sf_dir):
     gap = F.element_at(F.array(*map(F.lit, ("", " ", "\n"))), (F.pmod("doc_id", F.lit(3)) + 1).cast("int"))
     tricky = F.to_json(F.struct(F.concat("lang", F.lit("}{")).alias("lang"), F.struct("doc_id").alias("of")))
     value = F.concat(F.to_json(F.struct("doc_id", "text")), gap, tricky, gap, F.lit("{}"), F.to_json(F.struct("doc_id")))
-    parts = streams.split_archives(docs.withColumn("value", value), "value", ["doc_id"])
+    parts = archives.split_archives(docs.withColumn("value", value), "value", ["doc_id"])
     return parts.select("doc_id", "pos", F.md5(F.get_json_object("value", "$.text")).alias("text_hash"),
                         F.get_json_object("value", "$.lang").alias("lang"),
                         F.get_json_object("value", "$.of.doc_id").alias("of_doc"))
 
 
+@query("archive_files")
+def archive_files(spark, sf_dir):
+    """Documents as archive files without separators, in which many texts end like a boundary, read back."""
+    docs = _documents(spark, sf_dir, "text", "lang")
+    # Between two records stands an empty object, as the writer needs something to put there.
+    record = F.to_json(F.struct("doc_id", F.concat("lang", F.lit("}{")).alias("lang"), F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit("}{"))).otherwise(F.col("text")).alias("text"), F.array(F.lit("}{"), "lang").alias("tags")))
+    path = shared_dir(spark, "archive")
+    docs.select(record.alias("value")).write.option("lineSep", "{}").text(path)
+    found = archives.archive_statuses(spark, path).where("value <> '{}'")
+    return found.select(
+        F.get_json_object("value", "$.doc_id").cast("long").alias("doc_id"), F.get_json_object("value", "$.lang").alias("lang"),
+        F.md5(F.get_json_object("value", "$.text")).alias("text_hash"), F.get_json_object("value", "$.tags[0]").alias("tag"),
+    )
+
+
 # Flatteners --------------------------------------------------------------------------------------
 
 

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 
 from pyspark.sql import functions as F
 
-from postlens.sources import dictionaries, posts, schemas, streams
+from postlens.sources import archives, dictionaries, posts, schemas
 
 
 def _values(spark, *values):
@@ -80,7 +81,7 @@ def test_news_falls_back_to_the_file(spark):
 def test_archive_of_objects_without_separators(spark, tmp_path):
     objects = [{"id": i, "text": 'a }{ b "}{" c', "user": {"id_str": str(i), "name": "n"}} for i in range(50)]
     (tmp_path / "archive.txt").write_text("".join(json.dumps(o) for o in objects))
-    values = streams.archive_statuses(spark, str(tmp_path))
+    values = archives.archive_statuses(spark, str(tmp_path))
     ids = [r.id for r in posts.drop_malformed(values, schemas.STATUS).select("post.id", "post.text").collect()]
     assert sorted(ids) == list(range(50))
 
@@ -95,15 +96,48 @@ def test_archives_with_boundaries_in_texts(spark, tmp_path, gap, split):
     if split:
         spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     try:
-        scanned = [json.loads(r.value) for r in streams.archive_statuses(spark, str(tmp_path)).collect()]
+        scanned = [json.loads(r.value) for r in archives.archive_statuses(spark, str(tmp_path)).collect()]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert sorted(scanned, key=lambda o: o["id"]) == objects
     rows = spark.createDataFrame([(archive,), ("",), (None,)], "value STRING")
-    parts = streams.split_archives(rows, "value").orderBy("pos").collect()
+    parts = archives.split_archives(rows, "value").orderBy("pos").collect()
     assert [json.loads(r.value) for r in parts] == objects
 
 
+@pytest.mark.parametrize("split", [150, 1 << 20])
+def test_archives_cut_anywhere(spark, tmp_path, split):
+    """Lists of texts that look like boundaries, keys too, over splits that end anywhere."""
+    make = random.Random(split)
+    texts = ["}{", 'x}{', 'a"}{', "\\}{", "}{}{", "z", "", '"}{"}{']
+    for n in range(2):
+        objects = [{"id": 100 * n + i, "}{": [make.choice(texts) for _ in range(make.randint(0, 9))], make.choice(texts): 1} for i in range(15)]
+        (tmp_path / f"a{n}.txt").write_text("".join(json.dumps(o) for o in objects))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        found = [r.value for r in archives.archive_statuses(spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    wanted = sorted("".join(p.read_text() for p in sorted(tmp_path.glob("a*.txt"))).replace('}{"id"', '}\x1e{"id"').split("\x1e"))
+    assert sorted(found) == wanted
+
+
+@pytest.mark.parametrize("split", [50, 1 << 20])
+def test_what_never_parses_stays(spark, tmp_path, split):
+    whole = ['{"id": 1, "t": "x}{"}', '{"id": 2}', '{"id": 3, "t": "}{"}']
+    (tmp_path / "cut.txt").write_text(whole[0] + '{"id": 9, "t": "never closed' + whole[1] * 2 + whole[2] + '{"id": 8')
+    (tmp_path / "only.txt").write_text('x}{"' * 12 + "x")
+    (tmp_path / "empty.txt").write_text("")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        found = [r.value for r in archives.archive_statuses(spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    # The object without end takes the next one with it; what parses alone starts afresh.
+    assert whole[0] in found and whole[1] in found and whole[2] in found and '{"id": 8}' in found
+    assert sum(v.count("x") for v in found if "id" not in v) == 13
+
+
 def test_dictionary_files(spark, tmp_path):
     (tmp_path / "slang.txt").write_text("gpp tidak apa-apa\negp emang saya\n\ngpp  tidak   masalah\nkosong\n")
     slang = dictionaries.slang_table(dictionaries.read_lines(spark, str(tmp_path / "slang.txt")))
