@@ -644,3 +644,6 @@ ORACLES["stream_raw_archive"] = "SELECT md5(text) AS value_hash FROM documents"
 ORACLES["stream_first_seen"] = "SELECT DISTINCT md5(text) AS post FROM documents"
 ORACLES["stream_bounded_archive"] = ORACLES["stream_raw_archive"]
 ORACLES["stream_latest"] = ORACLES["dedup_by_id"]
+
+ORACLES["latest_table"] = """SELECT user_id, event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""

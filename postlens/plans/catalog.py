@@ -22,6 +22,7 @@ from postlens.session import shared_dir, written
 from postlens.sources import archives, dictionaries, inference, posts, schemas, streams
 from postlens.sources.scans import spread, table
 from postlens.streaming import jobs, sinks
+from postlens.streaming.latest_table import LatestTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 BATCH_SIZE = 100
@@ -770,6 +771,16 @@ def stream_enrich(spark, sf_dir):
     return back.select("id", "sentiment", "total_score", "person", "city", "lat_city", "reason", "status", F.col("ingest_date").cast("string").alias("ingest_date"))
 
 
+@query("latest_table")
+def latest_table(spark, sf_dir):
+    """The latest event of each user, kept over nine batches of events, of which one comes twice."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    kept = LatestTable(spark, shared_dir(spark, "latest"), "user_id", ["ts", "event_id"], buckets=4, fan=3)
+    for batch in (*range(6), 2, *range(6, 9)):
+        kept.apply(events.where(F.pmod("event_id", F.lit(9)) == batch), batch)
+    return kept.read().select("user_id", "event_id", "event_type", _stamp(F.col("ts")).alias("at"))
+
+
 @query("stream_raw_archive")
 def stream_raw_archive(spark, sf_dir):
     """Texts as messages, archived unparsed."""
