@@ -635,7 +635,7 @@ FROM enriched JOIN documents USING (doc_id)"""
 ORACLES["stream_running_counts"] = TOTALS
 ORACLES["stream_class_history"] = f"""WITH {BATCHED} SELECT label, CAST(sum(count) AS BIGINT) AS count,
   CAST(sum(records) AS BIGINT) AS records FROM history GROUP BY label"""
-INGESTED = "strftime(make_timestamp(doc_id * 3600 * 1000000), '%Y-%m-%d')"
+INGESTED = "strftime(make_timestamp(doc_id * 60 * 1000000), '%Y-%m-%d')"
 ORACLES["stream_enrich"] = f"""WITH {ENRICHED} SELECT doc_id + 985000000000000000 AS id, sentiment, total_score,
   person, city, lat_city, NULL AS reason, 'good' AS status, {INGESTED} AS ingest_date FROM enriched WHERE {TWEET_OK}
 UNION ALL SELECT CASE WHEN {INTACT} THEN doc_id + 985000000000000000 END, NULL, NULL, NULL, NULL, NULL,
@@ -647,3 +647,4 @@ ORACLES["stream_latest"] = ORACLES["dedup_by_id"]
 
 ORACLES["latest_table"] = """SELECT user_id, event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
+ORACLES["compacted_output"] = """SELECT doc_id, lang, CAST(doc_id % 7 AS INT) AS batch_id, md5(text) AS text_hash FROM documents"""

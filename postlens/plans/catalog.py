@@ -761,7 +761,7 @@ def stream_running_counts(spark, sf_dir):
 def stream_enrich(spark, sf_dir):
     """Tweets through the enrichment job: judged, enriched, written as JSON per batch, read back."""
     base = shared_dir(spark, "enrich")
-    arrived = F.timestamp_seconds(F.col("doc_id") * 3600).alias("timestamp")
+    arrived = F.timestamp_seconds(F.col("doc_id") * 60).alias("timestamp")
     feed = landed.tweets(_document_stream(spark, sf_dir)).select("value", arrived)
     write = jobs.enrichment_writer("tweet", DICTIONARIES, f"{base}/out")
     jobs.start(feed, write, f"{base}/checkpoint").awaitTermination()
@@ -771,6 +771,19 @@ def stream_enrich(spark, sf_dir):
     return back.select("id", "sentiment", "total_score", "person", "city", "lat_city", "reason", "status", F.col("ingest_date").cast("string").alias("ingest_date"))
 
 
+@query("compacted_output")
+def compacted_output(spark, sf_dir):
+    """Documents that seven batches wrote by language, in several files each, compacted across batches."""
+    base = shared_dir(spark, "compacted")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    for batch in range(7):
+        part = docs.where(F.pmod("doc_id", F.lit(7)) == batch)
+        sinks.write_json(part, f"{base}/in", batch, "documents", ["lang", "batch_id"])
+    sinks.compact(spark, f"{base}/in", f"{base}/out", "doc_id BIGINT, text STRING, lang STRING, batch_id INT", ["lang"])
+    back = streams.read_json(spark, f"{base}/out", "doc_id BIGINT, text STRING, lang STRING, batch_id INT")
+    return back.select("doc_id", "lang", "batch_id", F.md5("text").alias("text_hash"))
+
+
 @query("latest_table")
 def latest_table(spark, sf_dir):
     """The latest event of each user, kept over nine batches of events, of which one comes twice."""

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Header of the comma-separated posts file.
 POST_CSV_HEADER = ("Post ID", "Screen Name", "ID", "sentence", "Sentiment")
@@ -17,6 +19,28 @@ WHOLE_FIELDS = {
 }
 
 
+#: What a task of a clustered write takes of the shuffled batch, and what compaction makes files of.
+TASK_BYTES, FILE_BYTES = 64 << 20, 128 << 20
+#: Parts that folders are hashed to before small ones are joined and large ones split, so that few share a part with a
+#: large one.
+FOLDER_PARTS = 400
+
+
+@contextmanager
+def _set(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Settings of the session while a write runs. The session of a stream has adaptive execution off for the sake
+    of its own state; a batch it hands on is planned already, so its write can have it."""
+    names = {k.replace("_", "."): v for k, v in values.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def _stamped(df: DataFrame, batch_id: int, source: str | None) -> DataFrame:
     stamped = df.withColumn("batch_id", F.lit(batch_id))
     return stamped.withColumn("source_name", F.lit(source)) if source else stamped
@@ -28,18 +52,61 @@ def replace_batch(
 ) -> None:
     """Write one batch as its own partitions of a folder partitioned by source, then ``levels``.
 
-    A level besides ``batch_id`` must follow from the row itself, so that a replay meets its own partitions.
+    A level besides ``batch_id`` must follow from the row itself, so that a replay meets its own partitions. Rows of a
+    folder are brought together first, so that a folder has a file for each TASK_BYTES of its rows, not one for
+    each task that has a row of it; a folder with most of the rows is dealt to as many tasks as it needs.
     """
     parts = [*(["source_name"] if source else []), *levels]
-    (
-        _stamped(df, batch_id, source)
-        .write.format(format)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .options(**options)
-        .partitionBy(*parts)
-        .save(path)
-    )
+    varied = [level for level in levels if level != "batch_id"]
+    with _set(df.sparkSession, spark_sql_adaptive_enabled="true", spark_sql_adaptive_advisoryPartitionSizeInBytes=f"{TASK_BYTES}b"):
+        (
+            _stamped(df, batch_id, source)
+            .hint("rebalance", FOLDER_PARTS, *varied)
+            .write.format(format)
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .options(**options)
+            .partitionBy(*parts)
+            .save(path)
+        )
+
+
+def packed(files: DataFrame, levels: Sequence[str], target_bytes: int) -> DataFrame:
+    """``files(file, bytes, levels...)`` that are smaller than ``target_bytes``, with the ``bin`` of their folder each goes to.
+
+    Files are taken in order of their name; a bin holds those whose bytes end within the same multiple of the target,
+    so it has less than twice the target. Folders in which that changes nothing are left out.
+    """
+    folder = Window.partitionBy(*levels)
+    ends = F.sum("bytes").over(folder.orderBy("file").rowsBetween(Window.unboundedPreceding, 0))
+    small = files.where(F.col("bytes") < target_bytes).withColumn("bin", F.floor((ends - 1) / target_bytes))
+    counts = small.withColumns({"_n": F.count("*").over(folder), "_bins": F.max("bin").over(folder) + 1})
+    return counts.where("_n > _bins").drop("_n", "_bins")
+
+
+def compact(
+    spark: SparkSession, path: str, out: str, schema: T.StructType | str, levels: Sequence[str], format: str = "json",
+    target_bytes: int = FILE_BYTES, **options,
+) -> None:
+    """Copy the rows below ``path`` into ``out``, partitioned by ``levels`` (a choice of the folder levels of ``path``,
+    such as all but the batch), in files of about ``target_bytes``.
+
+    Small files of a folder are packed into bins, each of which one task writes as one file; larger files are dealt out as they
+    are. What is in ``out`` for a folder is replaced, so a run that is repeated, or comes after more batches, leaves
+    each row once. Nothing below ``path`` is changed or removed.
+    """
+    rows = spark.read.format(format).schema(schema).options(**options).load(path)
+    rows = rows.withColumn("_file", F.col("_metadata.file_path"))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    where = rows.select("_file", *levels).groupBy("_file").agg(*(F.first(c).alias(c) for c in levels))
+    name = F.regexp_replace(F.col("path"), "^([a-z0-9]+):/+", "$1:/")
+    sizes = listed.select(name.alias("_name"), F.col("length").alias("bytes"))
+    files = where.withColumn("_name", F.regexp_replace("_file", "^([a-z0-9]+):/+", "$1:/")).join(sizes, "_name").withColumnRenamed("_file", "file")
+    bins = packed(files, levels, target_bytes).select(F.col("file").alias("_file"), "bin")
+    placed = rows.join(bins, "_file", "left").withColumn("_bin", F.coalesce(F.col("bin").cast("string"), "_file"))
+    cores = spark.sparkContext.defaultParallelism
+    dealt = placed.repartition(max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))), *levels, "_bin").drop("_file", "bin", "_bin")
+    dealt.write.format(format).mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**options).partitionBy(*levels).save(out)
 
 
 def write_json(

@@ -68,3 +68,34 @@ def test_tables(spark, rows, tmp_path):
 def test_topic_value(spark, rows):
     row = tables.topic_value(rows.where("id = 1"), "id").first()
     assert (row.key, row.value) == ("1", '{"id":1,"text":"plain"}')
+
+
+def test_a_folder_has_few_files_and_a_hot_one_is_dealt(spark, tmp_path, monkeypatch):
+    """One row for each of many folders in every task, and one folder with nearly all bytes."""
+    rows = spark.range(4000).repartition(16).selectExpr("id", "CASE WHEN id % 10 = 0 THEN id % 70 / 10 ELSE 99 END AS day", "repeat(md5(string(id)), 40) AS text")
+    monkeypatch.setattr(sinks, "TASK_BYTES", 24 << 10)
+    setting = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    sinks.write_json(rows, str(tmp_path), 1, "tweet", ["day", "batch_id"])
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == setting
+    sizes = {}
+    for f in tmp_path.glob("source_name=tweet/day=*/batch_id=1/*.json"):
+        sizes.setdefault(f.parent.parent.name, []).append(f.stat().st_size)
+    assert len(sizes) == 8 and spark.read.json(str(tmp_path)).count() == 4000
+    assert max(len(v) for k, v in sizes.items() if k != "day=99.0") <= 2 and len(sizes["day=99.0"]) >= 3
+    assert max(map(max, sizes.values())) < sum(sizes["day=99.0"]) / 2
+
+
+def test_compaction_bounds_files_by_bytes(spark, tmp_path):
+    schema = "id BIGINT, text STRING, lang STRING, batch_id INT"
+    rows = spark.range(900).selectExpr("id", "repeat('x', int(id % 50) * 10) AS text", "CASE WHEN id % 3 = 0 THEN 'a' WHEN id % 3 = 1 THEN 'b' END AS lang")
+    for batch in range(6):
+        sinks.write_json(rows.where(f"id div 150 = {batch}").repartition(3), str(tmp_path / "in"), batch, "s", ["lang", "batch_id"])
+    before = list((tmp_path / "in").glob("*/*/*/*.json"))
+    for _ in range(2):
+        sinks.compact(spark, str(tmp_path / "in"), str(tmp_path / "out"), schema, ["lang"], target_bytes=30_000)
+        after = [f.stat().st_size for f in (tmp_path / "out").glob("*/*.json")]
+        assert max(after) < 60_000 and len(after) < len(before)
+        back = streams.read_json(spark, str(tmp_path / "out"), schema).collect()
+        assert sorted((r.id, len(r.text), r.batch_id) for r in back) == [(i, i % 50 * 10, i // 150) for i in range(900)]
+        assert {r.lang for r in back} == {"a", "b", None}
+    assert list((tmp_path / "in").glob("*/*/*/*.json")) == before
