@@ -648,3 +648,17 @@ ORACLES["stream_latest"] = ORACLES["dedup_by_id"]
 ORACLES["latest_table"] = """SELECT user_id, event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
 ORACLES["compacted_output"] = """SELECT doc_id, lang, CAST(doc_id % 7 AS INT) AS batch_id, md5(text) AS text_hash FROM documents"""
+
+LEDGER = """dealt AS (
+  SELECT CASE WHEN event_id % 2 = 0 THEN 'weblogs' ELSE 'twitter-stream' END AS topic, CAST(event_id // 2 % 3 AS INT) AS partition,
+    event_id // 6 AS "offset", CASE WHEN event_id % 50 = 7 THEN 2 WHEN event_id % 331 = 1 THEN 4 ELSE 1 END AS n, event_id FROM events
+), kept AS (
+  SELECT topic, partition, "offset", n, "offset" - row_number() OVER (PARTITION BY topic, partition ORDER BY "offset") AS run
+  FROM dealt WHERE event_id % 97 <> 5 AND NOT (partition = 2 AND "offset" // 50 % 3 = 1)
+), islands AS (
+  SELECT topic, partition, min("offset") AS first, max("offset") AS last, sum(n)::BIGINT AS messages FROM kept GROUP BY topic, partition, run
+)"""
+ORACLES["offset_ledger"] = f"""WITH {LEDGER} SELECT *, messages - (last - first + 1) AS repeats,
+  coalesce(lead(first) OVER (PARTITION BY topic, partition ORDER BY first) - last - 1, 0) AS missing FROM islands"""
+ORACLES["offset_resume"] = f"""WITH {LEDGER} SELECT topic, partition, arg_min(last, first) + 1 AS safe, max(last) + 1 AS seen FROM islands
+GROUP BY topic, partition"""

@@ -19,7 +19,7 @@ from postlens.plans.samples import (
     DICTIONARIES, ENTITIES, EVENT_STEMS, GAZETTEER, NEGATIVE, POSITIVE, ROOTS, VOCABULARY, large_tables,
 )
 from postlens.session import shared_dir, written
-from postlens.sources import archives, dictionaries, inference, posts, schemas, streams
+from postlens.sources import archives, dictionaries, inference, offsets, posts, schemas, streams
 from postlens.sources.scans import spread, table
 from postlens.streaming import jobs, sinks
 from postlens.streaming.latest_table import LatestTable
@@ -771,6 +771,34 @@ def stream_enrich(spark, sf_dir):
     return back.select("id", "sentiment", "total_score", "person", "city", "lat_city", "reason", "status", F.col("ingest_date").cast("string").alias("ingest_date"))
 
 
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as messages of two topics with three partitions each; some never arrive, some come twice, and in one
+    partition whole stretches are missing."""
+    event = F.col("event_id")
+    dealt = table(spark, sf_dir, "events").select(
+        F.when(event % 2 == 0, "weblogs").otherwise("twitter-stream").alias("topic"), F.floor(event / 2 % 3).cast("int").alias("partition"),
+        F.floor(event / 6).alias("offset"), event.alias("event_id"),
+    )
+    lost = (event % 97 == 5) | ((F.col("partition") == 2) & (F.floor(F.col("offset") / 50) % 3 == 1))
+    times = F.when(event % 50 == 7, 2).when(event % 331 == 1, 4).otherwise(1)
+    return dealt.where(~lost).withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).drop("_copy")
+
+
+@query("offset_ledger")
+def offset_ledger(spark, sf_dir):
+    """What was read of each partition: ranges, repeats and gaps, kept batch by batch."""
+    out, messages = shared_dir(spark, "ledger"), _messages(spark, sf_dir)
+    write = jobs.ledger_writer(out)
+    for batch in range(3):
+        write(messages.where(F.floor(F.col("offset") / 40) % 3 == batch), batch)
+    return jobs.read_ledger(spark, out)
+
+
+@query("offset_resume")
+def offset_resume(spark, sf_dir):
+    return offsets.resume_points(offsets.ledger(offsets.ranges(_messages(spark, sf_dir))))
+
+
 @query("compacted_output")
 def compacted_output(spark, sf_dir):
     """Documents that seven batches wrote by language, in several files each, compacted across batches."""

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from postlens.operators import counts
 from postlens.operators.latest import latest_by_key
 from postlens.plans.enrich import Dictionaries, enrich
-from postlens.sources import posts, streams
+from postlens.sources import offsets, posts, streams
 from postlens.sources.scans import spread
 from postlens.sources.schemas import ANALYSIS_COLUMNS, TOPICS
 from postlens.streaming import sinks
@@ -136,6 +136,21 @@ def raw_archive(messages: DataFrame, out: str, checkpoint: str, interval: str |
     return triggered(writer.option("checkpointLocation", checkpoint), interval).start()
 
 
+def ledger_writer(out: str) -> BatchFunction:
+    """The ranges of offsets that each batch read; :func:`read_ledger` makes one account of them. A replayed batch
+    replaces its own."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sinks.write_parquet(offsets.ranges(batch.select("topic", "partition", "offset")), out, batch_id)
+
+    return write
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """Ranges, repeats and gaps over all batches of ``ledger_writer``."""
+    return offsets.ledger(spark.read.parquet(path))
+
+
 def first_seen(stream: DataFrame, key: str, time: str, delay: str = "1 day") -> DataFrame:
     """Drop repeats of a post that come within ``delay`` of event time, which bounds the state."""
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
