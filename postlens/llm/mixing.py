@@ -1,8 +1,9 @@
 """Mixing sources to target weights.
 
 Words are summed per source, the sums give each source a target and so a repetition rate, and each document is
-emitted floor(rate) times plus one more time with the probability of the fraction. The draw is a hash of seed
-and document id, so reruns and retried tasks agree. Row-local but for one aggregate to a row per source.
+emitted floor(rate) times plus one more time with the probability of the fraction. The draw is a hash of seed,
+document id and text, so reruns and retried tasks agree, and documents without an id, or with one id, draw each for
+themselves. Row-local but for one aggregate to a row per source.
 """
 
 from __future__ import annotations
@@ -52,17 +53,19 @@ def targets(
     )
 
 
-def draw(key: Column, seed: str = SEED) -> Column:
-    """A number in [0, 1) that depends on seed and key alone."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))))
+def draw(key: Column, text: Column, seed: str = SEED) -> Column:
+    """A number in [0, 1) that depends on seed, key and text alone. Null counts as empty."""
+    filled = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), filled(key), F.lit(":"), F.md5(filled(text))))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
 
 
 def with_copies(docs: DataFrame, seed: str = SEED, **shares) -> DataFrame:
     """``docs`` (doc_id, text, source, ...) with _size, _source_size, _target and _copies.
 
-    Null texts have size 0; null is a source like any other; rows with the same doc_id draw alike. Empty
-    input gives no rows. Columns of ``docs`` keep their names and values; the added ones start with ``_``.
+    Null texts have size 0; null is a source like any other. Only rows with the same doc_id and the same text draw alike:
+    such repeated rows are all taken once more or none of them. Empty input gives no rows. Columns of ``docs`` keep
+    their names and values; the added ones start with ``_``.
     """
     sized = docs.withColumn("_size", n_words(F.col("text")))
     goals = targets(sized.select("source", F.col("_size").alias("size")), **shares).select(
@@ -70,7 +73,7 @@ def with_copies(docs: DataFrame, seed: str = SEED, **shares) -> DataFrame:
     )
     joined = sized.join(measured(goals, "mix-targets"), F.col("source").eqNullSafe(F.col("_source")))
     rate = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(0.0)
-    extra = (draw(F.col("doc_id"), seed) < rate - F.floor(rate)).cast("int")
+    extra = (draw(F.col("doc_id"), F.col("text"), seed) < rate - F.floor(rate)).cast("int")
     return joined.withColumn("_copies", F.floor(rate).cast("int") + extra).drop("_source")
 
 

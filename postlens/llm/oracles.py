@@ -143,7 +143,7 @@ FROM ruled
 
 ORACLES["op7_mix_sources"] = f"""
 WITH sized AS (
-  SELECT doc_id, source, len({_words("text")})::BIGINT AS size FROM documents
+  SELECT doc_id, source, text, len({_words("text")})::BIGINT AS size FROM documents
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
 ), weighed AS (
@@ -156,7 +156,7 @@ WITH sized AS (
   SELECT source, source_size, least(most::DOUBLE, weight * (SELECT level FROM levels WHERE level * weight <= most ORDER BY most / weight, source ASC NULLS LAST LIMIT 1)) AS target FROM levels
 ), rated AS (
   SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-    ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS draw
+    ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS draw
   FROM sized JOIN goals ON sized.source IS NOT DISTINCT FROM goals.source
 )
 SELECT doc_id, size, source_size, target, (size * (floor(rate) + (draw < rate - floor(rate))::INT))::BIGINT AS taken FROM rated
