@@ -1,8 +1,12 @@
 """Benchmark decontamination with one Aho-Corasick automaton.
 
-Benchmark items and documents are normalised to lower-case words parted by single spaces. Windows of ten
-item words (or a shorter item as a whole) are the patterns of an automaton that reads each text once; matches
-are mapped back to words and to offsets in the original text. Row-local: documents are not shuffled.
+Benchmark items and documents are normalised to lower-case words. Windows of ten item words (or a shorter item as a
+whole) are the patterns of an automaton over numbered words, which reads each text once; matches are mapped back to
+words and to offsets in the original text. Row-local: documents are not shuffled.
+
+An automaton has a state for each word of each window, about 50 bytes; how many it may have is bounded. The benchmark is
+read once, cut into parts that keep that bound and written; with several parts the documents are written between
+them, so that no task has two automata at work.
 """
 
 from __future__ import annotations
@@ -10,64 +14,82 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import ahocorasick
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlens.llm.common import arrow_map
+from postlens.session import shared_dir, written
 
 WINDOW = 10
-#: Text of the items that one automaton may hold. A larger benchmark is dealt over several automata, which
-#: read the documents one after the other, so that a worker never holds more than one of this size.
-AUTOMATON_BYTES = 16 << 20
+#: States that one automaton may have; 2 million are about 100 MB in a worker. A larger benchmark is dealt over
+#: several automata, which read the documents one after the other.
+AUTOMATON_STATES = 1 << 21
+#: Windows of an item that stay together; a longer item is cut.
+PIECE = 4096
 #: Every byte of a word as it is but A-Z in lower case, every other byte a space.
 FOLD = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20
     for c in range(256)
 )
-_AUTOMATA: dict[int, ahocorasick.Automaton] = {}
+_AUTOMATA: dict[int, Machine] = {}
 
 
 def folded_words(raw: bytes) -> list[bytes]:
     return raw.translate(FOLD).split()
 
 
-def patterns_of(items: list[tuple[str, bytes]], window: int = WINDOW) -> dict[str, tuple[int, tuple[str, ...]]]:
-    """``pattern -> (words, item ids)``; one byte of a text is one character of a pattern."""
-    owners, lengths = defaultdict(set), {}
-    for item, raw in items:
-        words = folded_words(raw)
-        for i in range(max(1, len(words) - window + 1) if words else 0):
-            part = words[i : i + window]
-            key = (b" " + b" ".join(part) + b" ").decode("latin-1")
-            owners[key].add(item)
-            lengths[key] = len(part)
-    return {key: (lengths[key], tuple(sorted(found))) for key, found in owners.items()}
+@dataclass(frozen=True)
+class Machine:
+    """The automaton, the numbers of the words it knows (0 is any other), and per pattern its length and items."""
+
+    automaton: ahocorasick.Automaton
+    numbers: dict[bytes, int]
+    found: list[tuple[int, tuple[str, ...]]]
+
+    @staticmethod
+    def of(pieces: list[tuple[str, bytes]], window: int = WINDOW) -> Machine:
+        """``pieces`` of items, words parted by single spaces."""
+        numbers: dict[bytes, int] = {}
+        owners = defaultdict(set)
+        for item, raw in pieces:
+            words = tuple(numbers.setdefault(w, len(numbers) + 1) for w in raw.split())
+            for i in range(max(1, len(words) - window + 1) if words else 0):
+                owners[words[i : i + window]].add(item)
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        for k, words in enumerate(owners):
+            automaton.add_word(words, k)
+        automaton.make_automaton()
+        return Machine(automaton, numbers, [(len(words), tuple(sorted(items))) for words, items in owners.items()])
+
+
+def cut(raw: bytes, window: int = WINDOW, piece: int = PIECE) -> list[bytes]:
+    """An item as normalised pieces of at most ``piece`` windows, each window in one of them; none without words."""
+    words = folded_words(raw)
+    starts = range(0, max(1, len(words) - window + 1), piece) if words else ()
+    return [b" ".join(words[i : i + piece + window - 1]) for i in starts]
 
 
-def automaton_of(patterns: dict[str, tuple[int, tuple[str, ...]]]) -> ahocorasick.Automaton:
-    machine = ahocorasick.Automaton()
-    for key, value in patterns.items():
-        machine.add_word(key, value)
-    machine.make_automaton()
-    return machine
+def states(piece: bytes, window: int = WINDOW) -> int:
+    """At most so many states does a piece add to an automaton."""
+    n = piece.count(b" ") + 1
+    return max(1, n - window + 1) * min(n, window)
 
 
-def scan(machine: ahocorasick.Automaton, raw: bytes) -> tuple[int, list[tuple[int, int, tuple[str, ...]]]]:
+def scan(machine: Machine, raw: bytes) -> tuple[int, list[tuple[int, int, tuple[str, ...]]]]:
     """Number of words, and ``(first word, end word, items)`` of each match."""
     words = folded_words(raw)
-    if not words or not len(machine):
+    if not words or not machine.found:
         return len(words), []
-    found, starts = [], None
-    for end, (n, items) in machine.iter((b" " + b" ".join(words) + b" ").decode("latin-1")):
-        if starts is None:
-            starts = np.cumsum([0, *(len(w) + 1 for w in words)])
-        last = int(np.searchsorted(starts, end))
-        found.append((last - n, last, items))
+    known = machine.numbers.get
+    found = []
+    for last, k in machine.automaton.iter(tuple([known(w, 0) for w in words])):
+        n, items = machine.found[k]
+        found.append((last - n + 1, last + 1, items))
     return len(words), found
 
 
@@ -88,12 +110,12 @@ def original_spans(raw: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, i
     return [(place(at[a][0]), place(at[b - 1][1])) for a, b in runs]
 
 
-def _scanner(shared, number: int):
+def _scanner(shared, number: int, window: int):
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = _AUTOMATA.get(number)
         if machine is None:
             _AUTOMATA.clear()
-            machine = _AUTOMATA[number] = automaton_of(shared.value)
+            machine = _AUTOMATA[number] = Machine.of(shared.value, window)
         for part in parts:
             texts = part.column("_raw").to_pylist()
             hits, items = part.column("_hits").to_pylist(), part.column("_items").to_pylist()
@@ -115,20 +137,36 @@ def _scanner(shared, number: int):
     return batches
 
 
-def scanned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bound: int = AUTOMATON_BYTES) -> DataFrame:
+def _parts(benchmark: DataFrame, window: int, bound: int) -> tuple[DataFrame, int]:
+    """``(part, item, piece)`` of ``benchmark``, written, and the number of parts: by hash, with room for uneven ones."""
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            rows = [(i, p, states(p, window)) for i, raw in zip(*(c.to_pylist() for c in part.columns), strict=True) for p in cut(raw, window)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.binary(), pa.int64()))], ["item", "piece", "states"])
+
+    item = F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item")
+    items = benchmark.filter("text IS NOT NULL").select(item, F.col("text").cast("binary").alias("raw"))
+    pieces = written(arrow_map(items, batches, "item string, piece binary, states long").distinct(), "benchmark-pieces")
+    total = pieces.agg(F.coalesce(F.sum("states"), F.lit(0)).alias("n")).first().n
+    parts = max(1, -(-5 * total // (4 * bound))) if total > bound else 1
+    if parts == 1:
+        return pieces.select(F.lit(0).alias("part"), "item", "piece"), 1
+    path = shared_dir(benchmark.sparkSession, "benchmark-parts")
+    pieces.select(F.pmod(F.xxhash64("item", "piece"), F.lit(parts)).cast("int").alias("part"), "item", "piece").write.partitionBy("part").parquet(path)
+    return benchmark.sparkSession.read.schema("item string, piece binary, part int").parquet(path), parts
+
+
+def scanned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bound: int = AUTOMATON_STATES) -> DataFrame:
     """``docs`` with _n_words, _hits (word runs as start, end, start, end, ...) and _items (ids, sorted).
 
     Null and empty texts have no words and no hits; null or wordless items have no window; items with one id
     count once; a null id counts as an empty one. Empty tables are allowed on both sides. Columns of ``docs``
-    keep their names; the added ones start with ``_``. The driver reads ``benchmark`` in parts of about
-    ``bound`` bytes; each part is one automaton.
+    keep their names; the added ones start with ``_``. The driver holds one part of ``benchmark`` at a time, of about ``bound``
+    states; each part is one automaton.
     """
     spark = docs.sparkSession
-    items = benchmark.select(
-        F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("binary").alias("raw")
-    ).filter("raw IS NOT NULL")
-    size = items.agg(F.coalesce(F.sum(F.length("raw")), F.lit(0)).alias("n")).first().n
-    parts = max(1, -(-size // bound))
+    pieces, parts = _parts(benchmark, window, bound)
     out = docs.withColumns(
         {
             "_raw": F.col("text").cast("binary"),
@@ -139,14 +177,20 @@ def scanned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bound:
     )
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in out.schema.fields])
     for k in range(parts):
-        rows = items.filter(F.pmod(F.xxhash64("item", "raw"), F.lit(parts)) == k).collect()
-        shared = spark.sparkContext.broadcast(patterns_of([(r.item, bytes(r.raw)) for r in rows], window))
-        out = arrow_map(out, _scanner(shared, shared._jbroadcast.id()), schema)
+        rows = pieces.filter(F.col("part") == k).select("item", "piece").collect()
+        shared = spark.sparkContext.broadcast([(r.item, bytes(r.piece)) for r in rows])
+        out = arrow_map(out, _scanner(shared, shared._jbroadcast.id(), window), schema)
+        if k < parts - 1:
+            out = written(out, "scanned")
     return out.drop("_raw")
 
 
 def spans(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``(doc_id, start, end)``: character offsets of the hit runs in the original texts."""
+    """``(doc_id, start, end)``: character offsets of the hit runs in the original texts.
+
+    doc_id keeps its type; rows with a null or repeated id give spans each. Documents without a hit, null and empty texts,
+    and empty tables give none. Other columns are not looked at.
+    """
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -155,13 +199,13 @@ def spans(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
                 for a, b in original_spans(raw, list(zip(hits[::2], hits[1::2], strict=True))):
                     ids.append(key), starts.append(a), ends.append(b)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())],
+                [pa.array(ids, part.schema.field("doc_id").type), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())],
                 names=["doc_id", "start", "end"],
             )
 
     hit = scanned(docs.select("doc_id", "text"), benchmark, **options).filter("size(_hits) > 0")
-    raw = hit.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("_text"), "_hits")
-    return arrow_map(raw, batches, "doc_id long, start long, end long")
+    raw = hit.select("doc_id", F.col("text").cast("binary").alias("_text"), "_hits")
+    return arrow_map(raw, batches, f"doc_id {dict(docs.dtypes)['doc_id']}, start long, end long")
 
 
 def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

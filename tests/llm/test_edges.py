@@ -363,6 +363,14 @@ def test_mixing(spark, odd, none):
     assert mixing.with_copies(odd).count() == odd.count() and mixing.mixed(none).count() == 0
 
 
+def test_rows_without_id_draw_each_for_themselves(spark):
+    docs = documents(spark, [(None, words(20, i)) for i in range(600)] + [(1, words(20, 700 + i)) for i in range(600)])
+    rows = mixing.with_copies(docs, weights=(1,)).collect()
+    for ids in ({None}, {1}):
+        extra = sum(r["_copies"] - 1 for r in rows if r.doc_id in ids)
+        assert 240 <= extra <= 360
+
+
 # Repeated strings
 
 
@@ -457,12 +465,27 @@ def test_decontamination(spark, odd, none):
     assert split == got
     (span,) = [r for r in decontaminate.spans(docs, benchmark).collect() if r.doc_id == 10]
     assert texts[0][1][span.start : span.end] == item.upper()
+    named = docs.withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    assert ("d10", span.start, span.end) in [tuple(r) for r in decontaminate.spans(named, benchmark).collect()]
+    assert decontaminate.spans(odd, benchmark).count() == decontaminate.spans(none, benchmark).count() == 0
     clean = decontaminate.clean(docs, benchmark)
     assert clean.columns == docs.columns and {r.doc_id for r in clean.collect()} == {11, 13}
     assert decontaminate.report(odd, benchmark.limit(0)).filter("contaminated").count() == 0
     assert decontaminate.report(none, benchmark).count() == 0
 
 
+def test_states_are_bounded():
+    """Pieces hold every window once, and no automaton has more states than are counted for it."""
+    tokens = words(500, 60).encode()
+    pieces = decontaminate.cut(tokens, 10, 64)
+    windows = lambda raw: [tuple(w[i : i + 10]) for w in [raw.split()] for i in range(len(w) - 9)]
+    assert [w for p in pieces for w in windows(p)] == windows(tokens)
+    machine = decontaminate.Machine.of([("a", p) for p in pieces] + [("b", b"one two")])
+    counted = sum(map(decontaminate.states, pieces)) + decontaminate.states(b"one two")
+    assert machine.automaton.get_stats()["nodes_count"] <= counted + 1
+    assert decontaminate.cut(b" ,. ") == [] and decontaminate.cut(b"A,b") == [b"a b"]
+
+
 # Token files
 
 
