@@ -1,6 +1,7 @@
 """Token-id files: documents in id order as range-coded blocks, and their reader.
 
-Documents are dealt by range of their id, tokenised, closed with an end id and packed into blocks of whole documents.
+Documents are dealt by range of their id (and of a hash of the text, so that one id, or none, may have any number of
+them), tokenised, closed with an end id and packed into blocks of whole documents.
 A block has its own model and checksums, so any block can be read alone and a damaged one is noticed. Blocks are
 the rows of a Parquet data set, which Spark commits file by file: part, block, the documents' ids and lengths, the
 number of ids, and the coded bytes. The position of a block in the whole corpus follows from the counts.
@@ -9,11 +10,12 @@ number of ids, and the coded bytes. The position of a block in the whole corpus
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +25,7 @@ from postlens.llm.common import arrow_map, measured
 END_ID, BLOCK_IDS = 2, 1 << 21
 #: Words whose ids a worker keeps; when there are more it starts anew.
 KEPT_WORDS = 1 << 20
-_TOKENIZERS: dict[str, WordEncoder] = {}
+_TOKENIZERS: dict[int, WordEncoder] = {}
 
 
 class WordEncoder:
@@ -34,10 +36,10 @@ class WordEncoder:
     joins them either.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, definition: bytes):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_buffer(definition)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.known: dict[bytes, bytes] = {}
 
@@ -54,11 +56,18 @@ class WordEncoder:
         return b"".join(map(self.known.__getitem__, words))
 
 
-def encoder(path: str) -> WordEncoder:
-    if path not in _TOKENIZERS:
+def encoder(shared, number: int) -> WordEncoder:
+    """The worker's encoder of the tokenizer that ``shared`` holds: it comes with the task, from no file of the machine."""
+    if number not in _TOKENIZERS:
         _TOKENIZERS.clear()
-        _TOKENIZERS[path] = WordEncoder(path)
-    return _TOKENIZERS[path]
+        _TOKENIZERS[number] = WordEncoder(shared.value)
+    return _TOKENIZERS[number]
+
+
+def _shared(spark: SparkSession, tokenizer: str):
+    """The tokenizer file, read by the driver, as a broadcast of its few MB, and the broadcast's number."""
+    shared = spark.sparkContext.broadcast(Path(tokenizer).read_bytes())
+    return shared, shared._jbroadcast.id()
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> None:
@@ -67,8 +76,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, bloc
     Null and empty texts are an end id alone. Rows with one doc_id follow each other, by a hash of their text;
     repeated rows are all written. No rows give a data set without blocks. A block closes with the document that
     makes it ``block_ids`` long, so a very long text is one block. Further columns are not looked at. An end id
-    within a text is no end: lengths are stored.
+    within a text is no end: lengths are stored. ``tokenizer`` is a file that the driver reads.
     """
+    shared, number = _shared(docs.sparkSession, tokenizer)
     schema = T.StructType(
         [
             T.StructField("part", T.IntegerType()), T.StructField("block", T.IntegerType()),
@@ -79,7 +89,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, bloc
     end = np.array([end_id], "<u4").tobytes()
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(tokenizer)
+        words = encoder(shared, number)
         place, block = TaskContext.get().partitionId(), 0
         doc_ids, pieces, size = [], [], 0
 
@@ -101,7 +111,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, bloc
             yield closed()
 
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("raw")
-    ranged = docs.select("doc_id", raw, F.xxhash64("text").alias("rev")).repartitionByRange("doc_id")
+    ranged = docs.select("doc_id", raw, F.xxhash64("text").alias("rev")).repartitionByRange("doc_id", "rev")
     ordered = ranged.sortWithinPartitions("doc_id", "rev").select("doc_id", "raw")
     arrow_map(ordered, batches, schema).write.mode("overwrite").parquet(path)
 
@@ -116,15 +126,16 @@ def _starts(blocks: DataFrame) -> DataFrame:
     return counts.withColumn("within", within).join(first, "part").select("part", "block", (F.col("first") + F.col("within")).alias("start"))
 
 
-def read(spark, path: str, tokenizer: str) -> DataFrame:
+def read(spark: SparkSession, path: str, tokenizer: str) -> DataFrame:
     """One row per written document, from the files alone: doc_id, start (ids of all documents before), n_tokens,
     and ``ids``, its ids as little-endian unsigned 32-bit integers. Damaged blocks raise a checksum error."""
     blocks = spark.read.parquet(path)
+    shared, number = _shared(spark, tokenizer)
     kind = blocks.schema["doc_ids"].dataType.elementType
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("start", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = encoder(tokenizer).vocabulary
+        vocabulary = encoder(shared, number).vocabulary
         for part in parts:
             for row in range(part.num_rows):
                 keys, lengths, start, coded = (part.column(k)[row] for k in range(4))
