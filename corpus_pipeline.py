@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postlens.llm import decontaminate, mixing, quality, sharding, simhash
 from postlens.llm.common import table
@@ -32,10 +33,11 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with the shard each goes to, and the one it came in."""
-    moved, _ = sharding.resharded(docs, SHARDS)
-    columns = [f"`{c}`" for c in docs.columns if c != "shard"]
-    return moved.selectExpr(*columns, "shard", "_old AS old_shard")
+    """The documents with the shard each goes to, and the one it came in (``shard`` and ``old_shard`` replace columns of
+    these names)."""
+    kept = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "old_shard"))).alias("_row")
+    moved, _ = sharding.resharded(docs.select(kept, "doc_id", "source", "text"), SHARDS)
+    return moved.select("_row.*", "shard", F.col("_old").alias("old_shard"))
 
 
 STAGES = [

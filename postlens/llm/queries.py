@@ -49,12 +49,13 @@ def op4_url_filter(spark, sf_dir):
 @query
 def op5_flow_sharding(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    moved, _ = sharding.resharded(docs, SHARDS)
+    path = shared_dir(spark, "shards")
+    sharding.store(docs.withColumn("shard", sharding.source_shard(SHARDS)), path, SHARDS, 0)
+    sharding.rewrite(sharding.read_layout(spark, path, 0, docs.schema), path, SHARDS, 1, previous=0)
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
-    rows = moved.select("doc_id", F.col("_size").alias("size"), crc.alias("text_crc32"), "shard", "_old", "_block", "_first")
-    return sharding.slots(rows).select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
-        F.lit(None).cast("int").alias("grown_shard"), F.col("_old").alias("old_shard"),
+    return sharding.numbered(sharding.read_layout(spark, path, 1, docs.schema)).select(
+        "doc_id", sharding.row_bytes(F.col("text")).alias("size"), crc.alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), sharding.source_shard(SHARDS).cast("int").alias("old_shard"),
     )
 
 

@@ -1,6 +1,6 @@
 """Resharding that moves the fewest bytes.
 
-Rows of an old shard fall into blocks by a hash of their id. Block sizes (a bounded table) and the new
+Rows of an old shard fall into blocks by a hash of their id and text. Block sizes (a bounded table) and the new
 capacities make a minimum-cost flow: keeping a byte where it is costs nothing, moving it costs one. The flow is
 solved between shards, filled with whole blocks, and only shards that gain or lose a block are rewritten.
 """
@@ -10,11 +10,14 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postlens.llm.common import measured
+
 #: Blocks per old shard. Bounds what the driver sees: old shards times this many rows, whatever the input.
 BLOCKS = 2048
 
@@ -110,13 +113,18 @@ class Plan:
         return spark.createDataFrame(rows, "_old int, _block int, shard int, _first long")
 
 
+def block_of(doc_id: Column, text: Column, blocks: int = BLOCKS) -> Column:
+    """By id and text, so that neither one id nor none makes a large block; only repeated rows share one for sure."""
+    return F.pmod(F.xxhash64(F.lit("block"), doc_id, text), F.lit(blocks)).cast("int")
+
+
 def blocked(docs: DataFrame, old_shard: Column, blocks: int = BLOCKS) -> DataFrame:
     """``docs`` with _size, _old and _block. Rows without an old shard count as of shard 0."""
     return docs.withColumns(
         {
             "_size": row_bytes(F.col("text")),
             "_old": F.coalesce(old_shard.cast("int"), F.lit(0)),
-            "_block": F.pmod(F.xxhash64(F.lit("block"), F.col("doc_id")), F.lit(blocks)).cast("int"),
+            "_block": block_of(F.col("doc_id"), F.col("text"), blocks),
         }
     )
 
@@ -159,45 +167,61 @@ def source_shard(shards: int) -> Column:
 
 def resharded(docs: DataFrame, shards: int, old_shard: Column | None = None, **options) -> tuple[DataFrame, Plan]:
     """``docs`` with ``shard`` in 0 to ``shards`` - 1 and sizes near equal, and the plan. Nothing is shuffled
-    but the block sizes. A column ``shard`` of ``docs`` is replaced. Rows with one doc_id share a shard, null
-    ids too; equal texts need not, as a large group of them would break the law. Empty input gives no rows."""
+    but the block sizes. Columns ``shard``, ``_size``, ``_old``, ``_block`` and ``_first`` of ``docs`` are replaced. Repeated rows (one
+    id, or none, and one text) share a shard; rows of one id or equal texts need not, as a large group of them
+    would break the law. A null text has size 1. Empty input gives no rows."""
     rows = blocked(docs.drop("shard"), source_shard(shards) if old_shard is None else old_shard)
     found = plan(rows, shards, **options)
     return rows.join(F.broadcast(found.frame(docs.sparkSession)), ["_old", "_block"]), found
 
 
-def slots(rows: DataFrame) -> DataFrame:
-    """``slot``, gapless from 0 in each shard: blocks one after the other, ids in order within a block."""
-    within = Window.partitionBy("_old", "_block").orderBy("doc_id", "size", "text_crc32")
-    return rows.withColumn("slot", F.col("_first") + F.row_number().over(within) - 1)
+def numbered(layout: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+    """``layout(doc_id, text, shard, ...)`` with ``slot``, gapless from 0 in each shard: blocks one after the other, ids in order
+    within a block, null ids first.
+
+    What is counted is one row for each shard and block, so rows are numbered a block at a time. A column ``slot`` is
+    replaced, as are ``_block`` and ``_first``.
+    """
+    rows = layout.withColumn("_block", block_of(F.col("doc_id"), F.col("text"), blocks))
+    counts = rows.groupBy("shard", "_block").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("shard").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    first = counts.select("shard", "_block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_first"))
+    within = Window.partitionBy("shard", "_block").orderBy("doc_id", F.xxhash64("text"))
+    placed = rows.drop("_first").join(measured(first, "first-slots"), ["shard", "_block"])
+    return placed.withColumn("slot", F.col("_first") + F.row_number().over(within) - 1).drop("_block", "_first")
+
+
+def _written_shards(rows: DataFrame, path: str, version: int, fresh: set[int], known: Mapping[int, int]) -> None:
+    """The rows of the shards ``fresh`` as files of ``version``, and then its manifest; ``known`` says where the others are."""
+    rows.filter(F.col("shard").isin(sorted(fresh))).write.mode("overwrite").partitionBy("shard").parquet(f"{path}/version={version}")
+    entries = [(k, version if k in fresh else known[k]) for k in sorted(fresh | known.keys())]
+    schema = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("version", T.IntegerType())])
+    spark = rows.sparkSession
+    spark.createDataFrame(entries, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest={version}")
+
+
+def store(docs_by_shard: DataFrame, path: str, shards: int, version: int = 0) -> None:
+    """Write a layout as it is: ``docs_by_shard`` with their ``shard``, from 0 to ``shards`` - 1 (null is 0)."""
+    rows = docs_by_shard.withColumn("shard", F.coalesce(F.col("shard").cast("int"), F.lit(0)))
+    _written_shards(rows, path, version, set(range(shards)), {})
 
 
 def rewrite(docs_by_shard: DataFrame, path: str, shards: int, version: int, previous: int | None = None, **options) -> Plan:
     """Write the new layout below ``path`` and return the plan.
 
-    ``docs_by_shard`` has the old layout's rows with their ``shard``. Only affected shards get files, as
-    ``version=v/shard=k``; the manifest of the version, written last, says for each shard which version holds
-    it. A run that is lost before that leaves the old manifest, and so the old layout, in force. With no
-    ``previous`` version every shard is written.
+    ``docs_by_shard`` has the old layout's rows with their ``shard`` (null is 0); all other columns are written as they are, whatever
+    their names. Only affected shards get files, as ``version=v/shard=k``; the manifest of the version, written last,
+    says for each shard which version holds it. A run that is lost before that leaves the old manifest, and so the
+    old layout, in force. With no ``previous`` version every shard is written. No rows give shards without files.
     """
-    spark = docs_by_shard.sparkSession
-    old = F.col("shard")
-    rows = blocked(docs_by_shard.withColumn("_was", old).drop("shard"), F.col("_was"))
+    columns = [c for c in docs_by_shard.columns if c != "shard"]
+    whole = docs_by_shard.select("doc_id", "text", F.col("shard").alias("_was"), F.struct(*(F.col(f"`{c}`") for c in columns)).alias("_row"))
+    rows = blocked(whole, F.col("_was"))
     found = plan(rows, shards, **options)
-    moved = rows.join(F.broadcast(found.frame(spark)), ["_old", "_block"])
-    columns = [F.col(f"`{c}`") for c in docs_by_shard.columns if c != "shard"]
+    moved = rows.join(F.broadcast(found.frame(docs_by_shard.sparkSession)), ["_old", "_block"])
     fresh = set(range(shards)) if previous is None else found.affected & set(range(shards))
-    (
-        moved.filter(F.col("shard").isin(sorted(fresh)))
-        .select(*columns, "shard")
-        .write.mode("overwrite")
-        .partitionBy("shard")
-        .parquet(f"{path}/version={version}")
-    )
-    known = {r.shard: r.version for r in manifest(spark, path, previous).collect()} if previous is not None else {}
-    entries = [(k, version if k in fresh else known[k]) for k in range(shards) if k in fresh or k in known]
-    schema = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("version", T.IntegerType())])
-    spark.createDataFrame(entries, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest={version}")
+    known = {r.shard: r.version for r in manifest(docs_by_shard.sparkSession, path, previous).collect()} if previous is not None else {}
+    _written_shards(moved.select("_row.*", "shard"), path, version, fresh, {k: v for k, v in known.items() if k < shards})
     return found
 
 
@@ -205,16 +229,12 @@ def manifest(spark: SparkSession, path: str, version: int) -> DataFrame:
     return spark.read.parquet(f"{path}/manifest={version}")
 
 
-def read_layout(spark: SparkSession, path: str, version: int) -> DataFrame:
-    """All rows of a layout version, with their shard."""
+def read_layout(spark: SparkSession, path: str, version: int, schema: T.StructType | None = None) -> DataFrame:
+    """All rows of a layout version, with their shard. A layout without rows has no files to tell its columns: it needs a
+    ``schema``, of the columns other than shard."""
     by_version = defaultdict(list)
     for row in manifest(spark, path, version).collect():
         by_version[row.version].append(row.shard)
-    parts = [
-        spark.read.parquet(f"{path}/version={v}").filter(F.col("shard").isin(shards))
-        for v, shards in sorted(by_version.items())
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    reader = spark.read if schema is None else spark.read.schema(T.StructType([*schema.fields, T.StructField("shard", T.IntegerType())]))
+    parts = [reader.parquet(f"{path}/version={v}").filter(F.col("shard").isin(shards)) for v, shards in sorted(by_version.items())]
+    return reduce(DataFrame.unionByName, parts)

@@ -192,6 +192,33 @@ def test_sharding_edges(spark, odd, none):
     assert {r.shard for r in fewer.select("shard").collect()} <= {0, 1}
 
 
+def test_layouts_of_odd_rows(spark, odd, none, tmp_path):
+    """Null ids and texts, repeated rows and columns with the operator's own names survive the rewrite; slots are gapless."""
+    clashing = odd.withColumns({c: F.lit(i) for i, c in enumerate(("_was", "_old", "_block", "_size", "_first", "_row", "slot"))})
+    docs = clashing.unionByName(clashing.withColumn("doc_id", F.lit(None).cast("long"))).withColumn("shard", F.lit(None).cast("int"))
+    sharding.store(docs, str(tmp_path / "a"), 3, 0)
+    first = sharding.read_layout(spark, str(tmp_path / "a"), 0)
+    assert {r.shard for r in first.select("shard").collect()} == {0}
+    sharding.rewrite(first, str(tmp_path / "a"), 3, 1, previous=0)
+    rows = sharding.read_layout(spark, str(tmp_path / "a"), 1)
+    assert sorted(rows.columns) == sorted(docs.columns) and rows.drop("shard").exceptAll(docs.drop("shard")).count() == 0 == docs.count() - rows.count()
+    slots = {}
+    for r in sharding.numbered(rows).collect():
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values()) and len(slots) > 1
+    sharding.store(none.withColumn("shard", F.lit(0)), str(tmp_path / "b"), 3, 0)
+    schema = none.drop("shard").schema
+    sharding.rewrite(sharding.read_layout(spark, str(tmp_path / "b"), 0, schema), str(tmp_path / "b"), 3, 1, previous=0)
+    assert sharding.numbered(sharding.read_layout(spark, str(tmp_path / "b"), 1, schema)).collect() == []
+
+
+def test_ids_that_are_missing_or_one_are_spread(spark):
+    docs = documents(spark, [(None, words(30, i)) for i in range(400)] + [(7, words(30, 500 + i)) for i in range(400)])
+    moved, _ = sharding.resharded(docs, 4, F.lit(0))
+    sizes = {r.shard: r.n for r in moved.groupBy("shard").agg(F.sum("_size").alias("n")).collect()}
+    assert len(sizes) == 4 and max(sizes.values()) < 1.1 * min(sizes.values())
+
+
 def test_rewrite_only_affected(spark, tmp_path):
     docs = documents(spark, [(i, words(5 + i % 7, i)) for i in range(300)])
     first = docs.withColumn("shard", F.when(F.col("doc_id") < 200, 0).when(F.col("doc_id") < 275, 1).otherwise(2))
@@ -514,7 +541,7 @@ def test_words_give_the_ids_of_the_text():
     import public_tokenizers
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    encoder = tokenfiles.WordEncoder(path)
+    encoder = tokenfiles.WordEncoder(open(path, 'rb').read())
     make = random.Random(4)
     signs = ["a", "Ab", "é", "é", "Σ", "ΑΣ", "'s", "1", "22", "!", "...", " ", "\n", "\t", " ", " ", "\x1c", "\x0b", "<|endoftext|>", "中", "🙂", "́"]
     for _ in range(400):
