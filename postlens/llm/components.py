@@ -34,8 +34,11 @@ def _small(links: DataFrame) -> DataFrame:
     return found.select(F.explode(pairs).alias("p")).select("p.*").filter("u > v")
 
 
-def _state(links: DataFrame):
-    return links.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+def _are_stars(links: DataFrame) -> bool:
+    """Whether each u has one v and no v is a u. As v is below u, each v then is the least of its component."""
+    several = links.groupBy("u").count().filter("count > 1")
+    inner = links.select("v").join(links.select(F.col("u").alias("v")), "v", "left_semi")
+    return not several.limit(1).count() and not inner.limit(1).count()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -46,13 +49,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     ordered = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     current = written(ordered.distinct(), "links")
-    state = _state(current)
-    while state.n:
-        following = written(_small(_large(current).distinct()).distinct(), "links")
-        reached = _state(following)
-        current = following
-        if reached == state:
-            break
-        state = reached
+    while not _are_stars(current):
+        wide = written(_large(current).distinct(), "links")
+        current = written(_small(wide).distinct(), "links")
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

@@ -341,8 +341,8 @@ def _prefixes(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def confirmed(proposed: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
-    """``(a, b)`` links that connect what pairs of similarity 0.8 or more connect within the groups that the links
-    ``proposed(a, b)`` make.
+    """``(node, root)`` of every node of the links ``proposed(a, b)``: root is the least node that pairs of similarity 0.8
+    or more connect it with, within the groups that the links make.
 
     Each node is compared with the least node proposed to it, which settles a group of copies with one link for each. Where
     proposals still lead from one settled group to another, all pairs between them count, those too that
@@ -365,11 +365,15 @@ def confirmed(proposed: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFra
     lists = written(_prefixes(apart, sets), "rare-shingles")
     place = F.row_number().over(Window.partitionBy("group", "shingle").orderBy("node"))
     lists = written(lists.withColumn("place", place), "rare-shingles")
-    longest, start, step = lists.agg(F.max("place")).first()[0] or 0, 1, 1
-    while start < longest:
+    start, step = 1, 1
+    while True:
+        # Lists that hold several settled groups, and members that weren't compared with all others.
         rooted = lists.join(settled.select("node", "root"), "node")
-        mixed = rooted.groupBy("group", "shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-        live = written(rooted.join(mixed.select("group", "shingle"), ["group", "shingle"]), "live")
+        mixed = rooted.groupBy("group", "shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("place").alias("n"))
+        mixed = written(mixed.filter((F.col("low") != F.col("high")) & (F.col("n") > start)).select("group", "shingle"), "mixed")
+        if not mixed.limit(1).count():
+            return settled
+        live = written(rooted.join(mixed, ["group", "shingle"]), "live")
         hub = live.filter(F.col("place").between(start, start + step - 1)).select(
             "group", "shingle", F.col("node").alias("a"), F.col("size").alias("a_size"), F.col("root").alias("a_root"), F.col("place").alias("a_place"))
         pairs = hub.join(live, ["group", "shingle"]).filter(
@@ -381,7 +385,6 @@ def confirmed(proposed: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFra
             found = written(found.unionByName(more), "alike")
             settled = _settled(found, members.select("node"))
         start, step = start + step, 2 * step
-    return found
 
 
 def picked(rows: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -410,7 +413,7 @@ def near_copies(rows: DataFrame) -> DataFrame:
     nodes = written(keys.groupBy("node").agg(F.min(key).alias("first"), F.first("size").alias("size"), *prints), "fingerprints")
     found = [links(nodes.select("node", F.col(c).alias("fp")), COPY_DISTANCE) for c in PRINT_COLUMNS]
     proposed = written(reduce(DataFrame.unionByName, found).distinct(), "proposals")
-    roots = components(confirmed(proposed, nodes, rows))
+    roots = confirmed(proposed, nodes, rows)
     rooted = nodes.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("first").alias("chosen"))
     return keys.select("node", "doc_id", "rev", "copies").join(rooted.join(least, "root").select("node", "chosen"), "node")
