@@ -144,14 +144,11 @@ def enrich(
 
 
 def _enrich_joined(df: DataFrame, dicts: DictionaryTables, source: str, ids: Sequence[str]) -> DataFrame:
-    texts = df.select(*ids, source)
-    normal = joined.with_normalized(texts, ids, source, dicts, "_normalized")
-    words = normal.withColumn("_words", text.split_cleaned(F.col("_normalized"))).select(*ids, "_words")
-    counted = joined.with_hit_counts(words, ids, "_words", dicts, "_pos", "_neg")
+    found = joined.found_words(df.select(*ids, source), ids, source, dicts, KINDS)
+    lists = [f"_{kind}" for kind in KINDS] + ["_event", "_places"]
+    both = df.join(found, list(ids), "left")
+    # A row without any match has no entities; one without a text has no answer.
+    nothing = {c: F.when(F.col(source).isNotNull(), F.coalesce(c, F.array().cast(found.schema[c].dataType))) for c in lists}
     pos, neg = F.coalesce("_pos", F.lit(0)), F.coalesce("_neg", F.lit(0))
-    scored = counted.select(*ids, sentiment.label(pos, neg).alias("sentiment"), sentiment.score(pos, neg).alias("total_score"))
-    tokens = text.with_word_tokens(texts, source, "_tokens").select(*ids, "_tokens")
-    typed = joined.with_types(tokens, ids, "_tokens", dicts, KINDS)
-    events = joined.with_event_words(typed, ids, "_tokens", dicts, "_event")
-    tagged = _with_entity_text(joined.with_located(events, ids, "_location", dicts, "_places")).drop("_tokens")
-    return df.join(scored, list(ids), "left").join(tagged, list(ids), "left")
+    scored = both.withColumns({"sentiment": sentiment.label(pos, neg), "total_score": sentiment.score(pos, neg)} | nothing)
+    return _with_entity_text(scored).drop("_pos", "_neg")

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from postlens.functions import stemming, text
 from postlens.functions.literals import quoted
-from postlens.operators.explode import items
-from postlens.operators.lookup import matches, replace_tokens
+from postlens.operators.explode import items, positioned_items
+from postlens.operators.lookup import matches, small_enough_to_broadcast
 from postlens.session import written
 
 
@@ -32,65 +32,74 @@ class DictionaryTables:
     event_stems: DataFrame  # word
 
 
-def _distinct(df: DataFrame, array: str) -> DataFrame:
-    return items(df, F.array_distinct(array), "word").distinct()
-
-
-def with_normalized(
-    df: DataFrame, id_cols: Sequence[str], source: str, dicts: DictionaryTables, out: str, limit: int = 0
-) -> DataFrame:
-    """Stem, replace slang, clean: each distinct word once."""
-    raw = df.withColumn("_raw", stemming.stem_tokens_of(F.col(source)))
-    words = _distinct(raw, "_raw")
+def _formal_words(words: DataFrame, dicts: DictionaryTables) -> DataFrame:
+    """``(word, formal)``: each of ``words(word)`` stemmed and with slang replaced."""
     stem = words.join(stemming.stem_table(words, dicts.roots), "word", "left").withColumn("stem", F.coalesce("stem", "word"))
     slang = dicts.slang.select(F.col("key").alias("_slang"), F.col("value").alias("_formal"))
-    formal = stem.join(slang, F.lower("stem") == F.col("_slang"), "left").select("word", F.coalesce("_formal", "stem").alias("formal"))
-    changed = written(formal.where("formal <> word"), "formal-words")
-    done = replace_tokens(raw, id_cols, "_raw", changed, "_done", "word", "formal", limit, lower=False)
-    return done.withColumn(out, text.clean_text(F.array_join("_done", " "))).drop("_raw", "_done")
-
-
-def with_hit_counts(
-    df: DataFrame, id_cols: Sequence[str], words: str, dicts: DictionaryTables, pos: str, neg: str
-) -> DataFrame:
-    """Positive and negative tokens per post; a word listed on both sides counts as negative."""
-    sides = dicts.positive.select("word", F.lit(0).alias("_side")).unionByName(dicts.negative.select("word", F.lit(1).alias("_side")))
-    polar = sides.groupBy("word").agg(F.max("_side").alias("_side"))
-    found = matches(df, id_cols, words, polar, "word", ["_side"], "_polar")
-    size = lambda side: F.size(F.filter("_polar", lambda h: h["_side"] == side))
-    return found.withColumns({pos: size(0), neg: size(1)}).drop("_polar")
-
-
-def with_types(
-    df: DataFrame, id_cols: Sequence[str], words: str, dicts: DictionaryTables, kinds: Sequence[str], prefix: str = "_"
-) -> DataFrame:
-    """One array column per entity type: tokens of the begin list, with the next token if that is an inside token."""
-    wanted = dicts.entities.where(F.col("entity_type").isin(list(kinds)))
-    role = lambda r: F.collect_set(F.when(F.col("role") == r, F.col("entity_type")))
-    table = wanted.groupBy("token").agg(role("B").alias("_begins"), role("I").alias("_inside"))
-    found = matches(df, id_cols, words, table, "token", ["_begins", "_inside"], "_marks")
+    return stem.join(slang, F.lower("stem") == F.col("_slang"), "left").select("word", F.coalesce("_formal", "stem").alias("formal"))
 
-    def entity(kind: str) -> Column:
-        follows = "get(_marks, __i + 1).pos = __m.pos + 1 AND array_contains(get(_marks, __i + 1)._inside, {k})"
-        one = (
-            f"CASE WHEN coalesce({follows}, false) THEN concat(get({words}, __m.pos), ' ', get({words}, __m.pos + 1)) "
-            f"ELSE get({words}, __m.pos) END"
-        )
-        all_ = f"transform(_marks, (__m, __i) -> CASE WHEN array_contains(__m._begins, {{k}}) THEN {one} END)"
-        return F.expr(f"array_distinct(filter({all_}, __e -> __e IS NOT NULL))".format(k=quoted(kind)))
 
-    return found.withColumns({prefix + kind: entity(kind) for kind in kinds}).drop("_marks")
+def _polar_words(words: DataFrame, dicts: DictionaryTables) -> DataFrame:
+    """``(word, positive, negative)`` of the words whose formal text, cleaned on its own, has tokens on a list; a token
+    listed on both sides counts as negative."""
+    sides = dicts.positive.select("word", F.lit(0).alias("side")).unionByName(dicts.negative.select("word", F.lit(1).alias("side")))
+    polar = sides.groupBy(F.col("word").alias("token")).agg(F.max("side").alias("side"))
+    cleaned = text.split_cleaned(text.clean_text(F.col("formal")))
+    tokens = items(_formal_words(words, dicts), cleaned, "token", ["word"])
+    return tokens.join(polar, "token").groupBy("word").agg(F.count_if(F.col("side") == 0).alias("positive"), F.count_if(F.col("side") == 1).alias("negative"))
 
 
-def with_event_words(df: DataFrame, id_cols: Sequence[str], words: str, dicts: DictionaryTables, out: str) -> DataFrame:
-    """Distinct tokens whose stem is one of the event stems."""
-    distinct = _distinct(df, words)
+def _marked_words(words: DataFrame, dicts: DictionaryTables, kinds: Sequence[str]) -> DataFrame:
+    """``(word, begins, inside, event)`` of the words that begin or continue an entity or whose stem is an event's."""
+    wanted = dicts.entities.where(F.col("entity_type").isin(list(kinds)))
+    role = lambda r: F.collect_set(F.when(F.col("role") == r, F.col("entity_type"))).alias(("begins", "inside")[r == "I"])
+    typed = wanted.groupBy(F.col("token").alias("word")).agg(role("B"), role("I"))
     roots = dicts.roots.select("word").unionByName(dicts.event_stems.select("word"))
-    stems = distinct.join(stemming.stem_table(distinct, roots), "word", "left")
-    of = stems.select("word", F.coalesce("stem", "word").alias("stem"))
-    events = written(of.join(dicts.event_stems.select(F.col("word").alias("stem")).distinct(), "stem").select("word"), "event-words")
-    found = matches(df, id_cols, words, events, "word", [], "_events")
-    return found.withColumn(out, F.expr(f"array_distinct(transform(_events, __e -> get({words}, __e.pos)))")).drop("_events")
+    stems = words.join(stemming.stem_table(words, roots), "word", "left").select("word", F.coalesce("stem", "word").alias("stem"))
+    events = stems.join(dicts.event_stems.select(F.col("word").alias("stem")).distinct(), "stem").select("word", F.lit(True).alias("event"))
+    found = words.join(typed, "word", "left").join(events, "word", "left")
+    return found.where(F.col("begins").isNotNull() | F.col("event"))
+
+
+def _entities(kind: str) -> Column:
+    """Tokens of ``_marks`` that begin an entity of a type, with the next token if that is an inside token."""
+    following = "get(_marks, __i + 1)"
+    inside = f"coalesce({following}.at = __m.at + 1 AND array_contains({following}.inside, {quoted(kind)}), false)"
+    one = f"CASE WHEN {inside} THEN concat(__m.word, ' ', {following}.word) ELSE __m.word END"
+    all_ = f"transform(_marks, (__m, __i) -> CASE WHEN array_contains(__m.begins, {quoted(kind)}) THEN {one} END)"
+    return F.expr(f"array_distinct(filter({all_}, __e -> __e IS NOT NULL))")
+
+
+def found_words(texts: DataFrame, id_cols: Sequence[str], source: str, dicts: DictionaryTables, kinds: Sequence[str]) -> DataFrame:
+    """Per row of ``texts(id_cols, source)`` that has a word in a dictionary: _pos and _neg (tokens on the lists, after stems
+    and slang), an array ``_kind`` of entities for each of ``kinds``, _event, and _places from the entities of kind
+    ``location``.
+
+    The texts are read once: their tokens of both kinds are written, and what the dictionaries say about a
+    word, worked out once for each distinct one, is looked up in one pass over the tokens and brought together by
+    one grouping of those that match.
+    """
+    tokens = text.with_word_tokens(texts.withColumn("_raw", stemming.stem_tokens_of(F.col(source))), source, "_tokens")
+    of = lambda kind, words: F.transform(words, lambda w: F.struct(F.lit(kind).alias("kind"), w.alias("word")))
+    both = F.concat(of(0, F.col("_raw")), of(1, F.col("_tokens")))
+    base = written(tokens.select(*id_cols, both.alias("_words")), "tokens")
+    words = written(items(base, F.array_distinct("_words"), "w").select("w.*").distinct(), "words")
+    kind = lambda k: words.where(F.col("kind") == k).select("word")
+    entries = written(
+        _polar_words(kind(0), dicts).withColumn("kind", F.lit(0)).unionByName(_marked_words(kind(1), dicts, kinds).withColumn("kind", F.lit(1)), allowMissingColumns=True),
+        "known-words",
+    )
+    width = F.octet_length("word") + 16 * (F.lit(4) + F.coalesce(F.greatest(F.size("begins") + F.size("inside"), F.lit(0)), F.lit(0)))
+    asked = positioned_items(base, "_words", "at", "w", id_cols).select(*id_cols, "at", "w.*")
+    known = F.broadcast(entries) if small_enough_to_broadcast(entries, width) else entries
+    mark = F.when(F.col("kind") == 1, F.struct("at", "word", "begins", "inside", "event"))
+    per_row = asked.join(known, ["kind", "word"]).groupBy(*id_cols).agg(
+        F.coalesce(F.sum("positive"), F.lit(0)).alias("_pos"), F.coalesce(F.sum("negative"), F.lit(0)).alias("_neg"),
+        F.array_sort(F.collect_list(mark)).alias("_marks"),
+    )
+    event = F.expr("array_distinct(transform(filter(_marks, __m -> __m.event), __m -> __m.word))")
+    typed = written(per_row.withColumns({f"_{k}": _entities(k) for k in kinds} | {"_event": event}).drop("_marks"), "found-words")
+    return with_located(typed, id_cols, "_location", dicts, "_places")
 
 
 def with_located(df: DataFrame, id_cols: Sequence[str], places: str, dicts: DictionaryTables, out: str) -> DataFrame:
