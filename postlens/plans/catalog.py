@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.functions import entities, jsons, sentiment, stemming, text
-from postlens.operators import classify, counts, filters, spelling, vocabulary
+from postlens.operators import classify, counts, filters, linear, spelling, vocabulary
 from postlens.operators.explode import items, positioned_items
 from postlens.operators.latest import latest_by_key
 from postlens.operators.lookup import replace_tokens
@@ -540,6 +540,32 @@ def classifier_accuracy(spark, sf_dir):
     return classify.accuracy(held.withColumn("predicted", (F.col("positive") > F.col("negative")).cast("int")), "predicted", "quality")
 
 
+def _pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean embedding of each document's words, every word of the documents having a vector by its hash."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    size = vectors.agg(F.max("vec_id")).first()[0] or 0
+    ids = F.transform("words", lambda w: F.pmod(F.xxhash64(w), F.lit(size)) + 1)
+    docs = _cleaned_words(spark, sf_dir).select("doc_id", ids.alias("ids"))
+    return written(vocabulary.pooled_embedding(docs, ["doc_id"], "ids", vectors), "pooled")
+
+
+@query("linear_score")
+def linear_score(spark, sf_dir):
+    """Every document by a linear readout of its mean embedding."""
+    pooled = _pooled(spark, sf_dir)
+    model = linear.fit(pooled.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id"), "mean", "quality")
+    return classify.with_sentiment(linear.score(model, pooled, "mean")).drop("mean")
+
+
+@query("linear_accuracy")
+def linear_accuracy(spark, sf_dir):
+    """The same on the quarter of the labelled documents that the readout hasn't seen."""
+    part = F.pmod(F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("bigint"), F.lit(4))
+    labelled = _pooled(spark, sf_dir).join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id").withColumn("part", part)
+    model = linear.fit(labelled.where("part <> 0"), "mean", "quality")
+    return linear.accuracy(linear.score(model, labelled.where("part = 0"), "mean"), "quality")
+
+
 @query("label_accuracy")
 def label_accuracy(spark, sf_dir):
     """Agreement of the two label columns: the accuracy measure on data that needs no model."""

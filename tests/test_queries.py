@@ -22,7 +22,8 @@ def duck(sf_dir):
 
 
 def test_every_query_states_its_result():
-    assert QUERIES.keys() == ORACLES.keys()
+    # A system of equations is solved in those; tests/test_linear.py solves it again.
+    assert QUERIES.keys() - ORACLES.keys() == {"linear_score", "linear_accuracy"} and ORACLES.keys() <= QUERIES.keys()
     assert QUERIES.keys() <= contract.queries().keys()
     assert ORACLES.keys() <= contract.oracle_sql().keys()
 
