@@ -43,6 +43,8 @@ COPY_SHINGLE, COPY_DISTANCE, COPY_PRINTS, COPY_SHARE = 5, 10, 5, (4, 5)
 #: Texts whose shingle sets a task holds at a time.
 SETS = 256
 PRINT_COLUMNS = [f"fp{k}" for k in range(COPY_PRINTS)]
+#: Nodes of a list of a rare shingle that the others are compared with at first.
+HUBS = 32
 #: Links that a task gathers before it drops repeated ones.
 LINKS = 1 << 18
 #: Pairs of index nodes that are expanded at a time; bounds the memory of a task.
@@ -346,8 +348,8 @@ def confirmed(proposed: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFra
 
     Each node is compared with the least node proposed to it, which settles a group of copies with one link for each. Where
     proposals still lead from one settled group to another, all pairs between them count, those too that
-    no fingerprint proposed: their rare shingles say which can be alike. Those are compared with the least node
-    of each list of a rare shingle, and as long as a list holds several settled groups, with the next ones, twice as
+    no fingerprint proposed: their rare shingles say which can be alike. Those are compared with the least few nodes
+    of each list of a rare shingle, and as long as a list holds several settled groups, with the next ones, eight times as
     many each time.
     """
     part, whole = COPY_SHARE
@@ -365,7 +367,7 @@ def confirmed(proposed: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFra
     lists = written(_prefixes(apart, sets), "rare-shingles")
     place = F.row_number().over(Window.partitionBy("group", "shingle").orderBy("node"))
     lists = written(lists.withColumn("place", place), "rare-shingles")
-    start, step = 1, 1
+    start, step = 1, HUBS
     while True:
         # Lists that hold several settled groups, and members that weren't compared with all others.
         rooted = lists.join(settled.select("node", "root"), "node")
@@ -384,7 +386,7 @@ def confirmed(proposed: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFra
         if more.limit(1).count():
             found = written(found.unionByName(more), "alike")
             settled = _settled(found, members.select("node"))
-        start, step = start + step, 2 * step
+        start, step = start + step, 8 * step
 
 
 def picked(rows: DataFrame, chosen: DataFrame) -> DataFrame:
