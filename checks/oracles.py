@@ -662,3 +662,8 @@ ORACLES["offset_ledger"] = f"""WITH {LEDGER} SELECT *, messages - (last - first
   coalesce(lead(first) OVER (PARTITION BY topic, partition ORDER BY first) - last - 1, 0) AS missing FROM islands"""
 ORACLES["offset_resume"] = f"""WITH {LEDGER} SELECT topic, partition, arg_min(last, first) + 1 AS safe, max(last) + 1 AS seen FROM islands
 GROUP BY topic, partition"""
+
+ORACLES["keywords_table"] = """WITH w AS (SELECT string_split(text, ' ') AS w FROM benchmark), asked AS (
+  SELECT lower(n_name) AS keyword FROM nation UNION SELECT lower(array_to_string(w[2:4], ' ')) FROM w
+  UNION SELECT lower(right(w[5], 4)) FROM w)
+SELECT doc_id, keyword FROM documents JOIN asked ON contains(lower(text), keyword) WHERE trim(keyword) <> ''"""

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.functions import entities, jsons, sentiment, stemming, text
-from postlens.operators import classify, counts, filters, linear, spelling, vocabulary
+from postlens.operators import classify, counts, filters, keywords, linear, spelling, vocabulary
 from postlens.operators.explode import items, positioned_items
 from postlens.operators.latest import latest_by_key
 from postlens.operators.lookup import replace_tokens
@@ -636,6 +636,16 @@ def keywords_any(spark, sf_dir):
     return filters.by_any_keyword(_documents(spark, sf_dir), ["keit", "eaux", "ción"]).select("doc_id")
 
 
+@query("keywords_table")
+def keywords_table(spark, sf_dir):
+    """Keywords of any number, from a table: names, endings of words, and phrases of benchmark items."""
+    names = table(spark, sf_dir, "nation").select(F.col("n_name").alias("keyword"))
+    items_ = table(spark, sf_dir, "benchmark").select(F.split("text", " ").alias("w"))
+    phrases = items_.select(F.array_join(F.slice("w", 2, 3), " ").alias("keyword"))
+    endings = items_.select(F.upper(F.substring(F.get("w", F.lit(4)), -4, 4)).alias("keyword"))
+    return keywords.mentions(_documents(spark, sf_dir), ["doc_id"], names.unionByName(phrases).unionByName(endings))
+
+
 @query("id_watermark")
 def id_watermark(spark, sf_dir):
     return filters.id_marks(table(spark, sf_dir, "events"), ["event_type"], "event_id")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from postlens.operators import counts
 from postlens.operators.latest import latest_by_key
@@ -129,6 +130,54 @@ def count_writer(report: Callable[[int, int], None]) -> BatchFunction:
     return write
 
 
+class BatchCounts(StreamingQueryListener):
+    """Reports how many records each batch of one stream had, and other sums of it, without reading the batch again.
+
+    The sums are taken as the batch runs through (:func:`observed`) and come with its progress. Register it with
+    ``spark.streams.addListener``; ``report`` gets the batch's number and its sums.
+    """
+
+    def __init__(self, name: str, report: Callable[[int, dict[str, int]], None]):
+        self.name, self.report = name, report
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        sums = event.progress.observedMetrics.get(self.name)
+        if sums is not None and event.progress.numInputRows:
+            self.report(event.progress.batchId, sums.asDict())
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def observed(stream: DataFrame, name: str, *sums: Column) -> DataFrame:
+    """``stream`` as it is, with its records, and further ``sums``, counted on the way for :class:`BatchCounts`."""
+    return stream.observe(name, F.count("*").alias("records"), *sums)
+
+
+def kept_state(spark: SparkSession, checkpoint: str, **options: str) -> DataFrame:
+    """The keyed state of a stream as its checkpoint holds it after the last finished batch (or the one that ``batchId``
+    names): a row for each key, with the columns of key and value. Reads the files; the stream need not run. Values without a name of their own are called
+    after what they are, as ``sum``; the second of that name is ``sum_2``."""
+    state = spark.read.format("statestore").options(**options).load(checkpoint)
+    seen: dict[str, int] = {}
+
+    def distinct(part: str) -> Column:
+        fields = []
+        for field in state.schema[part].dataType:
+            seen[field.name] = seen.get(field.name, 0) + 1
+            fields.append(T.StructField(field.name if seen[field.name] == 1 else f"{field.name}_{seen[field.name]}", field.dataType))
+        # A cast of a struct goes by position, which tells fields of one name apart.
+        return F.col(part).cast(T.StructType(fields)).alias(part)
+
+    return state.select(distinct("key"), distinct("value")).select("key.*", "value.*")
+
+
 def raw_archive(messages: DataFrame, out: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """Store messages unparsed, with where they came from."""
     kept = [c for c in ("topic", "partition", "offset", "timestamp") if c in messages.columns]

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import json
 
 import pytest
@@ -139,3 +141,47 @@ def test_bounded_run_stops(spark, feed):
 
 def test_message_schema_matches_the_topic():
     assert schemas.TOPIC_MESSAGE.fieldNames() == ["key", "value", "topic", "partition", "offset", "timestamp"]
+
+
+def test_counts_come_with_the_batch(spark, tmp_path):
+    """Records and sums of each batch, without a second job on it."""
+    reported, out = [], str(tmp_path / "out")
+    listener = jobs.BatchCounts("posts", lambda batch, sums: reported.append((batch, sums)))
+    spark.streams.addListener(listener)
+    try:
+        for n, name in ((2, "a.json"), (3, "b.json")):
+            land(tmp_path / "in", name, [{"id": str(i), "text": "x" * i, "at": "2018-04-13T00:00:01Z"} for i in range(n)])
+            stream = streams.landed_stream(spark, str(tmp_path / "in"), POST)
+            seen = jobs.observed(stream, "posts", F.sum(F.length("text")).alias("letters"))
+            write = lambda batch, batch_id: sinks.write_parquet(batch, out, batch_id)
+            jobs.start(seen, write, str(tmp_path / "cp")).awaitTermination()
+        deadline = time.time() + 20
+        while len(reported) < 2 and time.time() < deadline:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    assert reported == [(0, {"records": 2, "letters": 1}), (1, {"records": 3, "letters": 3})]
+
+
+def test_state_is_read_from_the_checkpoint(spark, tmp_path):
+    """After a run that stopped and one that went on, the checkpoint holds what the stream last reported."""
+    last = {}
+    for name, texts in (("a.json", ["good", "bad", "good"]), ("b.json", ["bad", "good", "new"])):
+        land(tmp_path / "in", name, [{"id": t, "text": t, "at": "2018-04-13T00:00:01Z"} for t in texts])
+        totals = streams.landed_stream(spark, str(tmp_path / "in"), POST).groupBy("id").agg(F.count("*").alias("posts"))
+        write = lambda batch, _: last.update({r.id: r.posts for r in batch.collect()})
+        jobs.start(totals, write, str(tmp_path / "cp"), mode="update").awaitTermination()
+    assert last == {"good": 3, "bad": 2, "new": 1}
+    kept = lambda **options: {r[0]: r[1] for r in jobs.kept_state(spark, str(tmp_path / "cp"), **options).collect()}
+    assert kept() == last and kept(batchId="0") == {"good": 2, "bad": 1}
+
+
+def test_state_of_the_running_counts(spark, tmp_path):
+    """One row of sums, which are the totals that the stream reports."""
+    land(tmp_path / "in", "a.json", [{"id": "1", "text": "good bad good", "at": "2018-04-13T00:00:01Z"}])
+    words = streams.landed_stream(spark, str(tmp_path / "in"), POST).select(text.split_on_space(F.col("text")).alias("w"))
+    reported = {}
+    write = lambda batch, _: reported.update({r.label: r["count"] for r in batch.collect()})
+    jobs.start(jobs.running_class_counts(words, "w", {"good"}, {"bad"}), write, str(tmp_path / "cp"), mode="complete").awaitTermination()
+    (row,) = jobs.kept_state(spark, str(tmp_path / "cp")).collect()
+    assert reported == {"Positive": 2, "Negative": 1} == {"Positive": row["sum"], "Negative": row["sum_2"]}
