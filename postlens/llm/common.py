@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,7 @@ from postlens.session import written
 #: Characters that part words: space, tab, line feed, vertical tab, form feed, carriage return.
 GAPS = "[\\x20\\x09-\\x0D]+"
 BROADCAST_ROWS = 100_000
+_SHIPPED: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,11 +51,21 @@ def measured(small: DataFrame, purpose: str, rows: int = BROADCAST_ROWS) -> Data
     return F.broadcast(kept) if kept.limit(rows + 1).count() <= rows else kept
 
 
-def arrow_map(df: DataFrame, batches: Callable, schema) -> DataFrame:
-    """``mapInArrow`` whose Python workers find this package wherever the driver found it.
+def _ship(context: SparkContext) -> None:
+    """Send this package to the Python workers, once for each application: they run on machines that don't have it."""
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp()) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as target:
+        for source in sorted(root.rglob("*.py")):
+            target.write(source, source.relative_to(root.parent))
+    # Spark serves the driver's file to the executors; nothing is read by its path there.
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
 
-    The path goes the way of ``spark.executorEnv.PYTHONPATH``; where that is set it is left alone.
-    """
-    root = str(Path(__file__).resolve().parents[2])
-    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+def arrow_map(df: DataFrame, batches: Callable, schema) -> DataFrame:
+    """``mapInArrow`` whose Python workers have this package, wherever they run."""
+    _ship(df.sparkSession.sparkContext)
     return df.mapInArrow(batches, schema)
