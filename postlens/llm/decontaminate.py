@@ -4,7 +4,7 @@ Benchmark items and documents are normalised to lower-case words. Windows of ten
 whole) are the patterns of an automaton over numbered words, which reads each text once; matches are mapped back to
 words and to offsets in the original text. Row-local: documents are not shuffled.
 
-An automaton has a state for each word of each window, about 50 bytes; how many it may have is bounded. The benchmark is
+An automaton has up to four states for each word of each window, about 50 bytes each; how many it may have is bounded. The benchmark is
 read once, cut into parts that keep that bound and written; with several parts the documents are written between
 them, so that no task has two automata at work.
 """
@@ -29,6 +29,8 @@ WINDOW = 10
 #: States that one automaton may have; 2 million are about 100 MB in a worker. A larger benchmark is dealt over
 #: several automata, which read the documents one after the other.
 AUTOMATON_STATES = 1 << 21
+#: Signs of a word's code that are counted on: enough for 16 million words, more than so many states can hold.
+CODE_WIDTH = 4
 #: Windows of an item that stay together; a longer item is cut.
 PIECE = 4096
 #: Every byte of a word as it is but A-Z in lower case, every other byte a space.
@@ -45,26 +47,39 @@ def folded_words(raw: bytes) -> list[bytes]:
 
 @dataclass(frozen=True)
 class Machine:
-    """The automaton, the numbers of the words it knows (0 is any other), and per pattern its length and items."""
+    """The automaton, the code of each word it knows, the codes' length, and per pattern its words and items.
+
+    A word's number is written with 64 signs, other ones in each place: so a state has few successors, which are searched one
+    by one, and no match begins within a word.
+    """
 
     automaton: ahocorasick.Automaton
-    numbers: dict[bytes, int]
+    codes: dict[bytes, str]
+    width: int
     found: list[tuple[int, tuple[str, ...]]]
 
     @staticmethod
     def of(pieces: list[tuple[str, bytes]], window: int = WINDOW) -> Machine:
         """``pieces`` of items, words parted by single spaces."""
-        numbers: dict[bytes, int] = {}
+        known = dict.fromkeys(w for _, raw in pieces for w in raw.split())
+        width = code_width(len(known))
+        sign = lambda k, j: chr(1 + 64 * j + (k >> 6 * j & 63))
+        codes = {w: "".join(sign(k, j) for j in range(width)) for k, w in enumerate(known)}
         owners = defaultdict(set)
         for item, raw in pieces:
-            words = tuple(numbers.setdefault(w, len(numbers) + 1) for w in raw.split())
+            words = raw.split()
             for i in range(max(1, len(words) - window + 1) if words else 0):
-                owners[words[i : i + window]].add(item)
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        for k, words in enumerate(owners):
-            automaton.add_word(words, k)
+                owners["".join(map(codes.__getitem__, words[i : i + window]))].add(item)
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for k, pattern in enumerate(owners):
+            automaton.add_word(pattern, k)
         automaton.make_automaton()
-        return Machine(automaton, numbers, [(len(words), tuple(sorted(items))) for words, items in owners.items()])
+        return Machine(automaton, codes, width, [(len(p) // width, tuple(sorted(items))) for p, items in owners.items()])
+
+
+def code_width(words: int) -> int:
+    """Signs that a code of one of so many words has."""
+    return max(1, -(-max(1, words - 1).bit_length() // 6))
 
 
 def cut(raw: bytes, window: int = WINDOW, piece: int = PIECE) -> list[bytes]:
@@ -74,10 +89,10 @@ def cut(raw: bytes, window: int = WINDOW, piece: int = PIECE) -> list[bytes]:
     return [b" ".join(words[i : i + piece + window - 1]) for i in starts]
 
 
-def states(piece: bytes, window: int = WINDOW) -> int:
-    """At most so many states does a piece add to an automaton."""
+def states(piece: bytes, window: int = WINDOW, width: int = CODE_WIDTH) -> int:
+    """At most so many states does a piece add to an automaton whose codes have ``width`` signs."""
     n = piece.count(b" ") + 1
-    return max(1, n - window + 1) * min(n, window)
+    return max(1, n - window + 1) * min(n, window) * width
 
 
 def scan(machine: Machine, raw: bytes) -> tuple[int, list[tuple[int, int, tuple[str, ...]]]]:
@@ -85,10 +100,11 @@ def scan(machine: Machine, raw: bytes) -> tuple[int, list[tuple[int, int, tuple[
     words = folded_words(raw)
     if not words or not machine.found:
         return len(words), []
-    known = machine.numbers.get
-    found = []
-    for last, k in machine.automaton.iter(tuple([known(w, 0) for w in words])):
+    code, width, found = machine.codes.get, machine.width, []
+    other = "\0" * width
+    for end, k in machine.automaton.iter("".join([code(w, other) for w in words])):
         n, items = machine.found[k]
+        last = end // width
         found.append((last - n + 1, last + 1, items))
     return len(words), found
 

@@ -510,6 +510,9 @@ def test_states_are_bounded():
     machine = decontaminate.Machine.of([("a", p) for p in pieces] + [("b", b"one two")])
     counted = sum(map(decontaminate.states, pieces)) + decontaminate.states(b"one two")
     assert machine.automaton.get_stats()["nodes_count"] <= counted + 1
+    assert [decontaminate.code_width(n) for n in (0, 1, 64, 65, 4096, 4097)] == [1, 1, 1, 2, 2, 3]
+    many = decontaminate.Machine.of([("a", b" ".join(b"w%d" % i for i in range(70)))], 3)
+    assert decontaminate.scan(many, b"x w0 w1 w2 y W66,w67 w68 w69 w1 w2 w4") == (12, [(1, 4, ("a",)), (5, 8, ("a",)), (6, 9, ("a",))])
     assert decontaminate.cut(b" ,. ") == [] and decontaminate.cut(b"A,b") == [b"a b"]
 
 
