@@ -53,9 +53,13 @@ def op5_flow_sharding(spark, sf_dir):
     sharding.store(docs.withColumn("shard", sharding.source_shard(SHARDS)), path, SHARDS, 0)
     sharding.rewrite(sharding.read_layout(spark, path, 0, docs.schema), path, SHARDS, 1, previous=0)
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
-    return sharding.numbered(sharding.read_layout(spark, path, 1, docs.schema)).select(
-        "doc_id", sharding.row_bytes(F.col("text")).alias("size"), crc.alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
-        F.lit(None).cast("int").alias("grown_shard"), sharding.source_shard(SHARDS).cast("int").alias("old_shard"),
+    # What is asked of a text is worked out before rows are numbered, so that no text is shuffled for that.
+    rows = sharding.read_layout(spark, path, 1, docs.schema).select(
+        "doc_id", "text", "shard", sharding.row_bytes(F.col("text")).alias("size"), crc.alias("text_crc32"),
+        sharding.source_shard(SHARDS).cast("int").alias("old_shard"),
+    )
+    return sharding.numbered(rows).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard",
     )
 
 
