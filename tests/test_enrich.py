@@ -69,6 +69,17 @@ def test_enrich(spark, loaded, limit):
     assert (done[4].sentiment, done[4].total_score, done[4].person) == ("netral", 0.0, None)
 
 
+def test_time_of_joined_enrichment_does_not_grow_with_the_square_of_a_text(spark, loaded):
+    import time
+
+    words = "concat_ws(' ', transform(sequence(1, 30000), i -> concat('w', i, 'x')))"
+    df = spark.range(1).selectExpr("id", f"concat({words}, ' BGS Anies') AS text")
+    began = time.perf_counter()
+    row = enrich(df, loaded(0), id_cols=["id"]).drop("text").first()
+    assert (row.sentiment, row.person) == ("positif", "anies")
+    assert time.perf_counter() - began < 60
+
+
 def test_enrichment_needs_no_shuffle(spark, dicts):
     plan = enrich(spark.range(1).selectExpr("'a' AS text"), dicts)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
