@@ -76,6 +76,41 @@ def test_output_is_filed_under_the_day_a_message_arrived(spark, tmp_path):
     assert spark.read.json(str(tmp_path)).count() == 3
 
 
+@pytest.mark.parametrize(("most", "folders"), [(3, {"2018-04-13", "2018-04-14", "2018-05-01"}), (2, {"2018-04", "2018-05"}), (1, {"2018"})])
+def test_a_batch_of_many_days_is_filed_by_month_or_year(spark, tmp_path, monkeypatch, most, folders):
+    monkeypatch.setattr(jobs, "DATE_FOLDERS", most)
+    value = json.dumps({"id": "1", "name": "n", "text": "x"})
+    rows = [(value, "2018-04-13"), (value, "2018-04-14"), ("{", "2018-05-01"), (value, None)]
+    batch = spark.createDataFrame(rows, "value STRING, at STRING").selectExpr("value", "to_timestamp(at) AS timestamp")
+    write = jobs.enrichment_writer("compact", DICTIONARIES, str(tmp_path))
+    write(batch, 4)
+    write(batch, 4)
+    assert {p.name for p in tmp_path.glob("source_name=compact/*")} == {f"ingest_date={f}" for f in (*folders, "__HIVE_DEFAULT_PARTITION__")}
+    back = streams.read_json(spark, str(tmp_path), "arrival_date STRING, status STRING")
+    assert sorted((r.arrival_date or "", r.status) for r in back.collect()) == [
+        ("", "good"), ("2018-04-13", "good"), ("2018-04-14", "good"), ("2018-05-01", "quarantined"),
+    ]
+
+
+def test_landed_files_grow_in_number_not_in_size(spark, tmp_path, monkeypatch):
+    """A file is written by one task: rows of many splits must land in as many files, still in four micro-batches."""
+    from pyspark.sql import DataFrame
+
+    from postlens.plans import catalog
+
+    monkeypatch.setattr(catalog, "shared_dir", lambda *_: str(tmp_path / "landed"))
+    rows = spark.range(0, 200_000, 1, 100)
+    stream = catalog._landed(rows, "rows", "id")
+    assert len(list((tmp_path / "landed").glob("*.parquet"))) == 100
+    seen = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        seen.append(batch.count())
+
+    jobs.start(stream, write, str(tmp_path / "cp")).awaitTermination()
+    assert len(seen) == 4 and sum(seen) == 200_000
+
+
 def test_row_local_enrichment_runs_on_the_stream_itself(spark, tmp_path):
     land(tmp_path / "in", "a.json", [{"value": json.dumps({"id": "1", "name": "n", "text": "in the"})}])
     stream = streams.decoded(streams.landed_stream(spark, str(tmp_path / "in"), "value STRING"))
