@@ -66,6 +66,39 @@ def test_pooled_embedding_counts_repeats(spark, small, monkeypatch):
     assert got == {1: [2.0, 2.0], 2: None, 3: [0.0, 6.0], 4: None}
 
 
+@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize("texts_of_a_group", [2, 8192])
+def test_pooled_embedding_over_groups(spark, small, texts_of_a_group, monkeypatch):
+    """Texts of one key in several groups, two vectors of one id, a null key, and more ids than are gathered at a time."""
+    monkeypatch.setattr(vocabulary, "small_enough_to_broadcast", lambda *_: small)
+    monkeypatch.setattr(vocabulary, "GROUP_TEXTS", texts_of_a_group)
+    monkeypatch.setattr(vocabulary, "LOOKED_UP", 3)
+    rows = [(1, "a", [1, 1, 2]), (2, "a", [3, 7, None]), (1, "a", [3]), (None, "b", [1]), (4, "b", [2] * 10 + [3] * 10), (5, None, [])]
+    texts = spark.createDataFrame(rows, "id INT, s STRING, ids ARRAY<BIGINT>")
+    matrix = spark.createDataFrame([(1, [4.0, 0.0]), (2, [0.0, 8.0]), (3, [1.0, 1.0]), (3, [3.0, 3.0]), (9, None)], "vec_id INT, embedding ARRAY<FLOAT>")
+    pooled = vocabulary.pooled_embedding(texts, ["id", "s"], "ids", matrix)
+    got = sorted(((r.id or 0, r.s or "", r["mean"] and [round(x, 9) for x in r["mean"]]) for r in pooled.collect()), key=str)
+    four = [round(40 / 30, 9), round(120 / 30, 9)]
+    assert got == [(0, "b", None), (1, "a", [2.4, 2.4]), (1, "a", [2.4, 2.4]), (2, "a", [2.0, 2.0]), (4, "b", four), (5, "", None)]
+
+
+def test_pooling_shuffles_no_vector_for_each_word_of_a_text(spark, monkeypatch):
+    """500 texts of the same 200 ids: 1 text or 500, the vectors of a group are sent to it once."""
+    monkeypatch.setattr(vocabulary, "small_enough_to_broadcast", lambda *_: False)
+    ids = spark.range(0, 500, 1, 2).selectExpr("id", "sequence(1L, 200L) AS ids")
+    matrix = spark.range(1, 201).selectExpr("id AS vec_id", "array_repeat(cast(id AS float), 8) AS embedding")
+    sent, plain = [], type(ids).distinct
+
+    def counted(df):
+        sent.append(plain(df).count())
+        return plain(df)
+
+    monkeypatch.setattr(type(ids), "distinct", counted)
+    pooled = vocabulary.pooled_embedding(ids, ["id"], "ids", matrix)
+    assert {tuple(r["mean"]) for r in pooled.collect()} == {(100.5,) * 8}
+    assert sent == [2 * 200]
+
+
 def test_join_grows_with_the_tokens(spark):
     """A text of many tokens, all of them known: twice the tokens, about twice the time."""
     import time
