@@ -99,6 +99,31 @@ def test_pooling_shuffles_no_vector_for_each_word_of_a_text(spark, monkeypatch):
     assert sent == [2 * 200]
 
 
+def test_weights_of_frequent_words_are_broadcast_and_others_joined(spark, monkeypatch):
+    from postlens.operators import classify
+
+    rows = [(1, ["the", "the", "a", "good"], 1), (2, ["the", "bad", "a"], 0), (3, ["the", "worse", "bad"], 0), (4, [], 1), (5, None, None), (6, ["new"], None), (None, ["the"], 1)]
+    texts = spark.createDataFrame(rows, "id INT, words ARRAY<STRING>, label INT")
+    counted = spark.createDataFrame([("the", 5), ("a", 2), ("bad", 2), ("good", 1), ("worse", 1)], "word STRING, n INT")
+    found, least = [], []
+    # A word takes 64 bytes, 8 for its weight and its own; with 160 only "the" fits, as two words were seen twice.
+    for limit in (1 << 20, 160, 300, 0):
+        monkeypatch.setattr(lookup, "BROADCAST_BYTES", limit)
+        least.append(lookup.frequent(counted, F.octet_length("word") + 8, "n"))
+        scored = classify.score(classify.fit(texts, "words", "label"), texts, ["id"], "words")
+        found.append(sorted((r.id or 0, round(r.positive, 12), round(r.negative, 12)) for r in scored.collect()))
+    assert least == [None, 3, 2, 6]
+    assert found[0] == found[1] == found[2] == found[3] and found[0][1][1] > 0.5 > found[0][2][1]
+
+
+def test_large_vocabulary_cleans_the_texts_once(spark, sf_dir):
+    """The vocabulary is looked at three times and the words twice; neither starts from the texts again."""
+    from postlens.plans.catalog import QUERIES
+
+    plan = QUERIES["encode_sequence_large"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan
+
+
 def test_join_grows_with_the_tokens(spark):
     """A text of many tokens, all of them known: twice the tokens, about twice the time."""
     import time
