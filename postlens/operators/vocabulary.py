@@ -113,6 +113,8 @@ def _means(id_cols: list[str], schema: pa.Schema) -> Callable[[pa.Table, pa.Tabl
         if not texts.num_rows or not found.num_rows:
             return schema.empty_table()
         lists = found["_vector"].combine_chunks()
+        if lists.flatten().null_count:
+            raise ValueError("vectors must not hold nulls")
         width = len(lists.flatten()) // len(lists)
         if pc.min_max(pc.list_value_length(lists)).as_py() != {"min": width, "max": width}:
             raise ValueError("vectors must be of one length")
