@@ -34,6 +34,8 @@ HOT = 4096
 MAP_BITS = 1 << 28
 _BASE = 0x9E3779B97F4A7C15
 _HIGH = np.uint64(0xFFFFFFFF00000000)
+#: The constants of XXH64.
+_PRIMES = (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
 COORDINATE = ("doc_id", "rev", "start")
 
 
@@ -150,68 +152,97 @@ def _seeds(rows: DataFrame, task: Task) -> DataFrame:
     return arrow_map(rows.select("raw"), batches, "seed long")
 
 
-def repeated_seeds(rows: DataFrame, task: Task):
-    """A broadcast bit map of the seeds that are the anchor of two instances or more."""
-    spark = rows.sparkSession
-    twice = written(_seeds(rows, task).groupBy("seed").count().filter("count > 1").select("seed"), "seeds")
-    bits = 1 << 12
-    while bits < min(MAP_BITS, 64 * twice.count()):
+def _bit_map(values: DataFrame):
+    """A broadcast bit map of the longs in the one column of ``values``."""
+    spark, name = values.sparkSession, values.columns[0]
+    bits, n = 1 << 12, values.count()
+    while bits < min(MAP_BITS, 64 * n):
         bits *= 2
-    place = F.col("seed").bitwiseAND(F.lit(bits - 1))
+    place = F.col(name).bitwiseAND(F.lit(bits - 1))
     one = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
-    words = twice.select(F.shiftrightunsigned(place, 6).alias("w"), one.alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits"))
+    words = values.select(F.shiftrightunsigned(place, 6).alias("w"), one.alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits"))
     table = words.toArrow()
     filled = np.zeros(bits // 64, np.int64)
     filled[table.column("w").to_numpy()] = table.column("bits").to_numpy()
     return spark.sparkContext.broadcast(filled)
 
 
+def repeated_seeds(rows: DataFrame, task: Task):
+    """A broadcast bit map of the seeds that are the anchor of two instances or more."""
+    return _bit_map(written(_seeds(rows, task).groupBy("seed").count().filter("count > 1").select("seed"), "seeds"))
+
+
 def _is_in(bit_map: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     place = seeds & np.uint64(len(bit_map) * 64 - 1)
     words = bit_map.view(np.uint64)[(place >> np.uint64(6)).astype(np.int64)]
     return (words >> (place & np.uint64(63))) & np.uint64(1) != 0
 
 
-def _instance_schema(rows: DataFrame) -> T.StructType:
-    fields = [("seed", T.LongType()), ("context", T.LongType()), ("doc_id", rows.schema["doc_id"].dataType), ("rev", T.LongType())]
-    fields += [("start", T.LongType()), ("n", T.IntegerType()), ("lead", T.IntegerType()), ("payload", T.BinaryType())]
-    return T.StructType([T.StructField(*f) for f in fields])
+def marks(owner: int, starts: np.ndarray) -> np.ndarray:
+    """What Spark's ``xxhash64(doc_id, rev, start)`` is at each of ``starts``, where ``xxhash64(doc_id, rev)`` is ``owner``."""
+    one, two, three, four, five = (np.uint64(p) for p in _PRIMES)
+    turned = lambda x, k: (x << np.uint64(k)) | (x >> np.uint64(64 - k))
+    with np.errstate(over="ignore"):
+        x = np.uint64(owner % (1 << 64)) + five + np.uint64(8)
+        x = turned(x ^ (turned(starts.astype(np.uint64) * two, 31) * one), 27) * one + four
+        x = (x ^ (x >> np.uint64(33))) * two
+        x = (x ^ (x >> np.uint64(29))) * three
+        return x ^ (x >> np.uint64(32))
 
 
-def candidates(rows: DataFrame, task: Task) -> DataFrame:
-    """Instances whose seed is repeated (and few others), with their payload."""
-    shared = repeated_seeds(rows, task)
+def _instances(rows: DataFrame, task: Task, chosen: Callable[[int, Instances], np.ndarray], whole: bool) -> DataFrame:
+    """The instances that ``chosen`` flags in a text; ``whole`` ones with their lead and payload."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(parts):
-            seeds, contexts, starts, ns, leads, payloads, owner = [], [], [], [], [], [], []
-            for row, raw in enumerate(part.column(2).to_pylist()):
+            found, payloads, owner = [], [], []
+            for row, (raw, mark) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)):
                 tokens = task.tokens(raw)
                 all_ = instances(tokens, task.width, task.seed)
-                chosen = np.flatnonzero(_is_in(shared.value, all_.seed))
-                if not len(chosen):
+                some = np.flatnonzero(chosen(mark, all_))
+                if not len(some):
                     continue
-                payloads += task.payloads(raw, tokens, all_.start[chosen].tolist(), all_.n[chosen].tolist())
-                seeds.append(all_.seed[chosen])
-                starts.append(all_.start[chosen])
-                ns.append(all_.n[chosen])
-                leads.append(all_.lead[chosen])
-                owner.append(np.full(len(chosen), row))
-            if not seeds:
+                payloads += task.payloads(raw, tokens, all_.start[some].tolist(), all_.n[some].tolist())
+                found.append((all_.seed[some], all_.start[some], all_.n[some], all_.lead[some]))
+                owner.append(np.full(len(some), row))
+            if not found:
                 continue
+            seeds, starts, ns, leads = (np.concatenate(c) for c in zip(*found, strict=True))
             contexts = np.array([xxhash.xxh64_intdigest(p) for p in payloads], np.uint64).view(np.int64)
             owner = pa.array(np.concatenate(owner))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate(seeds).view(np.int64)), pa.array(contexts), part.column(0).take(owner), part.column(1).take(owner),
-                    pa.array(np.concatenate(starts)), pa.array(np.concatenate(ns).astype(np.int32)), pa.array(np.concatenate(leads).astype(np.int32)),
-                    pa.array(payloads, pa.binary()),
-                ],
-                schema.names,
-            )
+            columns = [pa.array(seeds.view(np.int64)), pa.array(contexts), part.column(0).take(owner), part.column(1).take(owner)]
+            columns += [pa.array(starts), pa.array(ns.astype(np.int32))]
+            if whole:
+                columns += [pa.array(leads.astype(np.int32)), pa.array(payloads, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    fields = [("seed", T.LongType()), ("context", T.LongType()), ("doc_id", rows.schema["doc_id"].dataType), ("rev", T.LongType())]
+    fields += [("start", T.LongType()), ("n", T.IntegerType())]
+    fields += [("lead", T.IntegerType()), ("payload", T.BinaryType())] if whole else []
+    schema = T.StructType([T.StructField(*f) for f in fields])
+    return arrow_map(rows.select("doc_id", "rev", "raw", F.xxhash64("doc_id", "rev").alias("owner")), batches, schema)
 
-    schema = _instance_schema(rows)
-    return written(arrow_map(rows, batches, schema), "instances")
+
+def candidates(rows: DataFrame, task: Task, shared) -> DataFrame:
+    """Instances whose seed is in the bit map ``shared`` of repeated ones (and few others), without their payload."""
+    return written(_instances(rows, task, lambda mark, all_: _is_in(shared.value, all_.seed), False), "instances")
+
+
+def opened(rows: DataFrame, task: Task, shared, open_: DataFrame) -> DataFrame:
+    """The first instance of each context of ``open_(seed, context, contexts, at)``, with its payload.
+
+    Payloads are large, so they are made from the texts anew, and only where a bit map of the first coordinates (and
+    few others) says so: no other payload is written or shuffled.
+    """
+    mark = F.xxhash64(*(f"at.{c}" for c in COORDINATE)) if task.keep_first else F.col("at")
+    firsts = _bit_map(open_.select(mark.alias("mark")))
+
+    def chosen(owner: int, all_: Instances) -> np.ndarray:
+        return _is_in(shared.value, all_.seed) & _is_in(firsts.value, marks(owner, all_.start))
+
+    found = _instances(rows, task, chosen, True)
+    is_first = _coordinate(task).eqNullSafe(F.col("at"))
+    return found.join(open_, ["seed", "context"]).filter(is_first).drop("at").dropDuplicates(["seed", "context"])
 
 
 def _coordinate(task: Task) -> Column:
@@ -234,18 +265,15 @@ def _later(rows: DataFrame, task: Task) -> DataFrame:
 
 def repeated(rows: DataFrame, task: Task) -> DataFrame:
     """``(doc_id, rev, start, n)``: runs of ``n`` windows from ``start`` on that repeat, of :func:`identified` rows."""
-    found = candidates(rows, task)
-    plain = found.drop("payload")
+    shared = repeated_seeds(rows, task)
+    plain = candidates(rows, task, shared)
     contexts = _ends(plain, task, "seed", "context")
     several = contexts.groupBy("seed").agg(F.count("*").alias("contexts"))
     known = written(contexts.join(several, "seed").filter("contexts > 1 OR another"), "contexts")
     settled = _later(plain.join(known.filter("another"), ["seed", "context"]), task).select(*COORDINATE, "n")
 
     open_ = known.filter("contexts > 1").select("seed", "context", "contexts", F.col("first").alias("at"))
-    is_first = _coordinate(task).eqNullSafe(F.col("at"))
-    left = written(
-        found.join(open_, ["seed", "context"]).filter(is_first).drop("at").dropDuplicates(["seed", "context"]), "open-instances"
-    )
+    left = written(opened(rows, task, shared, open_), "open-instances")
     fields = [T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("rev", T.LongType())]
     schema = T.StructType([*fields, T.StructField("start", T.LongType()), T.StructField("n", T.IntegerType())])
 

@@ -449,6 +449,31 @@ def test_frequent_anchors_match_plain_python(spark, monkeypatch, hot):
     assert remaining(debruijn, docs) == want
 
 
+def test_marks_are_those_of_spark(spark):
+    rows = spark.range(40).select((F.col("id") % 7).alias("doc_id"), F.xxhash64("id").alias("rev"), (F.col("id") * 977).alias("start"))
+    rows = rows.withColumn("doc_id", F.when(F.col("doc_id") > 0, F.col("doc_id")))
+    for r in rows.select("start", F.xxhash64("doc_id", "rev").alias("owner"), F.xxhash64("doc_id", "rev", "start").alias("mark")).collect():
+        assert repeats.marks(r.owner, np.array([r.start])).view(np.int64).tolist() == [r.mark]
+
+
+@pytest.mark.parametrize("kind", [suffixes, debruijn])
+def test_payloads_are_written_for_first_instances_alone(spark, monkeypatch, kind):
+    """Of copies of a text only one instance of each context keeps its payload, on disk and between tasks."""
+    kept = {}
+
+    def recorded(df, purpose):
+        kept[purpose] = written(df, purpose)
+        return kept[purpose]
+
+    monkeypatch.setattr(repeats, "written", recorded)
+    passage = words(60, 99)
+    texts = [f"{words(40, i)} {passage} {words(40, 50 + i)}" for i in range(6)]
+    docs = documents(spark, [(6 * k + i, t) for k in range(20) for i, t in enumerate(texts)])
+    kind.deduplicated(docs).count()
+    assert "payload" not in kept["instances"].columns
+    assert 0 < kept["open-instances"].count() <= kept["instances"].count() / 20
+
+
 def test_anchors_cut_at_blocks(monkeypatch):
     tokens = repeats.stirred(np.arange(500, dtype=np.uint64) % np.uint64(37))
     whole = repeats.instances(tokens, 20, 8)
