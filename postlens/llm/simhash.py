@@ -43,8 +43,10 @@ COPY_SHINGLE, COPY_DISTANCE, COPY_PRINTS, COPY_SHARE = 5, 10, 5, (4, 5)
 #: Texts whose shingle sets a task holds at a time.
 SETS = 256
 PRINT_COLUMNS = [f"fp{k}" for k in range(COPY_PRINTS)]
-#: Nodes of a list of a rare shingle that the others are compared with at first.
-HUBS = 32
+#: Longs of the bit map of a shingle set that is compared before the set itself is sent, and of one for lists.
+SKETCH, BRIEF = 32, 8
+#: Nodes of a list of a rare shingle that the others are compared with at first, and how many times as many each next time.
+HUBS, MORE_HUBS = 2, 32
 #: Links that a task gathers before it drops repeated ones.
 LINKS = 1 << 18
 #: Pairs of index nodes that are expanded at a time; bounds the memory of a task.
@@ -295,7 +297,8 @@ def _copy_prints(rows: DataFrame) -> DataFrame:
 
 
 def _sets(nodes: DataFrame, rows: DataFrame) -> DataFrame:
-    """``(node, shingles)``: the distinct shingle hashes of one text of each of ``nodes(node, first)``."""
+    """``(node, size, sketch, brief, shingles)``: the distinct shingle hashes of one text of each of ``nodes(node, first)``,
+    their number, and two bit maps of them."""
     texts = picked(rows, nodes.select("first.doc_id", "first.rev", "first.copies", "node")).select("node", "raw")
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,21 +306,51 @@ def _sets(nodes: DataFrame, rows: DataFrame) -> DataFrame:
             for at in range(0, part.num_rows, SETS):
                 one = part.slice(at, SETS)
                 found = [np.unique(shingle_hashes(raw, COPY_SHINGLE)).view(np.int64) for raw in one.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([one.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
+                lists = [sketched(f, SKETCH) for f in found], [sketched(f, BRIEF) for f in found], found
+                columns = [pa.array([len(f) for f in found], pa.int32()), *(pa.array(c, pa.list_(pa.int64())) for c in lists)]
+                yield pa.RecordBatch.from_arrays([one.column(0), *columns], names)
 
-    return arrow_map(texts, batches, "node long, shingles array<long>")
+    names = ["node", "size", "sketch", "brief", "shingles"]
+    return arrow_map(texts, batches, "node long, size int, sketch array<long>, brief array<long>, shingles array<long>")
+
+
+def sketched(hashes: np.ndarray, longs: int) -> np.ndarray:
+    """The bit map of a set: the bit of each of its hashes is 1."""
+    bits = np.zeros(64 * longs, bool)
+    bits[hashes.view(np.uint64) % np.uint64(64 * longs)] = True
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
+def _may_share(size: str, sketch: str, other: str) -> Column:
+    """How many elements of a set can be in another at most: a bit that the other lacks is an element that it lacks."""
+    lacked = F.zip_with(sketch, other, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
+    return F.col(size) - F.aggregate(lacked, F.lit(0), lambda total, n: total + n)
+
+
+def _alike(shared: Column, a: str, b: str) -> Column:
+    part, whole = COPY_SHARE
+    return whole * shared >= part * (F.col(a) + F.col(b) - shared)
+
+
+def _may_be_alike(a: str, b: str, a_map: str, b_map: str) -> Column:
+    """Whether sets of sizes ``a`` and ``b`` may be alike by their bit maps. No pair that is alike fails."""
+    return _alike(F.least(_may_share(a, a_map, b_map), _may_share(b, b_map, a_map)), a, b)
 
 
 def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of ``pairs(a, b)`` whose sets have similarity 0.8 or more. Exact on the shingle hashes.
 
-    ``a`` is the one that many pairs may share: its set is joined first, to rows that hold no set yet.
+    Bit maps of the sets are compared first, and the sets themselves are sent only for pairs that these leave open. ``a`` is
+    the one that many pairs may share: its set is joined first, to rows that hold no set yet.
     """
-    part, whole = COPY_SHARE
-    held = written(pairs, "pairs").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("_a")), "a")
-    both = held.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("_b")), "b")
-    shared = F.size(F.array_intersect("_a", "_b"))
-    return both.filter(whole * shared >= part * (F.size("_a") + F.size("_b") - shared)).select("a", "b")
+    of = lambda name, *columns: sets.select(F.col("node").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in columns))
+    asked = measured(pairs, "pairs")
+    maps = asked.join(of("a", "size", "sketch"), "a").join(of("b", "size", "sketch"), "b")
+    likely = measured(maps.filter(_may_be_alike("a_size", "b_size", "a_sketch", "b_sketch")).select("a", "b"), "likely")
+    held = likely.join(of("a", "size", "shingles"), "a")
+    wanted = of("b", "size", "shingles").join(likely.select("b").distinct(), "b", "left_semi")
+    shared = F.size(F.array_intersect("a_shingles", "b_shingles"))
+    return held.join(wanted, "b").filter(_alike(shared, "a_size", "b_size")).select("a", "b")
 
 
 def _settled(links: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -326,20 +359,22 @@ def _settled(links: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _prefixes(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """``(group, shingle, node, size)``: the shingles that decide who can be alike within a group of ``members(node, group)``.
+    """``(group, shingle, node, size, central)``: the shingles that decide who can be alike within a group of ``members(node, group)``.
 
     With the group's rarest shingles first, two sets that share 4/5 of their union share one of the first fifth (and
-    one more) of either. Shingles that only one member has fill that fifth and are dropped then.
+    one more) of either. Shingles that only one member has fill that fifth and are dropped then. central is how much of its
+    set a member shares with another of the group in the mean, times the members.
     """
     part, whole = COPY_SHARE
-    each = members.join(sets, "node").select("group", "node", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+    each = measured(members, "apart").join(sets, "node").select("group", "node", "size", F.explode("shingles").alias("shingle"))
     each = written(each, "shingles")
     common = written(each.groupBy("group", "shingle").agg(F.count("*").alias("n")).filter("n > 1"), "common-shingles")
     counted = each.join(common, ["group", "shingle"], "left").select("group", "node", "size", F.struct(F.coalesce("n", F.lit(1)).alias("n"), "shingle").alias("s"))
     first = F.col("size") - F.ceil(part * F.col("size") / whole) + 1
-    rare = counted.groupBy("group", "node", "size").agg(F.array_sort(F.collect_list("s")).alias("s"))
-    kept = rare.select("group", "node", "size", F.explode(F.slice("s", F.lit(1), first.cast("int"))).alias("s"))
-    return kept.filter("s.n > 1").select("group", "s.shingle", "node", "size")
+    rare = counted.groupBy("group", "node", "size").agg(F.array_sort(F.collect_list("s")).alias("s"), F.sum("s.n").alias("n"))
+    prefix = F.explode(F.slice("s", F.lit(1), first.cast("int"))).alias("s")
+    kept = rare.select("group", "node", "size", (F.col("n") / F.col("size")).alias("central"), prefix)
+    return kept.filter("s.n > 1").select("group", "s.shingle", "node", "size", "central")
 
 
 def confirmed(proposed: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
@@ -348,9 +383,10 @@ def confirmed(proposed: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFra
 
     Each node is compared with the least node proposed to it, which settles a group of copies with one link for each. Where
     proposals still lead from one settled group to another, all pairs between them count, those too that
-    no fingerprint proposed: their rare shingles say which can be alike. Those are compared with the least few nodes
-    of each list of a rare shingle, and as long as a list holds several settled groups, with the next ones, eight times as
-    many each time.
+    no fingerprint proposed: their rare shingles say which can be alike. Those are compared with the few most central nodes
+    of each list of a rare shingle (near copies of one text are least unlike that text, so it comes first), and as long as a
+    list holds several settled groups, with the next ones, 32 times as many each time. By then most of what is
+    alike is settled; what is left is mostly apart, and bit maps in the lists keep it from becoming pairs.
     """
     part, whole = COPY_SHARE
     among = proposed.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -365,8 +401,8 @@ def confirmed(proposed: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFra
     groups_ = components(written(open_.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct(), "open"))
     apart = settled.join(groups_.select(F.col("node").alias("root"), F.col("root").alias("group")), "root").select("node", "group")
     lists = written(_prefixes(apart, sets), "rare-shingles")
-    place = F.row_number().over(Window.partitionBy("group", "shingle").orderBy("node"))
-    lists = written(lists.withColumn("place", place), "rare-shingles")
+    place = F.row_number().over(Window.partitionBy("group", "shingle").orderBy(F.desc("central"), "node"))
+    lists = written(lists.withColumn("place", place).drop("central"), "rare-shingles")
     start, step = 1, HUBS
     while True:
         # Lists that hold several settled groups, and members that weren't compared with all others.
@@ -375,18 +411,20 @@ def confirmed(proposed: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFra
         mixed = written(mixed.filter((F.col("low") != F.col("high")) & (F.col("n") > start)).select("group", "shingle"), "mixed")
         if not mixed.limit(1).count():
             return settled
-        live = written(rooted.join(mixed, ["group", "shingle"]), "live")
-        hub = live.filter(F.col("place").between(start, start + step - 1)).select(
-            "group", "shingle", F.col("node").alias("a"), F.col("size").alias("a_size"), F.col("root").alias("a_root"), F.col("place").alias("a_place"))
-        pairs = hub.join(live, ["group", "shingle"]).filter(
-            (F.col("place") > F.col("a_place")) & (F.col("root") != F.col("a_root"))
-            & (whole * F.least("size", "a_size") >= part * F.greatest("size", "a_size"))
-        )
+        live = rooted.join(mixed, ["group", "shingle"])
+        may_be = whole * F.least("size", "a_size") >= part * F.greatest("size", "a_size")
+        if start > 1:
+            live, may_be = live.join(sets.select("node", "brief"), "node"), may_be & _may_be_alike("size", "a_size", "brief", "a_brief")
+        live = written(live, "live")
+        of_hub = {c: f"a_{c}" for c in live.columns if c not in ("group", "shingle")}
+        hub = live.filter(F.col("place").between(start, start + step - 1)).withColumnsRenamed(of_hub).withColumnRenamed("a_node", "a")
+        other = (F.col("place") > F.col("a_place")) & (F.col("root") != F.col("a_root"))
+        pairs = hub.join(live, ["group", "shingle"]).filter(other & may_be)
         more = written(alike(pairs.select("a", F.col("node").alias("b")).distinct(), sets), "alike")
         if more.limit(1).count():
             found = written(found.unionByName(more), "alike")
             settled = _settled(found, members.select("node"))
-        start, step = start + step, 8 * step
+        start, step = start + step, MORE_HUBS * step
 
 
 def picked(rows: DataFrame, chosen: DataFrame) -> DataFrame:

@@ -351,6 +351,48 @@ def test_confirmed_pairs_match_brute_force(spark):
     assert [found.get(i, i) for i in range(len(texts))] == root
 
 
+def test_copies_that_only_their_original_connects_are_compared_with_it(spark, monkeypatch):
+    """Two changes leave 0.81 to the original and less than 0.7 among copies: pairs grow with the copies, not their square."""
+    original, asked, alike = words(100, 5).split(), [], simhash.alike
+
+    def counted(pairs, sets):
+        asked.append(pairs.count())
+        return alike(pairs, sets)
+
+    monkeypatch.setattr(simhash, "alike", counted)
+    texts = []
+    for i in range(120):
+        tokens = list(original)
+        tokens[8 + i % 40], tokens[52 + i % 41] = f"y{i}", f"z{i}"
+        texts.append(" ".join(tokens))
+    texts[100] = " ".join(original)
+    assert similarity(texts[100], texts[7]) >= 0.8 > similarity(texts[1], texts[20])
+    rows = spark.createDataFrame([(i, i, t.encode()) for i, t in enumerate(texts)], "doc_id long, rev long, raw binary")
+    first = F.struct(F.lit(False).alias("none"), F.col("doc_id"), F.col("rev"), F.lit(1).alias("copies"))
+    nodes = rows.select(F.col("doc_id").alias("node"), first.alias("first"))
+    proposed = rows.filter("doc_id > 0").select(F.col("doc_id").alias("a"), F.lit(0).cast("long").alias("b"))
+    assert {r.root for r in simhash.confirmed(proposed, nodes, rows).collect()} == {0}
+    assert sum(asked) <= 5 * len(texts)
+
+
+def test_bit_maps_lose_no_pair(spark):
+    rows = []
+    for i in range(30):
+        tokens = words(60 + 20 * i, 900 + i).split()
+        for k in range(4):
+            other = list(tokens)
+            for at in range(k * len(tokens) // 100 + k):
+                other[(37 * at + 11) % len(other)] = f"q{at}"
+            sets = [np.unique(simhash.shingle_hashes(" ".join(t).encode(), 5)) for t in (tokens, other)]
+            maps = [[simhash.sketched(s, n).tolist() for s in sets] for n in (simhash.SKETCH, simhash.BRIEF)]
+            shared = len(np.intersect1d(*sets))
+            rows.append((5 * shared >= 4 * (len(sets[0]) + len(sets[1]) - shared), *map(len, sets), *maps[0], *maps[1]))
+    found = spark.createDataFrame(rows, "alike boolean, m int, n int, a array<long>, b array<long>, c array<long>, d array<long>")
+    may_be = [simhash._may_be_alike("m", "n", "a", "b"), simhash._may_be_alike("m", "n", "c", "d")]
+    assert found.filter("alike").count() and not found.filter("alike").filter(~(may_be[0] & may_be[1])).count()
+    assert found.filter(~may_be[0]).count()
+
+
 def test_links_of_a_large_group_grow_with_it(spark):
     """A group of n near copies has a few n proposals and is settled as one."""
     tokens, shares = words(300, 77).split(), []
