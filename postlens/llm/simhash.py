@@ -359,10 +359,11 @@ def _settled(links: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _prefixes(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """``(group, shingle, node, size, central)``: the shingles that decide who can be alike within a group of ``members(node, group)``.
+    """``(group, shingle, node, size, reach, central)``: the shingles that decide who can be alike within a group of ``members(node, group)``.
 
     With the group's rarest shingles first, two sets that share 4/5 of their union share one of the first fifth (and
-    one more) of either. Shingles that only one member has fill that fifth and are dropped then. central is how much of its
+    one more) of either. Shingles that only one member has fill that fifth and are dropped then. reach is the largest set
+    that can be alike if the shingle is the first in common: those before it are lacked then. central is how much of its
     set a member shares with another of the group in the mean, times the members.
     """
     part, whole = COPY_SHARE
@@ -372,9 +373,17 @@ def _prefixes(members: DataFrame, sets: DataFrame) -> DataFrame:
     counted = each.join(common, ["group", "shingle"], "left").select("group", "node", "size", F.struct(F.coalesce("n", F.lit(1)).alias("n"), "shingle").alias("s"))
     first = F.col("size") - F.ceil(part * F.col("size") / whole) + 1
     rare = counted.groupBy("group", "node", "size").agg(F.array_sort(F.collect_list("s")).alias("s"), F.sum("s.n").alias("n"))
-    prefix = F.explode(F.slice("s", F.lit(1), first.cast("int"))).alias("s")
+    prefix = F.posexplode(F.slice("s", F.lit(1), first.cast("int"))).alias("before", "s")
     kept = rare.select("group", "node", "size", (F.col("n") / F.col("size")).alias("central"), prefix)
-    return kept.filter("s.n > 1").select("group", "s.shingle", "node", "size", "central")
+    reach = (F.floor((part + whole) * (F.col("size") - F.col("before")) / part) - F.col("size")).cast("int").alias("reach")
+    return kept.filter("s.n > 1").select("group", "s.shingle", "node", "size", reach, "central")
+
+
+def _within_reach(lists: DataFrame) -> DataFrame:
+    """``lists`` without the members that no set of the list can be alike with by its first common shingle. The lesser of two
+    such sets reaches its own size at least, and the other reaches that."""
+    least = F.min(F.when(F.col("reach") >= F.col("size"), F.col("size"))).over(Window.partitionBy("group", "shingle"))
+    return lists.withColumn("least", least).filter("least <= reach").drop("least")
 
 
 def confirmed(proposed: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
@@ -386,9 +395,9 @@ def confirmed(proposed: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFra
     no fingerprint proposed: their rare shingles say which can be alike. Those are compared with the few most central nodes
     of each list of a rare shingle (near copies of one text are least unlike that text, so it comes first), and as long as a
     list holds several settled groups, with the next ones, 32 times as many each time. By then most of what is
-    alike is settled; what is left is mostly apart, and bit maps in the lists keep it from becoming pairs.
+    alike is settled; what is left is mostly apart, and bit maps in the lists keep it from becoming pairs. A list only has to
+    find the pairs whose first common shingle is its own, so members are compared within their reach.
     """
-    part, whole = COPY_SHARE
     among = proposed.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     members = written(nodes.select("node", "first").join(among, "node"), "proposed")
     sets = written(_sets(members, rows), "shingle-sets")
@@ -402,7 +411,7 @@ def confirmed(proposed: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFra
     apart = settled.join(groups_.select(F.col("node").alias("root"), F.col("root").alias("group")), "root").select("node", "group")
     lists = written(_prefixes(apart, sets), "rare-shingles")
     place = F.row_number().over(Window.partitionBy("group", "shingle").orderBy(F.desc("central"), "node"))
-    lists = written(lists.withColumn("place", place).drop("central"), "rare-shingles")
+    lists = written(_within_reach(lists).withColumn("place", place).drop("central"), "rare-shingles")
     start, step = 1, HUBS
     while True:
         # Lists that hold several settled groups, and members that weren't compared with all others.
@@ -412,7 +421,7 @@ def confirmed(proposed: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFra
         if not mixed.limit(1).count():
             return settled
         live = rooted.join(mixed, ["group", "shingle"])
-        may_be = whole * F.least("size", "a_size") >= part * F.greatest("size", "a_size")
+        may_be = (F.col("size") <= F.col("a_reach")) & (F.col("a_size") <= F.col("reach"))
         if start > 1:
             live, may_be = live.join(sets.select("node", "brief"), "node"), may_be & _may_be_alike("size", "a_size", "brief", "a_brief")
         live = written(live, "live")

@@ -375,6 +375,29 @@ def test_copies_that_only_their_original_connects_are_compared_with_it(spark, mo
     assert sum(asked) <= 5 * len(texts)
 
 
+def test_texts_around_one_passage_are_not_compared_pair_by_pair(spark, monkeypatch):
+    """Each text's own words are more than a ninth of it and less than a fifth: no two of one length can be alike."""
+    asked, alike = [], simhash.alike
+
+    def counted(pairs, sets):
+        asked.append(pairs.count())
+        return alike(pairs, sets)
+
+    monkeypatch.setattr(simhash, "alike", counted)
+    passage = words(60, 6)
+    texts = [f"{passage} {words(12, 7000 + i)}" for i in range(60)]
+    # Of these one is so much shorter that it can be a copy of another, and is.
+    texts.append(" ".join(texts[30].split()[:-6]))
+    assert similarity(texts[60], texts[30]) >= 0.8 > similarity(texts[60], texts[31]) > similarity(texts[30], texts[31])
+    rows = spark.createDataFrame([(i, i, t.encode()) for i, t in enumerate(texts)], "doc_id long, rev long, raw binary")
+    first = F.struct(F.lit(False).alias("none"), F.col("doc_id"), F.col("rev"), F.lit(1).alias("copies"))
+    nodes = rows.select(F.col("doc_id").alias("node"), first.alias("first"))
+    proposed = rows.filter("doc_id > 0").select(F.col("doc_id").alias("a"), F.lit(0).cast("long").alias("b"))
+    found = {r.node: r.root for r in simhash.confirmed(proposed, nodes, rows).collect()}
+    assert found == {i: i for i in range(60)} | {60: 30}
+    assert asked[0] == 60 and sum(asked[1:]) <= 60
+
+
 def test_bit_maps_lose_no_pair(spark):
     rows = []
     for i in range(30):
