@@ -25,6 +25,8 @@ from postlens.llm.common import arrow_map, measured
 END_ID, BLOCK_IDS = 2, 1 << 21
 #: Words whose ids a worker keeps; when there are more it starts anew.
 KEPT_WORDS = 1 << 20
+#: A character set between words that are tokenised together; words that hold it are tokenised alone.
+BETWEEN = "\x01"
 _TOKENIZERS: dict[int, WordEncoder] = {}
 
 
@@ -33,7 +35,8 @@ class WordEncoder:
 
     A tokenizer whose pieces never span white space gives a text the ids of its words one after the other, so each
     word is tokenised once and looked up from then on. Words end at ASCII white space, where no normalisation
-    joins them either.
+    joins them either. The new words of a text are tokenised as one text with a mark between them: as a list of
+    texts they cost more, and the tokenizer's threads for a list add to it.
     """
 
     def __init__(self, definition: bytes):
@@ -42,6 +45,22 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_buffer(definition)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.known: dict[bytes, bytes] = {}
+        mark = self._ids(BETWEEN)
+        self.mark = mark[0] if len(mark) == 1 else None
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _words(self, fresh: list[bytes]) -> list[bytes]:
+        """The ids of each word."""
+        if self.mark is not None:
+            ids = np.array(self._ids(f" {BETWEEN} ".join(w.decode("utf-8") for w in fresh)), "<u4")
+            cuts = np.flatnonzero(ids == self.mark)
+            # A mark of its own in a word, or one that is no piece here, shows in their number.
+            if len(cuts) == len(fresh) - 1:
+                raw, first, last = ids.tobytes(), [0, *(4 * (cuts + 1)).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
+                return [raw[a:b] for a, b in zip(first, last, strict=True)]
+        return [np.array(self._ids(w.decode("utf-8")), "<u4").tobytes() for w in fresh]
 
     def encode(self, raw: bytes) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
@@ -51,8 +70,7 @@ class WordEncoder:
             if len(self.known) + len(fresh) > KEPT_WORDS:
                 self.known = {}
                 fresh = list(set(words))
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in fresh], add_special_tokens=False)
-            self.known.update(zip(fresh, (np.array(e.ids, "<u4").tobytes() for e in found), strict=True))
+            self.known.update(zip(fresh, self._words(fresh), strict=True))
         return b"".join(map(self.known.__getitem__, words))
 
 

@@ -643,6 +643,26 @@ def test_words_give_the_ids_of_the_text():
         assert ids == encoder.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_new_words_of_a_text_are_tokenised_in_one_call():
+    import public_tokenizers
+
+    encoder = tokenfiles.WordEncoder(open(public_tokenizers.path("word_bpe_49k.json"), "rb").read())
+    whole, asked = encoder.tokenizer, []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            asked.append(len(texts))
+            return whole.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Counted()
+    plain, marked = words(50, 8), f"{words(5, 9)} \x01 a\x01b \x01\x01 {words(5, 10)}"
+    for text, calls in ((plain, 1), (plain, 0), (marked, None), (f"{plain} new", 1), ("", 0)):
+        asked.clear()
+        ids = np.frombuffer(encoder.encode(text.encode()), "<u4").tolist()
+        assert ids == whole.encode(text, add_special_tokens=False).ids, repr(text)
+        assert calls is None or asked == [1] * calls
+
+
 def test_token_file_edges(spark, odd, none, tmp_path):
     import public_tokenizers
 
