@@ -39,6 +39,8 @@ STATES = (MOST + 1) ** 2
 SURE = (np.arange(STATES) % (MOST + 1), np.arange(STATES) // (MOST + 1))
 SURER = np.minimum(np.arange(MOST + 1) + 1, MOST).astype(np.uint8)
 LESS_SURE = np.maximum(np.arange(MOST + 1) >> 1, 1).astype(np.uint8)
+#: Both in one, those after a right guess from ``MOST + 1`` on.
+NEXT_SURE = np.concatenate([LESS_SURE, SURER])
 
 
 class ChecksumError(ValueError):
@@ -107,7 +109,7 @@ class _Model:
             self.hits[order] += hit[order]
             slot, trust = self.slots[order], self.trust[order]
             self.ids[order][slot] = np.where(right[order] | (trust > 1), self.guess[order], seen)
-            self.sure[order][slot] = np.where(right[order], SURER[trust], LESS_SURE[trust])
+            self.sure[order][slot] = NEXT_SURE[trust + (MOST + 1) * right[order].view(np.uint8)]
         if self.step % 16 == 15:
             large = self.tries > 1 << 14
             self.tries[large] >>= 1
@@ -125,7 +127,8 @@ class _Model:
 class _Writer:
     def __init__(self, lanes: int, steps: int):
         self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-        self.words, self.at = np.zeros((lanes, 2 * steps + 4), np.uint32), np.zeros(lanes, np.int64)
+        # Lanes are about as far as each other, so a step writes to few rows.
+        self.words, self.at = np.zeros((2 * steps + 4, lanes), np.uint32), np.zeros(lanes, np.int64)
 
     def code(self, lanes, start: np.ndarray, size: np.ndarray, total) -> None:
         """``lanes`` is a slice or an array of places; ``total`` the scale of start and size."""
@@ -134,15 +137,17 @@ class _Writer:
         high, self.low[lanes], self.range[lanes], out = low >> WORD, *_settled(low, wide)
         done = out if isinstance(lanes, slice) else lanes[out]
         high = high[out]
-        self.words[done, self.at[done]] = high.astype(np.uint32)
-        self.at[done] += 1
+        at = self.at[done]
+        self.words[at, done] = high.astype(np.uint32)
+        self.at[done] = at + 1
 
     def finish(self) -> tuple[np.ndarray, bytes]:
         every = np.arange(len(self.low))
         for word in (self.low >> WORD, self.low & _LOW):
-            self.words[every, self.at] = word.astype(np.uint32)
+            self.words[self.at, every] = word.astype(np.uint32)
             self.at += 1
-        return self.at, self.words[np.arange(self.words.shape[1]) < self.at[:, None]].astype("<u4").tobytes()
+        lanes = np.ascontiguousarray(self.words[: int(self.at.max())].T)
+        return self.at, lanes[np.arange(lanes.shape[1]) < self.at[:, None]].astype("<u4").tobytes()
 
 
 class _Reader:
@@ -176,7 +181,7 @@ def _settled(low: np.ndarray, wide: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     A word is due when all of the range has it in common. A small range across two words is cut to the part in the
     first, so that no carry ever reaches what was emitted.
     """
-    same = ((low ^ (low + (wide - np.uint64(1)))) >> WORD) == 0
+    same = (low ^ (low + (wide - np.uint64(1)))) < _LEAST
     out = np.flatnonzero(same | (wide < _LEAST))
     to_edge = (_LOW - (low[out] & _LOW)) + np.uint64(1)
     wide[out] = np.minimum(np.where(same[out], wide[out], to_edge), _LOW) << WORD
@@ -190,19 +195,40 @@ def _lanes(n: int) -> np.ndarray:
     return n // lanes + (np.arange(lanes) < n % lanes)
 
 
+def _blocks(ids: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """The ids of the longer lanes and those of the others, a row for each lane."""
+    least, longer = int(sizes[-1]), int((sizes > sizes[-1]).sum())
+    cut = longer * (least + 1)
+    return [ids[:cut].reshape(longer, least + 1), ids[cut:].reshape(len(sizes) - longer, least)]
+
+
+def _blocks_of_steps(steps: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """The parts of ``steps`` that have the ids of :func:`_blocks`, a column for each lane."""
+    least, longer = int(sizes[-1]), int((sizes > sizes[-1]).sum())
+    return [steps[: least + 1, :longer], steps[:least, longer:]]
+
+
+def _steps(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The ids, a row for each step, in which a lane has its column."""
+    steps = np.zeros((int(sizes[-1]) + 1, len(sizes)), "<u4")
+    for lanes, of_step in zip(_blocks(ids, sizes), _blocks_of_steps(steps, sizes), strict=True):
+        of_step[:] = lanes.T
+    return steps
+
+
 def encode(ids: np.ndarray, vocabulary: int) -> bytes:
     """The block of ``ids`` (each below ``vocabulary``); no ids are a block as well."""
     ids = np.ascontiguousarray(ids, "<u4")
     if len(ids) and int(ids.max()) >= vocabulary:
         raise ValueError(f"id {int(ids.max())} is outside a vocabulary of {vocabulary}")
     sizes = _lanes(len(ids))
-    starts = np.cumsum(sizes) - sizes
+    steps = _steps(ids, sizes)
     model, coder = _Model(vocabulary), _Writer(len(sizes), int(sizes.max()))
     last, before = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
     with np.errstate(over="ignore"):
         for step in range(int(sizes.max()) if len(ids) else 0):
             active = slice(0, int((sizes > step).sum()))
-            seen = ids[starts[active] + step].astype(np.int64)
+            seen = steps[step, active].astype(np.int64)
             model.predict(last[active], before[active])
             top, middle = model.bounds
             second = (seen == model.guess[1]) & (model.trust[1] > 0)
@@ -230,8 +256,8 @@ def decode(block: bytes, vocabulary: int) -> np.ndarray:
     counts = np.frombuffer(body, "<u4", lanes).astype(np.int64)
     reader = _Reader(counts, np.frombuffer(body, "<u4", offset=4 * lanes))
     sizes = _lanes(n)
-    starts = np.cumsum(sizes) - sizes
     model, ids = _Model(vocabulary), np.zeros(n, "<u4")
+    steps = _steps(ids, sizes)
     last, before = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
     with np.errstate(over="ignore"):
         for step in range(int(sizes.max()) if n else 0):
@@ -247,12 +273,17 @@ def decode(block: bytes, vocabulary: int) -> np.ndarray:
             rest = np.flatnonzero(rest)
             if len(rest):
                 value = reader.ask(rest, np.uint64(model.sums[-1]))
-                found = np.searchsorted(model.sums, value, side="right") - 1
+                order = np.argsort(value)
+                found = np.empty(len(rest), np.int64)
+                # In order, a search starts where the one before it ended.
+                found[order] = np.searchsorted(model.sums, value[order], side="right") - 1
                 reader.take(rest, model.sums[found], model.sums[found + 1] - model.sums[found])
                 seen[rest] = found
             model.learn(seen)
-            ids[starts[active] + step] = seen
+            steps[step, active] = seen
             before[active], last[active] = last[active], seen
+    for lanes, of_step in zip(_blocks(ids, sizes), _blocks_of_steps(steps, sizes), strict=True):
+        lanes[:] = of_step.T
     if zlib.crc32(ids.tobytes()) != ids_crc:
         raise ChecksumError("the ids of the block are damaged")
     return ids

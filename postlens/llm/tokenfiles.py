@@ -9,11 +9,16 @@ number of ids, and the coded bytes. The position of a block in the whole corpus
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterator
+from functools import partial
+from itertools import chain, pairwise
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,51 +32,148 @@ END_ID, BLOCK_IDS = 2, 1 << 21
 KEPT_WORDS = 1 << 20
 #: A character set between words that are tokenised together; words that hold it are tokenised alone.
 BETWEEN = "\x01"
+#: Bytes of text split at once, words tokenised in one call, new letter words from which calls of their own pay.
+SPLIT_BYTES, TOGETHER, OWN_CALL = 1 << 24, 250, 64
+#: The normalizer and the splitter for which words are known by their letters: any letters are one piece, lower-cased.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Signs that are pieces apart from an ASCII letter or digit before them, whatever follows; not those of added tokens.
+TAIL = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+LONGEST_TAIL = 4
+HAS_TAIL = f"[A-Za-z0-9][{re.escape(TAIL)}]{{1,{LONGEST_TAIL}}}$"
 _TOKENIZERS: dict[int, WordEncoder] = {}
 
 
+def _by_letters(definition: dict) -> bool:
+    """Whether the tokenizer normalises and splits as above, every piece has one last id, and no added token is
+    of letters only or holds a sign of ``TAIL``."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    split, *level = (definition["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+    model, ends = definition["model"], definition["model"].get("end_of_word_suffix")
+    return (
+        (definition["normalizer"] or {}).get("normalizers") == NORMALIZERS
+        and split == {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True}
+        and [(x["type"], x["add_prefix_space"], x["use_regex"]) for x in level] == [("ByteLevel", False, False)]
+        and bool(ends)
+        and all(c + e in model["vocab"] for c in ByteLevel.alphabet() for e in ("", ends))
+        and not any(x["content"].isalpha() or set(x["content"]) & set(TAIL) for x in definition["added_tokens"])
+    )
+
+
+def _cut(ids: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[bytes]:
+    raw = ids.tobytes()
+    return [raw[a:b] for a, b in zip((4 * first).tolist(), (4 * last).tolist(), strict=True)]
+
+
 class WordEncoder:
     """Ids of texts, word by word.
 
     A tokenizer whose pieces never span white space gives a text the ids of its words one after the other, so each
     word is tokenised once and looked up from then on. Words end at ASCII white space, where no normalisation
-    joins them either. The new words of a text are tokenised as one text with a mark between them: as a list of
-    texts they cost more, and the tokenizer's threads for a list add to it.
+    joins them either. Texts are split many at once, so that only their different words are looked up. New words are
+    tokenised many at once, as one text with a mark between them: as a list of texts they cost more, and the
+    tokenizer's threads for a list add to it.
+
+    Where the tokenizer is known to allow it, signs at the end are cut from a word, and a word of letters needs no mark:
+    it is one piece, whose last id shows. If it is of ASCII letters, it is lower-cased here and goes to the
+    same tokenizer without normalizer and regular expression, which would do no more to it.
     """
 
     def __init__(self, definition: bytes):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_buffer(definition)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.known: dict[bytes, bytes] = {}
-        mark = self._ids(BETWEEN)
+        self.known: dict[str, bytes] = {}
+        mark = self._ids(self.tokenizer, BETWEEN)
         self.mark = mark[0] if len(mark) == 1 else None
-
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-
-    def _words(self, fresh: list[bytes]) -> list[bytes]:
+        self.ascii, parsed = None, json.loads(definition)
+        if _by_letters(parsed):
+            self.ascii = Tokenizer.from_buffer(definition)
+            self.ascii.normalizer, self.ascii.pre_tokenizer = None, pre_tokenizers.CharDelimiterSplit(" ")
+            self.ends = np.zeros(self.vocabulary, bool)
+            self.ends[[k for token, k in parsed["model"]["vocab"].items() if token.endswith(parsed["model"]["end_of_word_suffix"])]] = True
+
+    @staticmethod
+    def _ids(tokenizer, text: str) -> list[int]:
+        return tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _marked(self, fresh: list[str]) -> list[bytes]:
         """The ids of each word."""
         if self.mark is not None:
-            ids = np.array(self._ids(f" {BETWEEN} ".join(w.decode("utf-8") for w in fresh)), "<u4")
+            ids = np.array(self._ids(self.tokenizer, f" {BETWEEN} ".join(fresh)), "<u4")
             cuts = np.flatnonzero(ids == self.mark)
             # A mark of its own in a word, or one that is no piece here, shows in their number.
             if len(cuts) == len(fresh) - 1:
-                raw, first, last = ids.tobytes(), [0, *(4 * (cuts + 1)).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
-                return [raw[a:b] for a, b in zip(first, last, strict=True)]
-        return [np.array(self._ids(w.decode("utf-8")), "<u4").tobytes() for w in fresh]
+                return _cut(ids, np.append(0, cuts + 1), np.append(cuts, len(ids)))
+        return [np.array(self._ids(self.tokenizer, w), "<u4").tobytes() for w in fresh]
+
+    def _letters(self, tokenizer, fresh: list[str]) -> list[bytes]:
+        """The ids of each word; words of letters have a piece or more, so as many pieces as words are one for each."""
+        ids = np.array(self._ids(tokenizer, " ".join(fresh)), "<u4")
+        last = np.flatnonzero(self.ends[ids]) + 1
+        return _cut(ids, np.append(0, last[:-1]), last) if len(last) == len(fresh) else self._marked(fresh)
+
+    def _learn(self, fresh: list[str]) -> None:
+        ascii_letters, letters, others = [], [], fresh
+        if self.ascii is not None and len(fresh) >= OWN_CALL:
+            others = []
+            for word in fresh:
+                (others if not word.isalpha() else ascii_letters if word.isascii() else letters).append(word)
+        kinds = (partial(self._letters, self.ascii), ascii_letters), (partial(self._letters, self.tokenizer), letters), (self._marked, others)
+        for tokenised, words in kinds:
+            for k in range(0, len(words), TOGETHER):
+                some = words[k : k + TOGETHER]
+                self.known.update(zip(some, tokenised(some), strict=True))
+
+    def _looked_up(self, words: pa.Array) -> pa.Array:
+        """The ids of each word."""
+        each = words.dictionary_encode()
+        different = each.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.known.get, different))
+        fresh = [w for w, ids in zip(different, found, strict=True) if ids is None and w]
+        if len(self.known) + len(fresh) > KEPT_WORDS:
+            self.known, fresh = {}, [w for w in different if w]
+        if fresh:
+            self._learn(fresh)
+            found = [self.known[w] if ids is None and w else ids for w, ids in zip(different, found, strict=True)]
+        return pa.array(found, pa.large_binary()).fill_null(b"").take(each.indices)
+
+    def _parted(self, words: pa.Array) -> pa.Array:
+        """The ids of each of these different words, by what is before its last signs and these."""
+        tailed = pc.match_substring_regex(words, HAS_TAIL)
+        stems = pc.if_else(tailed, pc.ascii_rtrim(words, TAIL), words)
+        size, raw = pc.subtract(pc.binary_length(words), pc.binary_length(stems)), words.cast(pa.large_binary())
+        tails = pa.scalar(b"", pa.large_binary())
+        for k in range(1, LONGEST_TAIL + 1):
+            tails = pc.if_else(pc.equal(size, k), pc.binary_slice(raw, -k), tails)
+        stems = pc.if_else(pc.ascii_is_alpha(stems), pc.ascii_lower(stems), stems)
+        ids = self._looked_up(stems), self._looked_up(tails.cast(pa.large_string()))
+        return pc.binary_join_element_wise(*ids, pa.scalar(b"", pa.large_binary()))
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers; ``texts`` are bytes of UTF-8, none null."""
+        parts = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        words = parts.flatten().dictionary_encode()
+        if not len(words):
+            return []
+        found = self._parted if self.ascii is not None else self._looked_up
+        ids = found(words.dictionary).take(words.indices)
+        _, places, raw = ids.buffers()
+        bounds = np.frombuffer(places, np.int64)[parts.offsets.to_numpy()]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(bounds), raw]).to_pylist()
 
     def encode(self, raw: bytes) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit integers."""
-        words = raw.split()
-        fresh = list({w for w in words if w not in self.known})
-        if fresh:
-            if len(self.known) + len(fresh) > KEPT_WORDS:
-                self.known = {}
-                fresh = list(set(words))
-            self.known.update(zip(fresh, self._words(fresh), strict=True))
-        return b"".join(map(self.known.__getitem__, words))
+        """The ids of one text."""
+        return self.encode_all(pa.array([raw], pa.binary()))[0]
+
+
+def _handfuls(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows whose texts, in the second column, have about ``SPLIT_BYTES`` together; a longer text is alone or the last."""
+    before = np.cumsum(pc.binary_length(part.column(1)).to_numpy().astype(np.int64)) // SPLIT_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(before)) + 1).tolist(), part.num_rows]
+    yield from (part.slice(a, b - a) for a, b in pairwise(cuts))
 
 
 def encoder(shared, number: int) -> WordEncoder:
@@ -116,10 +218,10 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, bloc
             row = ([place], [block], [doc_ids], [[len(p) // 4 for p in pieces]], [len(ids)], [rangecoder.encode(ids, words.vocabulary)])
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types, strict=True)], schema.names)
 
-        for part in parts:
+        for part in chain.from_iterable(map(_handfuls, parts)):
             types = [pa.int32(), pa.int32(), pa.list_(part.schema.field(0).type), pa.list_(pa.int64()), pa.int64(), pa.binary()]
-            for key, raw in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                pieces.append(words.encode(raw) + end)
+            for key, ids in zip(part.column(0).to_pylist(), words.encode_all(part.column(1)), strict=True):
+                pieces.append(ids + end)
                 doc_ids.append(key)
                 size += len(pieces[-1]) // 4
                 if size >= block_ids:

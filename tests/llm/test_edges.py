@@ -6,6 +6,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -663,6 +664,30 @@ def test_new_words_of_a_text_are_tokenised_in_one_call():
         assert calls is None or asked == [1] * calls
 
 
+def test_texts_are_tokenised_by_their_different_words():
+    import public_tokenizers
+
+    encoder = tokenfiles.WordEncoder(open(public_tokenizers.path("word_bpe_49k.json"), "rb").read())
+    make = random.Random(5)
+    signs = ["a", "Ab", "é", "É", "e\u0301", "Σ", "ΑΣ", "İ", "क़", "'s", "'", "1", "!", "...", ")", "<", "|>", "<|endoftext|>", "</w>", "\xa0", "中", "🙂", "\x01", "\u0338", "of"]
+    texts = [" ".join("".join(make.choice(signs) for _ in range(make.randint(1, 6))) for _ in range(make.randint(0, 40))) for _ in range(200)]
+    texts += ["", words(500, 6), words(500, 6).upper(), words(500, 6).replace(" ", "!!, "), "\n".join(f"{w}." for w in words(500, 6).split())]
+    for _ in range(2):
+        for text, ids in zip(texts, encoder.encode_all(pa.array([t.encode() for t in texts])), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    # Case and signs at the end make no further words.
+    assert all(w in encoder.known and w.upper() not in encoder.known and f"{w}." not in encoder.known for w in words(500, 6).split())
+
+
+def test_a_limit_of_kept_words_changes_no_ids(monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(tokenfiles, "KEPT_WORDS", 150)
+    encoder = tokenfiles.WordEncoder(open(public_tokenizers.path("word_bpe_49k.json"), "rb").read())
+    for text in (words(100, 1), words(100, 2), f"{words(100, 1)} {words(100, 3)}", words(300, 4), words(100, 1)):
+        assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_token_file_edges(spark, odd, none, tmp_path):
     import public_tokenizers
 
