@@ -40,7 +40,7 @@ SURE = (np.arange(STATES) % (MOST + 1), np.arange(STATES) // (MOST + 1))
 SURER = np.minimum(np.arange(MOST + 1) + 1, MOST).astype(np.uint8)
 LESS_SURE = np.maximum(np.arange(MOST + 1) >> 1, 1).astype(np.uint8)
 #: Both in one, those after a right guess from ``MOST + 1`` on.
-NEXT_SURE = np.concatenate([LESS_SURE, SURER])
+NEXT_SURE = np.concatenate([LESS_SURE, SURER]).astype(np.int32)
 
 
 class ChecksumError(ValueError):
@@ -55,8 +55,8 @@ class _Model:
     """
 
     def __init__(self, vocabulary: int):
-        self.ids = [np.zeros(1 << bits, np.int32) for bits in (ORDER1_BITS, ORDER2_BITS)]
-        self.sure = [np.zeros(1 << bits, np.uint8) for bits in (ORDER1_BITS, ORDER2_BITS)]
+        # A slot has the predicted id and, in its last four bits, how sure it is.
+        self.table = [np.zeros(1 << bits, np.int64 if vocabulary >> 27 else np.int32) for bits in (ORDER1_BITS, ORDER2_BITS)]
         self.tries = np.full((2, STATES), 8, np.int64)
         self.hits = np.full((2, STATES), 4, np.int64)
         self.weights = np.full((2, 2), 1 << 15, np.int64)
@@ -86,8 +86,9 @@ class _Model:
         one = last & ((1 << ORDER1_BITS) - 1)
         two = ((last * 2654435761 + before * 40499) >> 7) & ((1 << ORDER2_BITS) - 1)
         self.slots = (one, two)
-        self.guess = (self.ids[0][one], self.ids[1][two])
-        self.trust = (self.sure[0][one], self.sure[1][two])
+        found = (self.table[0][one], self.table[1][two])
+        self.guess = (found[0] >> 4, found[1] >> 4)
+        self.trust = (found[0] & MOST, found[1] & MOST)
         self.state = self.trust[1] * np.int64(MOST + 1) + self.trust[0]
         top = self.top[self.state]
         middle = np.where(self.guess[0] == self.guess[1], top + 1, self.middle[self.state])
@@ -95,9 +96,10 @@ class _Model:
 
     def learn(self, seen: np.ndarray) -> None:
         right = [guess == seen for guess in self.guess]
-        missed = self.state[~right[1]]
-        tried = (np.bincount(missed, minlength=STATES), np.bincount(self.state, minlength=STATES))
-        hit = (np.bincount(self.state[right[0] & ~right[1]], minlength=STATES), tried[1] - tried[0])
+        cases = (self.state << 2) + right[0] + 2 * right[1].view(np.uint8)
+        neither, first, second, both = np.bincount(cases, minlength=4 * STATES).reshape(STATES, 4).T
+        tried = (neither + first, neither + first + second + both)
+        hit = (first, second + both)
         for order in (0, 1):
             known = SURE[order] > 0
             miss = ((hit[order] << 12) - tried[order] * self.chance[order]) * known
@@ -108,8 +110,8 @@ class _Model:
             self.tries[order] += tried[order]
             self.hits[order] += hit[order]
             slot, trust = self.slots[order], self.trust[order]
-            self.ids[order][slot] = np.where(right[order] | (trust > 1), self.guess[order], seen)
-            self.sure[order][slot] = NEXT_SURE[trust + (MOST + 1) * right[order].view(np.uint8)]
+            found = np.where(right[order] | (trust > 1), self.guess[order], seen)
+            self.table[order][slot] = (found << 4) | NEXT_SURE[trust + (MOST + 1) * right[order].view(np.uint8)]
         if self.step % 16 == 15:
             large = self.tries > 1 << 14
             self.tries[large] >>= 1
@@ -133,7 +135,7 @@ class _Writer:
     def code(self, lanes, start: np.ndarray, size: np.ndarray, total) -> None:
         """``lanes`` is a slice or an array of places; ``total`` the scale of start and size."""
         part = self.range[lanes] // total if total & (total - np.uint64(1)) else self.range[lanes] >> np.uint64(PROB)
-        low, wide = self.low[lanes] + part * start.astype(np.uint64), part * size.astype(np.uint64)
+        low, wide = self.low[lanes] + part * start.view(np.uint64), part * size.view(np.uint64)
         high, self.low[lanes], self.range[lanes], out = low >> WORD, *_settled(low, wide)
         done = out if isinstance(lanes, slice) else lanes[out]
         high = high[out]
@@ -166,10 +168,10 @@ class _Reader:
 
     def ask(self, lanes, total) -> np.ndarray:
         self.part = self.range[lanes] // total if total & (total - np.uint64(1)) else self.range[lanes] >> np.uint64(PROB)
-        return np.minimum((self.value[lanes] - self.low[lanes]) // self.part, total - np.uint64(1)).astype(np.int64)
+        return np.minimum((self.value[lanes] - self.low[lanes]) // self.part, total - np.uint64(1)).view(np.int64)
 
     def take(self, lanes, start: np.ndarray, size: np.ndarray) -> None:
-        low, wide = self.low[lanes] + self.part * start.astype(np.uint64), self.part * size.astype(np.uint64)
+        low, wide = self.low[lanes] + self.part * start.view(np.uint64), self.part * size.view(np.uint64)
         self.low[lanes], self.range[lanes], out = _settled(low, wide)
         done = out if isinstance(lanes, slice) else lanes[out]
         self.value[done] = (self.value[done] << WORD) | self._next(done)
@@ -222,12 +224,12 @@ def encode(ids: np.ndarray, vocabulary: int) -> bytes:
     if len(ids) and int(ids.max()) >= vocabulary:
         raise ValueError(f"id {int(ids.max())} is outside a vocabulary of {vocabulary}")
     sizes = _lanes(len(ids))
-    steps = _steps(ids, sizes)
+    steps, longer = _steps(ids, sizes), int((sizes > sizes[-1]).sum())
     model, coder = _Model(vocabulary), _Writer(len(sizes), int(sizes.max()))
     last, before = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
     with np.errstate(over="ignore"):
         for step in range(int(sizes.max()) if len(ids) else 0):
-            active = slice(0, int((sizes > step).sum()))
+            active = slice(0, len(sizes) if step < sizes[-1] else longer)
             seen = steps[step, active].astype(np.int64)
             model.predict(last[active], before[active])
             top, middle = model.bounds
@@ -257,11 +259,11 @@ def decode(block: bytes, vocabulary: int) -> np.ndarray:
     reader = _Reader(counts, np.frombuffer(body, "<u4", offset=4 * lanes))
     sizes = _lanes(n)
     model, ids = _Model(vocabulary), np.zeros(n, "<u4")
-    steps = _steps(ids, sizes)
+    steps, longer = _steps(ids, sizes), int((sizes > sizes[-1]).sum())
     last, before = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
     with np.errstate(over="ignore"):
         for step in range(int(sizes.max()) if n else 0):
-            active = slice(0, int((sizes > step).sum()))
+            active = slice(0, len(sizes) if step < sizes[-1] else longer)
             model.predict(last[active], before[active])
             top, middle = model.bounds
             value = reader.ask(active, np.uint64(1 << PROB))

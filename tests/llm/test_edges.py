@@ -679,6 +679,17 @@ def test_texts_are_tokenised_by_their_different_words():
     assert all(w in encoder.known and w.upper() not in encoder.known and f"{w}." not in encoder.known for w in words(500, 6).split())
 
 
+def test_latin_letters_and_their_neighbours():
+    import public_tokenizers
+
+    encoder = tokenfiles.WordEncoder(open(public_tokenizers.path("word_bpe_49k.json"), "rb").read())
+    texts = [" ".join(f"{c} a{c}B {c}{c}, {c}. x{c}!!" for c in map(chr, range(first, first + 16))) for first in range(0xA1, 0x2B0, 16)]
+    texts += [" ".join(f"a{c} {c}, a{c}\u0307. b\u0307{c}" for c in "ÀİıßǅȺɏÿ×÷ªµºΑΣЙ") * 3]
+    for text, ids in zip(texts, encoder.encode_all(pa.array([t.encode() for t in texts])), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    assert "àà" in encoder.known and "ÀÀ" not in encoder.known and "àà," not in encoder.known
+
+
 def test_a_limit_of_kept_words_changes_no_ids(monkeypatch):
     import public_tokenizers
 
