@@ -40,7 +40,7 @@ SURE = (np.arange(STATES) % (MOST + 1), np.arange(STATES) // (MOST + 1))
 SURER = np.minimum(np.arange(MOST + 1) + 1, MOST).astype(np.uint8)
 LESS_SURE = np.maximum(np.arange(MOST + 1) >> 1, 1).astype(np.uint8)
 #: Both in one, those after a right guess from ``MOST + 1`` on.
-NEXT_SURE = np.concatenate([LESS_SURE, SURER]).astype(np.int32)
+NEXT_SURE = np.concatenate([LESS_SURE, SURER]).astype(np.int64)
 
 
 class ChecksumError(ValueError):
@@ -62,6 +62,7 @@ class _Model:
         self.weights = np.full((2, 2), 1 << 15, np.int64)
         self.counts = np.ones(vocabulary, np.int64)
         self.sums = np.arange(vocabulary + 1, dtype=np.int64)
+        self.recent: list[np.ndarray] = []
         self.step = 0
         self._mix()
 
@@ -86,10 +87,10 @@ class _Model:
         one = last & ((1 << ORDER1_BITS) - 1)
         two = ((last * 2654435761 + before * 40499) >> 7) & ((1 << ORDER2_BITS) - 1)
         self.slots = (one, two)
-        found = (self.table[0][one], self.table[1][two])
+        found = (self.table[0][one].astype(np.int64), self.table[1][two].astype(np.int64))
         self.guess = (found[0] >> 4, found[1] >> 4)
         self.trust = (found[0] & MOST, found[1] & MOST)
-        self.state = self.trust[1] * np.int64(MOST + 1) + self.trust[0]
+        self.state = self.trust[1] * (MOST + 1) + self.trust[0]
         top = self.top[self.state]
         middle = np.where(self.guess[0] == self.guess[1], top + 1, self.middle[self.state])
         self.bounds = (top, middle)
@@ -116,11 +117,13 @@ class _Model:
             large = self.tries > 1 << 14
             self.tries[large] >>= 1
             self.hits[large] >>= 1
-        np.add.at(self.counts, seen, GAIN)
+        self.recent.append(seen)
         self.step += 1
         if self.step % REMIX == 0 or self.step < 16:
             self._mix()
         if self.step % REFRESH == 0:
+            self.counts += GAIN * np.bincount(np.concatenate(self.recent), minlength=len(self.counts))
+            self.recent = []
             if int(self.counts.sum()) >= 1 << TOTAL:
                 self.counts = (self.counts + 1) >> 1
             np.cumsum(self.counts, out=self.sums[1:])
@@ -134,7 +137,7 @@ class _Writer:
 
     def code(self, lanes, start: np.ndarray, size: np.ndarray, total) -> None:
         """``lanes`` is a slice or an array of places; ``total`` the scale of start and size."""
-        part = self.range[lanes] // total if total & (total - np.uint64(1)) else self.range[lanes] >> np.uint64(PROB)
+        part = self.range[lanes] >> np.uint64(PROB) if total == 1 << PROB else self.range[lanes] // total
         low, wide = self.low[lanes] + part * start.view(np.uint64), part * size.view(np.uint64)
         high, self.low[lanes], self.range[lanes], out = low >> WORD, *_settled(low, wide)
         done = out if isinstance(lanes, slice) else lanes[out]
@@ -167,7 +170,7 @@ class _Reader:
         return found
 
     def ask(self, lanes, total) -> np.ndarray:
-        self.part = self.range[lanes] // total if total & (total - np.uint64(1)) else self.range[lanes] >> np.uint64(PROB)
+        self.part = self.range[lanes] >> np.uint64(PROB) if total == 1 << PROB else self.range[lanes] // total
         return np.minimum((self.value[lanes] - self.low[lanes]) // self.part, total - np.uint64(1)).view(np.int64)
 
     def take(self, lanes, start: np.ndarray, size: np.ndarray) -> None:

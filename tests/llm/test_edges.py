@@ -619,6 +619,12 @@ def test_coder_round_trip(n):
     assert n < 40_000 or len(block) < n / 4
 
 
+@pytest.mark.parametrize("n, vocabulary", [(64 * 319, 49_408), (20_450, 49_408), (64 * 831 + 5, 49_408), (500, 1 << 17), (500, 1 << 15)])
+def test_coder_with_totals_that_are_powers_of_two(n, vocabulary):
+    ids = np.random.default_rng(n).integers(0, vocabulary, n)
+    assert (rangecoder.decode(rangecoder.encode(ids, vocabulary), vocabulary) == ids).all()
+
+
 def test_coder_notices_damage():
     block = bytearray(rangecoder.encode(np.arange(500) % 50, 100))
     for at in (0, 5, 30, len(block) - 1):
